@@ -3,19 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from driftvault.llm import quality_rules
+from driftvault.llm import exact_dedup, line_dedup, quality_rules, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup_exact(documents(spark, sf_dir))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_quality(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op2_exact_dedup": op2_exact_dedup,
+    "op3_sharding": op3_sharding,
+    "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
 
@@ -23,6 +40,24 @@ _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
 _RULES = " AND ".join(f"{r.metric} BETWEEN {r.low} AND {r.high}" for r in quality_rules.RULES)
 
 ORACLE_SQL = {
+    "op2_exact_dedup": r"""
+WITH d AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept, text_sha256
+FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op7_line_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+p AS (SELECT rid, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM d),
+k AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM p),
+f AS (SELECT line_key, min(doc_id) AS first_doc FROM k WHERE length(line_key) >= 10 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT k.*, f.first_doc IS NOT NULL AND k.doc_id <> f.first_doc AS dropped FROM k LEFT JOIN f USING (line_key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY rid, doc_id""",
     "op8_quality_rules": rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS body,

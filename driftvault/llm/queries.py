@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftvault.llm import exact_dedup, line_dedup, quality_rules, sharding
+from driftvault.llm import exact_dedup, line_dedup, quality_rules, sharding, simhash_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.dedup_near(documents(spark, sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
@@ -32,6 +36,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sharding": op3_sharding,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
 }

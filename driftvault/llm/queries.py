@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftvault.llm import exact_dedup, line_dedup, quality_rules, sharding, simhash_dedup
+from driftvault.llm import exact_dedup, line_dedup, prefix_bpe, quality_rules, sharding, simhash_dedup, warc_revisits
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,17 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.dedup_near(documents(spark, sf_dir))
 
 
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc_revisits.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return warc_revisits.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = prefix_bpe.SharedVocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    digests = prefix_bpe.digest_column(F.col("text"), vocabulary, public_tokenizers.PATTERN)
+    return documents(spark, sf_dir).select("doc_id", digests.alias("d")).select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
@@ -37,6 +49,8 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sharding": op3_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_warc_revisits": op5_warc_revisits,
+    "op6_prefix_bpe": op6_prefix_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
@@ -51,6 +65,13 @@ WITH d AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op5_warc_revisits": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+w AS (SELECT *, sha1(body) AS payload_digest, max(page_id) OVER (PARTITION BY body) AS winner FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> winner THEN winner END AS refers_to
+FROM w""",
     "op7_line_dedup": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 p AS (SELECT rid, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM d),

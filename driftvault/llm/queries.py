@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftvault.llm import exact_dedup, line_dedup, prefix_bpe, quality_rules, sharding, simhash_dedup, warc_revisits
+from driftvault.llm import exact_dedup, language_id, line_dedup, packing, prefix_bpe, quality_rules, sharding, simhash_dedup, toxicity, warc_revisits
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return language_id.identify(documents(spark, sf_dir), held_out)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(documents(spark, sf_dir))
 
@@ -45,7 +50,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score_quality(documents(spark, sf_dir))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sharding": op3_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
@@ -53,6 +67,8 @@ QUERIES = {
     "op6_prefix_bpe": op6_prefix_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 
 import pandas as pd
 import regex
@@ -168,7 +169,7 @@ class TextEncoder:
         return ids
 
 
-_ENCODERS: dict[int, TextEncoder] = {}
+_ENCODERS: dict[str, TextEncoder] = {}
 
 
 def text_encoder(shared, pattern: str) -> TextEncoder:
@@ -185,7 +186,7 @@ class SharedVocabulary:
     def __init__(self, spark: SparkSession, path: str):
         vocabulary = Vocabulary(load_tokens(path))
         self._broadcast = spark.sparkContext.broadcast((vocabulary.tokens, vocabulary.parts))
-        self.id = f"{path}:{id(self._broadcast)}"
+        self.id = uuid.uuid4().hex
 
     @property
     def tables(self):

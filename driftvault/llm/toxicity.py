@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A linear classifier of hashed words is trained in numpy from texts confirmed as toxic and texts taken as unlabelled.
+A linear classifier of hashed character n-grams of words is trained in numpy from texts confirmed as toxic and texts taken as unlabelled.
 Its risk is the positives' loss times the class prior, plus the unlabelled texts' loss as negatives less the part
 that the positives among them make up; that difference may not fall below zero.
 """
@@ -8,6 +8,7 @@ that the positives among them make up; that difference may not fall below zero.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -16,13 +17,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftvault.llm.common import stage
+
 #: Bounds of the training sample: the rows with the smallest hashes of doc_id are taken.
 MAX_POSITIVE, MAX_UNLABELLED = 6_000, 14_000
-BUCKETS = 1 << 18
-#: A text's words used in training; later ones of a longer training text are left out (scoring reads all).
-MAX_WORDS = 4_000
-#: A word counts if it is this many standard deviations more or less frequent in the positives, in so many texts.
-MIN_Z, MIN_TEXTS = 4.0, 4
+#: n-grams of words with their start and end marked; told apart by so many buckets.
+GRAMS, BUCKETS = range(3, 8), 1 << 22
+#: An n-gram counts if it is this many standard deviations more or less frequent in the positives, in so many texts;
+#: of those the most telling ones are taken.
+MIN_Z, MIN_TEXTS, MAX_FEATURES = 5.0, 5, 4096
 STEPS, RATE, RIDGE = 400, 0.1, 1e-4
 THRESHOLD = 0.7
 CACHED_WORDS = 300_000
@@ -31,25 +34,44 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Model:
-    """Weights by word bucket; at most BUCKETS of them."""
+    """Weights by n-gram bucket; at most MAX_FEATURES of them."""
 
     weights: dict[int, float]
     bias: float
 
 
-def features(text: str | None) -> set[int]:
-    return {zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in set(_WORD.findall((text or "").lower()))}
+def buckets(word: str) -> set[int]:
+    """The buckets of a word's n-grams."""
+    marked = f"^{word}$".encode("utf-32-le", "surrogatepass")
+    return {zlib.crc32(marked[4 * i : 4 * (i + n)]) % BUCKETS for n in GRAMS for i in range(len(marked) // 4 - n + 1)}
+
+
+class Features:
+    """The chosen buckets (all, where none are given) of texts; words that come again are remembered."""
+
+    def __init__(self, chosen=None):
+        self.chosen, self._known = chosen, {}
+
+    def of(self, text: str | None) -> set[int]:
+        out: set[int] = set()
+        for word in set(_WORD.findall((text or "").lower())):
+            found = self._known.get(word)
+            if found is None:
+                if len(self._known) > CACHED_WORDS:
+                    self._known.clear()
+                found = buckets(word)
+                if self.chosen is not None:
+                    found = found & self.chosen
+                    self._known[word] = found
+            if found:
+                out |= found
+        return out
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
-    """positive, unlabelled: the buckets of each text's words. prior: the share of positives among the unlabelled."""
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], chosen: np.ndarray, prior: float) -> Model:
+    """positive, unlabelled: the chosen buckets of each text. prior: the share of positives among the unlabelled."""
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model({}, -20.0 if not prior > 0 else 20.0 if prior >= 1 else float(np.log(prior / (1 - prior))))
-    pos_df = np.bincount(np.concatenate(positive).astype(np.int64), minlength=BUCKETS)
-    unl_df = np.bincount(np.concatenate(unlabelled).astype(np.int64), minlength=BUCKETS)
-    share = (pos_df + unl_df) / (len(positive) + len(unlabelled))
-    z = (pos_df / len(positive) - unl_df / len(unlabelled)) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / len(positive) + 1 / len(unlabelled)))
-    chosen = np.flatnonzero((np.abs(z) >= MIN_Z) & (pos_df + unl_df >= MIN_TEXTS))
     column = np.full(BUCKETS, -1)
     column[chosen] = np.arange(len(chosen))
 
@@ -80,11 +102,36 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     return Model(dict(zip(chosen.tolist(), w.tolist())), b)
 
 
-def _featurise(frames):
+def _count(frames):
+    """(bucket, positive, unlabelled): in how many of the partition's texts each bucket is found."""
+    counts, features = np.zeros((2, BUCKETS), np.int32), Features()
     for frame in frames:
-        for at in range(0, len(frame), 256):
-            part = frame.iloc[at : at + 256]
-            yield pd.DataFrame({"toxic": part["toxic"], "unlabelled": part["unlabelled"], "words": [sorted(features(t))[:MAX_WORDS] for t in part["text"]]})
+        for text, toxic, unlabelled in zip(frame["text"], frame["toxic"], frame["unlabelled"]):
+            found = np.fromiter(features.of(text), np.int64)
+            counts[0, found] += int(toxic)
+            counts[1, found] += int(unlabelled)
+    any_ = np.flatnonzero(counts.any(axis=0))
+    for at in range(0, len(any_), 100_000):
+        part = any_[at : at + 100_000]
+        yield pd.DataFrame({"bucket": part, "positive": counts[0, part], "unlabelled": counts[1, part]})
+
+
+def _choose(counts: DataFrame, positives: int, unlabelled: int) -> np.ndarray:
+    df = counts.groupBy("bucket").agg(F.sum("positive").alias("p"), F.sum("unlabelled").alias("u")).filter(F.col("p") + F.col("u") >= MIN_TEXTS)
+    share = (F.col("p") + F.col("u")) / F.lit(positives + unlabelled)
+    spread = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / positives + 1 / unlabelled))
+    z = F.abs(F.col("p") / positives - F.col("u") / unlabelled) / spread
+    top = df.select("bucket", z.alias("z")).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "bucket").limit(MAX_FEATURES)
+    return np.sort(top.toPandas()["bucket"].to_numpy("int64"))
+
+
+def _featurise(chosen: np.ndarray):
+    def task(frames):
+        features = Features(frozenset(chosen.tolist()))
+        for frame in frames:
+            yield pd.DataFrame({"toxic": frame["toxic"], "unlabelled": frame["unlabelled"], "found": [sorted(features.of(t)) for t in frame["text"]]})
+
+    return task
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
@@ -103,40 +150,33 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("unlabelled").alias("unlabelled"))
     )
     # at most MAX_POSITIVE + MAX_UNLABELLED rows are broadcast
-    texts = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").dropDuplicates(["doc_id"])
-    rows = texts.mapInPandas(_featurise, "toxic int, unlabelled int, words array<int>").toPandas()
-    words = rows["words"].map(lambda x: np.asarray(x, np.int32))
-    return fit(words[rows["toxic"] == 1].tolist(), words[rows["unlabelled"] == 1].tolist(), toxic / total)
+    texts = stage(docs.select("doc_id", "text").join(F.broadcast(stage(taken, "toxicity-sample")), "doc_id").dropDuplicates(["doc_id"]), "toxicity-texts")
+    positives, unlabelled = (int(n or 0) for n in texts.agg(F.sum("toxic"), F.sum("unlabelled")).first())
+    chosen = np.zeros(0, np.int64)
+    if positives and unlabelled:
+        chosen = _choose(texts.mapInPandas(_count, "bucket long, positive int, unlabelled int"), positives, unlabelled)
+    rows = texts.mapInPandas(_featurise(chosen), "toxic int, unlabelled int, found array<int>").toPandas()
+    found = rows["found"].map(lambda x: np.asarray(x, np.int32))
+    return fit(found[rows["toxic"] == 1].tolist(), found[rows["unlabelled"] == 1].tolist(), chosen, toxic / total)
 
 
-_WEIGHTS: dict[int, dict[str, float]] = {}
+_FEATURES: dict[str, Features] = {}
 
 
 def score_column(text: Column, model: Model, spark) -> Column:
     """Column of double, 0 to 1: the estimated probability that a text is toxic."""
     shared = spark.sparkContext.broadcast(model)
-    token = id(shared)
+    token = uuid.uuid4().hex
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        of, find, out = shared.value, _WORD.findall, []
-        if token not in _WEIGHTS:
-            _WEIGHTS.clear()
-        known = _WEIGHTS.setdefault(token, {})
-        for text in texts:
-            seen, total = {}, of.bias
-            for word in set(find((text or "").lower())):
-                found = known.get(word)
-                if found is None:
-                    if len(known) > CACHED_WORDS:
-                        known.clear()
-                    bucket = zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
-                    found = known[word] = (bucket, of.weights.get(bucket, 0.0))
-                if found[1]:
-                    seen[found[0]] = found[1]  # words of one bucket count once, as in training
-            total += sum(seen.values())
-            out.append(1 / (1 + np.exp(-np.clip(total, -500, 500))))
-        return pd.Series(out, dtype="float64")
+        model = shared.value
+        if token not in _FEATURES:
+            _FEATURES.clear()
+            _FEATURES[token] = Features(frozenset(model.weights))
+        of = _FEATURES[token].of
+        odds = np.array([model.bias + sum(map(model.weights.__getitem__, of(t))) for t in texts], np.float64)
+        return pd.Series(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
 
     return score(text)
 

@@ -21,6 +21,10 @@ FAN_IN = 8
 SEGMENT_ROWS = 500_000
 _LAST = 2**63 - 1
 _RUN = "segment int, run int, digest binary, n_bytes int, check long, min_id long, min_row long, n long"
+_ARROW = pa.schema(
+    [("segment", pa.int32()), ("run", pa.int32()), ("digest", pa.binary()), ("n_bytes", pa.int32())]
+    + [(c, pa.int64()) for c in ("check", "min_id", "min_row", "n")]
+)
 
 
 def normalised(text):
@@ -35,7 +39,7 @@ def merge_runs(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([batch])
+        table = pa.Table.from_batches([batch]).cast(_ARROW)  # batches differ in what may be null
         if held is not None:
             table = pa.concat_tables([held, table])
         table = table.combine_chunks()

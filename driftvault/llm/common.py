@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftvault.sources.shared import shared_folder
+
 #: ASCII white space, as a character class of Java, Python and RE2 patterns.
 SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -15,29 +14,10 @@ NOT_SPACE = r"[^\x20\x09-\x0D]"
 HOT_SHARE = 1000
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, as in tests in local
-    mode, a temporary folder, and on a cluster the warehouse, never a machine's own disk."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-        root = "file://" + tempfile.mkdtemp(prefix="driftvault-")
-    else:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_driftvault"
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/driftvault/{label}-{uuid.uuid4().hex}"
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder as Parquet and returns what was written: lineage ends there, and values
     that depend on the order of a scan (row numbers) stay as they are."""
-    path = shared_path(df.sparkSession, label)
+    path = shared_folder(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -19,7 +19,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftvault.llm.common import join_weighted, n_parts, shared_path, stage
+from driftvault.llm.common import join_weighted, n_parts, stage
+from driftvault.sources.shared import shared_folder
 
 #: Shorter payloads are stored each for itself.
 MIN_BYTES = 1000
@@ -120,7 +121,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, date: str = "202
     rows that repeat page_id and payload the first is the response, if one of them is. An empty table writes
     nothing; other columns are not looked at. `date` is the records' date: pages carry none.
     """
-    folder = (folder or shared_path(pages.sparkSession, "warc")).rstrip("/")
+    folder = (folder or shared_folder(pages.sparkSession, "warc")).rstrip("/")
     pages = pages.select(
         F.coalesce("page_id", F.lit(_FIRST)).cast("long").alias("page_key"), F.col("page_id").isNull().alias("is_null"), "url", F.coalesce("html", F.lit("")).alias("html")
     )

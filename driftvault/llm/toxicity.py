@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).filter(usable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total, toxic = known.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("toxic") == 1, 1)), F.lit(0))).first()
     if not total:
-        return fit([], [], 0.0)
+        return fit([], [], np.zeros(0, np.int64), 0.0)
     ranked = known.withColumn("rank", F.xxhash64(F.lit(11), "doc_id"))
     taken = (
         ranked.filter("toxic = 1").orderBy("rank", "doc_id").limit(MAX_POSITIVE).select("doc_id", F.lit(1).alias("toxic"), F.lit(0).alias("unlabelled"))

@@ -46,6 +46,17 @@ def size_histogram(files: DataFrame, width: int) -> DataFrame:
     return files.groupBy((F.floor(F.col("bytes") / width) * width).cast("long").alias("from_bytes")).agg(F.count("*").alias("n_files"))
 
 
+def counts_by_trigger(rows: DataFrame, trigger: str) -> DataFrame:
+    """Flushes or files by what ended them."""
+    return rows.groupBy(F.coalesce(trigger, F.lit("end")).alias("ended_by")).agg(F.count("*").alias("n"), F.sum("n_records").alias("n_records"))
+
+
+def compression_ratio(manifest: DataFrame) -> DataFrame:
+    """Archived by payload bytes of each destination, from an archive's manifest."""
+    sums = manifest.groupBy("destination").agg(F.sum("length").alias("bytes_compressed"), F.sum("raw_bytes").alias("bytes_written"))
+    return sums.withColumn("ratio", F.when(F.col("bytes_written") > 0, F.col("bytes_compressed") / F.col("bytes_written")))
+
+
 #: Weight and saturation point of each part of the scaling figure.
 SCALING = {"lag": (0.40, 100_000.0), "buffer_depth": (0.30, 10_000.0), "memory": (0.30, 1.0)}
 

@@ -126,6 +126,17 @@ class Config:
     def effective_fields(self) -> tuple[str, ...]:
         return tuple(DEFAULT_FIELDS.get(self.transport, ()) if self.routing.expression_fields is None else self.routing.expression_fields)
 
+    def long_held_roll_interval(self) -> int | None:
+        """The roll interval, where offsets wait for it longer than a quarter of an hour and memory may grow."""
+        seconds = self.roll_interval_secs()
+        return seconds if self.holds_offsets() and seconds > 900 else None
+
+    def restart_required(self, new: Config) -> list[str]:
+        """The sections in which `new` differs by more than kafka.batch_size, which alone is taken over as a run goes on."""
+        mine, theirs = dataclasses.asdict(self), dataclasses.asdict(new)
+        mine["kafka"]["batch_size"] = theirs["kafka"]["batch_size"]
+        return [k for k in mine if mine[k] != theirs[k]]
+
     def codec(self) -> str:
         return codec_name(self.compression.codec, self.compression.enabled)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftvault.functions import json_fields, segments, templates
 from driftvault.sources.shared import shared_folder
-from driftvault.operators import archive, batching, delivery, metrics, routing, topics
+from driftvault.operators import archive, batching, delivery, metrics, recovery, routing, topics
 from driftvault.sources.records import EVENT_RECORDS, event_records
 
 #: Small limits, so that small tables have flushes and rolls of every kind.
@@ -142,7 +142,31 @@ def unknown_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("template", F.array_join(templates.unknown_placeholders_column(F.col("template")), ",").alias("unknown"))
 
 
+def key_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File keys of two routing fields, taken apart again."""
+    df = routed(spark, sf_dir, ("_org_id", "event_type")).filter("destination IS NOT NULL AND NOT routing_error AND topic <> ''")
+    key = templates.file_key(F.col("destination"), "{year}/{month}/{day}", F.col("ts"), F.col("part"), F.lit("0123456789abcdef"))
+    return df.select("event_id", key.alias("key")).select("event_id", *[c.alias(n) for n, c in recovery.parse_key(F.col("key"), 2).items()])
+
+
+def staged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged files as a crash leaves them, one for each event: whole, cut short, too long, or without a manifest."""
+    kind, n = F.col("event_id") % 5, F.col("event_id") % 700
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        (F.col("user_id") % 20).alias("folder"), F.lpad(F.col("event_id").cast("string"), 9, "0").alias("path"),
+        F.when(kind == 1, n).when(kind == 2, n + 60).otherwise(n + 50).alias("n_bytes"), F.when(kind != 3, F.array(n, F.lit(50).cast("long"))).alias("block_bytes"),
+    )
+
+
+def recovery_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recovery.cap_quarantine(recovery.classify_staged(staged_files(spark, sf_dir), False), 5000).select("path", "action", F.coalesce("reason", F.lit("")).alias("reason"))
+
+
 QUERIES = {
+    "flushes_by_trigger": lambda s, d: metrics.counts_by_trigger(batching.flushes(batching.flush_plan(lanes(s, d), **FLUSH)), "flush_trigger"),
+    "rolls_by_trigger": lambda s, d: metrics.counts_by_trigger(files(s, d), "roll_trigger"),
+    "key_parse": key_parse,
+    "recovery_classify": recovery_classify,
     "route_expression": lambda s, d: _destinations(routed(s, d)),
     "route_topic": lambda s, d: _destinations(routing.route_by_topic(event_records(s, d))),
     "route_two_fields": lambda s, d: _destinations(routed(s, d, ("_org_id", "event_type"))),
@@ -278,6 +302,18 @@ SELECT destination, count(*) AS n_records, sum(strlen(value) + 1)::BIGINT AS byt
 FROM routed WHERE destination IS NOT NULL GROUP BY 1"""
 
 ORACLE_SQL = {
+    "flushes_by_trigger": f"{_flushes(**FLUSH)} SELECT coalesce(flush_trigger, 'end') AS ended_by, count(*) AS n, sum(n_records)::BIGINT AS n_records FROM flushes GROUP BY 1",
+    "rolls_by_trigger": f"{_FILES} SELECT roll_trigger AS ended_by, count(*) AS n, sum(n_records)::BIGINT AS n_records FROM files GROUP BY 1",
+    "key_parse": f"""{_TWO}
+SELECT event_id, topic, coalesce(f0, 'default') AS field_0, coalesce(f1, 'default') AS field_1, part AS seq, '0123456789abcdef' AS token
+FROM routed WHERE j IS NOT NULL AND topic <> ''""",
+    "recovery_classify": """WITH f AS (
+  SELECT user_id % 20 AS folder, lpad(CAST(event_id AS VARCHAR), 9, '0') AS path, event_id % 5 AS kind, event_id % 700 AS n FROM events),
+s AS (SELECT *, CASE kind WHEN 1 THEN n WHEN 2 THEN n + 60 ELSE n + 50 END AS n_bytes FROM f),
+r AS (SELECT *, CASE WHEN kind = 3 THEN 'unreadable' WHEN kind = 1 THEN 'incomplete' WHEN kind = 2 THEN 'corrupt' ELSE '' END AS why FROM s),
+b AS (SELECT *, coalesce(sum(CASE WHEN why <> '' THEN n_bytes ELSE 0 END) OVER (PARTITION BY folder ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held FROM r)
+SELECT path, CASE WHEN why = '' THEN 'upload' WHEN held >= 5000 THEN 'remove' ELSE 'quarantine' END AS action,
+       CASE WHEN why <> '' AND held >= 5000 THEN 'quarantine_full' ELSE why END AS reason FROM b""",
     "route_expression": f"{_routed()} {_BY_DESTINATION}",
     "route_topic": f"""WITH records AS ({_RECORDS})
 SELECT CASE WHEN topic = '' THEN 'default' ELSE topic END AS destination, count(*) AS n_records, min(off) AS first_off, max(off) AS last_off FROM records GROUP BY 1""",

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from driftvault.operators import archive, batching, delivery, metrics, routing, topics
+from driftvault.operators import archive, batching, delivery, errors, metrics, recovery, routing, topics
 
 ROUTES = [
     ("events", ("_org_id", "event_type"), '{"_org_id":"acme","event_type":"login"}', "events/acme/login", []),
@@ -128,3 +128,28 @@ def test_retry_and_scaling(spark):
     assert tuple(wait) == (0.5, 4.0, 60.0)
     df = spark.createDataFrame([(100_000, 10_000, 1.0, False), (50_000, 0, 0.0, False), (1, 1, 1.0, True)], "lag long, buffer_depth long, memory double, circuit_open boolean")
     assert [round(r.pressure, 3) for r in metrics.scaling_pressure(df).collect()] == [1.0, 0.2, 0.0]
+
+
+def test_staged_files(spark):
+    rows = [("f", "a", 10, [4, 6]), ("f", "b", 9, [4, 6]), ("f", "c", 11, [4, 6]), ("f", "d", 5, None), ("f", "e", 0, [])]
+    df = spark.createDataFrame(rows, "folder string, path string, n_bytes long, block_bytes array<long>")
+    got = recovery.classify_staged(df, False)
+    assert [(r.action, r.reason) for r in got.orderBy("path").collect()] == [("upload", None), ("quarantine", "incomplete"), ("quarantine", "corrupt"), ("quarantine", "unreadable"), ("upload", None)]
+    capped = recovery.cap_quarantine(got, 15).orderBy("path").collect()
+    assert [(r.action, r.reason) for r in capped][1:4] == [("quarantine", "incomplete"), ("quarantine", "corrupt"), ("remove", "quarantine_full")]
+    assert {r.reason for r in recovery.classify_staged(df, True).collect()} == {"replayed"}
+
+
+def test_keys_are_read_back(spark):
+    key = F.lit("a=2Fb/=/caf=C3=A9/2024/01-0012-0123456789abcdef.jsonl.zst")
+    row = spark.range(1).select(*[c.alias(n) for n, c in recovery.parse_key(key, 2).items()]).first()
+    assert tuple(row) == ("a/b", "", "café", 12, "0123456789abcdef")
+    assert spark.range(1).select(recovery.hive_folder(F.lit("d"), F.timestamp_seconds(F.lit(0)))).first()[0] == "d/year=1970/month=01/day=01/hour=00"
+
+
+def test_error_categories():
+    wrapped = RuntimeError("upload failed")
+    wrapped.__cause__ = OSError("400 KeyTooLongError")
+    assert errors.is_refused(wrapped) and errors.category(wrapped) == "data"
+    assert errors.category(FileNotFoundError(2, "gone")) == "fatal" and errors.category(TimeoutError()) == "transient" and errors.category(OSError(28, "full")) == "transient"
+    assert errors.is_unreadable(EOFError()) and errors.is_unreadable(IsADirectoryError(21, "dir")) and not errors.is_unreadable(OSError(5, "io"))

@@ -48,6 +48,8 @@ def test_config_values():
     assert Config.load({"transport": "grpc"}, {}).guarantee() == ("best_effort", "sink_cannot_confirm") and Config.load({"transport": "grpc"}, {}).effective_fields() == ("_source", "_org_id")
     assert Config.load({"kafka": {"acknowledgements": False}}, {}).roll_interval_secs() == 3600
     assert parse_destination("gcs://b/x/y/") == ("gs", "b", "x/y") and parse_destination("/x") == ("file", None, "/x")
+    hot, cold = Config.load({"kafka": {"batch_size": 5}}, {}), Config.load({"archive": {"roll_interval_secs": 1000}}, {})
+    assert Config.load({}, {}).restart_required(hot) == [] and hot.restart_required(cold) == ["archive"] and cold.long_held_roll_interval() == 1000
     with pytest.raises(ConfigError):
         parse_destination("ftp://x/y")
     assert spool_budget(100) == {"staged": 88, "min_free": 11, "quarantine": 11}

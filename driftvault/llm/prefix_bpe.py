@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 #: Texts are cut before white space that follows something else; every match of the pattern lies within one part.
 _PART = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
-CACHED_PARTS = 200_000
+CACHED_PARTS = 300_000
+#: What was stored for prefixes of these lengths serves every piece that begins alike, longest first.
+SHARED_PREFIXES = (13, 10, 7, 4)
 
 
 def load_tokens(path: str) -> list[bytes]:
@@ -39,14 +41,16 @@ class Vocabulary:
     def __init__(self, tokens: list[bytes], parts: list[tuple[int, int] | None] | None = None):
         self.tokens = tokens
         self.ranks = {t: i for i, t in enumerate(tokens) if t}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
+        self._prefixes: dict[bytes, list[int]] = {}
+        #: The lengths that tokens with the same last three bytes have, and those of the shorter tokens they end with.
         self.lengths: dict[bytes, list[int]] = {}
         ends: dict[bytes, set[int]] = {}
         for t in self.ranks:
-            ends.setdefault(t[-2:], set()).add(len(t))
-            ends.setdefault(t[-1:], set()).add(1)
+            if len(t) >= 3:
+                ends.setdefault(t[-3:], set()).add(len(t))
         for tail, sizes in ends.items():  # longest first
-            self.lengths[tail] = sorted(sizes | ({1} if tail[-1:] in self.ranks else set()), reverse=True)
+            self.lengths[tail] = sorted(sizes | ({2} if tail[1:] in self.ranks else set()) | {1}, reverse=True)
         self.longest = max(map(len, self.ranks), default=0)
         self.parts = parts or self._merge_parts()
 
@@ -77,26 +81,29 @@ class Vocabulary:
                 return True
 
     def fits(self, left: int, right: int) -> bool:
-        key = (left, right)
-        known = self._fits.get(key)
-        if known is None:
-            if len(self._fits) > 1_000_000:
-                self._fits.clear()
-            known = self._fits[key] = self._stays(left, right, len(self.tokens) + 1)
+        if len(self._fits) > 1_000_000:
+            self._fits.clear()
+        known = self._fits[left << 32 | right] = self._stays(left, right, len(self.tokens) + 1)
         return known
 
     def extend(self, data: bytes, last: list[int], upto: int) -> None:
         """Fills `last`, which holds the tokens of data's first len(last) - 1 prefixes, as far as `upto`."""
-        ranks, lengths, fits = self.ranks, self.lengths, self.fits
+        rank, sizes_of, fits, short = self.ranks.get, self.lengths.get, self._fits.get, (2, 1)
         for end in range(len(last), upto + 1):
-            for size in lengths.get(data[max(0, end - 2) : end]) or lengths[data[end - 1 : end]]:
+            for size in (sizes_of(data[end - 3 : end], short) if end > 2 else short):
                 start = end - size
                 if start < 0:
                     continue
-                token = ranks.get(data[start:end])
-                if token is not None and (start == 0 or fits(last[start], token)):
-                    last.append(token)
-                    break
+                token = rank(data[start:end])
+                if token is None:
+                    continue
+                if start:
+                    left = last[start]
+                    known = fits(left << 32 | token)
+                    if not known and (known is not None or not self.fits(left, token)):
+                        continue
+                last.append(token)
+                break
             else:
                 raise ValueError(f"no token of the vocabulary ends at byte {end}")
 
@@ -105,7 +112,18 @@ class Vocabulary:
         if whole is not None:
             return [whole]
         last = [-1]
+        for size in SHARED_PREFIXES:
+            if size < len(data) and (known := self._prefixes.get(data[:size])) is not None:
+                last = known.copy()
+                break
+        n = len(last)
         self.extend(data, last, len(data))
+        if len(data) <= 64:
+            if len(self._prefixes) > 200_000:
+                self._prefixes.clear()
+            for size in SHARED_PREFIXES:
+                if n <= size < len(data):
+                    self._prefixes[data[:size]] = last[: size + 1]
         return self.walk(last)
 
     def walk(self, last: list[int]) -> list[int]:
@@ -152,7 +170,7 @@ class TextEncoder:
     """Encodes texts: each match of the pattern for itself. Parts of texts that come again are remembered."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, cached: int = CACHED_PARTS):
-        self.vocabulary, self.cached, self._parts = vocabulary, cached, {}
+        self.vocabulary, self.cached, self._parts, self._pieces = vocabulary, cached, {}, {}
         self._matches = regex.compile(pattern).findall
 
     def encode(self, text: str) -> list[int]:
@@ -162,12 +180,22 @@ class TextEncoder:
             if found is None:
                 if len(known) > self.cached:
                     known.clear()
-                found = tuple(i for piece in self._matches(part) for i in self.vocabulary.encode(piece.encode("utf-8")))
+                found = [i for piece in self._matches(part) for i in self._piece(piece)]
                 if len(part) < 64:
                     known[part] = found
             ids += found
         return ids
 
+    def _piece(self, piece: str) -> list[int]:
+        found = self._pieces.get(piece)
+        if found is None:
+            if len(self._pieces) > self.cached:
+                self._pieces.clear()
+            found = self.vocabulary.encode(piece.encode("utf-8"))
+            if len(piece) < 64:
+                self._pieces[piece] = found
+        return found
+
 
 _ENCODERS: dict[str, TextEncoder] = {}
 
@@ -210,7 +238,7 @@ def decode_column(ids: Column, vocabulary: SharedVocabulary) -> Column:
     @F.pandas_udf("binary")
     def decoded(rows: pd.Series) -> pd.Series:
         tokens = vocabulary.tables[0]
-        return rows.map(lambda r: b"".join(map(tokens.__getitem__, r.tolist())), na_action="ignore")
+        return rows.map(lambda r: b"".join(map(tokens.__getitem__, r)), na_action="ignore")
 
     return decoded(ids)
 

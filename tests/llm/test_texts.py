@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -174,6 +175,12 @@ def test_counts_cover_all_words(spark):
     assert grams["en", "a"] == 2 and grams["en", "\x02ab"] == 2 and grams["de", "b\x03"] == 1 and len(grams) == 2 * 9
 
 
+def test_bounded_keeps_the_most_frequent(spark):
+    rows = spark.createDataFrame([("x", f"g{i}", 1 + i // 10) for i in range(200)], "lang string, gram string, n long")
+    kept = sorted(r.n for r in language_id._bounded(rows, 90).collect())
+    assert 60 <= len(kept) <= 90 and kept[0] == 21 - len(kept) // 10 and language_id._bounded(rows, 500).count() == 200
+
+
 def test_model_sums_to_one():
     """The probabilities of all characters after a context sum to one (with the unknown one's share)."""
     rng, counts = random.Random(1), Counter()
@@ -183,7 +190,8 @@ def test_model_sums_to_one():
             for k in range(1, min(3, len(word) - i) + 1):
                 counts[word[i : i + k]] += 1
     alphabet = "abc\x03"
-    model = language_id.CharModel(dict(counts), len(alphabet), order=3)
+    rows = pd.DataFrame([("x", g, n) for g, n in counts.items()], columns=["lang", "gram", "n"])
+    model = language_id.CharModel(pd.concat(language_id._hashed([rows])), len(alphabet), order=3)
     for context in ("\x02a", "ab", "ca", "\x02"):
         total = 0
         for c in alphabet:

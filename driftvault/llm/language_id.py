@@ -1,53 +1,71 @@
 """Language identification with interpolated Kneser-Ney models of characters.
 
 Each language has a model of the characters of its words, with the word's start and end as characters of their own,
-so a text's probability is the product of its words' and a word that comes again need not be scored again. A model
-is two sorted arrays of 64-bit hashes: of n-grams, with the interpolated log-probability of their last character, and
-of contexts, with their back-off weight. The language with the lowest cross-entropy per character is chosen.
+so a text's probability is the product of its words' and a word that comes again need not be scored again. All
+n-grams of the training texts count: continuation counts, discounts and back-off weights are tables, and each window,
+a character with those before it, is scored once by joining them. Texts then add up their windows' scores, which are
+whole numbers, so the order of the sums does not matter. The language with the lowest cross-entropy per character is chosen.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
+from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftvault.llm.common import stage
 
 ORDER = 5
-#: At most so many different n-grams are kept, the most frequent of all languages together: the models' size bound.
-MAX_GRAMS = 500_000
+#: The scores of so many windows at most, the most frequent, are sent to the workers; those of all others are joined.
+HOT_WINDOWS = 200_000
+CACHED_WORDS = 200_000
+#: Log-probabilities are kept as whole numbers of this part of a nat.
+SCALE = 1 << 24
 #: Words longer than this are scored and counted in chunks of so many letters.
 CHUNK = 64
 START, END = "\x02", "\x03"
 UNKNOWN = "und"
 #: A text is rejected where its cross-entropy is above this share of the texts that the corpus has in its language.
 REJECT_ABOVE = 0.995
-CACHED_WORDS = 200_000
-_WORD = regex.compile(r"\p{L}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def split_words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{1,{CHUNK}}}"), F.lit(0))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, word, n) of texts (text, lang), lower-cased; counted before the shuffle."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(rf"\p{{L}}{{1,{CHUNK}}}"), F.lit(0))
-    return texts.select("lang", F.explode(words).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    return texts.select("lang", F.explode(split_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
 
 
-def gram_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, gram, n) for all n-grams of up to `order` characters of the words between their start and end."""
+def window_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, window, n): each character of the words between their start and end, with those before it, `order` at most."""
     word = F.col("padded")
 
-    def grams_at(i: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.least(F.lit(order), F.length(word) - i)), lambda k: F.substring(word, i + 1, k))
+    def window(i: Column) -> Column:
+        return F.substring(word, F.greatest(i - order + 2, F.lit(1)), F.least(F.lit(order), i + 1))
 
-    grams = F.flatten(F.transform(F.sequence(F.lit(0), F.length(word) - 1), grams_at))
+    windows = F.transform(F.sequence(F.lit(0), F.length(word) - 1), window)
     padded = words.select("lang", "n", F.concat(F.lit(START), "word", F.lit(END)).alias("padded"))
-    return padded.select("lang", "n", F.explode(grams).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return padded.select("lang", "n", F.explode(windows).alias("window")).groupBy("lang", "window").agg(F.sum("n").alias("n"))
+
+
+def _suffix_counts(windows: DataFrame) -> DataFrame:
+    """(lang, gram, n) of all n-grams from window_counts: each place where one ends is a window that ends in it."""
+    suffixes = F.transform(F.sequence(F.lit(1), F.length("window")), lambda k: F.substring("window", F.length("window") - k + 1, k))
+    return windows.select("lang", "n", F.explode(suffixes).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def gram_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, gram, n) for all n-grams of up to `order` characters of the words between their start and end."""
+    return _suffix_counts(window_counts(words, order))
 
 
 def hash_grams(codes: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
@@ -92,7 +110,8 @@ def _hashed(frames):
 
 
 class CharModel:
-    """One language's model: sorted hashes of n-grams and of contexts."""
+    """One language's model in memory: sorted hashes of n-grams and of contexts. The tables below give the same
+    probabilities for any number of n-grams; this is what they are tested against."""
 
     def __init__(self, grams: pd.DataFrame, alphabet: int, order: int = ORDER):
         """grams: the columns of _GRAMS, each n-gram once and never without its parts."""
@@ -156,9 +175,8 @@ class CharModel:
 
 
 def _bounded(counts: DataFrame, most: int) -> DataFrame:
-    """The n-grams with the highest counts, at most so many: those from a count on that is found from the numbers of
-    n-grams in narrow classes of counts, of which there are a few hundred for any input. As no n-gram is more
-    frequent than its parts, all parts of what is kept are kept."""
+    """The rows with the highest counts, at most so many: those from a count on that is found from the numbers of
+    rows in narrow classes of counts, of which there are a few hundred for any input."""
     level = F.floor(F.log2("n") * 8)
     classes = sorted((tuple(r) for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("grams")).collect()), reverse=True)
     least, total = None, 0
@@ -170,109 +188,179 @@ def _bounded(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(level >= F.lit(least)) if least is not None else counts.limit(0)
 
 
-def train(texts: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> dict[str, CharModel]:
-    """A model for each language of texts (text, lang). The counts cover all of texts; of the different n-grams at
-    most max_grams, the most frequent, come to the driver, as hashes."""
-    counts = stage(gram_counts(word_counts(texts.filter("text IS NOT NULL AND lang IS NOT NULL")), order), "gram-counts")
-    kept = _bounded(counts, max_grams)
-    alphabet = kept.filter(F.length("gram") == 1).select("gram").distinct().count() + 1
-    grams = kept.mapInPandas(_hashed, _GRAMS).toPandas()
-    return {str(lang): CharModel(rows, alphabet, order) for lang, rows in grams.groupby("lang", sort=True)}
-
-
-class Scorer:
-    """Scores texts with all models; words that come again are remembered."""
-
-    def __init__(self, models: dict[str, CharModel], cached: int = CACHED_WORDS):
-        self.models, self.cached = models, cached
-        self.order = max((m.order for m in models.values()), default=1)
-        self._of: dict[str, int] = {}
-        self._table = np.zeros((1024, len(models)))
-
-    def _learn(self, words: list[str]) -> None:
-        size = len(self._of) + len(words)
-        if size > len(self._table):
-            self._table = np.concatenate([self._table, np.zeros((size, len(self.models)))])
-        padded = [START + w + END for w in words]
-        lengths = np.fromiter(map(len, padded), np.int64, len(padded))
-        ends = np.cumsum(lengths)
-        starts = np.repeat(ends - lengths, lengths)
-        hashes = hash_grams(_codes("".join(padded)), starts, self.order)
-        first = len(self._of)
-        for j, model in enumerate(self.models.values()):
-            scores = model.score(hashes)
-            scores[ends - lengths] = 0  # the start is given
-            self._table[first:size, j] = np.add.reduceat(scores, ends - lengths)
-        self._of.update(zip(words, range(first, size)))
-
-    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """For each text the log-probability in each language, and the number of characters (0: no letter)."""
-        split = [[w[i : i + CHUNK] for w in _WORD.findall(t.lower()) for i in range(0, len(w), CHUNK)] if t else [] for t in texts]
-        if len(self._of) > self.cached:
-            self._of.clear()
-        new = list({w for words in split for w in words if w not in self._of})
+class Models(NamedTuple):
+    """The languages' models: for each n-gram its discounted share of its context's count, and for each context its
+    back-off weight, as rows (key, lang, value); keys of n-grams begin with `g`, those of contexts with `c`."""
+
+    weight_of_empty: dict[str, float]
+    alphabet: int
+    order: int
+    values: DataFrame
+
+
+def train(counts: DataFrame, order: int = ORDER) -> Models:
+    """The models of gram_counts' n-grams, all of them."""
+    alphabet = counts.filter(F.length("gram") == 1).select("gram").distinct().count() + 1
+    k = F.length("gram")
+    grams = counts.filter(F.col("gram") != START)
+    # n-grams from a word's start, and the longest, count as they are; the others by how many characters stand before them
+    extended = grams.filter(k > 1).groupBy("lang", F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("kinds"))
+    used = F.when((k == order) | F.col("gram").startswith(START), F.col("n")).otherwise(F.coalesce("kinds", F.lit(0)))
+    grams = grams.join(extended, ["lang", "gram"], "left").select("lang", "gram", k.alias("k"), F.expr("substring(gram, 1, length(gram) - 1)").alias("context"), used.alias("used"))
+    grams = stage(grams.filter("used > 0"), "gram-uses")
+    once, twice = F.count_if(F.col("used") == 1), F.count_if(F.col("used") == 2)
+    discount = F.when(once > 0, F.least(F.lit(0.95), F.greatest(F.lit(0.1), once / (once + 2 * twice)))).otherwise(0.5)
+    discounts = F.broadcast(grams.groupBy("lang", "k").agg(discount.alias("discount")))
+    contexts = grams.groupBy("lang", "k", "context").agg(F.sum("used").alias("total"), F.count("*").alias("kinds")).join(discounts, ["lang", "k"])
+    contexts = stage(contexts.select("lang", "context", "total", "discount", (F.col("discount") * F.col("kinds") / F.col("total")).alias("weight")), "contexts")
+    shares = grams.join(contexts, ["lang", "context"]).select(F.concat(F.lit("g"), "gram").alias("key"), "lang", ((F.col("used") - F.col("discount")) / F.col("total")).alias("value"))
+    weights = contexts.filter("context <> ''").select(F.concat(F.lit("c"), "context").alias("key"), "lang", F.col("weight").alias("value"))
+    # one row for each language
+    empty = {r.lang: r.weight for r in contexts.filter("context = ''").select("lang", "weight").collect()}
+    return Models(dict(sorted(empty.items())), alphabet, order, shares.unionByName(weights))
+
+
+def window_scores(windows: DataFrame, models: Models) -> DataFrame:
+    """windows (window, n), each once, with `scores`: the log-probability of its last character in each language, in
+    parts of SCALE."""
+    order, langs = models.order, [*models.weight_of_empty]
+    window = F.col("window")
+    keys = []
+    for k in range(1, order + 1):
+        there, suffix = F.length(window) >= k, F.expr(f"substring(window, -{k}, {k})")
+        keys.append(F.struct(F.lit(k).alias("k"), F.when(there, F.concat(F.lit("g"), suffix)).alias("key")))
+        if k > 1:
+            keys.append(F.struct(F.lit(k).alias("k"), F.when(there, F.concat(F.lit("c"), F.substring(suffix, 1, k - 1))).alias("key")))
+    asked = windows.select("window", F.explode(F.array(*keys)).alias("asked")).select("window", "asked.*").filter("key IS NOT NULL")
+    found = asked.join(models.values, "key").select("window", "lang", "k", F.col("key").startswith("g").alias("is_gram"), "value")
+    parts = found.repartition("window").groupBy("window", "lang").agg(
+        *[F.max(F.when((F.col("k") == k) & F.col("is_gram"), F.col("value"))).alias(f"share_{k}") for k in range(1, order + 1)],
+        *[F.max(F.when((F.col("k") == k) & ~F.col("is_gram"), F.col("value"))).alias(f"weight_{k}") for k in range(2, order + 1)],
+    )
+    # from the shortest context to the longest; what was not seen adds nothing, and a context that was not seen leaves all as it is
+    weight = F.create_map(*[F.lit(x) for pair in models.weight_of_empty.items() for x in pair])[F.col("lang")]
+    p = F.lit(1 / models.alphabet)
+    for k in range(1, order + 1):
+        p = F.coalesce(f"share_{k}", F.lit(0.0)) + (F.coalesce(f"weight_{k}", F.lit(1.0)) if k > 1 else weight) * p
+    scores = parts.select("window", "lang", F.round(F.log(p) * SCALE).cast("long").alias("score"))
+    scores = scores.groupBy("window").agg(*[F.max(F.when(F.col("lang") == lang, F.col("score"))).alias(f"s{j}") for j, lang in enumerate(langs)])
+    nothing = [round(math.log(w / models.alphabet) * SCALE) for w in models.weight_of_empty.values()]
+    return windows.join(scores, "window", "left").select("window", "n", F.array(*[F.coalesce(f"s{j}", F.lit(nothing[j])) for j in range(len(langs))]).alias("scores"))
+
+
+class _Words:
+    """Words' sums of the scores of their hot windows, and their other windows. Words that come again are remembered."""
+
+    def __init__(self, hot: dict[str, int], table: np.ndarray, order: int):
+        self.hot, self.order = hot, order
+        self.table = np.concatenate([table, np.zeros((1, table.shape[1]), np.int64)])
+        self.clear()
+
+    def clear(self) -> None:
+        self.of: dict[str, int] = {}
+        self.others: dict[int, list[str]] = {}
+        self.sums = np.zeros((1024, self.table.shape[1]), np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        first, size = len(self.of), len(self.of) + len(words)
+        if size > len(self.sums):
+            self.sums = np.concatenate([self.sums, np.zeros((size, self.sums.shape[1]), np.int64)])
+        other, at, ids, starts = len(self.hot), self.hot.get, [], []
+        for row, word in enumerate(words, first):
+            padded = START + word + END
+            windows = [padded[max(0, i - self.order) : i] for i in range(2, len(padded) + 1)]
+            found = [at(w, other) for w in windows]
+            if other in found:
+                self.others[row] = [w for w, i in zip(windows, found) if i == other]
+            starts.append(len(ids))
+            ids += found
+        self.sums[first:size] = np.add.reduceat(self.table[ids], starts)
+        self.of.update(zip(words, range(first, size)))
+
+    def measure(self, texts: list[str]) -> list[tuple]:
+        """For each text, words with blanks between them: the sum of the hot windows' scores, the number of characters
+        with the words' ends, and the other windows and how often they come."""
+        split = [t.split(" ") if t else [] for t in texts]
+        if len(self.of) > CACHED_WORDS:
+            self.clear()
+        new = [*{w: None for words in split for w in words if w not in self.of}]
         for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
-        total = np.zeros((len(texts), len(self.models)))
-        chars = np.zeros(len(texts), np.int64)
-        for i, words in enumerate(split):
-            if words:
-                total[i] = self._table[[self._of[w] for w in words]].sum(axis=0)
-                chars[i] = sum(map(len, words)) + len(words)
-        return total, chars
+            self.learn(new[at : at + 20_000])
+        out = []
+        for text, words in zip(texts, split):
+            rows = [self.of[w] for w in words]
+            rest = Counter(w for r in rows if r in self.others for w in self.others[r]) if self.others else {}
+            out.append((self.sums[rows].sum(axis=0), len(text) + 1 if words else 0, [*rest], [*rest.values()]))
+        return out
 
 
-_SCORED = "lang_pred string, score double, cross_entropy double"
-_SCORERS: dict[str, Scorer] = {}
+_WORDS: dict[str, _Words] = {}
 
 
-def predict_column(text: Column, models: dict[str, CharModel], spark) -> Column:
-    """Column of struct(lang_pred, score, cross_entropy in bits a character)."""
-    shared = spark.sparkContext.broadcast(models)
+def _measure_column(text: Column, hot: dict[str, int], table: np.ndarray, order: int, spark) -> Column:
+    """Column of struct(known, chars, others, times), as _Words measures them."""
+    shared = spark.sparkContext.broadcast((hot, table, order))
     token = uuid.uuid4().hex
 
-    @F.pandas_udf(_SCORED)
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        if token not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[token] = Scorer(shared.value)
+    @F.pandas_udf("known array<long>, chars long, others array<string>, times array<long>")
+    def measure(texts: pd.Series) -> pd.DataFrame:
+        if token not in _WORDS:
+            _WORDS.clear()
+            _WORDS[token] = _Words(*shared.value)
         out = []
         for at in range(0, len(texts), 128):
-            out.append(_decide(_SCORERS[token], texts.iloc[at : at + 128].tolist()))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"lang_pred": [], "score": [], "cross_entropy": []})
-
-    return predict(text)
-
-
-def _decide(scorer: Scorer, texts: list[str | None]) -> pd.DataFrame:
-    langs = np.array([*scorer.models], object)
-    total, chars = scorer.score(texts)
-    known = (chars > 0) & (len(langs) > 0)
-    if not len(langs):
-        return pd.DataFrame({"lang_pred": UNKNOWN, "score": 0.0, "cross_entropy": None}, index=range(len(texts)))
-    entropy = -total / np.maximum(chars, 1)[:, None]
-    best = entropy.argmin(axis=1)
-    low = entropy[np.arange(len(texts)), best]
-    odds = np.exp((low[:, None] - entropy) * np.minimum(chars, 50)[:, None])
-    return pd.DataFrame({
-        "lang_pred": np.where(known, langs[best], UNKNOWN), "score": np.where(known, 1 / odds.sum(axis=1), 0.0),
-        "cross_entropy": np.where(known, low / np.log(2), np.nan),
-    })
-
-
-def identify(docs: DataFrame, held_out: Column, order: int = ORDER, max_grams: int = MAX_GRAMS) -> DataFrame:
+            out += _WORDS[token].measure(texts.iloc[at : at + 128].tolist())
+        return pd.DataFrame(out, columns=["known", "chars", "others", "times"])
+
+    return measure(F.array_join(split_words(text), " "))
+
+
+def _score(rows: DataFrame, scores: DataFrame, n_langs: int, order: int, hot_windows: int) -> DataFrame:
+    """rows (doc_id, held_out, lang, text) with `total`, the log-probability in each language, and `chars`, for text."""
+    hot = _bounded(scores, hot_windows).select("window", *[F.col("scores")[j].alias(f"s{j}") for j in range(n_langs)]).toArrow()
+    at = {w: i for i, w in enumerate(hot["window"].to_pylist())}
+    table = np.stack([hot[f"s{j}"].to_numpy() for j in range(n_langs)], axis=1).astype(np.int64)
+    measured = rows.select("doc_id", "held_out", "lang", _measure_column(F.col("text"), at, table, order, rows.sparkSession).alias("m"))
+    measured = stage(measured.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "lang", "m.*"), "measured")
+    others = measured.select("row", F.explode(F.arrays_zip("others", "times")).alias("o")).select("row", F.col("o.others").alias("window"), "o.times")
+    sums = others.join(scores, "window").groupBy("row").agg(F.array(*[F.sum(F.col("times") * F.col("scores")[j]) for j in range(n_langs)]).alias("rest"))
+    total = F.when(F.col("rest").isNull(), F.col("known")).otherwise(F.zip_with("known", "rest", lambda a, b: a + b))
+    return measured.join(sums, "row", "left").select("doc_id", "held_out", "lang", "chars", total.alias("total"))
+
+
+def _decided(scored: DataFrame, langs: list[str]) -> DataFrame:
+    """doc_id, held_out, lang, lang_pred, score and cross_entropy (in bits a character) of _score's rows."""
+    df = scored.withColumn("entropy", F.transform("total", lambda t: -t / (F.lit(float(SCALE)) * F.greatest("chars", F.lit(1)))))
+    df = df.withColumn("low", F.array_min("entropy"))
+    odds = F.aggregate("entropy", F.lit(0.0), lambda acc, e: acc + F.exp((F.col("low") - e) * F.least("chars", F.lit(50))))
+    known, best = F.col("chars") > 0, F.array_position("entropy", F.col("low")).cast("int")
+    return df.select(
+        "doc_id", "held_out", "lang", F.when(known, F.element_at(F.array(*map(F.lit, langs)), best)).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(known, 1 / odds).otherwise(0.0).alias("score"), F.when(known, F.col("low") / math.log(2)).alias("cross_entropy"),
+    )
+
+
+def identify(docs: DataFrame, held_out: Column, order: int = ORDER, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """One row per row of docs (doc_id, text, lang): doc_id, held_out, lang_pred, score, cross_entropy, rejected.
 
     Models are learnt from the rows that are not held out and have text and lang. A text that is null or has no
     letter is `und` with score 0, and so is every text where nothing can be learnt. Rows with a null doc_id count
     as not held out unless `held_out` says so; repeated rows are scored each for itself and counted each time. An
     empty table gives an empty result; other columns are not looked at. `rejected` marks texts whose cross-entropy
-    is above what all but a few of the corpus's texts have in the predicted language.
+    is above what all but a few of the corpus's texts have in the predicted language. hot_windows has no influence on
+    the result: it bounds what the workers keep in memory.
     """
     rows = docs.select("doc_id", "text", "lang", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    models = train(rows.filter(~F.col("held_out")).select("text", "lang"), order, max_grams)
-    scored = rows.select("doc_id", "held_out", "lang", predict_column(F.col("text"), models, docs.sparkSession).alias("p"))
-    scored = stage(scored.select("doc_id", "held_out", "lang", "p.*"), "languages")
+    # words of texts that are not learnt from are counted under no language
+    words = word_counts(rows.select("text", F.when(~F.col("held_out"), F.col("lang")).alias("lang")))
+    windows = stage(window_counts(words, order), "windows")
+    models = train(stage(_suffix_counts(windows.filter("lang IS NOT NULL")), "gram-counts"), order)
+    langs = [*models.weight_of_empty]
+    if not langs:
+        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
+    every = windows.filter(F.col("window") != START).groupBy("window").agg(F.sum("n").alias("n"))
+    scores = stage(window_scores(every, models), "window-scores")
+    scored = stage(_decided(_score(rows, scores, len(langs), order, hot_windows), langs), "languages")
     # one row for each language, from all texts that are known to be in it
     bound = scored.filter(~F.col("held_out") & (F.col("lang") == F.col("lang_pred"))).groupBy("lang_pred").agg(F.percentile_approx("cross_entropy", F.lit(REJECT_ABOVE), 10_000).alias("bound"))
     return scored.join(F.broadcast(bound), "lang_pred", "left").select(

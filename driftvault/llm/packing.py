@@ -36,17 +36,18 @@ _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
 class FileTokenizer:
-    """A byte-level BPE tokenizer file's ids for texts, without special tokens (their strings are ordinary text).
+    """A byte-level BPE tokenizer file's ids for texts, as the library gives them with add_special_tokens=False: no
+    special token is put around a text, but an added token's string within it has that token's id.
 
     Where ids follow the order of the merges, the file's own vocabulary gives the same ids through tiktoken at a
     fraction of the time. That is used for texts of Latin letters, where both libraries' character classes are
-    known to agree; all other texts go to the tokenizers library itself."""
+    known to agree and no added token's string occurs; all other texts go to the tokenizers library itself."""
 
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model, self._added = file["model"], [t["content"] for t in file.get("added_tokens") or ()]
         plain = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
         others = (b for b in range(256) if b not in plain)
         byte_of = {c: b for b, c in {**plain, **{b: chr(256 + i) for i, b in enumerate(others)}}.items()}
@@ -57,7 +58,7 @@ class FileTokenizer:
             self._fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
-        if self._fast is not None and _LATIN(text):
+        if self._fast is not None and _LATIN(text) and not any(t in text for t in self._added):
             return self._fast.encode_ordinary(text)
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 

@@ -40,7 +40,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("toxicity", clean), ("exact dedup", exact), ("near dedup", near), ("packing", packed)]
 
-#: SQL has no classifier and no tokenizer; the stages are tested one by one against brute force.
+#: SQL has no classifier and no tokenizer. No test runs the stages or run(); their operators are tested in tests/llm.
 ORACLE_SQL = None
 
 

@@ -2,9 +2,12 @@
 
 Each language has a model of the characters of its words, with the word's start and end as characters of their own,
 so a text's probability is the product of its words' and a word that comes again need not be scored again. All
-n-grams of the training texts count: continuation counts, discounts and back-off weights are tables, and each window,
-a character with those before it, is scored once by joining them. Texts then add up their windows' scores, which are
-whole numbers, so the order of the sums does not matter. The language with the lowest cross-entropy per character is chosen.
+n-grams of the training texts count: continuation counts, discounts and back-off weights are found by joins, and the
+models are kept as sorted arrays of hashes with their values beside them, one pair of arrays for each language and
+each segment of the hash space. The n-grams that the corpus asks for are looked up there by binary search, segment
+by segment, and interpolated from the shortest to the longest. Texts then add up the scores of their windows, each
+a character with those before it; these are whole numbers, so the order of the sums does not matter. The language
+with the lowest cross-entropy per character is chosen.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftvault.llm.common import stage
+from driftvault.llm.common import n_parts, stage
 
 ORDER = 5
 #: The scores of so many windows at most, the most frequent, are sent to the workers; those of all others are joined.
@@ -33,7 +36,8 @@ START, END = "\x02", "\x03"
 UNKNOWN = "und"
 #: A text is rejected where its cross-entropy is above this share of the texts that the corpus has in its language.
 REJECT_ABOVE = 0.995
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Entries of the models, and n-grams asked for, that a segment of the hash space holds on average.
+SEGMENT_ROWS = 50_000
 
 
 def split_words(text: Column) -> Column:
@@ -68,112 +72,6 @@ def gram_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
     return _suffix_counts(window_counts(words, order))
 
 
-def hash_grams(codes: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
-    """For each k up to order the hash of the k codes that end at each position; 0 where they would begin before
-    the position's start."""
-    out, h, power = [], np.zeros(len(codes), np.uint64), np.uint64(1)
-    at = np.arange(len(codes))
-    with np.errstate(over="ignore"):
-        for k in range(1, order + 1):
-            h[k - 1 :] += (codes[: len(codes) - k + 1] + np.uint64(1)) * power
-            mixed = (h ^ (h >> np.uint64(31))) * _BASE + np.uint64(k)
-            mixed ^= mixed >> np.uint64(29)
-            out.append(np.where(at - k + 1 >= starts, mixed | np.uint64(1), np.uint64(0)))
-            power *= _BASE
-    return out
-
-
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-
-
-_GRAMS = "lang string, length byte, anchored boolean, gram long, shorter long, context long, n long"
-
-
-def _hashed(frames):
-    """For n-grams (lang, gram, n): their hash, that of what is left without the first character, and that of what
-    is left without the last."""
-    for frame in frames:
-        frame = frame[frame["gram"] != START]
-        if not len(frame):
-            continue
-        length = frame["gram"].str.len().to_numpy(np.int64)
-        ends = np.cumsum(length)
-        last, at = ends - 1, np.arange(len(frame))
-        table = np.stack(hash_grams(_codes("".join(frame["gram"])), np.repeat(ends - length, length), int(length.max())))
-        longer = length > 1
-        yield pd.DataFrame({
-            "lang": frame["lang"].to_numpy(), "length": length.astype("int8"), "anchored": frame["gram"].str.startswith(START).to_numpy(),
-            "gram": table[length - 1, last].view(np.int64), "shorter": np.where(longer, table[length - 2, last], 0).astype(np.uint64).view(np.int64),
-            "context": np.where(longer, table[length - 2, last - 1], 0).astype(np.uint64).view(np.int64), "n": frame["n"].to_numpy("int64")[at],
-        })
-
-
-class CharModel:
-    """One language's model in memory: sorted hashes of n-grams and of contexts. The tables below give the same
-    probabilities for any number of n-grams; this is what they are tested against."""
-
-    def __init__(self, grams: pd.DataFrame, alphabet: int, order: int = ORDER):
-        """grams: the columns of _GRAMS, each n-gram once and never without its parts."""
-        length, n = grams["length"].to_numpy(np.int64), grams["n"].to_numpy(np.float64)
-        gram, shorter, context = (grams[c].to_numpy("int64").view(np.uint64) for c in ("gram", "shorter", "context"))
-        # n-grams from a word's start, and the longest, count as they are; the others by how many characters stand before them
-        extended, kinds = np.unique(shorter[length > 1], return_counts=True)
-        at, found = self._find(extended, gram)
-        used = np.where((length == order) | grams["anchored"].to_numpy(bool), n, np.where(found, kinds[at] if len(kinds) else 0, 0))
-        keep = used > 0
-        length, gram, shorter, context, used = (x[keep] for x in (length, gram, shorter, context, used))
-        contexts, of = np.unique(context, return_inverse=True)
-        total, kinds = np.bincount(of, used), np.bincount(of)
-        discount = np.full(order + 1, 0.5)
-        for k in range(1, order + 1):
-            once, twice = (int(((length == k) & (used == c)).sum()) for c in (1, 2))
-            if once:
-                discount[k] = min(0.95, max(0.1, once / (once + 2 * twice)))
-        k_of = np.zeros(len(contexts), np.int64)
-        k_of[of] = length
-        weight = discount[k_of] * kinds / np.maximum(total, 1)
-        prob = np.zeros(len(gram))
-        known = np.zeros(0, np.uint64), np.zeros(0)
-        for k in range(1, order + 1):
-            rows = np.flatnonzero(length == k)
-            at, found = self._find(known[0], shorter[rows])
-            lower = np.where(found, known[1][at] if len(known[1]) else 0, 1 / alphabet) if k > 1 else 1 / alphabet
-            prob[rows] = np.maximum(used[rows] - discount[k], 0) / total[of[rows]] + weight[of[rows]] * lower
-            by_hash = rows[np.argsort(gram[rows])]
-            known = gram[by_hash], prob[by_hash]
-        self.order, self.floor = order, float(np.log(1 / alphabet))
-        by_hash = np.argsort(gram)
-        self.grams, self.log_prob = gram[by_hash], np.log(prob[by_hash]).astype(np.float32)
-        self.contexts, self.log_weight = contexts[contexts != 0], np.log(weight[contexts != 0]).astype(np.float32)
-        self.log_empty = float(np.log(weight[contexts == 0][0])) if (contexts == 0).any() else 0.0
-
-    @staticmethod
-    def _find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
-        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-        return at, keys[at] == asked
-
-    def score(self, hashes: list[np.ndarray]) -> np.ndarray:
-        """The log-probability of each position's character, from hash_grams of words with START and END."""
-        n = len(hashes[0])
-        out, open_ = np.zeros(n, np.float64), np.arange(n)
-        for k in range(self.order, 0, -1):
-            whole = hashes[k - 1][open_]
-            at, found = self._find(self.grams, whole)
-            found &= whole != 0
-            out[open_[found]] += self.log_prob[at[found]]
-            open_ = open_[~found]
-            if k > 1:  # back off, at the price of the context's weight where it is known
-                context = np.where(open_ > 0, hashes[k - 2][open_ - 1], 0) * (hashes[k - 1][open_] != 0)
-                at, found = self._find(self.contexts, context)
-                out[open_[found]] += self.log_weight[at[found]]
-            else:
-                out[open_] += self.log_empty + self.floor
-        return out
-
-
 def _bounded(counts: DataFrame, most: int) -> DataFrame:
     """The rows with the highest counts, at most so many: those from a count on that is found from the numbers of
     rows in narrow classes of counts, of which there are a few hundred for any input."""
@@ -189,20 +87,21 @@ def _bounded(counts: DataFrame, most: int) -> DataFrame:
 
 
 class Models(NamedTuple):
-    """The languages' models: for each n-gram its discounted share of its context's count, and for each context its
-    back-off weight, as rows (key, lang, value); keys of n-grams begin with `g`, those of contexts with `c`."""
+    """The languages' models: arrays has rows (segment, lang, kind, hashes, values), hashes sorted. Of kind `gram`, the
+    discounted share of its context's count that each n-gram has; of kind `context`, each context's back-off weight."""
 
     weight_of_empty: dict[str, float]
     alphabet: int
     order: int
-    values: DataFrame
+    segments: int
+    arrays: DataFrame
 
 
-def train(counts: DataFrame, order: int = ORDER) -> Models:
-    """The models of gram_counts' n-grams, all of them."""
-    alphabet = counts.filter(F.length("gram") == 1).select("gram").distinct().count() + 1
-    k = F.length("gram")
-    grams = counts.filter(F.col("gram") != START)
+def train(counts: DataFrame, order: int = ORDER, n_windows: int = 0) -> Models:
+    """The models of gram_counts' n-grams, all of them. An entry is known by 64 bits of hash. n_windows: how many
+    windows will be scored; the hash space is cut for as many."""
+    k, grams = F.length("gram"), counts.filter(F.col("gram") != START)
+    alphabet = grams.filter(k == 1).select("gram").distinct().count() + 1
     # n-grams from a word's start, and the longest, count as they are; the others by how many characters stand before them
     extended = grams.filter(k > 1).groupBy("lang", F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("kinds"))
     used = F.when((k == order) | F.col("gram").startswith(START), F.col("n")).otherwise(F.coalesce("kinds", F.lit(0)))
@@ -210,42 +109,73 @@ def train(counts: DataFrame, order: int = ORDER) -> Models:
     grams = stage(grams.filter("used > 0"), "gram-uses")
     once, twice = F.count_if(F.col("used") == 1), F.count_if(F.col("used") == 2)
     discount = F.when(once > 0, F.least(F.lit(0.95), F.greatest(F.lit(0.1), once / (once + 2 * twice)))).otherwise(0.5)
-    discounts = F.broadcast(grams.groupBy("lang", "k").agg(discount.alias("discount")))
+    discounts = F.broadcast(grams.groupBy("lang", "k").agg(discount.alias("discount")))  # a row for each language and length
     contexts = grams.groupBy("lang", "k", "context").agg(F.sum("used").alias("total"), F.count("*").alias("kinds")).join(discounts, ["lang", "k"])
     contexts = stage(contexts.select("lang", "context", "total", "discount", (F.col("discount") * F.col("kinds") / F.col("total")).alias("weight")), "contexts")
-    shares = grams.join(contexts, ["lang", "context"]).select(F.concat(F.lit("g"), "gram").alias("key"), "lang", ((F.col("used") - F.col("discount")) / F.col("total")).alias("value"))
-    weights = contexts.filter("context <> ''").select(F.concat(F.lit("c"), "context").alias("key"), "lang", F.col("weight").alias("value"))
+    shares = grams.join(contexts, ["lang", "context"]).select("lang", F.lit("gram").alias("kind"), "gram", ((F.col("used") - F.col("discount")) / F.col("total")).alias("value"))
+    weights = contexts.filter("context <> ''").select("lang", F.lit("context").alias("kind"), F.col("context").alias("gram"), F.col("weight").alias("value"))
     # one row for each language
     empty = {r.lang: r.weight for r in contexts.filter("context = ''").select("lang", "weight").collect()}
-    return Models(dict(sorted(empty.items())), alphabet, order, shares.unionByName(weights))
+    segments = max(n_parts(counts.sparkSession), max(2 * grams.count(), n_windows) // SEGMENT_ROWS)
+    return Models(dict(sorted(empty.items())), alphabet, order, segments, _as_arrays(shares.unionByName(weights), segments))
+
+
+def _hash(gram: Column) -> Column:
+    return F.xxhash64(gram)
+
+
+def _as_arrays(entries: DataFrame, segments: int) -> DataFrame:
+    """entries (lang, kind, gram, value) as sorted arrays, by segment of the hash space."""
+    rows = entries.select(F.pmod(_hash(F.col("gram")), F.lit(segments)).cast("int").alias("segment"), "lang", "kind", F.struct(_hash(F.col("gram")).alias("hash"), "value").alias("entry"))
+    grouped = rows.groupBy("segment", "lang", "kind").agg(F.sort_array(F.collect_list("entry")).alias("e"))
+    return stage(grouped.select("segment", "lang", "kind", F.col("e.hash").alias("hashes"), F.col("e.value").alias("values")), "models")
+
+
+def _look_up(langs: list[str]):
+    """For n-grams (segment, hash, gram): what each language has for it as an n-gram (null: never seen) and as a context."""
+
+    def task(asked: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
+        keys = asked["hash"].to_numpy("int64")
+        found = {kind: np.full((len(keys), len(langs)), nothing) for kind, nothing in (("gram", 0.0), ("context", 1.0))}
+        for lang, kind, hashes, values in zip(arrays["lang"], arrays["kind"], arrays["hashes"], arrays["values"]):
+            at = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
+            found[kind][:, langs.index(lang)] = np.where(hashes[at] == keys, values[at], found[kind][:, langs.index(lang)])
+        return pd.DataFrame({"gram": asked["gram"], "shares": [*found["gram"]], "weights": [*found["context"]]})
+
+    return task
 
 
 def window_scores(windows: DataFrame, models: Models) -> DataFrame:
     """windows (window, n), each once, with `scores`: the log-probability of its last character in each language, in
-    parts of SCALE."""
-    order, langs = models.order, [*models.weight_of_empty]
-    window = F.col("window")
-    keys = []
-    for k in range(1, order + 1):
-        there, suffix = F.length(window) >= k, F.expr(f"substring(window, -{k}, {k})")
-        keys.append(F.struct(F.lit(k).alias("k"), F.when(there, F.concat(F.lit("g"), suffix)).alias("key")))
-        if k > 1:
-            keys.append(F.struct(F.lit(k).alias("k"), F.when(there, F.concat(F.lit("c"), F.substring(suffix, 1, k - 1))).alias("key")))
-    asked = windows.select("window", F.explode(F.array(*keys)).alias("asked")).select("window", "asked.*").filter("key IS NOT NULL")
-    found = asked.join(models.values, "key").select("window", "lang", "k", F.col("key").startswith("g").alias("is_gram"), "value")
-    parts = found.repartition("window").groupBy("window", "lang").agg(
-        *[F.max(F.when((F.col("k") == k) & F.col("is_gram"), F.col("value"))).alias(f"share_{k}") for k in range(1, order + 1)],
-        *[F.max(F.when((F.col("k") == k) & ~F.col("is_gram"), F.col("value"))).alias(f"weight_{k}") for k in range(2, order + 1)],
-    )
-    # from the shortest context to the longest; what was not seen adds nothing, and a context that was not seen leaves all as it is
-    weight = F.create_map(*[F.lit(x) for pair in models.weight_of_empty.items() for x in pair])[F.col("lang")]
-    p = F.lit(1 / models.alphabet)
-    for k in range(1, order + 1):
-        p = F.coalesce(f"share_{k}", F.lit(0.0)) + (F.coalesce(f"weight_{k}", F.lit(1.0)) if k > 1 else weight) * p
-    scores = parts.select("window", "lang", F.round(F.log(p) * SCALE).cast("long").alias("score"))
-    scores = scores.groupBy("window").agg(*[F.max(F.when(F.col("lang") == lang, F.col("score"))).alias(f"s{j}") for j, lang in enumerate(langs)])
-    nothing = [round(math.log(w / models.alphabet) * SCALE) for w in models.weight_of_empty.values()]
-    return windows.join(scores, "window", "left").select("window", "n", F.array(*[F.coalesce(f"s{j}", F.lit(nothing[j])) for j in range(len(langs))]).alias("scores"))
+    parts of SCALE.
+
+    Every n-gram that a window ends with is looked up once. Its probability is its share plus its context's weight
+    times the probability of the n-gram that is one character shorter: a join for each length, in which no key has
+    more rows than there are characters. What was not seen adds nothing, and a context not seen leaves all as it is.
+    """
+    langs, gram, k = [*models.weight_of_empty], F.col("gram"), F.length("gram")
+    ends = F.transform(F.sequence(F.lit(1), F.length("window")), lambda i: F.substring("window", F.length("window") - i + 1, i))
+    every = windows.select(F.explode(ends).alias("gram"))
+    # contexts that are no window's end are looked up as well
+    contexts = every.filter(k > 1).select(F.expr("substring(gram, 1, length(gram) - 1)").alias("gram"))
+    asked = every.unionByName(contexts).distinct().select(F.pmod(_hash(gram), F.lit(models.segments)).cast("int").alias("segment"), _hash(gram).alias("hash"), "gram")
+    found = asked.groupBy("segment").cogroup(models.arrays.groupBy("segment")).applyInPandas(_look_up(langs), "gram string, shares array<double>, weights array<double>")
+    table = stage(found, "found-grams")
+    base = F.array(*[F.lit(w / models.alphabet) for w in models.weight_of_empty.values()])
+    level = table.filter(k == 1).select("gram", F.zip_with("shares", base, lambda a, b: a + b).alias("p"))
+    levels = [level]
+    for length in range(2, models.order + 1):
+        of = table.filter(k == length).select("gram", "shares", F.expr("substring(gram, 2)").alias("shorter"), F.expr("substring(gram, 1, length(gram) - 1)").alias("context"))
+        lower = level.select(F.col("gram").alias("shorter"), F.col("p").alias("lower"))
+        weights = table.filter(k == length - 1).select(F.col("gram").alias("context"), "weights")
+        p = F.zip_with("shares", F.zip_with("weights", "lower", lambda w, x: w * x), lambda a, b: a + b)
+        level = stage(of.join(lower, "shorter").join(weights, "context").select("gram", p.alias("p")), f"grams-{length}")
+        levels.append(level)
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+    scores = F.transform("p", lambda x: F.round(F.log(x) * SCALE).cast("long"))
+    return windows.join(every.withColumnRenamed("gram", "window"), "window").select("window", "n", scores.alias("scores"))
 
 
 class _Words:
@@ -354,7 +284,7 @@ def identify(docs: DataFrame, held_out: Column, order: int = ORDER, hot_windows:
     # words of texts that are not learnt from are counted under no language
     words = word_counts(rows.select("text", F.when(~F.col("held_out"), F.col("lang")).alias("lang")))
     windows = stage(window_counts(words, order), "windows")
-    models = train(stage(_suffix_counts(windows.filter("lang IS NOT NULL")), "gram-counts"), order)
+    models = train(stage(_suffix_counts(windows.filter("lang IS NOT NULL")), "gram-counts"), order, windows.count())
     langs = [*models.weight_of_empty]
     if not langs:
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))

@@ -1,8 +1,8 @@
 """Best-fit packing of token sequences by a grouping genetic algorithm on islands.
 
 Documents become pieces of at most CAPACITY tokens. Full pieces fill a sequence alone; the others are dealt at
-random into blocks of about BLOCK_BINS bins' tokens, and each block is packed on several islands. An island's population are
-packings: lists of bins. A child takes whole well-filled bins of one parent, loses the other parent's bins that
+random into blocks of about BLOCK_BINS bins' tokens, and each block is packed on several islands. An island's population
+are packings, which begin as best fits of the pieces in random and in loosely decreasing orders. A child takes whole well-filled bins of one parent, loses the other parent's bins that
 hold any of the same pieces, and the pieces so displaced go to the fullest bin that has room. After each epoch an
 island's best packing moves on to the next island. In the end the blocks' poorly filled bins are opened and their
 pieces packed anew, together with those of other blocks.
@@ -11,10 +11,10 @@ pieces packed anew, together with those of other blocks.
 from __future__ import annotations
 
 import json
-import random
 import re
 import zlib
 from bisect import bisect_left, insort
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ from driftvault.llm.common import n_parts, stage
 CAPACITY = 2048
 #: A block's tokens fill about so many bins; it holds about BLOCK_ITEMS pieces at most.
 BLOCK_BINS, BLOCK_ITEMS = 1000, 20_000
-ISLANDS, EPOCHS, CHILDREN, POPULATION = 2, 2, 12, 6
+ISLANDS, EPOCHS, CHILDREN, POPULATION = 2, 3, 60, 8
 #: Bins filled less than this are opened again for the second round, and one in so many of the others with them.
 OPEN_BELOW, OPEN_ONE_IN = 0.98, 16
 _PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -98,17 +98,19 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 
 
 class Packing:
-    """Bins as lists of item numbers, with the room left in each."""
+    """The bin of each item, and the room left in each bin."""
 
-    def __init__(self, bins: list[list[int]], room: list[int]):
-        self.bins, self.room = bins, room
+    def __init__(self, of, room, capacity: int, migrant: bool = False):
+        self.of, self.room, self.migrant = np.asarray(of, np.int64), np.asarray(room, np.int64), migrant
+        #: Fewer bins first; of as many, those that leave their room in few bins.
+        self.fitness = -len(self.room), int(((capacity - self.room) ** 2).sum())
 
-    def fitness(self, capacity: int) -> tuple[int, int]:
-        """Fewer bins first; of as many, those that leave their room in few bins."""
-        return -len(self.bins), sum((capacity - r) ** 2 // 1024 for r in self.room if r)
+    @staticmethod
+    def read(of, sizes: np.ndarray, capacity: int, migrant: bool = False) -> Packing:
+        return Packing(of, capacity - np.bincount(of, sizes).astype(np.int64), capacity, migrant)
 
 
-def best_fit(bins: list[list[int]], room: list[int], items: list[int], sizes: list[int], capacity: int) -> Packing:
+def best_fit(of: list[int], room: list[int], items: list[int], sizes: list[int], capacity: int) -> tuple[list[int], list[int]]:
     """Puts items, in the order given, each into the fullest bin that has room, or into a new one."""
     free = sorted((r, k) for k, r in enumerate(room) if r)
     for item in items:
@@ -117,110 +119,111 @@ def best_fit(bins: list[list[int]], room: list[int], items: list[int], sizes: li
         if at < len(free):
             r, k = free.pop(at)
         else:
-            r, k = capacity, len(bins)
-            bins.append([])
+            r, k = capacity, len(room)
             room.append(capacity)
-        bins[k].append(item)
-        room[k] = r - size
+        of[item], room[k] = k, r - size
         if r > size:
             insort(free, (r - size, k))
-    return Packing(bins, room)
-
-
-def cross(one: Packing, other: Packing, sizes: list[int], capacity: int, dice: random.Random) -> Packing:
-    """A child: well-filled bins of `other` are injected whole, bins of `one` that share a piece with them go, and
-    what they held besides is placed by best fit, largest first."""
-    order = sorted(range(len(other.bins)), key=lambda k: other.room[k] + dice.random() * 0.02 * capacity)
-    taken = order[: max(1, int(len(order) * dice.uniform(0.1, 0.6)))]
-    inside = {i for k in taken for i in other.bins[k]}
-    bins, room, displaced = [list(other.bins[k]) for k in taken], [other.room[k] for k in taken], []
-    emptiest = set(sorted(range(len(one.bins)), key=lambda k: -one.room[k])[: max(1, len(one.bins) // 50)])
-    for k, held in enumerate(one.bins):
-        if k in emptiest or not inside.isdisjoint(held):
-            displaced += [i for i in held if i not in inside]
-        else:
-            bins.append(list(held))
-            room.append(one.room[k])
-    displaced.sort(key=lambda i: -sizes[i] * dice.uniform(0.97, 1.0))
-    return best_fit(bins, room, displaced, sizes, capacity)
-
-
-def evolve(sizes: list[int], population: list[Packing], seed: int, children: int, capacity: int = CAPACITY) -> list[Packing]:
-    """One epoch of an island: each child takes the place of the worst packing that it betters. Begins with
-    best-fit packings of slightly shuffled pieces; stops where no packing can have fewer bins."""
-    dice, least = random.Random(seed), -(-sum(sizes) // capacity)
+    return of, room
+
+
+def cross(one: Packing, other: Packing, sizes: np.ndarray, capacity: int, dice: np.random.Generator) -> Packing:
+    """A child: well-filled bins of `other` are injected whole; bins of `one` that share a piece with them go, and so do
+    its emptiest ones; what those held besides is placed by best fit, about the largest first."""
+    n_other = len(other.room)
+    order = np.argsort(other.room + dice.random(n_other) * 0.02 * capacity, kind="stable")
+    order = order[: max(1, int(n_other * dice.uniform(0.1, 0.6)))]
+    number = np.full(n_other, -1)
+    number[order] = np.arange(len(order))
+    injected = number[other.of]
+    gone = np.zeros(len(one.room), bool)
+    gone[one.of[injected >= 0]] = True
+    gone[np.argsort(-one.room, kind="stable")[: max(1, len(one.room) // 50)]] = True
+    renumbered = np.cumsum(~gone) - 1 + len(order)
+    stays = ~gone[one.of]
+    of = np.where(stays, renumbered[one.of], injected)
+    displaced = np.flatnonzero(of < 0)
+    displaced = displaced[np.argsort(-sizes[displaced] * dice.uniform(0.97, 1.0, len(displaced)), kind="stable")]
+    room = np.concatenate([other.room[order], one.room[~gone]])
+    return Packing(*best_fit(of.tolist(), room.tolist(), displaced.tolist(), sizes.tolist(), capacity), capacity, one.migrant or other.migrant)
+
+
+class Epoch(NamedTuple):
+    """What an island has after an epoch, best first; how many children there were, and how many came of migrants."""
+
+    population: list[Packing]
+    children: int
+    of_migrants: int
+
+
+def evolve(sizes: np.ndarray, population: list[Packing], seed, children: int, capacity: int = CAPACITY) -> Epoch:
+    """One epoch of an island: each child takes the place of the worst packing that it betters. Begins with best-fit
+    packings of pieces in random and in loosely decreasing orders; stops where no packing can have fewer bins."""
+    dice, least = np.random.default_rng(seed), -(-int(sizes.sum()) // capacity)
+    population = list(population)
     while len(population) < POPULATION:
-        noise = 0.0 if not population else 0.04 * len(population)
-        items = sorted(range(len(sizes)), key=lambda i: -sizes[i] * (1 - noise * dice.random()))
-        population.append(best_fit([], [], items, sizes, capacity))
-        if len(population[-1].bins) <= least:
-            return [population[-1]]
-    rank = lambda p: p.fitness(capacity)
+        loose = sizes * dice.uniform(0.5 if len(population) % 2 else 0.0, 1.0, len(sizes))
+        start = best_fit([-1] * len(sizes), [], np.argsort(-loose, kind="stable").tolist(), sizes.tolist(), capacity)
+        population.append(Packing(*start, capacity))
+    rank = lambda p: p.fitness
     population.sort(key=rank, reverse=True)
-    for _ in range(children):
-        if len(population[0].bins) <= least:
-            break
-        a, b = dice.sample(range(len(population)), 2)
-        child = cross(population[min(a, b)], population[max(a, b)], sizes, capacity, dice)
-        if rank(child) > rank(population[-1]):
+    born = of_migrants = 0
+    while born < children and len(population[0].room) > least:
+        a, b = sorted(dice.choice(len(population), 2, replace=False).tolist())
+        child = cross(population[a], population[b], sizes, capacity, dice)
+        born, of_migrants = born + 1, of_migrants + child.migrant
+        if rank(child) > rank(population[-1]) and rank(child) not in map(rank, population):
             population[-1] = child
             population.sort(key=rank, reverse=True)
-    return population
-
-
-def _as_array(packing: Packing, n: int) -> list[int]:
-    of = [0] * n
-    for k, held in enumerate(packing.bins):
-        for i in held:
-            of[i] = k
-    return of
+    return Epoch(population, born, of_migrants)
 
 
-def _as_packing(of, sizes: list[int], capacity: int) -> Packing:
-    bins: list[list[int]] = [[] for _ in range(max(of) + 1)]
-    for i, k in enumerate(of):
-        bins[k].append(i)
-    return Packing(bins, [capacity - sum(map(sizes.__getitem__, b)) for b in bins])
-
-
-_STATE = "block long, island int, items array<long>, sizes array<int>, population array<array<int>>"
+_STATE = "block long, island int, items array<long>, sizes array<int>, population array<array<int>>, children long, of_migrants long"
 
 
 def _epoch(epoch: int, capacity: int, children: int):
+    """From the second epoch on the first packing of a population is the migrant."""
+
     def task(frames):
         for frame in frames:
-            out = []
+            out, born, of_migrants = [], [], []
             for row in frame.itertuples(index=False):
-                sizes = row.sizes.tolist()
-                start = [_as_packing(p, sizes, capacity) for p in row.population]
-                packings = evolve(sizes, start, hash((row.block, row.island, epoch)), children, capacity)
-                out.append([_as_array(p, len(sizes)) for p in packings])
-            yield frame.assign(population=out)
+                sizes = np.asarray(row.sizes, np.int64)
+                start = [Packing.read(p, sizes, capacity, migrant=epoch > 0 and k == 0) for k, p in enumerate(row.population)]
+                done = evolve(sizes, start, [row.block, row.island, epoch], children, capacity)
+                out.append([p.of.tolist() for p in done.population])
+                born.append(row.children + done.children)
+                of_migrants.append(row.of_migrants + done.of_migrants)
+            yield frame.assign(population=out, children=born, of_migrants=of_migrants)
 
     return task
 
 
-def pack_blocks(items: DataFrame, seed: int, capacity: int = CAPACITY, islands: int = ISLANDS, epochs: int = EPOCHS, children: int = CHILDREN) -> DataFrame:
-    """(block, bin, item, length, offset, fill) of pieces (item, length), each shorter than capacity. A block is a
-    random set of pieces of bounded size, so no task holds more, and a state row is some kilobytes."""
+def evolved_blocks(items: DataFrame, seed: int, capacity: int = CAPACITY, islands: int = ISLANDS, epochs: int = EPOCHS, children: int = CHILDREN) -> DataFrame:
+    """The islands of pieces (item, length), each shorter than capacity, after all epochs: the columns of _STATE. A
+    block is a random set of pieces of bounded size, so no task holds more, and a state row is some kilobytes."""
     n_items, tokens = items.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     blocks = max(1, round(max(tokens / (capacity * BLOCK_BINS), n_items / BLOCK_ITEMS)))
     dealt = items.select(F.pmod(F.xxhash64(F.lit(seed), "item"), F.lit(blocks)).alias("block"), F.struct("item", "length").alias("x"))
     state = dealt.groupBy("block").agg(F.sort_array(F.collect_list("x")).alias("x"))
     state = state.select(
         "block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.col("x.item").alias("items"), F.col("x.length").alias("sizes"),
-        F.array().cast("array<array<int>>").alias("population"),
+        F.array().cast("array<array<int>>").alias("population"), F.lit(0).cast("long").alias("children"), F.lit(0).cast("long").alias("of_migrants"),
     )
     parts = max(n_parts(items.sparkSession), blocks * islands // 64)
     for epoch in range(epochs):
         if epoch:  # each island's best goes to the next one, in the place of that one's last
             best = state.select("block", ((F.col("island") + 1) % islands).cast("int").alias("island"), F.col("population")[0].alias("elite"))
-            state = state.join(best, ["block", "island"]).select(
-                "block", "island", "items", "sizes",
-                F.array_distinct(F.concat(F.array("elite"), F.slice("population", 1, POPULATION - 1))).alias("population"),
-            )
-        state = state.repartition(parts, "block", "island").mapInPandas(_epoch(epoch, capacity, children), _STATE)
+            moved = F.array_distinct(F.concat(F.array("elite"), F.slice("population", 1, POPULATION - 1)))
+            state = state.join(best, ["block", "island"]).withColumn("population", moved).drop("elite")
+        state = state.repartition(parts, "block", "island").select(*[c.split()[0] for c in _STATE.split(", ")]).mapInPandas(_epoch(epoch, capacity, children), _STATE)
         state = stage(state, f"islands-{epoch}")
+    return state
+
+
+def pack_blocks(items: DataFrame, seed: int, capacity: int = CAPACITY, **islands: int) -> DataFrame:
+    """(block, bin, item, length, offset, fill) of pieces (item, length): each block's best packing."""
+    state = evolved_blocks(items, seed, capacity, **islands)
     n_bins = F.array_max(F.col("population")[0]) + 1
     best = state.groupBy("block").agg(F.min_by(F.struct("items", "sizes", F.col("population")[0].alias("of")), F.struct(n_bins, "island")).alias("p"))
     rows = best.select("block", F.explode(F.arrays_zip("p.items", "p.sizes", "p.of")).alias("x"))

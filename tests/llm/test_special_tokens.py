@@ -15,3 +15,10 @@ def test_ids_are_those_of_the_untouched_tokenizer():
     for text in special + latin:
         assert ours.encode(text) == judge.encode(text, add_special_tokens=False).ids, text
     assert 50256 in ours.encode(special[0])
+
+
+def test_every_latin_character_has_the_same_ids():
+    judge, ours = Tokenizer.from_file(JSON), packing.FileTokenizer(JSON)
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f"1{c}2", f" {c}", f"{c}{c} {c}", f"'{c}", f"{c}'s", f"x {c}\n{c}", f"\t{c}\r\n "):
+            assert ours.encode(text) == judge.encode(text, add_special_tokens=False).ids, (hex(ord(c)), text)

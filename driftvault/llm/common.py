@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftvault.sources.shared import shared_folder
@@ -22,6 +22,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def n_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

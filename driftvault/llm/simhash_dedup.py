@@ -2,7 +2,8 @@
 
 Every bit position of a fingerprint has a vector of RADIUS + 1 bits, and every non-zero vector v makes one table
 whose mask holds the positions with odd inner product with v. Whichever RADIUS or fewer positions two fingerprints
-differ in, some v is orthogonal to all of them, so the two agree under that table's mask: no link can be missed.
+differ in, some v is orthogonal to all of them, so the two agree under that table's mask: no link can be missed. A
+bucket with very many fingerprints is covered anew on the bits that its mask leaves out.
 """
 
 from __future__ import annotations
@@ -14,19 +15,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftvault.llm.common import join_weighted, n_parts, stage
+from driftvault.llm.common import column, fresh, join_weighted, n_parts, stage
 
 BITS, RADIUS, SHINGLE, SEED = 64, 4, 4, 42
-#: Buckets with more different fingerprints than this go the way of `_ball_links`, whose work is linear.
-BUCKET_PAIRWISE = 20_000
+#: Buckets with more different fingerprints than this are covered once more, on the bits that their mask leaves out.
+HEAVY = 20_000
+#: Buckets that leave no more bits than this have at most 2**12 fingerprints and are always searched as they are.
+FEW_BITS = 12
 
 
-def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
-    """The masks of the 2**(radius + 1) - 1 tables. The vectors of neighbouring positions run through all
-    non-zero vectors in turn, so each mask holds about half of the positions."""
-    n = 2 ** (radius + 1) - 1
-    vector = [1 + (i % n) for i in range(bits)]
-    return [sum(1 << i for i in range(bits) if (vector[i] & v).bit_count() % 2) for v in range(1, n + 1)]
+def covering_masks(radius: int = RADIUS, positions=range(BITS)) -> list[int]:
+    """The masks of the 2**(radius + 1) - 1 tables over some bit positions. The vectors of neighbouring positions run
+    through all non-zero vectors in turn, so each mask holds about half of the positions."""
+    n, positions = 2 ** (radius + 1) - 1, list(positions)
+    vector = {bit: 1 + (i % n) for i, bit in enumerate(positions)}
+    return [sum(1 << bit for bit in positions if (vector[bit] & v).bit_count() % 2) for v in range(1, n + 1)]
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -113,11 +116,16 @@ def bucket_links(fp: np.ndarray, bucket: np.ndarray, radius: int = RADIUS) -> tu
     return fp[moved], fp[label[moved]]
 
 
-def _bucket_task(radius: int, pairwise: int):
+def _is_heavy(rows: pd.DataFrame, heavy: int) -> bool:
+    """Whether rows, all of one bucket, are to be covered once more."""
+    return len(rows) > heavy and BITS - (int(rows["fixed"].iloc[0]) % 2**64).bit_count() > FEW_BITS
+
+
+def _bucket_task(radius: int, heavy: int):
     def task(frames):
-        """frames: (bucket, fp), sorted by both; a bucket may go on from one frame to the next. Rows out: links
-        (a, b), and (a, null) for each member of a bucket that is too large to be held."""
-        held, over = pd.DataFrame({"bucket": [], "fp": []}, dtype="int64"), None
+        """frames: (bucket, fp, fixed), sorted by the first two; a bucket may go on from one frame to the next. Rows
+        out: links (a, b), and (a, null, bucket, fixed) for each member of a heavy bucket, which is never held."""
+        held, over = pd.DataFrame({"bucket": [], "fp": [], "fixed": []}, dtype="int64"), None
         for frame in frames:
             rows = pd.concat([held, frame], ignore_index=True)
             bucket = rows["bucket"].to_numpy()
@@ -130,56 +138,74 @@ def _bucket_task(radius: int, pairwise: int):
                 continue
             over = None
             cut = int(np.searchsorted(bucket, bucket[-1]))
-            yield from _linked(rows.iloc[:cut], radius, pairwise)
+            yield from _linked(rows.iloc[:cut], radius, heavy)
             held = rows.iloc[cut:]
-            if len(held) > pairwise:
+            if _is_heavy(held, heavy):
                 yield _left_over(held)
                 held, over = held.iloc[:0], bucket[-1]
-        yield from _linked(held, radius, pairwise)
+        yield from _linked(held, radius, heavy)
 
     return task
 
 
 def _left_over(rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"a": rows["fp"], "b": pd.array([None] * len(rows), "Int64")})
+    return pd.DataFrame({"a": rows["fp"], "b": pd.array([None] * len(rows), "Int64"), "bucket": rows["bucket"], "fixed": rows["fixed"]})
 
 
-def _linked(rows: pd.DataFrame, radius: int, pairwise: int):
-    large = rows.groupby("bucket")["fp"].transform("size").to_numpy() > pairwise if len(rows) > pairwise else np.zeros(len(rows), bool)
-    if large.any():
-        yield _left_over(rows[large])
-        rows = rows[~large]
+def _linked(rows: pd.DataFrame, radius: int, heavy: int):
+    if len(rows) > heavy:
+        size = rows.groupby("bucket")["fp"].transform("size").to_numpy()
+        free = BITS - np.bitwise_count(rows["fixed"].to_numpy("int64").view(np.uint64))
+        large = (size > heavy) & (free > FEW_BITS)
+        if large.any():
+            yield _left_over(rows[large])
+            rows = rows[~large]
     if len(rows):
         a, b = bucket_links(rows["fp"].to_numpy("int64").view(np.uint64), rows["bucket"].to_numpy("int64"), radius)
-        yield pd.DataFrame({"a": a.view(np.int64), "b": pd.array(b.view(np.int64), "Int64")})
+        nothing = pd.array([None] * len(a), "Int64")
+        yield pd.DataFrame({"a": a.view(np.int64), "b": pd.array(b.view(np.int64), "Int64"), "bucket": nothing, "fixed": nothing})
+
 
+def _cover_again(radius: int):
+    """Members (a, bucket, fixed) of heavy buckets as rows (bucket, fp, fixed) of the tables that cover the bits which
+    `fixed`, the mask of bits in which a bucket's members agree, leaves out."""
+
+    def task(frames):
+        for frame in frames:
+            for fixed, rows in frame.groupby("fixed"):
+                free = [i for i in range(BITS) if not int(fixed) >> i & 1]
+                fp, bucket = (rows[c].to_numpy("int64").view(np.uint64) for c in ("a", "bucket"))
+                for j, mask in enumerate(covering_masks(radius, free), 1):
+                    with np.errstate(over="ignore"):
+                        mixed = (bucket ^ np.uint64(j)) * np.uint64(0x9E3779B97F4A7C15) + (fp & np.uint64(mask)) * np.uint64(0xC2B2AE3D27D4EB4F)
+                        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+                    both = np.uint64((int(fixed) % 2**64) | mask).view(np.int64)
+                    yield pd.DataFrame({"bucket": mixed.view(np.int64), "fp": fp.view(np.int64), "fixed": np.full(len(fp), both)})
 
-def _ball_links(fps: DataFrame) -> DataFrame:
-    """Links among many close fingerprints in linear work: two within 4 bits share a point within 2 bits of both,
-    and whatever shares a point with another is within 4 bits of it."""
-    one = [1 << i for i in range(BITS)]
-    ball = np.array([0, *one, *(x ^ y for i, x in enumerate(one) for y in one[:i])], np.uint64).view(np.int64).tolist()
-    points = fps.select("fp", F.explode(F.array(*[F.lit(x) for x in ball])).alias("delta")).select("fp", F.col("fp").bitwiseXOR(F.col("delta")).alias("point"))
-    low = points.groupBy("point").agg(F.min("fp").alias("b"))
-    return points.join(low, "point").filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    return task
 
 
-def links(fps: DataFrame, radius: int = RADIUS, pairwise: int = BUCKET_PAIRWISE) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, heavy: int = HEAVY) -> DataFrame:
     """(a, b) pairs of different fingerprints that connect exactly what links of `radius` bits or fewer connect.
-    fps: column fp, each value once."""
+    fps: column fp, each value once.
+
+    The members of a bucket agree in its mask, so what they differ in lies in the other bits. Where a bucket is heavy,
+    those are covered by tables of their own, and so on: each time about half of the bits is left, so after three
+    times no bucket can be heavy.
+    """
     spark = fps.sparkSession
     masks = np.array(covering_masks(radius), np.uint64).view(np.int64).tolist()
-    tables = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("table", "part")
-    keyed = fps.select("fp", tables).select("fp", F.xxhash64("table", "part").alias("bucket"))
-    keyed = keyed.repartition(n_parts(spark), "bucket").sortWithinPartitions("bucket", "fp").select("bucket", "fp")
-    found = stage(keyed.mapInPandas(_bucket_task(radius, pairwise), "a long, b long").distinct(), "simhash-links")
-    large = found.filter("b IS NULL").select(F.col("a").alias("fp"))
-    pairs = found.filter("b IS NOT NULL")
-    if large.isEmpty():
-        return pairs
-    if radius != 4:
-        raise ValueError("large buckets are linked for a radius of 4 only")
-    return pairs.unionByName(_ball_links(large)).distinct()
+    tables = F.explode(F.array(*[F.struct(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))).alias("bucket"), F.lit(m).alias("fixed")) for i, m in enumerate(masks)]))
+    level, pairs = fps.select("fp", tables.alias("t")).select("t.bucket", "fp", "t.fixed"), None
+    while True:
+        dealt = level.repartition(n_parts(spark), "bucket").sortWithinPartitions("bucket", "fp").select("bucket", "fp", "fixed")
+        found = stage(dealt.mapInPandas(_bucket_task(radius, heavy), "a long, b long, bucket long, fixed long").distinct(), "simhash-links")
+        linked = found.filter("b IS NOT NULL").select("a", "b")
+        pairs = linked if pairs is None else pairs.unionByName(linked)
+        large = found.filter("b IS NULL")
+        if large.isEmpty():
+            return pairs.distinct()
+        level = large.select("a", "bucket", "fixed").mapInPandas(_cover_again(radius), "bucket long, fp long, fixed long")
 
 
 def connected(pairs: DataFrame) -> DataFrame:
@@ -211,32 +237,43 @@ def connected(pairs: DataFrame) -> DataFrame:
     return out
 
 
-def dedup_near(docs: DataFrame, radius: int = RADIUS, pairwise: int = BUCKET_PAIRWISE) -> DataFrame:
-    """One row per row of docs: doc_id, fingerprint, component_id.
-
-    Texts without words (null, empty, white space) have fingerprint zero and link like any other. A null doc_id
-    counts as larger than any other. Repeated rows share a fingerprint and so a component. An empty table gives
-    an empty result; other columns are not looked at.
+def _components_of(docs: DataFrame, radius: int, heavy: int) -> DataFrame:
+    """(doc_id, text_hash, fp, root, component) of every row of docs: root is one fingerprint of the row's component,
+    component its smallest doc_id, as a struct in which null is the largest.
 
     Equal fingerprints are one node from the start, so a group of copies of any size is one row of the search.
     """
-    last = 2**63 - 1
-    rows = stage(docs.select("doc_id", fingerprints("text").alias("fp")), "fingerprints")
+    identity = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"))
+    rows = stage(docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), fingerprints("text").alias("fp")), "fingerprints")
     total = rows.count()
-    nodes = stage(rows.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(last))).alias("first_doc"), F.count("*").alias("n")), "fingerprint-nodes")
-    roots = connected(links(nodes.select("fp"), radius, pairwise))
+    nodes = stage(rows.groupBy("fp").agg(F.min(identity).alias("first_doc"), F.count("*").alias("n")), "fingerprint-nodes")
+    roots = connected(links(nodes.select("fp"), radius, heavy))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     placed = stage(placed, "fingerprint-roots")
     least = placed.groupBy("root").agg(F.min("first_doc").alias("component"), F.count("*").alias("members"))
-    of_fp = join_weighted(placed, least, ["root"], "members", nodes.count()).select("fp", "component", "n")
-    out = join_weighted(rows, stage(of_fp, "fingerprint-components"), ["fp"], "n", total)
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.nullif("component", F.lit(last)).alias("component_id"))
+    of_fp = join_weighted(placed, least, ["root"], "members", nodes.count()).select("fp", "root", "component", "n")
+    return join_weighted(rows, stage(of_fp, "fingerprint-components"), ["fp"], "n", total)
+
+
+def dedup_near(docs: DataFrame, radius: int = RADIUS, heavy: int = HEAVY) -> DataFrame:
+    """One row per row of docs: doc_id, fingerprint, component_id.
+
+    Texts without words (null, empty, white space) have fingerprint zero and link like any other. A null doc_id
+    counts as larger than any other. Repeated rows share a fingerprint and so a component. An empty table gives
+    an empty result; other columns are not looked at.
+    """
+    found = _components_of(docs, radius, heavy)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component.id").alias("component_id"))
 
 
 def keep_near(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is their component's smallest, with docs' own columns: one document of each
-    group stays. Of repeated rows with that doc_id one stays."""
-    last = 2**63 - 1
-    one = dedup_near(docs).filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.coalesce("doc_id", F.lit(last)).alias("_dv_id")).distinct()
-    keyed = docs.withColumn("_dv_id", F.coalesce("doc_id", F.lit(last)))
-    return keyed.join(one, "_dv_id", "left_semi").dropDuplicates(["_dv_id"]).select(*docs.columns)
+    """One row of docs for each component, that with its smallest doc_id, with docs' own columns, whatever their
+    names; the cases are dedup_near's. Of several rows with that doc_id one stays. docs is read a second time and
+    joined with the kept (identifier, hash of text) pairs, of which there is one for each component."""
+    no_id, key, text = fresh(docs, "_no_id", "_id", "_text")
+    identity = [F.col("doc_id").isNull().alias(no_id), F.coalesce("doc_id", F.lit(0)).cast("long").alias(key)]
+    found = _components_of(docs, RADIUS, HEAVY)
+    first = found.groupBy("root").agg(F.min(F.struct(*identity, F.col("text_hash").alias(text))).alias("first")).select("first.*")
+    own = [column(c) for c in docs.columns]
+    keyed = docs.select(*own, *identity, F.xxhash64(F.coalesce("text", F.lit(""))).alias(text))
+    return keyed.join(first, [no_id, key, text], "left_semi").dropDuplicates([no_id, key, text]).select(*own)

@@ -53,10 +53,38 @@ def test_exact_dedup_against_brute_force(spark):
     assert exact_dedup.keep_exact(docs(spark, [])).count() == 0
 
 
-def test_merging_needs_length_and_second_hash_too(spark):
-    rows = spark.createDataFrame([(1, 0, b"d" * 32, 5, 1, 7, 7, 1), (1, 0, b"d" * 32, 6, 1, 3, 3, 1), (1, 0, b"d" * 32, 6, 1, 2, 9, 4)], exact_dedup._RUN)
-    got = rows.coalesce(1).sortWithinPartitions("segment", "run", "digest", "n_bytes", "check").mapInArrow(exact_dedup.merge_runs, exact_dedup._RUN).collect()
-    assert [(r.n_bytes, r.min_id, r.min_row, r.n) for r in got] == [(5, 7, 7, 1), (6, 2, 9, 5)]
+def entries(rows):
+    """(digest byte, length, identifier or None, row, n) as sorted run entries, not folded."""
+    out = np.zeros(len(rows), exact_dedup._ENTRY)
+    for e, (d, size, i, row, n) in zip(out, rows):
+        e["key"] = bytes([d]) * 32 + size.to_bytes(4, "big") + bytes(7) + b"\x01"
+        e["no_id"], e["id"], e["row"], e["n"] = i is None, i or 0, row, n
+    return np.sort(out, order=["key", "no_id", "id", "row"])
+
+
+def test_runs_are_merged_exactly():
+    rng = random.Random(8)
+    for k in (1, 2, 3, 8):
+        rows = [[(rng.randrange(40), rng.randrange(3), rng.choice([None, *range(5), 2**63 - 1]), rng.randrange(1000), 1 + rng.randrange(3)) for _ in range(rng.randrange(1, 90))] for _ in range(k)]
+        merged = exact_dedup.merge_runs([exact_dedup.fold(entries(r)) for r in rows])
+        want = {}
+        for d, size, i, row, n in (x for r in rows for x in r):
+            best, total = want.get((d, size), ((2, 0, 0), 0))
+            want[d, size] = min(best, (i is None, i or 0, row)), total + n
+        got = {(e["key"][0], int.from_bytes(e["key"].ljust(44, b"\0")[32:36], "big")): ((bool(e["no_id"]), int(e["id"]), int(e["row"])), int(e["n"])) for e in merged}
+        assert got == want and (merged["key"][1:] > merged["key"][:-1]).all()
+
+
+def test_an_entry_joins_only_entries_of_its_length():
+    a, b = exact_dedup.fold(entries([(1, 5, 7, 7, 1)])), exact_dedup.fold(entries([(1, 6, 3, 3, 1), (1, 6, 2, 9, 4)]))
+    assert [(e["id"], e["row"], e["n"]) for e in exact_dedup.merge_two(a, b)] == [(7, 7, 1), (2, 9, 5)]
+
+
+def test_the_largest_identifier_is_an_identifier(spark):
+    rows = [(2**63 - 1, "x"), (None, "x"), (None, "y")]
+    got = Counter((r.doc_id, r.keep_id, r.kept) for r in exact_dedup.dedup_exact(docs(spark, rows)).collect())
+    assert got == {(2**63 - 1, 2**63 - 1, True): 1, (None, 2**63 - 1, False): 1, (None, None, True): 1}
+    assert [r.component_id for r in simhash_dedup.dedup_near(docs(spark, [(2**63 - 1, "a b c d e"), (None, "a b c d e")])).collect()] == [2**63 - 1] * 2
 
 
 def plain_jump(key, n):
@@ -158,8 +186,8 @@ def test_simhash_against_brute_force(spark):
     for (i, _), c in zip(rows, plain_components(fps)):
         least[c] = min(least.get(c, i), i)
     want = Counter((i, f"{f:016x}", least[c]) for (i, _), f, c in zip(rows, fps, plain_components(fps)))
-    for pairwise in (20_000, 3):
-        got = simhash_dedup.dedup_near(docs(spark, rows), pairwise=pairwise).collect()
+    for heavy in (20_000, 30):
+        got = simhash_dedup.dedup_near(docs(spark, rows), heavy=heavy).collect()
         assert Counter(map(tuple, got)) == want
     kept = simhash_dedup.keep_near(docs(spark, rows)).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(least.values()))
@@ -175,22 +203,42 @@ def test_masks_cover_every_pair_within_the_radius():
         assert any(not flips & m for m in masks)
 
 
+def same_components(spark, fps, radius, heavy):
+    df = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f,) for f in fps], "fp long")
+    root = {r.node % 2**64: r.root for r in simhash_dedup.connected(simhash_dedup.links(df, radius, heavy)).collect()}
+    groups = defaultdict(set)
+    for f, c in zip(fps, plain_components(fps, radius)):
+        groups[c].add(root.get(f, f))
+    return all(len(v) == 1 for v in groups.values()) and len({next(iter(v)) for v in groups.values()}) == len(groups)
+
+
 def test_chains_and_dense_buckets(spark):
     rng = np.random.default_rng(3)
     chain, x = [], 0
-    for k in range(20):  # each link four bits from the last: the ends are far apart
+    for k in range(20):  # each link three bits from the last: the ends are far apart
         chain.append(x)
         x ^= 0b111 << (3 * k % 60)
     dense = [int(rng.integers(0, 2**63)) for _ in range(3)]
     fps = list({*chain, *[d ^ sum(1 << int(b) for b in rng.choice(64, 2, replace=False)) for d in dense for _ in range(60)]})
-    df = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f,) for f in fps], "fp long")
-    want = plain_components(fps)
-    for pairwise in (20_000, 10):
-        root = {r.node % 2**64: r.root for r in simhash_dedup.connected(simhash_dedup.links(df, pairwise=pairwise)).collect()}
-        groups = defaultdict(set)
-        for f, c in zip(fps, want):
-            groups[c].add(root.get(f, f))
-        assert all(len(v) == 1 for v in groups.values()) and len({next(iter(v)) for v in groups.values()}) == len(groups)
+    for radius, heavy in ((4, 20_000), (4, 40), (2, 15)):
+        assert same_components(spark, fps, radius, heavy), (radius, heavy)
+
+
+def test_covering_again_keeps_every_close_pair():
+    """Whatever bits a bucket's members agree in, two that differ in four of the others meet again in some table."""
+    import pandas as pd
+
+    rng = random.Random(2)
+    for n_fixed in (20, 32, 45):
+        fixed = sum(1 << i for i in rng.sample(range(64), n_fixed))
+        base = rng.getrandbits(64)
+        free = [i for i in range(64) if not fixed >> i & 1]
+        fps = [base] + [base ^ sum(1 << i for i in rng.sample(free, rng.randrange(1, 5))) for _ in range(50)]
+        signed = lambda v: v - 2**64 if v >= 2**63 else v
+        frame = pd.DataFrame({"a": [signed(f) for f in fps], "bucket": 7, "fixed": signed(fixed)}).astype("int64")
+        rows = pd.concat(simhash_dedup._cover_again(4)([frame]))
+        met = rows.merge(rows[rows["fp"] == signed(base)], on="bucket")["fp_x"].unique()
+        assert set(met) == {signed(f) for f in fps} and all(f % 2**64 & fixed == fixed for f in rows["fixed"].tolist())
 
 
 def test_connected_follows_long_paths(spark):
@@ -200,8 +248,3 @@ def test_connected_follows_long_paths(spark):
         roots[r.node >= 1000].add(r.root)
     assert len(roots[False]) == len(roots[True]) == 1
     assert simhash_dedup.connected(pairs.limit(0)).count() == 0
-
-
-def test_names_do_not_clash(spark):
-    df = docs(spark, near_rows()).withColumn("component_id", F.lit("c")).withColumn("digest", F.lit(1)).withColumn("n", F.lit(1))
-    assert simhash_dedup.keep_near(df).columns == df.columns and exact_dedup.keep_exact(df).columns == df.columns

@@ -7,14 +7,16 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftvault.llm.common import NOT_SPACE
+from driftvault.llm.common import NOT_SPACE, column, fresh
 
 #: Words of a window, and what share of a text's words may lie in windows found twice or more (percent).
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 MIN_WORDS = 20
 SYMBOLS = "#*$%&|<>"
-#: Frequent function words of the corpus's languages.
+#: The languages that STOP_WORDS covers: texts that are said to be in another one are not judged by it.
+COVERED = ("en", "de", "fr", "es")
+#: Frequent function words of those languages.
 STOP_WORDS = (
     "the and of to in is that it as for was with by on be are at this an or from not have "
     "der die das und in zu den von mit ist des sich auf ein eine im dem nicht auch "
@@ -33,7 +35,7 @@ class Rule(NamedTuple):
 
 #: The ratios are per word or per line with a word; a text breaks the table if one rule doesn't hold.
 RULES = (
-    Rule("n_words", MIN_WORDS, 10_000_000),
+    Rule("n_words", MIN_WORDS, float("inf")),
     Rule("mean_word_chars", 1.5, 20.0),
     Rule("symbols_per_word", 0.0, 0.25),
     Rule("stop_word_share", 0.02, 1.0),
@@ -84,40 +86,44 @@ def _cover(window: int):
     return step
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the struct column `_dv_m` of every measure that a rule can name. Null texts count as empty."""
-    body = F.coalesce(F.col(text), F.lit(""))
+def measures(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a struct column `name` of every measure that a rule can name. Null texts count as empty. The share of
+    stop words is 1 where docs has a column lang and it names a language that the list does not cover."""
+    body, own = F.coalesce("text", F.lit("")), [column(c) for c in docs.columns]
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(NOT_SPACE))
-    df = docs.withColumn("_dv_words", split_words(body)).withColumn("_dv_lines", lines)
+    words_name, lines_name, raw = fresh(docs.withColumn(name, F.lit(0)), "_words", "_lines", "_raw")
+    df = docs.select(*own, split_words(body).alias(words_name), lines.alias(lines_name))
 
     def share(part: Column, whole: Column) -> Column:
         return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
-    words = F.col("_dv_words")
+    words, lines = F.col(words_name), F.col(lines_name)
+    covered = F.coalesce(F.col("lang").isin(*COVERED), F.lit(True)) if "lang" in docs.columns else F.lit(True)
     df = df.select(
-        *docs.columns,
+        *own,
         F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.char_length(F.regexp_replace(body, f"[^{SYMBOLS}]++", "")).cast("long").alias("n_symbols"),
-            (F.size("_dv_lines") - F.size(F.array_distinct("_dv_lines"))).cast("long").alias("n_dup_lines"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
             repeated_words(words).alias("n_repeat_words"),
-            F.size("_dv_lines").cast("long").alias("n_lines"),
+            F.size(lines).cast("long").alias("n_lines"),
             F.size(F.filter(words, lambda w: w.rlike("^[^a-z]*[A-Z][^a-z]*$") & (F.char_length(w) > 1))).cast("long").alias("n_upper_words"),
             F.size(F.filter(F.transform(words, lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?")))), lambda w: w.isin(list(dict.fromkeys(STOP_WORDS))))).cast("long").alias("n_stop_words"),
-        ).alias("_dv_m"),
+            covered.alias("covered"),
+        ).alias(raw),
     )
-    m = F.col("_dv_m")
-    return df.withColumn(
-        "_dv_m",
+    m = F.col(raw)
+    return df.select(
+        *own,
         F.struct(
             *[m[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
             share(m["word_chars"], m["n_words"]).alias("mean_word_chars"),
             share(m["n_symbols"], m["n_words"]).alias("symbols_per_word"),
-            share(m["n_stop_words"], m["n_words"]).alias("stop_word_share"),
+            F.when(m["covered"], share(m["n_stop_words"], m["n_words"])).otherwise(1.0).alias("stop_word_share"),
             share(m["n_upper_words"], m["n_words"]).alias("upper_word_share"),
             share(m["n_dup_lines"], m["n_lines"]).alias("dup_line_share"),
-        ),
+        ).alias(name),
     )
 
 
@@ -137,16 +143,17 @@ def score_quality(docs: DataFrame, rules=RULES) -> DataFrame:
     """One row per row of docs: doc_id, the measures, base_failed and kept.
 
     Null and empty texts have no words and fail; repeated rows are scored each for itself; an empty table gives
-    an empty result; other columns of docs are not looked at. No shuffle: one projection over the scan.
+    an empty result; of docs' other columns only lang is looked at. No shuffle: one projection over the scan.
     """
-    m = F.col("_dv_m")
+    m = F.col("_m")
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return measures(docs.select("doc_id", "text")).select(
+    return measures(docs.select("doc_id", "text", *(["lang"] if "lang" in docs.columns else [])), "_m").select(
         "doc_id", *[m[k].alias(k) for k in base], base_failed(m).alias("base_failed"), (~base_failed(m) & verdict(m, rules)).alias("kept")
     )
 
 
 def keep_quality(docs: DataFrame, rules=RULES) -> DataFrame:
-    """The rows of docs that pass, with docs' own columns."""
-    m = F.col("_dv_m")
-    return measures(docs).filter(~base_failed(m) & verdict(m, rules)).drop("_dv_m")
+    """The rows of docs that pass, with docs' own columns, whatever their names; the cases are score_quality's."""
+    (name,) = fresh(docs, "_m")
+    m = F.col(name)
+    return measures(docs, name).filter(~base_failed(m) & verdict(m, rules)).select(*[column(c) for c in docs.columns])

@@ -72,7 +72,8 @@ QUERIES = {
 }
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
-_RULES = " AND ".join(f"{r.metric} BETWEEN {r.low} AND {r.high}" for r in quality_rules.RULES)
+_COVERED = ", ".join(f"'{x}'" for x in quality_rules.COVERED)
+_RULES = " AND ".join(f"{r.metric} BETWEEN {r.low} AND '{r.high}'::DOUBLE" for r in quality_rules.RULES)
 
 ORACLE_SQL = {
     "op2_exact_dedup": r"""
@@ -102,7 +103,7 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM m GROUP BY rid, doc_id""",
     "op8_quality_rules": rf"""
 WITH w AS (
-  SELECT doc_id, coalesce(text, '') AS body,
+  SELECT doc_id, lang, coalesce(text, '') AS body,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
@@ -116,7 +117,7 @@ twice AS (
 covered AS (
   SELECT rid, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 8)) AS k) GROUP BY rid),
 m AS (
-  SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+  SELECT doc_id, lang, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
          length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
          len(lines) AS n_lines,
@@ -126,7 +127,7 @@ m AS (
 s AS (
   SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word_chars,
          CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbols_per_word,
-         CASE WHEN n_words > 0 THEN n_stop / n_words ELSE 0 END AS stop_word_share,
+         CASE WHEN lang NOT IN ({_COVERED}) THEN 1 WHEN n_words > 0 THEN n_stop / n_words ELSE 0 END AS stop_word_share,
          CASE WHEN n_words > 0 THEN n_upper / n_words ELSE 0 END AS upper_word_share,
          CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_share,
          n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed

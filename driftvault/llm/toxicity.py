@@ -68,33 +68,51 @@ class Features:
         return out
 
 
+class Texts:
+    """Texts by the columns of their n-grams."""
+
+    def __init__(self, rows: list[np.ndarray], column: np.ndarray):
+        of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        col = column[np.concatenate(rows).astype(np.int64)] if len(of) else of
+        self.of, self.col, self.n = of[col >= 0], col[col >= 0], len(rows)
+
+    def odds(self, w: np.ndarray, b: float) -> np.ndarray:
+        return b + np.bincount(self.of, w[self.col], minlength=self.n)
+
+
+def risk(positive: Texts, unlabelled: Texts, w: np.ndarray, b: float, prior: float) -> tuple[float, float, np.ndarray]:
+    """The two parts of the estimated risk, and the gradient that a step follows, for (w, b).
+
+    With the logistic loss, the first part is what positives cost as positives, times the prior. The second is what
+    unlabelled texts cost as negatives, less what the positives among them do. It cannot be below zero for the true
+    distribution; where the sample's is, the fit has gone too far, and the gradient is that of its negative alone.
+    """
+    p, u = positive.odds(w, b), unlabelled.odds(w, b)
+    as_positive = prior * np.logaddexp(0, -p).mean()
+    as_negative = np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
+    p, u = 1 / (1 + np.exp(-p)), 1 / (1 + np.exp(-u))
+    if as_negative < 0:
+        per_text = (prior * p / len(p), -u / len(u))
+    else:
+        per_text = (prior * (p - 1) / len(p) - prior * p / len(p), u / len(u))
+    grad = np.zeros(len(w) + 1)
+    for texts, g in zip((positive, unlabelled), per_text):
+        grad[:-1] += np.bincount(texts.col, g[texts.of], minlength=len(w))
+        grad[-1] += g.sum()
+    return as_positive, as_negative, grad
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], chosen: np.ndarray, prior: float) -> Model:
-    """positive, unlabelled: the chosen buckets of each text. prior: the share of positives among the unlabelled."""
+    """positive, unlabelled: the buckets of each text. prior: the share of positives among the unlabelled."""
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model({}, -20.0 if not prior > 0 else 20.0 if prior >= 1 else float(np.log(prior / (1 - prior))))
     column = np.full(BUCKETS, -1)
     column[chosen] = np.arange(len(chosen))
-
-    def matrix(rows):
-        of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        col = column[np.concatenate(rows).astype(np.int64)] if len(of) else of
-        return of[col >= 0], col[col >= 0], len(rows)
-
-    sets = [matrix(positive), matrix(unlabelled)]
+    sets = Texts(positive, column), Texts(unlabelled, column)
     w, b = np.zeros(len(chosen)), float(np.log(prior / (1 - prior)))
     m1, m2 = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, STEPS + 1):
-        p, u = (1 / (1 + np.exp(-(b + np.bincount(of, w[col], minlength=n)))) for of, col, n in sets)
-        # the logistic loss as a negative is -log(1 - p), and grows with p
-        negative = -np.log1p(-np.minimum(u, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(p, 1 - 1e-12)).mean()
-        if negative < 0:  # below zero the fit has gone too far: only this part is stepped back
-            per_text = (prior * p / len(p), -u / len(u))
-        else:
-            per_text = (prior * (p - 1) / len(p) - prior * p / len(p), u / len(u))
-        grad = np.zeros(len(w) + 1)
-        for (of, col, _), g in zip(sets, per_text):
-            grad[:-1] += np.bincount(col, g[of], minlength=len(w))
-            grad[-1] += g.sum()
+        grad = risk(*sets, w, b, prior)[2]
         grad[:-1] += RIDGE * w
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
         move = RATE * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
@@ -135,18 +153,24 @@ def _featurise(chosen: np.ndarray):
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
-    """docs (doc_id, text), labels (doc_id, toxic); usable: a condition on doc_id. The positives are confirmed toxic
-    texts; the unlabelled ones are any labelled texts, their labels hidden. The class prior is taken over all usable
-    labels. Of both at most the stated numbers are used, chosen by a hash of doc_id."""
+    """docs (doc_id, text), labels (doc_id, toxic); usable: a condition on doc_id. The positives are texts confirmed
+    as toxic; the unlabelled ones are drawn from all usable docs, whether they have a label or not. The class prior
+    is the share of toxic ones among the usable labels, which are taken to be a random part of docs. Of both kinds at
+    most the stated numbers are used, those whose doc_id has the smallest hashes."""
     # doc_id twice with different labels: toxic if one says so
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).filter(usable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    every = docs.filter(F.col("doc_id").isNotNull()).filter(usable).select("doc_id").distinct()
+    known = stage(known.join(every, "doc_id", "left_semi"), "toxicity-labels")  # labels of other documents say nothing of these
     total, toxic = known.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("toxic") == 1, 1)), F.lit(0))).first()
     if not total:
         return fit([], [], np.zeros(0, np.int64), 0.0)
-    ranked = known.withColumn("rank", F.xxhash64(F.lit(11), "doc_id"))
+
+    def first(ids: DataFrame, seed: int, most: int) -> DataFrame:
+        return ids.select("doc_id", F.xxhash64(F.lit(seed), "doc_id").alias("rank")).orderBy("rank", "doc_id").limit(most)
+
     taken = (
-        ranked.filter("toxic = 1").orderBy("rank", "doc_id").limit(MAX_POSITIVE).select("doc_id", F.lit(1).alias("toxic"), F.lit(0).alias("unlabelled"))
-        .unionByName(ranked.withColumn("rank", F.xxhash64(F.lit(12), "doc_id")).orderBy("rank", "doc_id").limit(MAX_UNLABELLED).select("doc_id", F.lit(0).alias("toxic"), F.lit(1).alias("unlabelled")))
+        first(known.filter("toxic = 1"), 11, MAX_POSITIVE).select("doc_id", F.lit(1).alias("toxic"), F.lit(0).alias("unlabelled"))
+        .unionByName(first(every, 12, MAX_UNLABELLED).select("doc_id", F.lit(0).alias("toxic"), F.lit(1).alias("unlabelled")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("unlabelled").alias("unlabelled"))
     )
     # at most MAX_POSITIVE + MAX_UNLABELLED rows are broadcast

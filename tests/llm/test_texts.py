@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -335,6 +336,44 @@ def test_toxicity(spark):
     assert {r.predicted for r in toxicity.score_toxicity(docs(spark, rows[:9]), table.limit(0)).collect()} == {0}
 
 
+def plain_risk(positive, unlabelled, w, b, prior):
+    """The two parts of the risk after their definition, one text at a time."""
+    loss = lambda odds, label: math.log1p(math.exp(-label * odds))
+    odds = lambda row: b + sum(w[j] for j in row)
+    mean = lambda xs: sum(xs) / len(xs)
+    as_positive = prior * mean([loss(odds(r), 1) for r in positive])
+    return as_positive, mean([loss(odds(r), -1) for r in unlabelled]) - prior * mean([loss(odds(r), -1) for r in positive])
+
+
+@pytest.mark.parametrize("overfitted", [False, True])
+def test_risk_and_gradient_against_brute_force(overfitted):
+    rng, n = np.random.default_rng(5), 6
+    rows = lambda k: [np.flatnonzero(rng.random(n) < 0.5) for _ in range(k)]
+    positive, unlabelled, prior, column = rows(15), rows(40), 0.3, np.arange(n)
+    w, b = rng.normal(size=n), -0.4
+    if overfitted:  # unlabelled texts all far on the negative side: the second part is below zero
+        unlabelled, w, b = [np.array([0]) for _ in range(40)], np.array([-9.0, 1, 1, 1, 1, 1]), 1.0
+        positive = [np.array([1, 2]) for _ in range(15)]
+    sets = toxicity.Texts(positive, column), toxicity.Texts(unlabelled, column)
+    first, second, grad = toxicity.risk(*sets, w, b, prior)
+    assert np.allclose((first, second), plain_risk(positive, unlabelled, w, b, prior)) and (second < 0) == overfitted
+    # below zero the step goes along the gradient of the second part's negative, else along that of the whole
+    target = lambda w, b: (lambda r: -r[1] if overfitted else r[0] + r[1])(plain_risk(positive, unlabelled, w, b, prior))
+    for j in range(n + 1):
+        step = np.zeros(n + 1)
+        step[j] = 1e-6
+        slope = (target(w + step[:-1], b + step[-1]) - target(w - step[:-1], b - step[-1])) / 2e-6
+        assert abs(slope - grad[j]) < 1e-6, j
+
+
+def test_unlabelled_texts_come_from_the_whole_fold(spark):
+    """Words that are only in documents without a label count as unlabelled."""
+    rows = [(i, "tree zorgh" if i % 3 == 0 else "tree stone" if i < 300 else "tree river") for i in range(900)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs(spark, rows), labels, F.lit(True))
+    assert all(model.weights[k] > 0 for k in toxicity.buckets("zorgh")) and all(model.weights[k] < 0 for k in toxicity.buckets("river"))
+
+
 def test_risk_stays_non_negative_in_effect():
     """Positives hidden among the unlabelled texts do not pull their own words' weight down."""
     rng = np.random.default_rng(1)

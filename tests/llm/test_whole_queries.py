@@ -1,0 +1,204 @@
+"""Every query over whole tables, against SQL where there is some and against brute force where there is none."""
+
+import base64
+import hashlib
+import json
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from driftvault.llm import queries, toxicity
+from tests.llm.test_dedup_and_shards import norm, plain_components, plain_fingerprint, plain_jump
+from tests.llm.test_language_models import PlainModel
+from tests.llm.test_texts import plain_quality
+
+DIR = "/root/testdata/sf0.001"
+RANKS, JSON = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("documents", "pages", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
+    return con
+
+
+@pytest.fixture(scope="module")
+def documents(duck):
+    return {i: (t, lang) for i, t, lang in duck.sql("SELECT doc_id, text, lang FROM documents").fetchall()}
+
+
+def rows(frame):
+    return sorted(tuple("~" if v is None or v != v else str(v) for v in r) for r in frame[sorted(frame.columns)].itertuples(index=False))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_against_sql(spark, duck, name):
+    got = queries.QUERIES[name](spark, DIR).toPandas()
+    assert len(got) and rows(got) == rows(duck.sql(queries.ORACLE_SQL[name]).df())
+
+
+def crc(i, n):
+    return zlib.crc32(str(i).encode()) % n
+
+
+def test_language(spark, documents):
+    """Fold, choice and score from plain Kneser-Ney models of the other folds' texts."""
+    import regex
+
+    words = {i: regex.findall(r"\p{L}{1,64}", (t or "").lower()) for i, (t, _) in documents.items()}
+    learnt = {i for i, (t, lang) in documents.items() if t is not None and lang is not None and crc(i, 5)}
+    langs = sorted({documents[i][1] for i in learnt if words[i]})
+    alphabet = len({c for i in learnt for w in words[i] for c in w}) + 2
+    models = {lang: PlainModel([w for i in learnt if documents[i][1] == lang for w in words[i]], alphabet, 5) for lang in langs}
+    got = {r.doc_id: r for r in queries.op1_language_id(spark, DIR).collect()}
+    assert got.keys() == documents.keys()
+    known = {lang: {} for lang in langs}
+    for i in random.Random(1).sample(sorted(documents), 60):
+        chars, entropy = sum(len(w) + 1 for w in words[i]), {}
+        for lang, model in models.items():
+            total = 0.0
+            for w in words[i]:
+                if w not in known[lang]:
+                    p = f"\x02{w}\x03"
+                    known[lang][w] = sum(math.log(model.probability(p[max(0, j - 4) : j + 1])) for j in range(1, len(p)))
+                total += known[lang][w]
+            entropy[lang] = -total / max(chars, 1)
+        r = got[i]
+        assert r.held_out == (crc(i, 5) == 0)
+        if not words[i]:
+            assert r.lang_pred == "und" and r.score == 0
+            continue
+        best = min(entropy, key=entropy.get)
+        assert r.lang_pred == best and abs(r.score - 1 / sum(math.exp((entropy[best] - e) * min(chars, 50)) for e in entropy.values())) < 1e-5
+
+
+def test_shards(spark, documents):
+    got = queries.op3_sharding(spark, DIR).collect()
+    slots = defaultdict(list)
+    for r in got:
+        data = (documents[r.doc_id][0] or "").encode()
+        assert (r.size, r.text_crc32, r.law) == (len(data) + 1, zlib.crc32(data), "key") and r.grown_shard in (r.shard, 8)
+        slots[r.shard].append(r.slot)
+    assert len(got) == len(documents) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    keys = {r.doc_id: r.h for r in spark.read.parquet(f"{DIR}/documents.parquet").selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()}
+    assert all((r.shard, r.grown_shard) == (plain_jump(keys[r.doc_id] % 2**64, 8), plain_jump(keys[r.doc_id] % 2**64, 9)) for r in got)
+
+
+def near_groups(texts):
+    """{doc_id: (fingerprint, smallest doc_id of its component)}"""
+    ids = sorted(texts)
+    fps = [plain_fingerprint(texts[i]) for i in ids]
+    components = plain_components(fps)
+    least = {}
+    for i, c in zip(ids, components):
+        least[c] = min(least.get(c, i), i)
+    return {i: (f, least[c]) for i, f, c in zip(ids, fps, components)}
+
+
+def test_near(spark, documents):
+    want = near_groups({i: t for i, (t, _) in documents.items()})
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in queries.op4_simhash_near_dedup(spark, DIR).collect()} == {(i, f"{f:016x}", c) for i, (f, c) in want.items()}
+
+
+def test_tokens(spark, documents):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    judge = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    want = set()
+    for i, (t, _) in documents.items():
+        ids = judge.encode_ordinary(t or "")
+        want.add((i, len(ids), sha(" ".join(map(str, ids)).encode()), sha((t or "").encode())))
+    assert {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in queries.op6_prefix_bpe(spark, DIR).collect()} == want
+
+
+def check_packing(got, texts):
+    judge, pieces = Tokenizer.from_file(JSON), Counter()
+    for i, text in texts.items():
+        ids = np.array([*judge.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        first = len(ids) if len(ids) <= 2048 else len(ids) % 2048 or 2048
+        for k, (a, b) in enumerate([(0, first)] + [(s, s + 2048) for s in range(first, len(ids), 2048)]):
+            pieces[i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
+    assert Counter((int(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in got.itertuples()) == pieces
+    s = got.sort_values(["sequence_id", "offset"])
+    assert ((s.groupby("sequence_id").length.cumsum() - s.length) == s.offset).all() and s.groupby("sequence_id").length.sum().max() <= 2048
+    assert got.sequence_id.nunique() <= -(-got.length.sum() // 2048) + 1
+
+
+def test_packing(spark, documents):
+    check_packing(queries.op9_best_fit_packing(spark, DIR).toPandas(), {i: t for i, (t, _) in documents.items()})
+
+
+def plain_score(text, model):
+    import re
+
+    found = set()
+    for word in set(re.findall(r"[^\W\d_]+", (text or "").lower())):
+        marked = f"^{word}$"
+        for n in range(3, 8):
+            found |= {zlib.crc32(marked[i : i + n].encode("utf-32-le")) % toxicity.BUCKETS for i in range(len(marked) - n + 1)}
+    return 1 / (1 + math.exp(-min(500, max(-500, model.bias + sum(model.weights.get(k, 0.0) for k in found)))))
+
+
+def test_toxicity(spark, documents):
+    """Scores from the trained weights by their definition; accuracy on what was held out."""
+    docs, labels = spark.read.parquet(f"{DIR}/documents.parquet"), spark.read.parquet(f"{DIR}/labels.parquet")
+    model = toxicity.train(docs, labels, toxicity.usable_for_training(docs["doc_id"]))
+    got = {r.doc_id: r for r in queries.op10_toxicity(spark, DIR).collect()}
+    assert got.keys() == documents.keys()
+    for i, (t, _) in documents.items():
+        assert abs(got[i].score - plain_score(t, model)) < 1e-6 and got[i].held_out == (crc(i, 3) == 1) and got[i].predicted == int(got[i].score >= 0.7)
+
+
+def plain_pipeline(spark, documents, folder):
+    """What run() packs, stage by stage: {doc_id: text} after each of the first four. Toxicity takes its weights from
+    the operator, as trained on what reaches it, and scores by the definition."""
+    import re
+
+    from driftvault.llm import quality_rules as q
+
+    left = {}
+    for i, (t, lang) in documents.items():
+        words, text = [w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w], t or ""
+        n, chars, symbols, dups, repeats = plain_quality(t)
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        if n < 20 or 100 * repeats > 30 * n or not 1.5 <= chars / n <= 20 or symbols / n > 0.25 or dups / max(1, len(lines)) > 0.4:
+            continue
+        stops = sum(w.rstrip(".,;:!?").lower() in set(q.STOP_WORDS) for w in words) / n
+        uppers = sum(len(w) > 1 and bool(re.fullmatch(r"[^a-z]*[A-Z][^a-z]*", w)) for w in words) / n
+        if uppers <= 0.5 and (lang not in (None, *q.COVERED) or stops >= 0.02):
+            left[i] = t
+    yield left
+    docs = spark.createDataFrame([(i, t) for i, t in left.items()], "doc_id long, text string")
+    model = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"), toxicity.usable_for_training(docs["doc_id"]))
+    left = {i: t for i, t in left.items() if plain_score(t, model) < 0.7}
+    yield left
+    first = {}
+    for i in sorted(left):
+        first.setdefault(norm(left[i]), i)
+    left = {i: left[i] for i in first.values()}
+    yield left
+    left = {i: left[i] for i, (_, c) in near_groups(left).items() if c == i}
+    yield left
+
+
+def test_pipeline(spark, documents):
+    docs, wanted = spark.read.parquet(f"{DIR}/documents.parquet"), list(plain_pipeline(spark, documents, DIR))
+    for (name, stage), want in zip(corpus_pipeline.STAGES, wanted):
+        docs = corpus_pipeline.stage(stage(spark, docs, DIR), "test")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert {r.doc_id: r.text for r in docs.collect()} == want, name
+    assert 0 < len(wanted[-1]) < len(wanted[0]) < len(documents)
+    got = corpus_pipeline.run(spark, DIR)
+    check_packing(got.toPandas(), wanted[-1])
+    assert json.dumps(got.columns) == json.dumps(["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])

@@ -66,16 +66,16 @@ def _snappy_frame(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def _snappy_frames_read(data: bytes) -> bytes:
-    codec, out, at = pa.Codec("snappy"), [], 0
-    while at < len(data):
-        if at + 4 > len(data):
+def _snappy_chunks(raw):
+    """The data of a framed stream, chunk by chunk; every checksum is checked."""
+    codec = pa.Codec("snappy")
+    while head := raw.read(4):
+        if len(head) < 4:
             raise ValueError("a chunk header is cut short")
-        kind, size = data[at], int.from_bytes(data[at + 1 : at + 4], "little")
-        body = data[at + 4 : at + 4 + size]
+        kind, size = head[0], int.from_bytes(head[1:], "little")
+        body = raw.read(size)
         if len(body) != size:
             raise ValueError("a chunk is cut short")
-        at += 4 + size
         if kind in (0, 1):
             stated, part = int.from_bytes(body[:4], "little"), body[4:]
             if kind == 0:
@@ -89,13 +89,16 @@ def _snappy_frames_read(data: bytes) -> bytes:
             crc = crc32c(part)
             if ((crc >> 15 | crc << 17) + _CRC_MASK) & 0xFFFFFFFF != stated:
                 raise ValueError("a chunk's checksum is wrong")
-            out.append(part)
+            yield part
         elif kind == 0xFF:
             if body != _SNAPPY_START[4:]:
                 raise ValueError("this is no framed stream")
         elif kind < 0x80:
             raise ValueError(f"chunk type {kind} is unknown")
-    return b"".join(out)
+
+
+def _snappy_frames_read(data: bytes) -> bytes:
+    return b"".join(_snappy_chunks(io.BytesIO(data)))
 
 
 def _lz4_frame(data: bytes) -> bytes:
@@ -136,3 +139,16 @@ def decompress(codec: str, data: bytes) -> bytes:
     if codec == "gzip":
         return gzip.decompress(data) if data else b""
     return {"zstd": _zstd_frames_read, "lz4": _lz4_frames_read, "snappy": _snappy_frames_read, "none": bytes}[codec](data)
+
+
+def decompressed(codec: str, raw, step: int = 1 << 20):
+    """The bytes of a file of joined frames, `step` bytes at most at a time; corrupt data is an error."""
+    if codec == "snappy":
+        yield from _snappy_chunks(raw)
+        return
+    stream = {
+        "gzip": lambda: gzip.GzipFile(fileobj=raw), "zstd": lambda: zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True),
+        "lz4": lambda: pa.CompressedInputStream(raw, "lz4"), "none": lambda: raw,
+    }[codec]()
+    while data := stream.read(step):
+        yield data

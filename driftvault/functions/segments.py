@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_PLAIN = r"^[A-Za-z0-9._-]+$"
+_PLAIN = r"^[A-Za-z0-9._-]+\z"
 
 
 def path_segment(value: Column) -> Column:
@@ -34,7 +34,7 @@ def segment_value(segment: Column) -> Column:
 
 def is_confined(path: Column) -> Column:
     """Whether a relative path stays below its root: not absolute, no `.` or `..` segment."""
-    return ~path.rlike(r"(^/)|((^|/)\.{1,2}(/|$))")
+    return ~path.rlike(r"(^/)|((^|/)\.{1,2}(/|\z))")
 
 
 MAX_KEY_BYTES, MAX_NAME_BYTES = 1024, 255

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column
@@ -12,6 +13,9 @@ from driftvault.functions.codecs import EXTENSION_OF
 #: The placeholders of a template, with the pattern of the ones that are parts of the time.
 TIME_PARTS = {"{year}": "yyyy", "{month}": "MM", "{day}": "dd", "{hour}": "HH", "{minute}": "mm"}
 PLACEHOLDERS = (*TIME_PARTS, "{timestamp}", "{seq}")
+#: Folders in Hive's layout, whose parts Spark prunes when it reads.
+HIVE = "year={year}/month={month}/day={day}/hour={hour}"
+
 
 def padded(number: Column, width: int = 4) -> Column:
     """A number in at least `width` digits, never cut."""
@@ -30,6 +34,14 @@ def expand_template(template: str, at: Column, seq: Column | None = None) -> Col
     return F.replace(out, F.lit("{seq}"), padded(seq)) if seq is not None and "{seq}" in template else out
 
 
+def expanded(template: str, at: dt.datetime) -> str:
+    """template at one UTC time, as expand_template gives it; `{seq}` stays as it is."""
+    parts = {"{year}": f"{at.year:04d}", "{month}": f"{at.month:02d}", "{day}": f"{at.day:02d}", "{hour}": f"{at.hour:02d}", "{minute}": f"{at.minute:02d}"}
+    for placeholder, value in {**parts, "{timestamp}": str(int(at.timestamp() // 1))}.items():
+        template = template.replace(placeholder, value)
+    return template
+
+
 def file_key(destination: Column, template: str, at: Column, seq: Column, token: Column, extension: str = "jsonl", codec: str = "zstd") -> Column:
     """<destination>/<expanded template>-<seq>-<token>.<extension>[.<codec's extension>]"""
     end = f".{extension}" + (f".{EXTENSION_OF[codec]}" if EXTENSION_OF[codec] else "")

@@ -6,142 +6,262 @@ was written is a DataFrame, the manifest: one row for each block, with its place
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
+import uuid
+from typing import NamedTuple
 
-import pandas as pd
-from pyarrow import fs
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftvault.functions.codecs import EXTENSION_OF, codec_name, compress, decompress
-from driftvault.operators.batching import LANE
+from driftvault.functions.codecs import EXTENSION_OF, codec_name, compress, decompress, decompressed
+from driftvault.functions.templates import expanded
+from driftvault.operators.batching import LANE, LANE_OFFSETS, MICROSECONDS, Limits, flush_end
+from driftvault.operators.errors import is_refused, retried
+from driftvault.sources.stores import Store
 
-MANIFEST = "path string, destination string, part int, block int, start long, length long, raw_bytes long, lengths array<int>"
+MANIFEST = (
+    "path string, destination string, part int, window timestamp, file_no int, seq int, block int, flush_no int, start long, length long, raw_bytes long, "
+    "n_records long, lengths array<int>, flushed_at timestamp, flush_trigger string, opened_at timestamp, "
+    "first_off long, last_off long, refusal string, roll_trigger string"
+)
+_TIME = pa.timestamp("us", tz="UTC")
+_ARROW = pa.schema([
+    ("path", pa.string()), ("destination", pa.string()), ("part", pa.int32()), ("window", _TIME), ("file_no", pa.int32()), ("seq", pa.int32()), ("block", pa.int32()),
+    ("flush_no", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("raw_bytes", pa.int64()), ("n_records", pa.int64()),
+    ("lengths", pa.list_(pa.int32())), ("flushed_at", _TIME), ("flush_trigger", pa.string()), ("opened_at", _TIME), ("first_off", pa.int64()), ("last_off", pa.int64()), ("refusal", pa.string()), ("roll_trigger", pa.string()),
+])
+#: Neighbouring blocks of a file that one read brings back.
+READ_BLOCKS = 64
 
 
-def _store(uri: str):
-    return fs.FileSystem.from_uri(uri)
+class Layout(NamedTuple):
+    """Where a lane's files go: <destination>/<template at the file's opening>-<seq>-<token>.<extension>[.<codec's>]."""
 
+    template: str = "{year}/{month}/{day}/{hour}"
+    extension: str = "jsonl"
+    codec: str = "zstd"
+    level: int = 3
 
-def _lane_files(root: str, codec: str, level: int, flush_bytes: int, flush_records: int, roll_bytes: int, extension: str, run: str):
-    """The task that writes: rows come sorted by lane and offset, so one file is open at a time. A file is staged
-    under a name of this attempt's own and moved to its final name when it is whole; the final name depends on the
-    run and the lane alone, so a repeated task writes the same files again."""
 
-    def task(frames):
-        store, top = _store(root)
-        lane, state = None, None
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                key = (row.destination, row.part, row.window)
-                if key != lane:
-                    if state:
-                        yield from state.close()
-                    lane, state = key, _Lane(store, top, key, row.folder, codec, level, extension, run)
-                payload = row.value if isinstance(row.value, bytes) else str(row.value).encode("utf-8")
-                state.add(payload)
-                if state.size >= flush_bytes or len(state.lengths) >= flush_records:
-                    yield from state.flush(roll_bytes)
-        if state:
-            yield from state.close()
-
-    return task
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
 
 class _Lane:
-    def __init__(self, store, top, key, folder, codec, level, extension, run):
-        self.store, self.top, self.key, self.folder, self.codec, self.level = store, top, key, folder, codec, level
+    """A lane's buffer and its open file. A file is staged under a name that no other attempt has and becomes visible
+    as a whole; the final name depends on the run and the lane alone, so a repeated task writes the same files."""
+
+    def __init__(self, store, key: tuple, layout: Layout, limits: Limits, run: str):
+        self.store, self.key, self.layout, self.limits = store, key, layout, limits
         self.token = hashlib.sha1(f"{run}/{key}".encode()).hexdigest()[:16]
-        self.end = f".{extension}" + (f".{EXTENSION_OF[codec]}" if EXTENSION_OF[codec] else "")
-        self.seq, self.out, self.blocks, self.parts, self.lengths, self.size = 0, None, [], [], [], 0
+        known = EXTENSION_OF[layout.codec]
+        self.end = f".{layout.extension}" + (f".{known}" if known else "")
+        self.parts, self.lengths, self.held, self.n_held, self.latest, self.since, self.first_off, self.last_off = [], [], 0, 0, None, None, None, None
+        self.flush_no, self.file_no, self.seq_of, self.out, self.blocks = 0, -1, {}, None, []
 
-    def add(self, payload: bytes) -> None:
-        self.parts += (payload, b"\n")
-        self.lengths.append(len(payload))
-        self.size += len(payload) + 1
+    def add(self, values: pa.Array, times: np.ndarray, offs: np.ndarray):
+        lengths = np.diff(np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1])
+        ends, at = np.cumsum(lengths.astype(np.int64) + 1), 0
+        self.since = int(times[0]) if self.since is None else self.since
+        while at < len(values):
+            last, trigger = flush_end(ends, times, at, self.held, self.n_held, self.since, self.limits)
+            n = last + 1 - at
+            self.parts.append(values.slice(at, n))
+            self.lengths.append(lengths[at : last + 1])
+            self.held += int(ends[last] - (ends[at - 1] if at else 0))
+            self.n_held += n
+            self.first_off, self.last_off = int(offs[at]) if self.first_off is None else self.first_off, int(offs[last])
+            latest = int(times[at : last + 1].max())
+            self.latest = latest if self.latest is None else max(self.latest, latest)
+            if trigger:
+                yield from self.flush(trigger)
+                self.since = int(times[last])
+            at = last + 1
 
-    def flush(self, roll_bytes: int | None):
-        if not self.lengths:
+    def flush(self, trigger: str | None):
+        if not self.n_held:
             return
-        if self.out is not None and roll_bytes is not None and self.written >= roll_bytes:
-            yield from self.finish()
+        at, limits = self.latest, self.limits
+        if self.out is not None:
+            if self.written >= limits.roll_bytes:
+                yield self.finish("size")
+            elif (at - self.opened_at) // MICROSECONDS >= limits.roll_secs:
+                yield self.finish("age")
+        destination, part, window, _ = self.key
         if self.out is None:
-            self.name = f"{self.folder}-{self.seq:04d}-{self.token}{self.end}"
-            self.final = f"{self.top}/{self.name}"
-            self.store.create_dir(self.final.rsplit("/", 1)[0], recursive=True)
-            self.staged = f"{self.final}.{hashlib.sha1(repr(id(self)).encode()).hexdigest()[:8]}.part"
-            self.out, self.written, self.blocks, self.seq = self.store.open_output_stream(self.staged, compression=None), 0, [], self.seq + 1
-        frame = compress(self.codec, b"".join(self.parts), self.level)
+            try:
+                self._open(at)
+            except Exception as e:
+                if not is_refused(e):
+                    raise
+                row = (None, destination, part, window, None, None, None, self.flush_no, None, None, None, self.n_held, None, at, trigger, None, self.first_off, self.last_off, str(e), None)
+                yield _batch([row])
+                self._emptied()
+                return
+        values = pa.chunked_array(self.parts).combine_chunks() if len(self.parts) > 1 else self.parts[0]
+        values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values), b"\n")[0].as_py() + b"\n"
+        frame = compress(self.layout.codec, lines, self.layout.level)
         self.out.write(frame)
-        self.blocks.append((self.name, self.key[0], self.key[1], len(self.blocks), self.written, len(frame), self.size, self.lengths))
+        self.blocks.append((
+            self.name, destination, part, window, self.file_no, self.seq, len(self.blocks), self.flush_no, self.written, len(frame), len(lines),
+            self.n_held, np.concatenate(self.lengths), at, trigger, self.opened_at, self.first_off, self.last_off, None,
+        ))
         self.written += len(frame)
-        self.parts, self.lengths, self.size = [], [], 0
+        self._emptied()
 
-    def finish(self):
+    def _emptied(self) -> None:
+        self.parts, self.lengths, self.held, self.n_held, self.latest, self.first_off, self.flush_no = [], [], 0, 0, None, None, self.flush_no + 1
+
+    def _open(self, at: int) -> None:
+        when = dt.datetime.fromtimestamp(0, dt.UTC) + dt.timedelta(microseconds=at)
+        stem = f"{self.key[0]}/{expanded(self.layout.template, when)}"
+        self.seq = self.seq_of.get(stem, 0)
+        self.seq_of[stem] = self.seq + 1
+        self.name = f"{stem.replace('{seq}', f'{self.seq:04d}')}-{self.seq:04d}-{self.token}{self.end}"
+        self.out = retried(lambda: self.store.create(self.name))
+        self.opened_at, self.written, self.blocks, self.file_no = at, 0, [], self.file_no + 1
+
+    def finish(self, trigger: str) -> pa.RecordBatch:
         self.out.close()
-        self.store.move(self.staged, self.final)
         self.out = None
-        yield pd.DataFrame(self.blocks, columns=[c.split()[0] for c in MANIFEST.split(", ")])
+        return _batch([(*b, trigger) for b in self.blocks])
 
     def close(self):
         yield from self.flush(None)
         if self.out is not None:
-            yield from self.finish()
+            yield self.finish("end")
+
+    def abandon(self) -> None:
+        if self.out is not None:
+            self.out.abandon()
+
+
+def _lane_files(store: Store, layout: Layout, limits: Limits, run: str):
+    """The task that writes: rows come sorted by lane and offset, so one file is open at a time."""
+
+    def task(batches):
+        files, key, lane = store.open(), None, None
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                of = [batch.column(c) for c in range(4)]
+                new = np.ones(batch.num_rows, bool)
+                if batch.num_rows > 1:
+                    differs = [pc.not_equal(c.slice(1), c.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False) for c in of]
+                    new[1:] = np.logical_or.reduce(differs)
+                times = batch.column(4).cast(pa.int64()).to_numpy(zero_copy_only=False)
+                offs = batch.column(6).to_numpy(zero_copy_only=False)
+                starts = np.flatnonzero(new).tolist()
+                for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+                    now = (of[0][a].as_py(), of[1][a].as_py(), of[2].cast(pa.int64())[a].as_py(), of[3][a].as_py())
+                    if now != key:
+                        if lane:
+                            yield from lane.close()
+                        key, lane = now, _Lane(files, now, layout, limits, run)
+                    yield from lane.add(batch.column(5).slice(a, b - a), times[a:b], offs[a:b])
+            if lane:
+                yield from lane.close()
+        except BaseException:
+            if lane:
+                lane.abandon()
+            raise
+
+    return task
 
 
 def write_archive(
-    routed: DataFrame, root: str, run: str, codec: str = "zstd", level: int = 3, flush_bytes: int = 1 << 20, flush_records: int = 100_000,
-    roll_bytes: int = 1 << 30, extension: str = "jsonl", parts: int | None = None,
-) -> DataFrame:
-    """A DataFrame whose evaluation writes routed (destination, part, window, off, folder, value) below root and
-    returns the manifest; folder is a file's path without number and token. Evaluate it once, into a table.
+    routed: DataFrame, store: Store | str, run: str, layout: Layout = Layout(), limits: Limits = Limits(), parts: int | None = None, lane_offsets: int = LANE_OFFSETS
+) -> DataFrame:
+    """A DataFrame whose evaluation writes routed (destination, part, window, off, ts, value) and returns the manifest.
+    Evaluate it once, into a table.
 
-    Records without a destination are not written. A lane is written by one task as a stream, whatever its length.
+    Records without a destination are not written; a null value is an empty payload, a null ts the window's start. A
+    lane is written by one task as a stream, whatever its length; more than `lane_offsets` offsets of one partition
+    are lanes of their own, so a hot destination is many tasks. An existing file of another run is never replaced.
     """
-    rows = routed.filter("destination IS NOT NULL").select(*LANE, "off", "folder", F.coalesce("value", F.lit("")).alias("value"))
-    dealt = rows.repartition(parts, *LANE) if parts else rows.repartition(*LANE)
-    task = _lane_files(root, codec_name(codec), level, flush_bytes, flush_records, roll_bytes, extension, run)
-    return dealt.sortWithinPartitions(*LANE, "off").mapInPandas(task, MANIFEST)
+    rows = routed.filter("destination IS NOT NULL").select(
+        "destination", F.col("part").cast("int").alias("part"), F.col("window").cast("timestamp").alias("window"), F.floor(F.col("off") / lane_offsets).cast("long").alias("_split"),
+        F.coalesce("ts", "window").cast("timestamp").alias("ts"), F.coalesce(F.col("value").cast("binary"), F.lit(b"")).alias("value"), F.col("off").cast("long").alias("off"),
+    )
+    lane = [*LANE, "_split"]
+    dealt = rows.repartition(parts, *lane) if parts else rows.repartition(*lane)
+    task = _lane_files(Store.of(store), layout._replace(codec=codec_name(layout.codec)), limits, run)
+    return dealt.sortWithinPartitions(*lane, "off").mapInArrow(task, MANIFEST)
 
 
-def restore(manifest: DataFrame, root: str, codec: str = "zstd", as_text: bool = True) -> DataFrame:
-    """The records of a manifest's blocks: path, destination, part, block, pos, value, byte for byte: records are
-    cut by their lengths, so line ends within a payload do no harm. Blocks are read one by one, each by its place
-    in its file."""
-    codec = codec_name(codec)
+_RESTORED = pa.schema([("path", pa.string()), ("destination", pa.string()), ("part", pa.int32()), ("block", pa.int32()), ("pos", pa.int32()), ("value", pa.binary())])
+
+
+def _cut(lines: bytes, lengths: np.ndarray) -> pa.Array:
+    """The payloads of a block, without the line end after each: cut by their lengths, so line ends within do no harm."""
+    offsets = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    data = np.delete(np.frombuffer(lines, np.uint8), offsets[1:] + np.arange(len(lengths)))
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def restore(manifest: DataFrame, store: Store | str, codec: str = "zstd", as_text: bool = True) -> DataFrame:
+    """The records of a manifest's blocks: path, destination, part, block, pos, value, byte for byte. Neighbouring
+    blocks of a file are read at once, each by its place; files are cut between tasks, so a large one is many tasks'."""
+    codec, store = codec_name(codec), Store.of(store)
+
+    def task(batches):
+        files = store.open()
+        for batch in batches:
+            for row in batch.to_pylist():
+                with files.read(row["path"]) as f:
+                    for b in row["blocks"]:
+                        f.seek(b["start"])
+                        data = decompress(codec, f.read(b["length"]))
+                        if len(data) != b["raw_bytes"]:
+                            raise ValueError(f"{row['path']}: block {b['block']} has {len(data)} bytes, not {b['raw_bytes']}")
+                        n = len(b["lengths"])
+                        constant = [pa.repeat(pa.scalar(row[c], _RESTORED.field(c).type), n) for c in ("path", "destination", "part")]
+                        block = pa.repeat(pa.scalar(b["block"], pa.int32()), n)
+                        yield pa.RecordBatch.from_arrays([*constant, block, pa.array(np.arange(n, dtype=np.int32)), _cut(data, np.array(b["lengths"], np.int64))], schema=_RESTORED)
 
-    def task(frames):
-        store, top = _store(root)
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                with store.open_input_file(f"{top}/{row.path}") as f:
-                    f.seek(row.start)
-                    data, at, values = decompress(codec, f.read(row.length)), 0, []
-                if len(data) != row.raw_bytes:
-                    raise ValueError(f"{row.path}: block {row.block} has {len(data)} bytes, not {row.raw_bytes}")
-                for n in row.lengths:
-                    values.append(data[at : at + n])
-                    at += n + 1
-                yield pd.DataFrame({
-                    "path": row.path, "destination": row.destination, "part": row.part, "block": row.block, "pos": range(len(values)),
-                    "value": [v.decode("utf-8") for v in values] if as_text else values,
-                })
-
-    kind = "string" if as_text else "binary"
-    return manifest.repartition("path", "block").mapInPandas(task, f"path string, destination string, part int, block int, pos int, value {kind}")
-
-
-def restore_files(spark, uris: DataFrame, codec: str) -> DataFrame:
-    """Lines of archive files without a manifest (uri): every frame of a file, cut at line ends. Paths of any name
-    are read, also those that begin with `_` or `.`, which Spark's own file sources pass over."""
+    block = F.struct("block", "start", "length", "raw_bytes", "lengths")
+    reads = manifest.groupBy("path", "destination", "part", F.floor(F.col("block") / READ_BLOCKS).alias("_read")).agg(F.sort_array(F.collect_list(block)).alias("blocks"))
+    out = reads.drop("_read").mapInArrow(task, "path string, destination string, part int, block int, pos int, value binary")
+    return out.withColumn("value", F.col("value").cast("string")) if as_text else out
+
+
+_LINES = pa.schema([("uri", pa.string()), ("line", pa.int64()), ("value", pa.binary())])
+
+
+def restore_files(uris: DataFrame, codec: str, settings: dict | None = None) -> DataFrame:
+    """Lines of archive files without a manifest (uri), as bytes: uri, line, value. Files are decompressed as streams
+    and cut at line ends, so a task holds some megabytes of a file of any size. Paths of any name are read, also
+    those that begin with `_` or `.`, which Spark's own file sources pass over."""
     codec = codec_name(codec)
 
-    def task(frames):
-        for frame in frames:
-            for uri in frame["uri"]:
-                store, path = _store(uri)
-                with store.open_input_stream(path, compression=None) as f:
-                    lines = decompress(codec, f.read()).split(b"\n")
-                yield pd.DataFrame({"uri": uri, "line": range(len(lines) - 1), "value": [x.decode("utf-8", "replace") for x in lines[:-1]]})
+    def task(batches):
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                store = Store(uri, settings or {})
+                with store.open().read("") as raw:
+                    at, rest = 0, b""
+                    for data in decompressed(codec, raw):
+                        *lines, rest = (rest + data).split(b"\n")
+                        if lines:
+                            yield pa.RecordBatch.from_arrays([pa.repeat(uri, len(lines)), pa.array(np.arange(at, at + len(lines))), pa.array(lines, pa.binary())], schema=_LINES)
+                            at += len(lines)
+                    if rest:
+                        raise ValueError(f"{uri} ends within a line")
+
+    return uris.select("uri").repartition("uri").mapInArrow(task, "uri string, line long, value binary")
+
 
-    return uris.select("uri").mapInPandas(task, "uri string, line int, value string")
+def compare_with_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """What a manifest says against what is there: path, state, n_bytes, stated_bytes. files: (path, n_bytes), as
+    Store.list gives them. state: `whole`, `short`, `long`, `missing`, or `unknown` for files that no manifest names."""
+    stated = manifest.groupBy("path").agg(F.max(F.col("start") + F.col("length")).alias("stated_bytes"))
+    n, want = F.col("n_bytes"), F.col("stated_bytes")
+    state = F.when(n.isNull(), "missing").when(want.isNull(), "unknown").when(n < want, "short").when(n > want, "long").otherwise("whole")
+    return stated.join(files, "path", "full_outer").select("path", state.alias("state"), "n_bytes", "stated_bytes")

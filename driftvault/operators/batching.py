@@ -1,116 +1,80 @@
-"""Which records are flushed together, and which flushes share a file.
+"""Which records are flushed together, and which flushes share a file: the limits, and where they end a flush.
 
-Records of a lane (a destination, a source partition and a roll window) are taken in order. Where a flush or a file
-ends depends on where the one before ended, so a lane is folded row by row; lanes are folded side by side, as
-streams of sorted rows, and no lane is ever held in memory.
+Records of a lane (a destination, a source partition, a roll window and a range of offsets) are taken in order. Where
+a flush or a file ends depends on where the one before ended, so the archive's writer finds the ends as it goes, by
+binary search in the cumulated sizes; what it did stands in its manifest.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from typing import NamedTuple
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LANE = ["destination", "part", "window"]
-FLUSH_BYTES, FLUSH_RECORDS, FLUSH_AGE_SECS = 1 << 20, 100_000, 60
-ROLL_BYTES, ROLL_SECS = 1 << 30, 300
-
-
-def roll_window(at: Column, seconds: int) -> Column:
-    """The start of the roll window that a time lies in: files never reach over it."""
-    return F.window(at, f"{seconds} seconds")["start"]
-
-
-def _fold(lane: list[str], values: list[str], make_step, names: list[str]):
-    """A task for mapInPandas: for each row, step(*values) of its lane's own state gives the columns `names`. Rows
-    come sorted by lane; a lane may go on from one frame to the next."""
-
-    def task(frames):
-        current, step = None, None
-        for frame in frames:
-            out = []
-            for key, row in zip(zip(*[frame[c] for c in lane]), zip(*[frame[c] for c in values])):
-                if step is None or key != current:
-                    current, step = key, make_step()
-                out.append(step(*row))
-            yield frame.join(pd.DataFrame(out, columns=names, index=frame.index)) if len(frame) else frame.reindex(columns=[*frame.columns, *names])
-
-    return task
-
-
-def _folded(df: DataFrame, lane: list[str], order: list[str], values: list[str], make_step, added: str) -> DataFrame:
-    names = [x.split()[0] for x in added.split(", ")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", " + added
-    sorted_ = df.repartition(*lane).sortWithinPartitions(*lane, *order)
-    return sorted_.mapInPandas(_fold(lane, values, make_step, names), schema)
-
-
-def flush_plan(records: DataFrame, max_bytes: int = FLUSH_BYTES, max_records: int = FLUSH_RECORDS, max_age: int = FLUSH_AGE_SECS) -> DataFrame:
-    """records (lane, off, ts, size) with flush_no and flush_trigger, which is null but for a flush's last record.
+#: Offsets of a source partition that one lane may reach over: more of them are files of their own, written side by side.
+LANE_OFFSETS = 1 << 22
+MICROSECONDS = 1_000_000
 
-    After a record is added, the buffer is flushed if it holds max_bytes or more (`size`), max_records or more
-    (`records`), or if max_age seconds or more have gone since the last flush or the lane's beginning (`age`), in
-    this order. What is left at a lane's end is flushed then, without a trigger.
-    """
 
-    def make_step():
-        held, n, number, since = 0, 0, 0, None
+class Limits(NamedTuple):
+    """After a record is added, the buffer is flushed if it holds flush_bytes or more (`size`), flush_records or more
+    (`records`), or if flush_secs or more have gone since the last flush or the lane's beginning (`age`), in this
+    order. Before a flush is written, its lane's open file is closed if it holds roll_bytes or more (`size`), or else
+    if roll_secs whole seconds or more have gone since it was opened (`age`). Times are the records' own."""
 
-        def step(size, ts):
-            nonlocal held, n, number, since
-            since = ts if since is None else since
-            held, n = held + size, n + 1
-            trigger = "size" if held >= max_bytes else "records" if n >= max_records else "age" if (ts - since).total_seconds() >= max_age else None
-            out = (number, trigger)
-            if trigger:
-                held, n, number, since = 0, 0, number + 1, ts
-            return out
+    flush_bytes: int = 1 << 20
+    flush_records: int = 100_000
+    flush_secs: int = 60
+    roll_bytes: int = 1 << 30
+    roll_secs: int = 300
 
-        return step
-
-    return _folded(records, LANE, ["off"], ["size", "ts"], make_step, "flush_no int, flush_trigger string")
-
-
-def flushes(plan: DataFrame) -> DataFrame:
-    """One row for each flush of a flush_plan: lane, flush_no, n_records, bytes, flushed_at, flush_trigger."""
-    return plan.groupBy(*LANE, "flush_no").agg(
-        F.count("*").alias("n_records"), F.sum("size").alias("bytes"), F.max("ts").alias("flushed_at"), F.max("flush_trigger").alias("flush_trigger")
-    )
-
-
-def roll_plan(blocks: DataFrame, max_bytes: int = ROLL_BYTES, max_age: int = ROLL_SECS) -> DataFrame:
-    """blocks (lane, flush_no, bytes, flushed_at) with file_no and opened_at.
-
-    Before a block is written, its lane's open file is closed if it holds max_bytes or more, or else if max_age
-    whole seconds or more have gone since it was opened; so a file reaches over the limit by one block at most.
-    """
-
-    def make_step():
-        held, number, opened = 0, 0, None
-
-        def step(size, at):
-            nonlocal held, number, opened
-            if opened is not None and (held >= max_bytes or int((at - opened).total_seconds()) >= max_age):
-                held, number, opened = 0, number + 1, None
-            opened = at if opened is None else opened
-            held += size
-            return number, opened
-
-        return step
-
-    return _folded(blocks, LANE, ["flush_no"], ["bytes", "flushed_at"], make_step, "file_no int, opened_at timestamp")
 
+def roll_window(at: Column, seconds: int) -> Column:
+    """The start of the roll window that a time lies in: files never reach over it."""
+    return F.window(at, f"{seconds} seconds")["start"]
 
-def file_ledger(rolled: DataFrame, max_bytes: int = ROLL_BYTES, max_age: int = ROLL_SECS) -> DataFrame:
-    """One row for each file of a roll_plan: lane, file_no, opened_at, n_blocks, n_records, bytes and roll_trigger:
-    what closed it before its lane's next block, or `end`."""
-    files = rolled.groupBy(*LANE, "file_no").agg(
-        F.min("opened_at").alias("opened_at"), F.count("*").alias("n_blocks"), F.sum("n_records").alias("n_records"), F.sum("bytes").alias("bytes")
-    )
-    last = F.lead("file_no").over(Window.partitionBy(*LANE).orderBy("file_no")).isNull()
-    return files.withColumn("roll_trigger", F.when(last, "end").when(F.col("bytes") >= max_bytes, "size").otherwise("age"))
 
+def _first_from(times: np.ndarray, at: int, stop: int, bound: int) -> int:
+    """The first position from `at` up to `stop` whose time is `bound` or later; else one past stop."""
+    width = 64
+    while at <= stop:
+        hit = np.flatnonzero(times[at : min(at + width, stop + 1)] >= bound)
+        if len(hit):
+            return at + int(hit[0])
+        at, width = at + width, 2 * width
+    return stop + 1
+
+
+def flush_end(ends: np.ndarray, times: np.ndarray, at: int, held: int, n_held: int, since: int, limits: Limits) -> tuple[int, str | None]:
+    """The last record of the flush that record `at` belongs to, and what ends it; null where all records from `at` on
+    go in without reaching a limit. ends: the records' cumulated sizes; times: in microseconds; held, n_held: bytes and
+    records that the buffer holds before `at`; since: when it was last flushed."""
+    before = int(ends[at - 1]) if at else 0
+    by_size = int(np.searchsorted(ends, before + limits.flush_bytes - held))
+    by_records = at + limits.flush_records - n_held - 1
+    most = min(by_size, by_records)
+    by_age = _first_from(times, at, min(most, len(ends) - 1), since + limits.flush_secs * MICROSECONDS)
+    if by_age < min(most, len(ends)):
+        return by_age, "age"
+    if most >= len(ends):
+        return len(ends) - 1, None
+    return most, "size" if by_size <= by_records else "records"
+
+
+def flushes(manifest: DataFrame) -> DataFrame:
+    """One row for each flush of an archive's manifest: lane, flush_no, n_records, bytes, flushed_at, flush_trigger,
+    which is null for what was left at a lane's end."""
+    return manifest.select(*LANE, "flush_no", "n_records", F.col("raw_bytes").alias("bytes"), "flushed_at", "flush_trigger")
+
+
+def files(manifest: DataFrame) -> DataFrame:
+    """One row for each file of an archive's manifest: lane, file_no, opened_at, n_blocks, n_records, bytes (before
+    compression) and roll_trigger: what closed it before its lane's next flush, or `end`."""
+    return manifest.groupBy(*LANE, "file_no").agg(
+        F.first("opened_at").alias("opened_at"), F.count("*").alias("n_blocks"), F.sum("n_records").alias("n_records"), F.sum("raw_bytes").alias("bytes"),
+        F.first("roll_trigger").alias("roll_trigger"),
+    )
 
-def sequence_numbers(files: DataFrame, stem: Column) -> DataFrame:
-    """files with seq: how many files of the same lane and stem (the key without its number) came before."""
-    return files.withColumn("stem", stem).withColumn("seq", F.row_number().over(Window.partitionBy("destination", "part", "stem").orderBy("window", "file_no")) - 1)

@@ -2,35 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftvault.functions.json_fields import MAX_DEPTH
 from driftvault.functions.segments import is_storable
 
 #: Why records are dropped.
 DROP_REASONS = ("refused", "dlq_too_large", "too_deep", "unreplayable")
+#: What dead letters say of why they are there.
+TOO_DEEP = f"payload nesting exceeds the maximum parse depth of {MAX_DEPTH}"
+REFUSED, FILTERED = "storage_write_failed: ", "inbound filter"
+
+
+def _settled(reason: Column, size: Column, dlq: bool, max_dlq_bytes: int) -> dict[str, Column]:
+    """status and final reason for a reason to reject (null: none)."""
+    too_large = F.lit(dlq) & reason.isNotNull() & (size > max_dlq_bytes)
+    status = F.when(reason.isNull(), "delivered").when(F.lit(not dlq) | too_large, "dropped").otherwise("rejected")
+    return {"status": status, "reason": F.when(too_large, "dlq_too_large").otherwise(reason)}
 
 
 def outcomes(routed: DataFrame, dlq: bool = True, max_dlq_bytes: int = 1_000_000) -> DataFrame:
-    """routed records (with `key`, the file key) with status and reason.
+    """routed records (with `key`, the file key, and perhaps `inbound`, what an inbound filter says) with status,
+    reason and reason_text.
 
-    delivered: archived. rejected: too deeply nested, or the store refuses the key; the dead-letter output holds it.
-    dropped: rejected, but there is no dead-letter output or it cannot hold the payload.
+    delivered: archived. filtered: an inbound filter drops it. rejected: too deeply nested, refused by the store or by
+    an inbound filter; the dead-letter output holds it. dropped: rejected, but there is no dead-letter output or it
+    cannot hold the payload.
     """
+    inbound = F.col("inbound") if "inbound" in routed.columns else F.lit(None).cast("string")
     refused = ~F.coalesce(is_storable(F.col("key")), F.lit(True))
-    reason = F.when(F.col("too_deep"), "too_deep").when(refused, "refused")
-    size = F.octet_length(F.col("value").cast("string"))
-    status = F.when(reason.isNull(), "delivered").when(F.lit(not dlq) | (size > max_dlq_bytes), "dropped").otherwise("rejected")
-    return routed.withColumn("status", status).withColumn(
-        "reason", F.when(F.lit(dlq) & (F.col("status") == "dropped"), "dlq_too_large").otherwise(reason)
+    reason = F.when(inbound == "reject", "filtered").when(F.col("too_deep"), "too_deep").when(refused, "refused")
+    text = F.when(inbound == "reject", FILTERED).when(F.col("too_deep"), TOO_DEEP).when(refused, REFUSED + "invalid path")
+    settled = _settled(reason, F.octet_length("value"), dlq, max_dlq_bytes)
+    dropped = F.coalesce(inbound == "drop", F.lit(False))
+    return routed.withColumns({
+        "status": F.when(dropped, "filtered").otherwise(settled["status"]), "reason": F.when(~dropped, settled["reason"]), "reason_text": F.when(~dropped, text),
+    })
+
+
+def with_refusals(ledger: DataFrame, manifest: DataFrame, dlq: bool = True, max_dlq_bytes: int = 1_000_000) -> DataFrame:
+    """An outcomes ledger after its archive was written: the records of flushes that the store refused for good
+    (manifest rows with `refusal`) are rejected or dropped in place of delivered."""
+    refusals = manifest.filter("refusal IS NOT NULL").select(
+        "destination", F.col("part").alias("part"), F.col("window").alias("window"), "first_off", "last_off", "refusal"
     )
+    if refusals.isEmpty():
+        return ledger
+    inside = ["destination", "part", "window"]
+    bad = ledger.filter("status = 'delivered'").join(refusals, inside).filter("off BETWEEN first_off AND last_off").drop("first_off", "last_off")
+    settled = _settled(F.lit("refused"), F.octet_length("value"), dlq, max_dlq_bytes)
+    bad = bad.withColumns(settled).withColumn("reason_text", F.concat(F.lit(REFUSED), "refusal")).drop("refusal")
+    rest = ledger.join(bad.select("topic", "part", "off"), ["topic", "part", "off"], "left_anti")
+    return rest.unionByName(bad)
 
 
 def dead_letters(ledger: DataFrame, service: str = "driftvault") -> DataFrame:
     """The dead-letter entries of an outcomes ledger, one for each rejected record."""
+    time = ["ts"] if "ts" in ledger.columns else []
     return ledger.filter("status = 'rejected'").select(
-        F.lit(service).alias("service"), "reason", F.col("value").alias("payload"),
-        F.coalesce("destination", "topic").alias("destination"), F.col("topic").alias("src_topic"), F.col("part").alias("src_partition"), F.col("off").alias("src_offset"),
+        F.lit(service).alias("service"), "reason", "reason_text", F.col("value").alias("payload"),
+        F.coalesce("destination", "topic").alias("destination"), F.col("topic").alias("src_topic"), F.col("part").alias("src_partition"), F.col("off").alias("src_offset"), *time,
     )
 
 

@@ -1,41 +1,12 @@
-"""What to do with files that a stopped run left staged, and where restored paths came from."""
+"""What file keys tell."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from driftvault.functions.segments import segment_value
 
-#: Why staged files are moved aside, and why they are removed.
-QUARANTINE_REASONS = ("unreadable", "incomplete", "corrupt", "no_store")
-REMOVAL_REASONS = ("replayed", "quarantine_full")
-
-
-def classify_staged(files: DataFrame, source_replays: bool) -> DataFrame:
-    """files (path, n_bytes, block_bytes: array of the manifest's block lengths, null without a manifest) with
-    action and reason.
-
-    A source that replays brings the records again, so staged files are removed (`replayed`). Otherwise a file that
-    is as long as its blocks is uploaded; one that is shorter (`incomplete`), has more than its blocks (`corrupt`)
-    or no manifest (`unreadable`) is moved aside.
-    """
-    stated = F.aggregate("block_bytes", F.lit(0).cast("long"), lambda a, b: a + b)
-    if source_replays:
-        return files.withColumns({"action": F.lit("remove"), "reason": F.lit("replayed")})
-    reason = F.when(F.col("block_bytes").isNull(), "unreadable").when(F.col("n_bytes") < stated, "incomplete").when(F.col("n_bytes") > stated, "corrupt")
-    return files.withColumns({"action": F.when(reason.isNull(), "upload").otherwise("quarantine"), "reason": reason})
-
-
-def cap_quarantine(files: DataFrame, cap: int, folder: str = "folder") -> DataFrame:
-    """classify_staged's files, in which those to be moved aside are removed (`quarantine_full`) where the ones before
-    them in their folder's order of paths already hold cap bytes or more together."""
-    before = F.sum(F.when(F.col("action") == "quarantine", F.col("n_bytes")).otherwise(0)).over(
-        Window.partitionBy(folder).orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    full = (F.col("action") == "quarantine") & (F.coalesce(before, F.lit(0)) >= cap)
-    return files.withColumns({"action": F.when(full, "remove").otherwise(F.col("action")), "reason": F.when(full, "quarantine_full").otherwise(F.col("reason"))})
-
 
 def parse_key(key: Column, n_fields: int, keyed_by_topic: bool = True) -> dict[str, Column]:
     """What a file key tells: topic, the routing fields' values, seq and token."""
@@ -47,8 +18,3 @@ def parse_key(key: Column, n_fields: int, keyed_by_topic: bool = True) -> dict[s
         "seq": F.regexp_extract(name, r"-(\d{4,})-[0-9a-f]{16}\.", 1).cast("int"),
         "token": F.regexp_extract(name, r"-([0-9a-f]{16})\.", 1),
     }
-
-
-def hive_folder(destination: Column, at: Column) -> Column:
-    """A folder in Hive's layout, whose parts Spark prunes when it reads: <destination>/year=/month=/day=/hour=."""
-    return F.concat(destination, F.date_format(at, "'/year='yyyy'/month='MM'/day='dd'/hour='HH"))

@@ -9,9 +9,16 @@ from dataclasses import dataclass, field
 
 from driftvault.functions.codecs import codec_name
 from driftvault.functions.templates import PLACEHOLDERS, unknown_placeholders
+from driftvault.operators.archive import Layout
+from driftvault.operators.batching import Limits
 from driftvault.operators.routing import DEFAULT_FIELDS
+from driftvault.sources.stores import Store, parse_destination
 
 PREFIX = "DRIFTVAULT_"
+#: How the dead-letter outputs are used where both are there.
+DLQ_MODES = ("cascade", "fan_out", "file_only", "kafka_only")
+
+# The defaults of the sections below are fixed values: what a configuration means that leaves a setting out.
 
 
 @dataclass
@@ -46,6 +53,12 @@ class Archive:
     multipart_chunk_size: int = 8 << 20
     bucket: str | None = None
     endpoint: str | None = None
+    region: str | None = None
+    access_key: str | None = None
+    secret_key: str | None = None
+    account: str | None = None
+    allow_http: bool = False
+    service_account_key: str | None = None
 
 
 @dataclass
@@ -71,10 +84,30 @@ class Compression:
     enabled: bool = True
 
 
+@dataclass
+class DlqFile:
+    enabled: bool = True
+    path: str | None = None
+    rotation: str = "hourly"
+    max_age_days: int = 30
+    compress_rotated: bool = True
+
+
+@dataclass
+class DlqKafka:
+    enabled: bool = True
+    routing: str = "common"
+    topic_suffix: str = ".dlq"
+    common_topic: str = "driftvault_dlq"
+
+
 @dataclass
 class Dlq:
     enabled: bool = True
+    mode: str = "cascade"
     max_bytes: int = 1_000_000
+    file: DlqFile = field(default_factory=DlqFile)
+    kafka: DlqKafka = field(default_factory=DlqKafka)
 
 
 class ConfigError(ValueError):
@@ -95,27 +128,32 @@ class Config:
     @classmethod
     def load(cls, values: dict | None = None, env: dict[str, str] | None = None) -> Config:
         """Defaults, with `values` over them and the environment over both: PREFIX + SECTION_KEY. An empty variable
-        is as good as none."""
-        config = cls()
-        for section in dataclasses.fields(cls):
-            given = (values or {}).get(section.name)
-            if section.name == "transport":
-                config.transport = (env if env is not None else os.environ).get(f"{PREFIX}TRANSPORT") or given or config.transport
-                continue
-            part = getattr(config, section.name)
-            for key in dataclasses.fields(part):
-                text = (env if env is not None else os.environ).get(f"{PREFIX}{section.name}_{key.name}".upper())
-                if text:
-                    setattr(part, key.name, _parsed(text, key.type))
-                elif given and given.get(key.name) is not None:
-                    setattr(part, key.name, given[key.name])
+        is as good as none, and what a block leaves out or sets to null keeps its default, however deep it lies."""
+        config = _filled(cls(), values or {}, os.environ if env is None else env, PREFIX)
         if config.kafka.sasl_username and config.kafka.sasl_password and not config.kafka.sasl_mechanism:
             config.kafka.sasl_mechanism = "PLAIN"
         return config
 
+    @classmethod
+    def from_files(cls, path: str | None = None, env_file: str | None = None, env: dict[str, str] | None = None) -> Config:
+        """load() of a YAML or JSON file, under the variables of env_file, under those of the environment."""
+        values: dict = {}
+        if path:
+            with open(path, encoding="utf-8") as f:
+                values = _parsed_file(f.read(), path) or {}
+        variables: dict[str, str] = {}
+        if env_file and os.path.exists(env_file):
+            with open(env_file, encoding="utf-8") as f:
+                variables = env_values(f.read())
+        given = {k: v for k, v in (os.environ if env is None else env).items() if v}
+        return cls.load(values, variables | given)
+
     def is_direct(self) -> bool:
         return self.transport == "grpc"
 
+    def is_acknowledged(self) -> bool:
+        return self.grpc.acknowledgements if self.is_direct() else self.kafka.acknowledgements
+
     def holds_offsets(self) -> bool:
         return not self.is_direct() and self.kafka.acknowledgements
 
@@ -145,25 +183,67 @@ class Config:
 
     def guarantee(self) -> tuple[str, str | None]:
         """The delivery guarantee, and what keeps it from being more."""
-        acks = self.grpc.acknowledgements if self.is_direct() else self.kafka.acknowledgements
-        if not acks:
+        if not self.is_acknowledged():
             return "best_effort", "acks_disabled"
         return ("best_effort", "sink_cannot_confirm") if self.is_direct() else ("at_least_once", None)
 
     def backend(self) -> str:
-        for schemes, name in ((("s3://",), "s3"), (("gs://", "gcs://"), "gcs"), (("az://", "azure://"), "azure")):
-            if self.archive.destination.startswith(schemes):
-                return name
+        """The store's label: by scheme, else `minio` where an endpoint is given, else `file`."""
+        if "://" in self.archive.destination:
+            scheme = parse_destination(self.archive.destination)[0]
+            if scheme != "file":
+                return {"gs": "gcs", "az": "azure"}.get(scheme, scheme)
         return "minio" if self.archive.endpoint else "file"
 
+    def bucket(self) -> str | None:
+        """The block's bucket, else the destination's."""
+        return self.archive.bucket or parse_destination(self.archive.destination)[1]
+
+    def store(self) -> Store:
+        """The destination as tasks open it."""
+        a = self.archive
+        scheme, _, prefix = parse_destination(a.destination)
+        uri = a.destination if scheme == "file" else f"{scheme}://{self.bucket()}/{prefix}"
+        settings = {"key": a.access_key, "secret": a.secret_key, "region": a.region, "endpoint": a.endpoint, "allow_http": a.allow_http or None, "account": a.account}
+        return Store(uri.rstrip("/"), {k: v for k, v in settings.items() if v is not None})
+
+    def tables(self, folder: str) -> str:
+        """The URI by which Spark itself reads and writes tables in a folder of the destination."""
+        scheme, _, prefix = parse_destination(self.archive.destination)
+        if scheme == "file":
+            return f"file://{os.path.abspath(prefix)}/{folder}"
+        at = "/".join(x for x in (prefix, folder) if x)
+        if scheme == "az":
+            return f"abfss://{self.bucket()}@{self.archive.account}.dfs.core.windows.net/{at}"
+        return f"{'gs' if scheme == 'gs' else 's3a'}://{self.bucket()}/{at}"
+
     def hadoop_options(self) -> dict[str, str]:
-        """The destination's settings for Spark's object-store clients."""
-        if self.archive.destination.startswith(("minio://", "s3://")) and self.archive.endpoint:
-            return {
-                "fs.s3a.endpoint": self.archive.endpoint, "fs.s3a.path.style.access": "true",
-                "fs.s3a.multipart.size": str(self.archive.multipart_chunk_size), "fs.s3a.fast.upload.active.blocks": "4",
+        """The destination's settings for Spark's own object-store clients, as options of a reader or writer."""
+        a, scheme = self.archive, parse_destination(self.archive.destination)[0]
+        if scheme in ("s3", "minio"):
+            given = {
+                "fs.s3a.endpoint": a.endpoint, "fs.s3a.endpoint.region": a.region, "fs.s3a.access.key": a.access_key, "fs.s3a.secret.key": a.secret_key,
+                "fs.s3a.path.style.access": "true" if a.endpoint else None, "fs.s3a.connection.ssl.enabled": "false" if a.allow_http else None,
+                "fs.s3a.multipart.size": str(a.multipart_chunk_size) if a.multipart_chunk_size else None, "fs.s3a.fast.upload.active.blocks": "4",
             }
-        return {}
+        elif scheme == "gs":
+            given = {"fs.gs.storage.root.url": a.endpoint, "fs.gs.auth.service.account.json.keyfile": None}
+        elif scheme == "az" and a.account:
+            given = {f"fs.azure.account.key.{a.account}.dfs.core.windows.net": a.secret_key}
+        else:
+            given = {}
+        return {k: v for k, v in given.items() if v is not None}
+
+    def dead_letters_kept(self) -> bool:
+        """Whether there is a dead-letter output: a direct transport has no broker to send them to, so there it is off."""
+        return self.dlq.enabled and not self.is_direct()
+
+    def limits(self) -> Limits:
+        b = self.buffer
+        return Limits(b.flush_bytes, b.flush_records, b.flush_age_secs, self.archive.roll_size_bytes, self.roll_interval_secs())
+
+    def layout(self) -> Layout:
+        return Layout(self.archive.path_template, self.archive.file_extension, self.codec(), self.compression.level)
 
     def validate(self) -> None:
         """Raises ConfigError with the first rule that is broken."""
@@ -181,12 +261,30 @@ class Config:
             (self.compression.codec in ("none", "zstd", "lz4", "snappy", "gzip"), f"compression.codec {self.compression.codec!r} is unknown"),
             (self.routing.mode in ("topic", "expression"), f"routing.mode must be topic or expression, not {self.routing.mode!r}"),
             (self.routing.mode != "expression" or bool(self.effective_fields()), "routing.expression_fields must not be empty"),
+            ((a.service_account_key or "{").lstrip().startswith("{"), "archive.service_account_key holds the key's JSON itself, not a path"),
+            (self.dlq.mode in DLQ_MODES, f"dlq.mode must be one of {', '.join(DLQ_MODES)}, not {self.dlq.mode!r}"),
+            (self.dlq.file.rotation in ("hourly", "daily"), f"dlq.file.rotation must be hourly or daily, not {self.dlq.file.rotation!r}"),
+            (not (self.dead_letters_kept() and self.routing.mode == "expression" and self.dlq.kafka.enabled and self.dlq.mode != "file_only" and self.dlq.kafka.routing == "per_table"),
+             "dlq.kafka.routing: per_table names topics after destinations, which expression routing puts a / in; use common"),
         ]
         for holds, message in rules:
             if not holds:
                 raise ConfigError(message)
 
 
+def _filled(part, given: dict, env: dict[str, str], prefix: str):
+    """part, a dataclass with its defaults, with what `given` has over them and the variables PREFIX_KEY over both."""
+    for key in dataclasses.fields(part):
+        value, name = given.get(key.name), f"{prefix}{key.name}".upper()
+        if dataclasses.is_dataclass(getattr(part, key.name)):
+            setattr(part, key.name, _filled(getattr(part, key.name), value or {}, env, f"{name}_"))
+        elif env.get(name):
+            setattr(part, key.name, _parsed(env[name], key.type))
+        elif value is not None:
+            setattr(part, key.name, value)
+    return part
+
+
 def _parsed(text: str, kind: str):
     if "list" in kind:
         return [x.strip() for x in text.split(",") if x.strip()]
@@ -195,24 +293,20 @@ def _parsed(text: str, kind: str):
     return int(text) if "int" in kind else text
 
 
-def parse_destination(url: str) -> tuple[str, str | None, str]:
-    """(scheme, bucket, prefix) of a destination; schemes other than the known ones are errors."""
-    scheme, sep, rest = url.partition("://")
-    if not sep or scheme == "file":
-        return "file", None, rest if sep else url
-    scheme = {"gcs": "gs", "azure": "az"}.get(scheme, scheme)
-    if scheme not in ("s3", "minio", "gs", "az"):
-        raise ConfigError(f"{url}: unknown scheme {scheme}")
-    bucket, _, prefix = rest.partition("/")
-    return scheme, bucket, prefix.strip("/")
-
-
-def spool_budget(total: int | None) -> dict[str, int]:
-    """A declared budget of local space, in ninths: eight for staged files, one each for free space and quarantine."""
-    if total is None:
-        return {"staged": 8 << 30, "min_free": 1 << 30, "quarantine": 1 << 30}
-    ninth = total // 9
-    return {"staged": 8 * ninth, "min_free": ninth, "quarantine": ninth}
+def _parsed_file(text: str, path: str):
+    if path.endswith(".json"):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as e:
+        raise ConfigError(f"{path}: YAML needs the yaml package; JSON is read without it") from e
+    return yaml.safe_load(text)
+
+
+def env_values(text: str) -> dict[str, str]:
+    """The variables of a .env file: KEY=VALUE lines, with or without `export` and quotes; # begins a comment line."""
+    lines = [x.strip().removeprefix("export ").partition("=") for x in text.splitlines() if "=" in x and not x.lstrip().startswith("#")]
+    return {k.strip(): v.strip().strip("\"'") for k, _, v in lines}
 
 
 def as_json(config: Config) -> str:

@@ -9,10 +9,12 @@ from driftvault.functions import json_fields, segments, templates
 from driftvault.sources.shared import shared_folder
 from driftvault.operators import archive, batching, delivery, metrics, recovery, routing, topics
 from driftvault.sources.records import EVENT_RECORDS, event_records
+from driftvault.sources.stores import Store
 
 #: Small limits, so that small tables have flushes and rolls of every kind.
-FLUSH = {"max_bytes": 1500, "max_records": 12, "max_age": 21_600}
-ROLL = {"max_bytes": 3000, "max_age": 43_200}
+FLUSH = {"flush_bytes": 1500, "flush_records": 12, "flush_secs": 21_600}
+ROLL = {"roll_bytes": 3000, "roll_secs": 43_200}
+UNLIMITED = {"flush_bytes": 1 << 60, "flush_records": 1 << 30, "flush_secs": 1 << 31, "roll_bytes": 1 << 60, "roll_secs": 1 << 31}
 DAY = 86_400
 
 
@@ -24,33 +26,30 @@ def _destinations(df: DataFrame) -> DataFrame:
     return df.groupBy("destination").agg(F.count("*").alias("n_records"), F.min("off").alias("first_off"), F.max("off").alias("last_off"))
 
 
-def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Routed records by day, with their archived size."""
-    df = routed(spark, sf_dir).filter("destination IS NOT NULL")
-    # the source of equal offsets in a lane is told by the event
-    return df.select("destination", "part", batching.roll_window(F.col("ts"), DAY).alias("window"), F.col("event_id").alias("off"), "ts", (F.octet_length("value") + 1).cast("long").alias("size"))
+def archived(spark: SparkSession, sf_dir: str, template: str = "{year}/{month}/{day}", **limits: int) -> DataFrame:
+    """The manifest of all routed records, written uncompressed in lanes of a day; the source of equal offsets in a
+    lane is told by the event."""
+    df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), DAY)).withColumn("off", F.col("event_id"))
+    root = shared_folder(spark, "archive")
+    layout = archive.Layout(template, codec="none")
+    manifest = archive.write_archive(df, f"{root}/data", "plain", layout, batching.Limits(**(UNLIMITED | limits)))
+    manifest.write.parquet(f"{root}/manifest")
+    return spark.read.parquet(f"{root}/manifest")
 
 
 def _flush_query(**limits):
-    unlimited = {"max_bytes": 1 << 60, "max_records": 1 << 60, "max_age": 1 << 40}
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return batching.flushes(batching.flush_plan(lanes(spark, sf_dir), **(unlimited | limits)))
-
-    return query
+    return lambda spark, sf_dir: batching.flushes(archived(spark, sf_dir, **limits))
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = batching.flushes(batching.flush_plan(lanes(spark, sf_dir), **FLUSH))
-    return batching.file_ledger(batching.roll_plan(blocks, **ROLL), **ROLL)
+    return batching.files(archived(spark, sf_dir, **FLUSH, **ROLL))
 
 
 def file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    template = "{year}/{month}/{day}/{hour}{minute}-{timestamp}"
-    stem = templates.expand_template(template, F.col("opened_at"))
-    numbered = batching.sequence_numbers(files(spark, sf_dir), stem)
-    key = templates.file_key(F.col("destination"), template, F.col("opened_at"), F.col("seq"), F.lit("0123456789abcdef"))
-    return numbered.select("destination", "part", "file_no", "seq", key.alias("file_key"))
+    """The names of the files that were written, but for the writer's token."""
+    written = archived(spark, sf_dir, "{year}/{month}/{day}/{hour}{minute}-{timestamp}", **FLUSH, **ROLL)
+    key = F.regexp_replace("path", r"-[0-9a-f]{16}\.", "-0123456789abcdef.")
+    return written.select("destination", "part", "file_no", "seq", key.alias("file_key")).distinct()
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +59,7 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Strings that make bad path segments.
-ADVERSARIAL = ["", ".", "..", "...", ".hidden", "../../x", "/etc/passwd", "a/b", "a\\b", "a=b", "a b", "café", "漢字", "=41", "cisco_ios.log"]
+ADVERSARIAL = ["", ".", "..", *(f"x{c}y" for c in " !#%&()*+,/:;<=>?@[]^{|}~"), "..".join("/" * 3), "=3D", "naïve", "ключ", "🙂", "UPPER-lower_09.txt", "-" * 40]
 
 
 def segment_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,14 +82,23 @@ def commit_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lag_per_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    positions = event_records(spark, sf_dir).groupBy("topic", "part").agg(F.max("off").alias("latest"), F.percentile("off", 0.5).cast("long").alias("position"))
-    return metrics.lag(positions)
+    """How far a reader that has taken all records of the first half of the time is behind."""
+    df = event_records(spark, sf_dir)
+    ts = F.col("ts").cast("timestamp")
+    first, last = df.agg(F.unix_micros(F.min(ts)), F.unix_micros(F.max(ts))).first()
+    half = F.timestamp_micros(F.lit(((first or 0) + (last or 0)) // 2))
+    position = F.coalesce(F.max(F.when(ts < half, F.col("off"))) + 1, F.min("off"))
+    return metrics.lag(df.groupBy("topic", "part").agg((F.max("off") + 1).alias("latest"), position.alias("position")))
+
+
+#: Some of these are patterns of internal topics, which stay out even so.
+INCLUDED = ("^web", "^events", "^__", "^_schemas")
 
 
 def topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = event_records(spark, sf_dir).groupBy("topic").agg(F.count("*").alias("n_records"))
     internal = spark.createDataFrame([(t, 0) for t in ("__consumer_offsets", "events_dlq", "connect-status", "_schemas")], "topic string, n_records long")
-    return topics.select_topics(df.unionByName(internal), include=("^web", "^events", "^__", "^_schemas"))
+    return topics.select_topics(df.unionByName(internal), include=INCLUDED)
 
 
 def land_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,10 +109,9 @@ def _roundtrip(codec: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = routed(spark, sf_dir)
         df = df.withColumn("window", batching.roll_window(F.col("ts"), 10 * DAY)).withColumn("off", F.col("event_id"))
-        df = df.withColumn("folder", F.concat("destination", F.lit("/"), templates.expand_template("{year}/{month}/{day}", F.col("window"))))
         root = shared_folder(spark, f"archive-{codec}")
-        manifest = archive.write_archive(df, f"{root}/data", "roundtrip", codec, flush_bytes=20_000, roll_bytes=100_000)
-        manifest.write.parquet(f"{root}/manifest")
+        limits = batching.Limits(flush_bytes=20_000, roll_bytes=100_000, flush_secs=DAY, roll_secs=10 * DAY)
+        archive.write_archive(df, f"{root}/data", "roundtrip", archive.Layout("{year}/{month}/{day}", codec=codec), limits).write.parquet(f"{root}/manifest")
         back = archive.restore(spark.read.parquet(f"{root}/manifest"), f"{root}/data", codec)
         return back.groupBy("destination").agg(
             F.count("*").alias("n_records"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.min("value").alias("first_value"), F.max("value").alias("last_value")
@@ -114,14 +121,15 @@ def _roundtrip(codec: str):
 
 
 def restore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads with line ends in them, archived by source and restored."""
+    """Payloads with line ends in them, archived by source and restored. A source's documents are dealt to lanes of
+    a few thousand each."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     df = docs.select(
-        segments.path_segment(F.col("source")).alias("destination"), F.lit(0).alias("part"), F.lit(None).cast("timestamp").alias("window"),
-        F.col("doc_id").alias("off"), segments.path_segment(F.col("source")).alias("folder"), F.col("text").alias("value"),
-    ).fillna({"destination": "default", "folder": "default"})
+        F.coalesce(segments.path_segment(F.col("source")), F.lit("default")).alias("destination"), F.lit(0).alias("part"), F.timestamp_seconds(F.lit(0)).alias("window"),
+        F.col("doc_id").alias("off"), F.timestamp_seconds(F.lit(0)).alias("ts"), F.col("text").alias("value"),
+    )
     root = shared_folder(spark, "archive-documents")
-    archive.write_archive(df.withColumn("window", F.timestamp_seconds(F.lit(0))), f"{root}/data", "documents").write.parquet(f"{root}/manifest")
+    archive.write_archive(df, f"{root}/data", "documents", lane_offsets=20_000).write.parquet(f"{root}/manifest")
     back = archive.restore(spark.read.parquet(f"{root}/manifest"), f"{root}/data")
     return back.select(F.sha2(F.encode("value", "UTF-8"), 256).alias("value_sha256"), "destination")
 
@@ -149,24 +157,36 @@ def key_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("event_id", key.alias("key")).select("event_id", *[c.alias(n) for n, c in recovery.parse_key(F.col("key"), 2).items()])
 
 
-def staged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged files as a crash leaves them, one for each event: whole, cut short, too long, or without a manifest."""
-    kind, n = F.col("event_id") % 5, F.col("event_id") % 700
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        (F.col("user_id") % 20).alias("folder"), F.lpad(F.col("event_id").cast("string"), 9, "0").alias("path"),
-        F.when(kind == 1, n).when(kind == 2, n + 60).otherwise(n + 50).alias("n_bytes"), F.when(kind != 3, F.array(n, F.lit(50).cast("long"))).alias("block_bytes"),
-    )
+def recovery_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive's files held against its manifest, and how many are in which state."""
+    root = shared_folder(spark, "archive")
+    df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), DAY)).withColumn("off", F.col("event_id"))
+    archive.write_archive(df, f"{root}/data", "audit", limits=batching.Limits(**UNLIMITED)).write.parquet(f"{root}/manifest")
+    found = archive.compare_with_files(spark.read.parquet(f"{root}/manifest"), Store(f"{root}/data").list(spark))
+    return found.groupBy("state").agg(F.count("*").alias("n_files"))
 
 
-def recovery_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recovery.cap_quarantine(recovery.classify_staged(staged_files(spark, sf_dir), False), 5000).select("path", "action", F.coalesce("reason", F.lit("")).alias("reason"))
+def compression_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks' bytes before and after compression by destination; without compression the two are equal."""
+    return metrics.compression_ratio(archived(spark, sf_dir, flush_bytes=20_000))
+
+
+def read_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the second flush of each lane, read by its place in its file alone."""
+    root = shared_folder(spark, "archive")
+    df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), 10 * DAY)).withColumn("off", F.col("event_id"))
+    archive.write_archive(df, f"{root}/data", "blocks", limits=batching.Limits(**(UNLIMITED | {"flush_records": 5}))).write.parquet(f"{root}/manifest")
+    one = spark.read.parquet(f"{root}/manifest").filter("flush_no = 1")
+    return archive.restore(one, f"{root}/data").select("destination", "part", "pos", "value")
 
 
 QUERIES = {
-    "flushes_by_trigger": lambda s, d: metrics.counts_by_trigger(batching.flushes(batching.flush_plan(lanes(s, d), **FLUSH)), "flush_trigger"),
+    "flushes_by_trigger": lambda s, d: metrics.counts_by_trigger(batching.flushes(archived(s, d, **FLUSH)), "flush_trigger"),
     "rolls_by_trigger": lambda s, d: metrics.counts_by_trigger(files(s, d), "roll_trigger"),
     "key_parse": key_parse,
     "recovery_classify": recovery_classify,
+    "compression_ratio": compression_ratio,
+    "read_block": read_block,
     "route_expression": lambda s, d: _destinations(routed(s, d)),
     "route_topic": lambda s, d: _destinations(routing.route_by_topic(event_records(s, d))),
     "route_two_fields": lambda s, d: _destinations(routed(s, d, ("_org_id", "event_type"))),
@@ -182,13 +202,13 @@ QUERIES = {
     "land_load_suppression": land_load,
     "file_keys": file_keys,
     "unknown_placeholders": unknown_placeholders,
-    "flush_by_size": _flush_query(max_bytes=FLUSH["max_bytes"]),
-    "flush_by_records": _flush_query(max_records=FLUSH["max_records"]),
-    "flush_by_age": _flush_query(max_age=FLUSH["max_age"]),
+    "flush_by_size": _flush_query(flush_bytes=FLUSH["flush_bytes"]),
+    "flush_by_records": _flush_query(flush_records=FLUSH["flush_records"]),
+    "flush_by_age": _flush_query(flush_secs=FLUSH["flush_secs"]),
     "flush_combined": _flush_query(**FLUSH),
     "file_ledger": files,
     "outcomes": lambda s, d: metrics.message_counts(outcomes(s, d)),
-    "dead_letters": lambda s, d: delivery.dead_letters(outcomes(s, d)),
+    "dead_letters": lambda s, d: delivery.dead_letters(outcomes(s, d)).drop("ts"),
     "commit_floor": commit_floor,
     "bytes_by_destination": lambda s, d: metrics.bytes_by_destination(routed(s, d)),
     "lag_per_topic": lag_per_topic,
@@ -216,12 +236,19 @@ def _field(path: str) -> str:
     return f"CASE WHEN trim({text}) <> '' THEN {text} END"
 
 
+#: A payload's brackets outside strings, and how deeply they nest.
+_BRACKETS = """regexp_replace(regexp_replace(value, '"([^"\\\\]|\\\\.)*"', '', 'g'), '[^][{}]', '', 'g')"""
+_DEPTH = """coalesce(list_max(list_transform(range(1, length(brackets) + 1), lambda i:
+      length(translate(brackets[1:i], ']}', '')) - length(translate(brackets[1:i], '[{', '')))), 0)"""
+
+
 def _routed(fields: tuple[str, ...] = ("_org_id",), where: str = "true") -> str:
     """WITH clauses up to `routed`: the records' columns, destination (null: too deep), the fields found and errors."""
     cols = ", ".join(f"CASE WHEN j IS NOT NULL THEN {_field(f)} END AS f{i}" for i, f in enumerate(fields))
     parts = " || '/' || ".join(f"coalesce({_encoded(f'f{i}')}, 'default')" for i in range(len(fields)))
     return f"""WITH records AS ({_RECORDS}),
-    deep AS (SELECT *, event_id % 50 = 16 AS too_deep FROM records WHERE {where}),
+    bracketed AS (SELECT *, {_BRACKETS} AS brackets FROM records WHERE {where}),
+    deep AS (SELECT * EXCLUDE (brackets), {_DEPTH} > 64 AS too_deep FROM bracketed),
     parsed AS (SELECT *, CASE WHEN NOT too_deep AND json_valid(value) THEN value::JSON END AS j FROM deep),
     found AS (SELECT *, {cols} FROM parsed),
     routed AS (
@@ -241,12 +268,12 @@ _LANES = f"""{_routed().replace('WITH records', 'WITH RECURSIVE records', 1)},
       FROM routed WHERE destination IS NOT NULL)"""
 
 
-def _flush_trigger(max_bytes: int, max_records: int, max_age: int) -> str:
-    return f"CASE WHEN held >= {max_bytes} THEN 'size' WHEN n >= {max_records} THEN 'records' WHEN ts >= since + INTERVAL {max_age} SECOND THEN 'age' END"
+def _flush_trigger(flush_bytes: int, flush_records: int, flush_secs: int) -> str:
+    return f"CASE WHEN held >= {flush_bytes} THEN 'size' WHEN n >= {flush_records} THEN 'records' WHEN ts >= since + INTERVAL {flush_secs} SECOND THEN 'age' END"
 
 
-def _flushes(max_bytes: int = 1 << 60, max_records: int = 1 << 60, max_age: int = 1 << 31) -> str:
-    trigger = _flush_trigger(max_bytes, max_records, max_age)
+def _flushes(flush_bytes: int = 1 << 60, flush_records: int = 1 << 60, flush_secs: int = 1 << 31) -> str:
+    trigger = _flush_trigger(flush_bytes, flush_records, flush_secs)
     return f"""{_LANES},
     fold AS (
       SELECT *, {trigger} AS flush_trigger FROM (
@@ -272,14 +299,14 @@ _FILES = f"""{_flushes(**FLUSH)},
              file_no + CASE WHEN rolled THEN 1 ELSE 0 END, CASE WHEN rolled THEN flushed_at ELSE opened_at END
       FROM (
         SELECT b.*, r.held, r.file_no, r.opened_at,
-               r.held >= {ROLL['max_bytes']} OR b.flushed_at >= r.opened_at + INTERVAL {ROLL['max_age']} SECOND AS rolled
+               r.held >= {ROLL['roll_bytes']} OR b.flushed_at >= r.opened_at + INTERVAL {ROLL['roll_secs']} SECOND AS rolled
         FROM rolls r JOIN flushes b ON b.destination = r.destination AND b.part = r.part AND b."window" = r."window" AND b.flush_no = r.flush_no + 1)),
     sums AS (
       SELECT destination, part, "window", file_no, min(opened_at) AS opened_at, count(*) AS n_blocks, sum(n_records)::BIGINT AS n_records, sum(bytes)::BIGINT AS bytes
       FROM rolls GROUP BY ALL),
     files AS (
       SELECT *, CASE WHEN lead(file_no) OVER (PARTITION BY destination, part, "window" ORDER BY file_no) IS NULL THEN 'end'
-                     WHEN bytes >= {ROLL['max_bytes']} THEN 'size' ELSE 'age' END AS roll_trigger
+                     WHEN bytes >= {ROLL['roll_bytes']} THEN 'size' ELSE 'age' END AS roll_trigger
       FROM sums)"""
 
 _OUTCOMES = f"""{_routed()},
@@ -289,7 +316,8 @@ _OUTCOMES = f"""{_routed()},
     outcomes AS (
       SELECT *, CASE status WHEN 'dropped' THEN 'dlq_too_large' WHEN 'rejected' THEN CASE WHEN too_deep THEN 'too_deep' ELSE 'refused' END ELSE '' END AS reason FROM ledger),
     dead_letters AS (
-      SELECT 'driftvault' AS service, reason, value AS payload, coalesce(destination, topic) AS destination,
+      SELECT 'driftvault' AS service, reason, CASE reason WHEN 'too_deep' THEN 'payload nesting exceeds the maximum parse depth of 64' ELSE 'storage_write_failed: invalid path' END AS reason_text,
+             value AS payload, coalesce(destination, topic) AS destination,
              topic AS src_topic, part AS src_partition, off AS src_offset
       FROM outcomes WHERE status = 'rejected')"""
 
@@ -307,13 +335,16 @@ ORACLE_SQL = {
     "key_parse": f"""{_TWO}
 SELECT event_id, topic, coalesce(f0, 'default') AS field_0, coalesce(f1, 'default') AS field_1, part AS seq, '0123456789abcdef' AS token
 FROM routed WHERE j IS NOT NULL AND topic <> ''""",
-    "recovery_classify": """WITH f AS (
-  SELECT user_id % 20 AS folder, lpad(CAST(event_id AS VARCHAR), 9, '0') AS path, event_id % 5 AS kind, event_id % 700 AS n FROM events),
-s AS (SELECT *, CASE kind WHEN 1 THEN n WHEN 2 THEN n + 60 ELSE n + 50 END AS n_bytes FROM f),
-r AS (SELECT *, CASE WHEN kind = 3 THEN 'unreadable' WHEN kind = 1 THEN 'incomplete' WHEN kind = 2 THEN 'corrupt' ELSE '' END AS why FROM s),
-b AS (SELECT *, coalesce(sum(CASE WHEN why <> '' THEN n_bytes ELSE 0 END) OVER (PARTITION BY folder ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held FROM r)
-SELECT path, CASE WHEN why = '' THEN 'upload' WHEN held >= 5000 THEN 'remove' ELSE 'quarantine' END AS action,
-       CASE WHEN why <> '' AND held >= 5000 THEN 'quarantine_full' ELSE why END AS reason FROM b""",
+    "recovery_classify": f"""{_routed()}
+SELECT 'whole' AS state, count(*) AS n_files FROM (SELECT DISTINCT destination, part, date_trunc('day', ts) FROM routed WHERE destination IS NOT NULL)""",
+    "compression_ratio": f"""{_routed()}
+SELECT destination, sum(strlen(value) + 1)::BIGINT AS bytes_compressed, sum(strlen(value) + 1)::BIGINT AS bytes_written, 1.0::DOUBLE AS ratio
+FROM routed WHERE destination IS NOT NULL GROUP BY 1""",
+    "read_block": f"""{_routed()},
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY destination, part, CAST(floor(epoch(ts) / 864000) AS BIGINT) ORDER BY event_id) - 1 AS rn
+  FROM routed WHERE destination IS NOT NULL)
+SELECT destination, part, CAST(rn - 5 AS INT) AS pos, value FROM numbered WHERE rn BETWEEN 5 AND 9""",
     "route_expression": f"{_routed()} {_BY_DESTINATION}",
     "route_topic": f"""WITH records AS ({_RECORDS})
 SELECT CASE WHEN topic = '' THEN 'default' ELSE topic END AS destination, count(*) AS n_records, min(off) AS first_off, max(off) AS last_off FROM records GROUP BY 1""",
@@ -339,18 +370,20 @@ depths AS (SELECT event_id, max(now) AS most FROM sums GROUP BY 1)
 SELECT coalesce(most, 0)::INT AS depth, count(*) AS n_records FROM records LEFT JOIN depths USING (event_id) GROUP BY 1""",
     "too_deep_records": f"{_routed()} SELECT topic AS src_topic, part AS src_partition, off AS src_offset, topic AS destination FROM routed WHERE too_deep",
     "topic_filter": f"""WITH records AS ({_RECORDS})
-SELECT topic, count(*) AS n_records FROM records WHERE regexp_matches(topic, '^web|^events') GROUP BY 1""",
-    "land_load_suppression": f"WITH records AS ({_RECORDS}) SELECT DISTINCT topic FROM records WHERE topic <> 'web_load'",
+SELECT topic, count(*) AS n_records FROM records
+WHERE regexp_matches(topic, '{"|".join(INCLUDED)}') AND NOT regexp_matches(topic, '{"|".join(topics.INTERNAL_TOPICS)}') GROUP BY 1""",
+    "land_load_suppression": f"""WITH records AS ({_RECORDS}), t AS (SELECT DISTINCT topic FROM records)
+SELECT topic FROM t WHERE NOT (ends_with(topic, '_load') AND regexp_replace(topic, '_load$', '_land') IN (SELECT topic FROM t))""",
     "file_keys": f"""{_FILES},
 numbered AS (SELECT *, {_STEM} AS stem FROM files),
 seqs AS (SELECT *, row_number() OVER (PARTITION BY destination, part, stem ORDER BY "window", file_no) - 1 AS seq FROM numbered)
 SELECT destination, part, file_no, CAST(seq AS INT) AS seq,
-       destination || '/' || stem || '-' || lpad(CAST(seq AS VARCHAR), 4, '0') || '-0123456789abcdef.jsonl.zst' AS file_key FROM seqs""",
+       destination || '/' || stem || '-' || lpad(CAST(seq AS VARCHAR), 4, '0') || '-0123456789abcdef.jsonl' AS file_key FROM seqs""",
     "unknown_placeholders": """SELECT * FROM (VALUES ('{year}/{month}', ''), ('{topic}/{year}', '{topic}'), ('{a}{b}{a}', '{a},{b}'),
   ('{seq}-{x{hour}}', ''), ('none', ''), ('{', ''), ('{open/{day}', '')) AS t(template, unknown)""",
-    "flush_by_size": f"{_flushes(max_bytes=FLUSH['max_bytes'])} SELECT * FROM flushes",
-    "flush_by_records": f"{_flushes(max_records=FLUSH['max_records'])} SELECT * FROM flushes",
-    "flush_by_age": f"{_flushes(max_age=FLUSH['max_age'])} SELECT * FROM flushes",
+    "flush_by_size": f"{_flushes(flush_bytes=FLUSH['flush_bytes'])} SELECT * FROM flushes",
+    "flush_by_records": f"{_flushes(flush_records=FLUSH['flush_records'])} SELECT * FROM flushes",
+    "flush_by_age": f"{_flushes(flush_secs=FLUSH['flush_secs'])} SELECT * FROM flushes",
     "flush_combined": f"{_flushes(**FLUSH)} SELECT * FROM flushes",
     "file_ledger": f"{_FILES} SELECT * FROM files",
     "outcomes": f"{_OUTCOMES} SELECT status, reason, count(*) AS n_records FROM outcomes GROUP BY ALL",
@@ -361,7 +394,8 @@ SELECT topic, part, coalesce(min(off) FILTER (errored), max(off) + 1) AS commit_
     "bytes_by_destination": f"""{_routed()}
 SELECT destination, count(*) AS n_records, sum(strlen(value) + 1)::BIGINT AS bytes FROM routed WHERE destination IS NOT NULL GROUP BY 1""",
     "lag_per_topic": f"""WITH records AS ({_RECORDS}),
-p AS (SELECT topic, part, max(off) AS latest, CAST(floor(quantile_cont(off, 0.5)) AS BIGINT) AS pos FROM records GROUP BY ALL)
+h AS (SELECT make_timestamp(CAST(floor((epoch_us(min(ts)) + epoch_us(max(ts))) / 2) AS BIGINT)) AS half FROM records),
+p AS (SELECT topic, part, max(off) + 1 AS latest, coalesce(max(off) FILTER (ts < half) + 1, min(off)) AS pos FROM records, h GROUP BY ALL)
 SELECT topic, sum(greatest(latest - pos, 0))::BIGINT AS lag FROM p GROUP BY 1""",
     "records_per_second": f"""WITH records AS ({_RECORDS})
 SELECT date_trunc('hour', ts) AS window_start, count(*) AS n_records, count(*) / 3600 AS per_second FROM records GROUP BY 1""",

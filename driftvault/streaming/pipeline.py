@@ -7,62 +7,122 @@ nothing is lost and nothing is found twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftvault.functions.templates import expand_template
-from driftvault.operators import archive, delivery
+from driftvault.operators import archive, delivery, topics
 from driftvault.operators.batching import roll_window
 from driftvault.operators.routing import route
 from driftvault.plans.config import Config
-
-
-def prepare(records: DataFrame, config: Config) -> DataFrame:
-    """records routed, with their roll window, the path of their file and its key as far as the store's limits go."""
-    routed = route(records, config.routing.mode, config.effective_fields(), config.routing.default_segment, config.transport)
-    window = roll_window(F.col("ts"), config.roll_interval_secs())
-    routed = routed.withColumn("window", window)
-    folder = F.concat("destination", F.lit("/"), expand_template(config.archive.path_template.replace("{seq}", "0000"), F.col("window")))
+from driftvault.streaming import dead_letters
+
+log = logging.getLogger(__name__)
+
+
+def chosen(records: DataFrame, config: Config) -> DataFrame:
+    """The records whose topic is wanted; of `<name>_land` and `<name>_load` only the first, where both come up."""
+    kafka = config.kafka
+    exclude = topics.INTERNAL_TOPICS if kafka.topic_exclude is None else tuple(kafka.topic_exclude)
+    if kafka.topics:
+        return records.filter(F.col("topic").isin(kafka.topics))
+    if config.is_direct():
+        return records
+    wanted = topics.select_topics(records, tuple(kafka.topic_include), exclude)
+    return topics.prefer_landing(wanted)
+
+
+def prepare(records: DataFrame, config: Config, drop: Column | None = None, reject: Column | None = None) -> DataFrame:
+    """records routed, with their roll window and their file's key as far as the store's limits go. drop, reject:
+    conditions of an inbound filter; what they hold for is not archived (`inbound`: `drop` or `reject`)."""
+    inbound = F.lit(None).cast("string")
+    if reject is not None:
+        inbound = F.when(F.coalesce(reject, F.lit(False)), "reject").otherwise(inbound)
+    if drop is not None:
+        inbound = F.when(F.coalesce(drop, F.lit(False)), "drop").otherwise(inbound)
+    routed = route(records.withColumn("inbound", inbound), config.routing.mode, config.effective_fields(), config.routing.default_segment, config.transport)
+    at = F.coalesce("ts", F.current_timestamp())
+    routed = routed.withColumns({"ts": at, "window": roll_window(at, config.roll_interval_secs())})
+    folder = expand_template(config.archive.path_template.replace("{seq}", "0000"), F.col("window"))
     # number, token and extensions take less than 48 bytes more
-    return routed.withColumn("folder", folder).withColumn("key", F.concat("folder", F.lit("-" + "0" * 47)))
+    return routed.withColumn("key", F.concat("destination", F.lit("/"), folder, F.lit("-" + "0" * 47)))
 
 
-def archive_batch(records: DataFrame, config: Config, run: str, batch: int) -> None:
-    """Archives one batch: files, then their manifest, dead letters and outcomes, each replaced as a whole."""
-    root = config.archive.destination.rstrip("/")
+def archive_batch(records: DataFrame, config: Config, run: str, batch: int, drop: Column | None = None, reject: Column | None = None) -> None:
+    """Archives one batch: files and their manifest, then dead letters and outcomes, each replaced as a whole."""
+    spark, options = records.sparkSession, config.hadoop_options()
     at = f"batch={batch}"
-    ledger = delivery.outcomes(prepare(records, config), config.dlq.enabled, config.dlq.max_bytes).persist()
+    ledger = delivery.outcomes(prepare(chosen(records, config), config, drop, reject), config.dead_letters_kept(), config.dlq.max_bytes).persist()
     try:
-        delivery.dead_letters(ledger).write.mode("overwrite").parquet(f"{root}/_meta/dead_letters/{at}")
-        manifest = archive.write_archive(
-            ledger.filter("status = 'delivered'"), f"{root}/data", f"{run}/{batch}", config.codec(), config.compression.level,
-            config.buffer.flush_bytes, config.buffer.flush_records, config.archive.roll_size_bytes, config.archive.file_extension,
-            parts=config.buffer.writer_tasks,
-        )
-        manifest.write.mode("overwrite").parquet(f"{root}/_meta/manifest/{at}")
-        ledger.select("topic", "part", "off", "destination", "fallback_fields", "routing_error", "status", "reason").write.mode("overwrite").parquet(f"{root}/_meta/outcomes/{at}")
+        written = archive.write_archive(ledger.filter("status = 'delivered'"), config.store().below("data"), f"{run}/{batch}", config.layout(), config.limits(), config.buffer.writer_tasks)
+        written.write.mode("overwrite").options(**options).parquet(config.tables(f"_meta/manifest/{at}"))
+        done = spark.read.options(**options).parquet(config.tables(f"_meta/manifest/{at}"))
+        ledger = delivery.with_refusals(ledger, done, config.dead_letters_kept(), config.dlq.max_bytes)
+        if config.dead_letters_kept():
+            dead_letters.write(delivery.dead_letters(ledger), config, batch)
+        ledger.select("topic", "part", "off", "destination", "fallback_fields", "routing_error", "status", "reason").write.mode("overwrite").options(**options).parquet(
+            config.tables(f"_meta/outcomes/{at}")
+        )
     finally:
         ledger.unpersist()
 
 
-def start(records: DataFrame, config: Config, checkpoint: str, run: str = "archive", available_now: bool = False) -> StreamingQuery:
-    """Archives a stream of records (topic, part, off, ts, value) until it is stopped."""
+def _run_name(spark: SparkSession, run: str) -> str:
+    """The run's name with the streaming query's own id, which a checkpoint keeps: two runs never share a file name."""
+    return f"{run}/{spark.sparkContext.getLocalProperty('sql.streaming.queryId') or ''}"
+
+
+def start(
+    records: DataFrame, config: Config, checkpoint: str, run: str = "archive", available_now: bool = False, drop: Column | None = None, reject: Column | None = None
+) -> StreamingQuery:
+    """Archives a stream of records (topic, part, off, ts, value) until it is stopped. Without acknowledgements a
+    batch counts as read when it is received: a sink that fails costs its records, and the stream goes on."""
     config.validate()
     if reason := config.idle_reason():
         raise ValueError(reason)
-    writer = records.writeStream.foreachBatch(lambda df, batch: archive_batch(df, config, run, batch)).option("checkpointLocation", checkpoint)
+    if problem := config.store().probe():
+        log.warning("the destination cannot be listed: %s", problem)
+    if seconds := config.long_held_roll_interval():
+        log.warning("offsets wait %s seconds for their files to close", seconds)
+
+    def one(df: DataFrame, batch: int) -> None:
+        try:
+            archive_batch(df, config, _run_name(df.sparkSession, run), batch, drop, reject)
+            if config.dead_letters_kept() and config.dlq.file.enabled:
+                dead_letters.expire(config)
+        except Exception:
+            if config.is_acknowledged():
+                raise
+            log.exception("batch %s is lost: acknowledgements are off", batch)
+
+    writer = records.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{config.roll_interval_secs()} seconds"}
     return writer.trigger(**trigger).start()
 
 
-def manifest(spark, config: Config) -> DataFrame:
-    return spark.read.parquet(f"{config.archive.destination.rstrip('/')}/_meta/manifest")
+def reload(query: StreamingQuery, records: DataFrame, old: Config, new: Config, checkpoint: str, **options) -> StreamingQuery:
+    """The query under a new configuration: it goes on as it is where no section changed that needs a restart, else
+    it is stopped and begun again from its checkpoint."""
+    sections = old.restart_required(new)
+    if not sections:
+        return query
+    log.info("restarting for changes of %s", ", ".join(sections))
+    query.stop()
+    return start(records, new, checkpoint, **options)
+
+
+def manifest(spark: SparkSession, config: Config) -> DataFrame:
+    return spark.read.options(**config.hadoop_options()).parquet(config.tables("_meta/manifest"))
 
 
-def restored(spark, config: Config) -> DataFrame:
+def restored(spark: SparkSession, config: Config) -> DataFrame:
     """Every archived record."""
-    return archive.restore(manifest(spark, config), f"{config.archive.destination.rstrip('/')}/data", config.codec())
+    return archive.restore(manifest(spark, config).filter("path IS NOT NULL"), config.store().below("data"), config.codec())
 
 
-__all__ = ["archive_batch", "manifest", "prepare", "restored", "start"]
+def audit(spark: SparkSession, config: Config) -> DataFrame:
+    """The archive's files held against its manifest, as archive.compare_with_files gives them."""
+    return archive.compare_with_files(manifest(spark, config).filter("path IS NOT NULL"), config.store().below("data").list(spark))

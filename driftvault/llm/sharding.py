@@ -12,8 +12,6 @@ from driftvault.llm.common import stage
 SHARDS = 8
 #: Fixed values of the published algorithm: the multiplier of its linear congruential generator.
 _STEP = np.uint64(2862933555777941757)
-#: Slots are counted in this many buckets for each shard, so no task holds a whole shard.
-BUCKETS = 1024
 
 
 def jump_hash(keys: np.ndarray, n_shards: int) -> np.ndarray:
@@ -53,13 +51,13 @@ def shard_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     rows = docs.select("doc_id", (F.length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), key.alias("key"))
     rows = rows.select(
         "doc_id", "size", "text_crc32", jump_shard("key", n_shards).alias("shard"), jump_shard("key", n_shards + 1).alias("grown_shard"),
-        F.pmod(F.col("key"), F.lit(BUCKETS)).cast("int").alias("bucket"), F.monotonically_increasing_id().alias("row"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    rows = stage(rows, "shards")
-    # at most n_shards * BUCKETS rows, whatever the input
-    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = counts.selectExpr("shard", "bucket", "sum(n) OVER (PARTITION BY shard ORDER BY bucket) - n AS first")
-    slot = F.expr("row_number() OVER (PARTITION BY shard, bucket ORDER BY row) - 1")
-    return rows.join(F.broadcast(before), ["shard", "bucket"]).select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + slot).cast("long").alias("slot"), "grown_shard"
+    # rows are numbered within what one partition has for one shard, however often a doc_id comes up
+    rows = stage(rows, "shards").withColumn("source", F.shiftright("row", 33))
+    counts = rows.groupBy("shard", "source").agg(F.count("*").alias("n"))  # a row for each shard and partition
+    before = counts.selectExpr("shard", "source", "sum(n) OVER (PARTITION BY shard ORDER BY source) - n AS first")
+    slot = F.expr("row_number() OVER (PARTITION BY shard, source ORDER BY row) - 1")
+    return rows.withColumn("slot", slot).join(before, ["shard", "source"]).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("slot")).cast("long").alias("slot"), "grown_shard"
     )

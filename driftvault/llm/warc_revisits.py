@@ -12,6 +12,7 @@ import base64
 import gzip
 import hashlib
 import io
+import json
 import uuid
 
 import pandas as pd
@@ -66,20 +67,31 @@ def _sha1_field(digest: str) -> str:
     return "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()
 
 
-def _page_records(row, copy: int, date: str) -> bytes:
-    """The record of a page; row: page_key, is_null, url, html, digest, winner (null: a response)."""
+def target_uri(url: str | None, page_key: int) -> str:
+    """A page's URL as a header takes it, or a URN where it has none."""
+    return " ".join(url.split()) if url and url.strip() else f"urn:page:{page_key}"
+
+
+def _page_records(row, copy: int, first_url: str | None, date: str) -> bytes:
+    """The record of a page; row: page_key, is_null, url, html, digest, winner (null: a response), winner_url. copy: how
+    many rows of the same page and payload came before, the first of them with first_url."""
     own, html = record_id(row.page_key, row.digest, copy), row.html.encode("utf-8")
     fields = {
         "WARC-Type": "response", "WARC-Record-ID": own, "WARC-Date": date,
-        "WARC-Target-URI": " ".join(row.url.split()) if row.url else f"urn:page:{row.page_key}",
-        "WARC-Payload-Digest": _sha1_field(row.digest), "X-Page-Key": str(row.page_key), "X-Page-Null": str(int(row.is_null)), "X-Url-Null": str(int(row.url is None)),
+        "WARC-Target-URI": target_uri(row.url, row.page_key),
+        "WARC-Payload-Digest": _sha1_field(row.digest), "X-Page-Key": str(row.page_key), "X-Page-Null": str(int(row.is_null)),
         "Content-Type": "application/http; msgtype=response",
     }
+    if row.url is not None:
+        fields["X-Url"] = json.dumps(row.url)  # as it is; the target URI is what a reader of archives can take
     head = _RESPONSE % len(html)
-    of = row.page_key if copy and len(html) >= MIN_BYTES and pd.isna(row.winner) else row.winner
+    of, url = (row.page_key, first_url) if copy and len(html) >= MIN_BYTES and pd.isna(row.winner) else (row.winner, row.winner_url)
     if pd.isna(of):
         return write_record(fields, head + html)
-    fields |= {"WARC-Type": "revisit", "WARC-Profile": _PROFILE, "WARC-Refers-To": record_id(int(of), row.digest, 0)}
+    fields |= {
+        "WARC-Type": "revisit", "WARC-Profile": _PROFILE, "WARC-Refers-To": record_id(int(of), row.digest, 0), "WARC-Refers-To-Target-URI": target_uri(url, int(of)),
+        "WARC-Refers-To-Date": date,
+    }
     return write_record(fields, head)
 
 
@@ -87,7 +99,7 @@ def _writer(folder: str, date: str):
     def write(frames):
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        out, path, records, size, before, copy = None, "", 0, 0, None, 0
+        out, path, records, size, before, copy, first_url = None, "", 0, 0, None, 0, None
         for frame in frames:
             for row in frame.itertuples(index=False):
                 if out is not None and size >= FILE_BYTES:
@@ -97,9 +109,9 @@ def _writer(folder: str, date: str):
                 if out is None:
                     name, records, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     path, out = f"{folder}/{name}", store.open_output_stream(f"{root}/{name}", compression=None)
-                copy = copy + 1 if before == (row.page_key, row.digest) else 0
+                copy, first_url = (copy + 1, first_url) if before == (row.page_key, row.digest) else (0, row.url)
                 before = (row.page_key, row.digest)
-                record = _page_records(row, copy, date)
+                record = _page_records(row, copy, first_url, date)
                 out.write(record)
                 records, size = records + 1, size + len(record)
         if out is not None:
@@ -111,15 +123,16 @@ def _writer(folder: str, date: str):
 
 def headers(pages: DataFrame) -> DataFrame:
     body = F.encode(F.col("html"), "UTF-8")
-    return pages.select("page_key", F.length(body).alias("n_bytes"), F.sha1(body).alias("digest"), F.xxhash64("html").alias("check"))
+    return pages.select("page_key", "url", F.length(body).alias("n_bytes"), F.sha1(body).alias("digest"), F.xxhash64("html").alias("check"))
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Writes a record for each row of pages (page_id, url, html) and returns the manifest: archive, records, bytes.
 
     A null html is an empty payload, a null page_id counts as the smallest, a null url is written as a URN. Of
-    rows that repeat page_id and payload the first is the response, if one of them is. An empty table writes
-    nothing; other columns are not looked at. `date` is the records' date: pages carry none.
+    rows that repeat page_id and payload that with the largest url is the response, if one of them is; they are
+    written by one task, as a stream. An empty table writes nothing; other columns are not looked at. `date` is the
+    records' date: pages carry none.
     """
     folder = (folder or shared_folder(pages.sparkSession, "warc")).rstrip("/")
     pages = pages.select(
@@ -127,14 +140,16 @@ def write_archives(pages: DataFrame, folder: str | None = None, date: str = "202
     )
     heads = stage(headers(pages).filter(F.col("n_bytes") >= MIN_BYTES), "warc-headers")
     key = ["digest", "n_bytes", "check"]
-    groups = heads.groupBy(*key).agg(F.max("page_key").alias("winner"), F.count("*").alias("n")).filter("n > 1")
-    revisits = join_weighted(heads, stage(groups, "warc-groups"), key, "n", heads.count()).filter("page_key <> winner")
-    revisits = revisits.groupBy("page_key", "digest").agg(F.max("winner").alias("winner"))
+    # of rows that repeat the largest page_id that with the largest url is the response, which is written first
+    groups = heads.groupBy(*key).agg(F.max(F.struct("page_key", "url")).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    groups = groups.select(*key, "n", F.col("best.page_key").alias("winner"), F.col("best.url").alias("winner_url"))
+    revisits = join_weighted(heads.drop("url"), stage(groups, "warc-groups"), key, "n", heads.count()).filter("page_key <> winner")
+    revisits = revisits.groupBy("page_key", "digest").agg(F.max(F.struct("winner", "winner_url")).alias("w")).select("page_key", "digest", "w.*")
     digest = F.sha1(F.encode("html", "UTF-8"))
     # equal pages meet in one task; by page_id, so that equal payloads of many pages do not
     dealt = pages.withColumn("digest", digest).repartition(n_parts(pages.sparkSession), "page_key", "digest")
-    rows = dealt.join(revisits.hint("merge"), ["page_key", "digest"], "left").sortWithinPartitions("page_key", "digest")
-    return stage(rows.select("page_key", "is_null", "url", "html", "digest", "winner").mapInPandas(_writer(folder, date), _MANIFEST), "warc-manifest")
+    rows = dealt.join(revisits.hint("merge"), ["page_key", "digest"], "left").sortWithinPartitions("page_key", "digest", F.desc("url"))
+    return stage(rows.select("page_key", "is_null", "url", "html", "digest", "winner", "winner_url").mapInPandas(_writer(folder, date), _MANIFEST), "warc-manifest")
 
 
 def _reader(with_payload: bool):
@@ -163,7 +178,7 @@ def _parsed(fields: dict[str, str], block: bytes, with_payload: bool) -> tuple:
     revisit = fields["warc-type"] == "revisit"
     if not revisit and hashlib.sha1(payload).hexdigest() != stated:
         raise ValueError(f"{fields['warc-record-id']}: the payload does not have the digest that its header states")
-    url = None if fields["x-url-null"] == "1" else fields["warc-target-uri"]
+    url = json.loads(fields["x-url"]) if "x-url" in fields else None
     return (
         int(fields["x-page-key"]), fields["x-page-null"] == "1", url, fields["warc-record-id"], fields["warc-type"], fields.get("warc-refers-to"),
         stated, None if revisit else len(payload), payload if with_payload and not revisit else None,

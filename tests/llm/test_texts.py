@@ -116,16 +116,24 @@ PAGE = "<html>" + "x" * 2000 + "</html>"
 
 
 def test_warc_revisits(spark, tmp_path):
-    rows = [(1, "http://a/1", PAGE), (2, "http://a/2", PAGE), (9, None, PAGE), (9, None, PAGE), (3, "http://b", "small"), (4, "http://c", "small"), (5, "u", None), (6, "u v", ""), (None, "n", PAGE), (7, "ü", "é" * 700 + "\r\n\r\n\0")]
+    rows = [(1, "http://a/1", PAGE), (2, "http://a/2", PAGE), (9, None, PAGE), (9, None, PAGE), (3, "http://b", "small"), (4, "http://c", "small"), (5, "u", None), (6, " u  v\n", ""), (8, "", PAGE), (None, "n", PAGE), (7, "ü", "é" * 700 + "\r\n\r\n\0")]
     pages = spark.createDataFrame([(*r, 1, "w") for r in rows], "page_id long, url string, html string, digest long, winner string")
     folder = f"file://{tmp_path}/w"
     manifest = warc_revisits.write_archives(pages, folder)
     got = warc_revisits.read_archives(manifest, with_payload=True).collect()
-    assert Counter((r.page_id, r.url if r.url is None or " " not in r.url else r.url, bytes(r.payload).decode()) for r in got) == Counter((i, u, h or "") for i, u, h in rows)
+    assert Counter((r.page_id, r.url, bytes(r.payload).decode()) for r in got) == Counter((i, u, h or "") for i, u, h in rows)
     assert all(r.payload_digest == hashlib.sha1(bytes(r.payload)).hexdigest() and r.payload_bytes == len(r.payload) for r in got)
     by = Counter((r.page_id, r.record_type, r.refers_to) for r in got)
     assert by[9, "response", None] == 1 and by[9, "revisit", 9] == 1 and by[1, "revisit", 9] == by[2, "revisit", 9] == by[None, "revisit", 9] == 1
     assert all(by[i, "response", None] == 1 for i in (3, 4, 5, 6, 7))
+    import io
+
+    heads = [f for p in (tmp_path / "w").glob("*.warc.gz") for f, _ in warc_revisits.read_records(io.BytesIO(gzip.open(p).read()))]
+    of = {f["warc-record-id"]: f for f in heads}
+    for f in heads:
+        if f["warc-type"] == "revisit":
+            named = of[f["warc-refers-to"]]
+            assert (f["warc-refers-to-target-uri"], f["warc-refers-to-date"]) == (named["warc-target-uri"], named["warc-date"]) and named["warc-type"] == "response"
     raw = b"".join(gzip.open(p).read() for p in (tmp_path / "w").glob("*.warc.gz"))
     assert raw.count(b"WARC/1.1\r\n") == len(rows) and raw.count(PAGE.encode()) == 1
     assert warc_revisits.read_archives(warc_revisits.write_archives(pages.limit(0), f"file://{tmp_path}/e")).count() == 0

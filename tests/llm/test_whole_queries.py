@@ -14,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from driftvault.llm import queries, toxicity
@@ -38,14 +39,12 @@ def documents(duck):
     return {i: (t, lang) for i, t, lang in duck.sql("SELECT doc_id, text, lang FROM documents").fetchall()}
 
 
-def rows(frame):
-    return sorted(tuple("~" if v is None or v != v else str(v) for v in r) for r in frame[sorted(frame.columns)].itertuples(index=False))
-
-
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_against_sql(spark, duck, name):
-    got = queries.QUERIES[name](spark, DIR).toPandas()
-    assert len(got) and rows(got) == rows(duck.sql(queries.ORACLE_SQL[name]).df())
+    got = queries.QUERIES[name](spark, DIR)
+    names = sorted(got.columns)
+    want = duck.sql(f"SELECT {', '.join(names)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
+    assert want and Counter(map(tuple, got.select(*names).collect())) == Counter(want)
 
 
 def crc(i, n):
@@ -153,7 +152,7 @@ def plain_score(text, model):
 def test_toxicity(spark, documents):
     """Scores from the trained weights by their definition; accuracy on what was held out."""
     docs, labels = spark.read.parquet(f"{DIR}/documents.parquet"), spark.read.parquet(f"{DIR}/labels.parquet")
-    model = toxicity.train(docs, labels, toxicity.usable_for_training(docs["doc_id"]))
+    model = toxicity.train(docs, labels, toxicity.usable_for_training(F.col("doc_id")))
     got = {r.doc_id: r for r in queries.op10_toxicity(spark, DIR).collect()}
     assert got.keys() == documents.keys()
     for i, (t, _) in documents.items():
@@ -180,7 +179,7 @@ def plain_pipeline(spark, documents, folder):
             left[i] = t
     yield left
     docs = spark.createDataFrame([(i, t) for i, t in left.items()], "doc_id long, text string")
-    model = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"), toxicity.usable_for_training(docs["doc_id"]))
+    model = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"), toxicity.usable_for_training(F.col("doc_id")))
     left = {i: t for i, t in left.items() if plain_score(t, model) < 0.7}
     yield left
     first = {}

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftvault.llm import exact_dedup, packing, quality_rules, simhash_dedup, toxicity
 from driftvault.llm.common import stage
+from driftvault.sources import shared
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +41,14 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("toxicity", clean), ("exact dedup", exact), ("near dedup", near), ("packing", packed)]
 
-#: SQL has no classifier and no tokenizer. No test runs the stages or run(); their operators are tested in tests/llm.
+#: SQL has no classifier and no tokenizer. tests/llm runs each stage and run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage. What the operators staged, and each stage's input, goes when its output is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), shared.mark()
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        shared.release(spark, before, keep=(shared.latest(),))
     return docs

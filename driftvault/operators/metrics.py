@@ -57,6 +57,22 @@ def compression_ratio(manifest: DataFrame) -> DataFrame:
     return sums.withColumn("ratio", F.when(F.col("bytes_written") > 0, F.col("bytes_compressed") / F.col("bytes_written")))
 
 
+def archive_totals(manifest: DataFrame) -> DataFrame:
+    """One row of what an archive's writer did: files, by what closed them, flushes, by what ended them, records, bytes
+    before and after compression, and flushes that the store refused."""
+    written, first = F.col("path").isNotNull(), F.col("block") == 0
+
+    def count(column: str, name: str, *kinds: str) -> list:
+        which = first if column == "roll_trigger" else written
+        return [F.count_if(which & (F.coalesce(column, F.lit("end")) == kind)).alias(f"{name}_by_{kind}") for kind in kinds]
+
+    return manifest.agg(
+        F.count_if(first).alias("files"), *count("roll_trigger", "rolls", "size", "age", "end"), F.count_if(written).alias("flushes"), *count("flush_trigger", "flushes", "size", "records", "age", "end"),
+        F.sum(F.when(written, F.col("n_records"))).alias("records"), F.sum("raw_bytes").alias("bytes_written"), F.sum("length").alias("bytes_compressed"),
+        F.count_if(F.col("refusal").isNotNull()).alias("refused_flushes"),
+    )
+
+
 #: Weight and saturation point of each part of the scaling figure.
 SCALING = {"lag": (0.40, 100_000.0), "buffer_depth": (0.30, 10_000.0), "memory": (0.30, 1.0)}
 

@@ -30,7 +30,7 @@ def route_by_fields(records: DataFrame, fields: tuple[str, ...] = ("_org_id",),
     destination is the topic's segment, where there is a topic, and one for each field; a field that is missing,
     blank, null or no scalar is the default segment, and its index is in fallback_fields. A payload that is not JSON
     is an error and goes by its topic; one that nests too deeply is not parsed and has no destination. Null payloads
-    are not JSON. Each payload is parsed once for all fields.
+    are not JSON. Each payload is parsed twice, whatever the number of fields: within an array and within an object.
     """
     text = F.coalesce(F.col("value").cast("string"), F.lit(""))
     df = records.withColumn("too_deep", is_too_deep(text))

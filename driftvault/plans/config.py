@@ -28,6 +28,7 @@ class Kafka:
     topics: list[str] = field(default_factory=list)
     topic_include: list[str] = field(default_factory=list)
     topic_exclude: list[str] | None = None
+    topic_refresh_secs: int = 60
     security_protocol: str = "PLAINTEXT"
     sasl_mechanism: str | None = None
     sasl_username: str | None = None

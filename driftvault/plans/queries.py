@@ -187,6 +187,7 @@ QUERIES = {
     "recovery_classify": recovery_classify,
     "compression_ratio": compression_ratio,
     "read_block": read_block,
+    "archive_totals": lambda s, d: metrics.archive_totals(archived(s, d, **FLUSH, **ROLL)),
     "route_expression": lambda s, d: _destinations(routed(s, d)),
     "route_topic": lambda s, d: _destinations(routing.route_by_topic(event_records(s, d))),
     "route_two_fields": lambda s, d: _destinations(routed(s, d, ("_org_id", "event_type"))),
@@ -340,6 +341,15 @@ SELECT 'whole' AS state, count(*) AS n_files FROM (SELECT DISTINCT destination,
     "compression_ratio": f"""{_routed()}
 SELECT destination, sum(strlen(value) + 1)::BIGINT AS bytes_compressed, sum(strlen(value) + 1)::BIGINT AS bytes_written, 1.0::DOUBLE AS ratio
 FROM routed WHERE destination IS NOT NULL GROUP BY 1""",
+    "archive_totals": f"""{_FILES},
+b AS (
+  SELECT count(*) AS flushes, count(*) FILTER (flush_trigger = 'size') AS flushs_by_size, count(*) FILTER (flush_trigger = 'records') AS flushs_by_records,
+         count(*) FILTER (flush_trigger = 'age') AS flushs_by_age, count(*) FILTER (flush_trigger IS NULL) AS flushs_by_end,
+         sum(n_records)::BIGINT AS records, sum(bytes)::BIGINT AS bytes_written, sum(bytes)::BIGINT AS bytes_compressed FROM flushes)
+SELECT count(*) AS files, count(*) FILTER (roll_trigger = 'size') AS rolls_by_size, count(*) FILTER (roll_trigger = 'age') AS rolls_by_age,
+       count(*) FILTER (roll_trigger = 'end') AS rolls_by_end, any_value(flushes) AS flushes, any_value(flushs_by_size) AS flushes_by_size, any_value(flushs_by_records) AS flushes_by_records,
+       any_value(flushs_by_age) AS flushes_by_age, any_value(flushs_by_end) AS flushes_by_end, any_value(records) AS records, any_value(bytes_written) AS bytes_written,
+       any_value(bytes_compressed) AS bytes_compressed, 0::BIGINT AS refused_flushes FROM files, b""",
     "read_block": f"""{_routed()},
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY destination, part, CAST(floor(epoch(ts) / 864000) AS BIGINT) ORDER BY event_id) - 1 AS rn

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from driftvault.plans.config import Config
+
 #: A view of the events table as records, in expressions that Spark and ANSI engines read alike. Payloads of all
 #: kinds come up: text that is no JSON, organisations that are null, blank, absent, an object, in need of encoding,
 #: numbers, booleans, and nesting one level too deep.
@@ -34,12 +39,30 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*[f"{e} AS {c}" for c, e in EVENT_RECORDS.items()])
 
 
-def kafka_stream(spark: SparkSession, brokers: list[str], topics: list[str] | None = None, pattern: str | None = None, max_records: int = 10_000, options: dict | None = None) -> DataFrame:
-    """A stream of records from brokers: named topics, or all that match a pattern. Needs Spark's Kafka connector
-    on the class path, which is not part of PySpark itself."""
-    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", ",".join(brokers)).option("maxOffsetsPerTrigger", max_records)
-    reader = reader.option("subscribe", ",".join(topics)) if topics else reader.option("subscribePattern", pattern or ".*")
-    return as_records(reader.options(**(options or {})).load())
+def kafka_options(config: Config) -> dict[str, str]:
+    """The options of Spark's Kafka source for a configuration: named topics, or all of them, whose list is read anew
+    every topic_refresh_secs; which of those are wanted is the pipeline's choice."""
+    k = config.kafka
+    options = {
+        "kafka.bootstrap.servers": ",".join(k.brokers), "maxOffsetsPerTrigger": str(k.batch_size), "kafka.group.id": k.group_id,
+        "kafka.security.protocol": k.security_protocol, "kafka.metadata.max.age.ms": str(1000 * k.topic_refresh_secs),
+    }
+    options |= {"subscribe": ",".join(k.topics)} if k.topics else {"subscribePattern": ".*"}
+    if k.sasl_mechanism:
+        module = "scram.ScramLoginModule" if k.sasl_mechanism.startswith("SCRAM") else "plain.PlainLoginModule"
+        options["kafka.sasl.mechanism"] = k.sasl_mechanism
+        options["kafka.sasl.jaas.config"] = f'org.apache.kafka.common.security.{module} required username="{k.sasl_username}" password="{k.sasl_password}";'
+    return options
+
+
+def stream_of(spark: SparkSession, config: Config, folder: str | None = None) -> DataFrame:
+    """The stream of records that a configuration names: brokers' topics, which needs Spark's Kafka connector on the
+    class path, or, for the direct transport, what producers put in a landing folder."""
+    if config.is_direct():
+        if folder is None:
+            raise ValueError("the direct transport reads a landing folder")
+        return landing_stream(spark, folder)
+    return as_records(spark.readStream.format("kafka").options(**kafka_options(config)).load())
 
 
 def as_records(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftvault.plans.config import Config, ConfigError
-from driftvault.sources.records import landing_stream
+from driftvault.sources.records import kafka_options, landing_stream, stream_of
 from driftvault.sources.stores import UnknownScheme, parse_destination
 from driftvault.streaming import dead_letters, pipeline
 
@@ -143,3 +143,17 @@ def test_config_files(tmp_path):
     assert config.tables("_meta/x") == "s3a://own/p/_meta/x" and config.hadoop_options()["fs.s3a.path.style.access"] == "true" and config.backend() == "s3"
     azure = Config.load({"archive": {"destination": "azure://c/p", "account": "acc", "secret_key": "k"}}, {})
     assert azure.tables("t") == "abfss://c@acc.dfs.core.windows.net/p/t" and list(azure.hadoop_options().values()) == ["k"] and azure.backend() == "azure"
+
+
+def test_kafka_options(spark, tmp_path):
+    options = kafka_options(Config.load({"kafka": {"brokers": ["a:1", "b:2"], "topic_include": ["^x_", "y$"], "sasl_username": "u", "sasl_password": "p", "batch_size": 7}}, {}))
+    assert options["kafka.bootstrap.servers"] == "a:1,b:2" and options["maxOffsetsPerTrigger"] == "7" and options["kafka.metadata.max.age.ms"] == "60000"
+    assert options["kafka.sasl.mechanism"] == "PLAIN" and 'username="u"' in options["kafka.sasl.jaas.config"] and options["subscribePattern"] == ".*"
+    assert kafka_options(Config.load({"kafka": {"topics": ["one", "two"]}}, {}))["subscribe"] == "one,two"
+    with pytest.raises(Exception, match="kafka"):  # there is no connector here
+        stream_of(spark, Config.load({}, {}))
+    direct = Config.load({"transport": "grpc"}, {})
+    (tmp_path / "in").mkdir()
+    assert stream_of(spark, direct, f"file://{tmp_path}/in").isStreaming
+    with pytest.raises(ValueError):
+        stream_of(spark, direct)

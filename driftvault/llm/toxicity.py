@@ -68,16 +68,30 @@ class Features:
         return out
 
 
+#: Texts that are worked on at once in the driver.
+CHUNK = 1000
+
+
 class Texts:
-    """Texts by the columns of their n-grams."""
+    """Texts by the columns of their features: two bytes for each, whatever the rest takes is held for CHUNK texts."""
 
-    def __init__(self, rows: list[np.ndarray], column: np.ndarray):
-        of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        col = column[np.concatenate(rows).astype(np.int64)] if len(of) else of
-        self.of, self.col, self.n = of[col >= 0], col[col >= 0], len(rows)
+    def __init__(self, rows: list[np.ndarray]):
+        self.chunks = []
+        for at in range(0, len(rows), CHUNK):
+            part = rows[at : at + CHUNK]
+            self.chunks.append((np.concatenate([np.asarray(r, np.uint16) for r in part]), np.array([len(r) for r in part])))
+        self.n = len(rows)
 
     def odds(self, w: np.ndarray, b: float) -> np.ndarray:
-        return b + np.bincount(self.of, w[self.col], minlength=self.n)
+        return b + np.concatenate([np.bincount(np.repeat(np.arange(len(n)), n), w[col], minlength=len(n)) for col, n in self.chunks])
+
+    def summed(self, per_text: np.ndarray, features: int) -> np.ndarray:
+        """For each feature the sum of its texts' numbers."""
+        out, at = np.zeros(features), 0
+        for col, n in self.chunks:
+            out += np.bincount(col, np.repeat(per_text[at : at + len(n)], n), minlength=features)
+            at += len(n)
+        return out
 
 
 def risk(positive: Texts, unlabelled: Texts, w: np.ndarray, b: float, prior: float) -> tuple[float, float, np.ndarray]:
@@ -97,18 +111,16 @@ def risk(positive: Texts, unlabelled: Texts, w: np.ndarray, b: float, prior: flo
         per_text = (prior * (p - 1) / len(p) - prior * p / len(p), u / len(u))
     grad = np.zeros(len(w) + 1)
     for texts, g in zip((positive, unlabelled), per_text):
-        grad[:-1] += np.bincount(texts.col, g[texts.of], minlength=len(w))
+        grad[:-1] += texts.summed(g, len(w))
         grad[-1] += g.sum()
     return as_positive, as_negative, grad
 
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], chosen: np.ndarray, prior: float) -> Model:
-    """positive, unlabelled: the buckets of each text. prior: the share of positives among the unlabelled."""
+    """positive, unlabelled: where in `chosen` each text's buckets are. prior: the share of positives among the unlabelled."""
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model({}, -20.0 if not prior > 0 else 20.0 if prior >= 1 else float(np.log(prior / (1 - prior))))
-    column = np.full(BUCKETS, -1)
-    column[chosen] = np.arange(len(chosen))
-    sets = Texts(positive, column), Texts(unlabelled, column)
+    sets = Texts(positive), Texts(unlabelled)
     w, b = np.zeros(len(chosen)), float(np.log(prior / (1 - prior)))
     m1, m2 = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, STEPS + 1):
@@ -144,10 +156,13 @@ def _choose(counts: DataFrame, positives: int, unlabelled: int) -> np.ndarray:
 
 
 def _featurise(chosen: np.ndarray):
+    """Each text's features, as their places in `chosen`, two bytes for each."""
+
     def task(frames):
         features = Features(frozenset(chosen.tolist()))
         for frame in frames:
-            yield pd.DataFrame({"toxic": frame["toxic"], "unlabelled": frame["unlabelled"], "found": [sorted(features.of(t)) for t in frame["text"]]})
+            found = [np.searchsorted(chosen, sorted(features.of(t))).astype("<u2").tobytes() for t in frame["text"]]
+            yield pd.DataFrame({"toxic": frame["toxic"], "unlabelled": frame["unlabelled"], "found": found})
 
     return task
 
@@ -179,8 +194,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     chosen = np.zeros(0, np.int64)
     if positives and unlabelled:
         chosen = _choose(texts.mapInPandas(_count, "bucket long, positive int, unlabelled int"), positives, unlabelled)
-    rows = texts.mapInPandas(_featurise(chosen), "toxic int, unlabelled int, found array<int>").toPandas()
-    found = rows["found"].map(lambda x: np.asarray(x, np.int32))
+    # at most MAX_POSITIVE + MAX_UNLABELLED rows of MAX_FEATURES numbers of two bytes
+    rows = texts.mapInPandas(_featurise(chosen), "toxic int, unlabelled int, found binary").toPandas()
+    found = rows["found"].map(lambda x: np.frombuffer(x, "<u2"))
     return fit(found[rows["toxic"] == 1].tolist(), found[rows["unlabelled"] == 1].tolist(), chosen, toxic / total)
 
 

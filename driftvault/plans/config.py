@@ -12,7 +12,7 @@ from driftvault.functions.templates import PLACEHOLDERS, unknown_placeholders
 from driftvault.operators.archive import Layout
 from driftvault.operators.batching import Limits
 from driftvault.operators.routing import DEFAULT_FIELDS
-from driftvault.sources.stores import Store, parse_destination
+from driftvault.sources.stores import SCHEMES, Store, parse_destination
 
 PREFIX = "DRIFTVAULT_"
 #: How the dead-letter outputs are used where both are there.
@@ -249,7 +249,9 @@ class Config:
     def validate(self) -> None:
         """Raises ConfigError with the first rule that is broken."""
         k, b, a = self.kafka, self.buffer, self.archive
+        scheme = a.destination.partition("://")[0] if "://" in a.destination else "file"
         rules = [
+            (scheme in SCHEMES, f"archive.destination: {scheme}:// is unknown; known are {', '.join(SCHEMES)}"),
             (self.transport in ("kafka", "grpc"), f"transport must be kafka or grpc, not {self.transport!r}"),
             (not self.is_direct() or bool((self.grpc.listen or "").strip()), "grpc.listen is needed when transport is grpc"),
             (self.is_direct() or bool(k.brokers), "kafka.brokers must not be empty"),

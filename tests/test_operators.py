@@ -212,6 +212,20 @@ def test_archive_gives_back_every_byte(spark, tmp_path, codec):
     assert Counter(bytes(r.value) for r in lines) == Counter({k: 3 * n for k, n in want.items()})
 
 
+def test_unreadable_files_are_named(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "good").write_bytes(gzip.compress(b"a\nb\n"))
+    (tmp_path / "cut").write_bytes(gzip.compress(b"a\n" * 500)[:-9])
+    (tmp_path / "part").write_bytes(gzip.compress(b"a\nb"))
+    uris = spark.createDataFrame([(f"file://{tmp_path}/{n}",) for n in ("good", "cut", "part", "absent")], "uri string")
+    problems = {r.uri.rsplit("/", 1)[1]: r.problem for r in archive.restore_files(uris, "gzip").filter("problem IS NOT NULL").collect()}
+    assert set(problems) == {"cut", "part", "absent"} and problems["part"] == "EOFError: the file ends within a line"
+    (tmp_path / "other").write_bytes(b"this is no gzip")
+    with pytest.raises(Exception, match="gzip"):
+        archive.restore_files(uris.limit(0).union(spark.createDataFrame([(f"file://{tmp_path}/other",)], "uri string")), "gzip").collect()
+
+
 def test_bytes_that_are_no_text_come_back(spark, tmp_path):
     df = spark.createDataFrame([("a", 0, START, i, START, bytearray(v)) for i, v in enumerate([b"\xff\xfe", b"", b"\n\n", bytes(range(256))])], SCHEMA.replace("value string", "value binary"))
     archive.write_archive(df, f"file://{tmp_path}/d", "r").write.parquet(f"file://{tmp_path}/m")

@@ -114,7 +114,7 @@ def test_config_rules():
     for bad in (
         {"transport": "mqtt"}, {"kafka": {"brokers": []}}, {"buffer": {"flush_bytes": 0}}, {"archive": {"path_template": "{topic}"}}, {"archive": {"multipart_chunk_size": 1024}},
         {"compression": {"codec": "gz"}}, {"routing": {"mode": "hash"}}, {"routing": {"expression_fields": []}}, {"kafka": {"sasl_mechanism": "PLAIN"}}, {"transport": "grpc", "grpc": {"listen": " "}},
-        {"dlq": {"mode": "both"}}, {"dlq": {"file": {"rotation": "weekly"}}}, {"dlq": {"kafka": {"routing": "per_table"}}}, {"archive": {"service_account_key": "/path/key.json"}},
+        {"dlq": {"mode": "both"}}, {"archive": {"destination": "ftp://x/y"}}, {"dlq": {"file": {"rotation": "weekly"}}}, {"dlq": {"kafka": {"routing": "per_table"}}}, {"archive": {"service_account_key": "/path/key.json"}},
     ):
         with pytest.raises(ConfigError):
             Config.load(bad, {}).validate()

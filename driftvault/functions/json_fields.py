@@ -17,12 +17,23 @@ def strict_json(value: Column) -> Column:
     return F.when(F.try_parse_json(F.concat(F.lit("["), value, F.lit("]"))).isNotNull(), inside)
 
 
+def plain_number(value: Column) -> Column:
+    """A double in decimal digits without an exponent and without needless zeros; from 1e38 and below 1e-18 as it is."""
+    text = value.cast("string")
+    digits = F.when(F.abs(value) >= 1e20, text.try_cast("decimal(38,0)").cast("string")).otherwise(text.try_cast("decimal(38,18)").cast("string"))
+    long = F.when((F.abs(value) >= 1e-18) | (value == 0), digits)
+    return F.regexp_replace(F.coalesce(F.when(text.contains("E"), long), text), r"\.0*\z|(\.\d*[1-9])0+\z", "$1")
+
+
 def field_text(parsed: Column, path: str) -> Column:
     """The scalar at a dotted path of strict_json's result, as text; null for objects, arrays, null and what is
-    absent. Every part of the path is a key of an object."""
+    absent. Every part of the path is a key of an object. Numbers with a fraction or an exponent are doubles."""
     at = '$["v"]' + "".join(f'["{part}"]' for part in path.split("."))
     kind = F.schema_of_variant(F.try_variant_get(parsed, at, "variant"))
-    return F.when(~kind.rlike("^(OBJECT|ARRAY|VOID)"), F.try_variant_get(parsed, at, "string"))
+    text = F.try_variant_get(parsed, at, "string")
+    # whole numbers of up to 20 digits are integers, as far as the text has neither point nor exponent
+    number = kind.rlike("^(DOUBLE|FLOAT|DECIMAL)") & ~text.rlike(r"^-?\d{1,20}\z")
+    return F.when(~kind.rlike("^(OBJECT|ARRAY|VOID)"), F.when(number, plain_number(F.try_variant_get(parsed, at, "double"))).otherwise(text))
 
 
 def is_blank(value: Column) -> Column:

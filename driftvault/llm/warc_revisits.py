@@ -35,9 +35,9 @@ _MANIFEST = "archive string, records long, bytes long"
 _RECORDS = "page_key long, is_null boolean, url string, record_id string, record_type string, refers_to_id string, payload_digest string, payload_bytes long, payload binary"
 
 
-def record_id(page_key: int, digest: str, copy: int) -> str:
-    """The identifier of the copy-th record (from 0) of a page with this payload."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_key}/{digest}/{copy}')}>"
+def record_id(page_key: int, digest: str, label: str = "") -> str:
+    """The identifier of a page's record with this payload; label: which of several rows that repeat both it is."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_key}/{digest}/{label}')}>"
 
 
 def write_record(fields: dict[str, str], block: bytes) -> bytes:
@@ -72,24 +72,21 @@ def target_uri(url: str | None, page_key: int) -> str:
     return " ".join(url.split()) if url and url.strip() else f"urn:page:{page_key}"
 
 
-def _page_records(row, copy: int, first_url: str | None, date: str) -> bytes:
-    """The record of a page; row: page_key, is_null, url, html, digest, winner (null: a response), winner_url. copy: how
-    many rows of the same page and payload came before, the first of them with first_url."""
-    own, html = record_id(row.page_key, row.digest, copy), row.html.encode("utf-8")
+def _page_records(row, date: str) -> bytes:
+    """The record of a page; row: page_key, is_null, url, html, n_bytes, digest, label, winner (null: a response), winner_url."""
     fields = {
-        "WARC-Type": "response", "WARC-Record-ID": own, "WARC-Date": date,
-        "WARC-Target-URI": target_uri(row.url, row.page_key),
+        "WARC-Type": "response", "WARC-Record-ID": record_id(row.page_key, row.digest, row.label), "WARC-Date": date, "WARC-Target-URI": target_uri(row.url, row.page_key),
         "WARC-Payload-Digest": _sha1_field(row.digest), "X-Page-Key": str(row.page_key), "X-Page-Null": str(int(row.is_null)),
         "Content-Type": "application/http; msgtype=response",
     }
     if row.url is not None:
         fields["X-Url"] = json.dumps(row.url)  # as it is; the target URI is what a reader of archives can take
-    head = _RESPONSE % len(html)
-    of, url = (row.page_key, first_url) if copy and len(html) >= MIN_BYTES and pd.isna(row.winner) else (row.winner, row.winner_url)
-    if pd.isna(of):
-        return write_record(fields, head + html)
+    head = _RESPONSE % row.n_bytes
+    if pd.isna(row.winner):
+        return write_record(fields, head + row.html.encode("utf-8"))
+    of = int(row.winner)
     fields |= {
-        "WARC-Type": "revisit", "WARC-Profile": _PROFILE, "WARC-Refers-To": record_id(int(of), row.digest, 0), "WARC-Refers-To-Target-URI": target_uri(url, int(of)),
+        "WARC-Type": "revisit", "WARC-Profile": _PROFILE, "WARC-Refers-To": record_id(of, row.digest), "WARC-Refers-To-Target-URI": target_uri(row.winner_url, of),
         "WARC-Refers-To-Date": date,
     }
     return write_record(fields, head)
@@ -99,7 +96,7 @@ def _writer(folder: str, date: str):
     def write(frames):
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        out, path, records, size, before, copy, first_url = None, "", 0, 0, None, 0, None
+        out, path, records, size = None, "", 0, 0
         for frame in frames:
             for row in frame.itertuples(index=False):
                 if out is not None and size >= FILE_BYTES:
@@ -109,9 +106,7 @@ def _writer(folder: str, date: str):
                 if out is None:
                     name, records, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     path, out = f"{folder}/{name}", store.open_output_stream(f"{root}/{name}", compression=None)
-                copy, first_url = (copy + 1, first_url) if before == (row.page_key, row.digest) else (0, row.url)
-                before = (row.page_key, row.digest)
-                record = _page_records(row, copy, first_url, date)
+                record = _page_records(row, date)
                 out.write(record)
                 records, size = records + 1, size + len(record)
         if out is not None:
@@ -121,35 +116,63 @@ def _writer(folder: str, date: str):
     return write
 
 
+_PAGE = ["page_key", "digest"]
+_WRITTEN = ["page_key", "is_null", "url", "html", "n_bytes", "digest", "label", "winner", "winner_url"]
+
+
+def _repeated(pages: DataFrame, repeats: DataFrame, revisits: DataFrame, total: int) -> DataFrame:
+    """The rows to write of pages that repeat page and payload (repeats: n, first_url). Rows that agree in all are
+    counted before the shuffle and told apart again after it, with the payload only where it is written."""
+    hot = F.broadcast(repeats.filter(F.col("n") > max(total // 1000, 1000)).select(*_PAGE))
+    cold = repeats.select(*_PAGE)
+    rows = pages.join(hot, _PAGE, "left_semi").unionByName(pages.join(hot, _PAGE, "left_anti").join(cold, _PAGE, "left_semi"))
+    rows = stage(rows.groupBy("page_key", "is_null", "digest", "n_bytes", "url").agg(F.count("*").alias("copies"), F.first("html").alias("html")), "warc-repeated")
+    rows = join_weighted(rows, repeats, _PAGE, "n", total).drop("n").join(revisits, _PAGE, "left")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    first = (F.col("copy") == 0) & F.col("url").eqNullSafe(F.col("first_url"))
+    again = F.col("winner").isNull() & (F.col("n_bytes") >= MIN_BYTES) & ~first
+    return rows.select(
+        "page_key", "is_null", "url", F.when(F.col("winner").isNull() & ~again, F.col("html")).alias("html"), "n_bytes", "digest",
+        F.when(first, "").otherwise(F.concat_ws("/", "copy", F.hex(F.xxhash64("url")), F.col("url").isNull().cast("string"))).alias("label"),
+        F.when(again, F.col("page_key")).otherwise(F.col("winner")).alias("winner"), F.when(again, F.col("first_url")).otherwise(F.col("winner_url")).alias("winner_url"),
+    )
+
+
 def headers(pages: DataFrame) -> DataFrame:
-    body = F.encode(F.col("html"), "UTF-8")
-    return pages.select("page_key", "url", F.length(body).alias("n_bytes"), F.sha1(body).alias("digest"), F.xxhash64("html").alias("check"))
+    return pages.select("page_key", "url", "n_bytes", "digest", F.xxhash64("html").alias("check"))
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Writes a record for each row of pages (page_id, url, html) and returns the manifest: archive, records, bytes.
 
     A null html is an empty payload, a null page_id counts as the smallest, a null url is written as a URN. Of
-    rows that repeat page_id and payload that with the largest url is the response, if one of them is; they are
-    written by one task, as a stream. An empty table writes nothing; other columns are not looked at. `date` is the
-    records' date: pages carry none.
+    rows that repeat page_id and payload one with the largest url is the response, if one of them is. An empty table
+    writes nothing; other columns are not looked at. `date` is the records' date: pages carry none.
     """
-    folder = (folder or shared_folder(pages.sparkSession, "warc")).rstrip("/")
+    spark = pages.sparkSession
+    folder, body = (folder or shared_folder(spark, "warc")).rstrip("/"), F.encode("html", "UTF-8")
     pages = pages.select(
         F.coalesce("page_id", F.lit(_FIRST)).cast("long").alias("page_key"), F.col("page_id").isNull().alias("is_null"), "url", F.coalesce("html", F.lit("")).alias("html")
-    )
-    heads = stage(headers(pages).filter(F.col("n_bytes") >= MIN_BYTES), "warc-headers")
-    key = ["digest", "n_bytes", "check"]
-    # of rows that repeat the largest page_id that with the largest url is the response, which is written first
-    groups = heads.groupBy(*key).agg(F.max(F.struct("page_key", "url")).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    ).withColumns({"n_bytes": F.length(body).cast("long"), "digest": F.sha1(body)})
+    heads = stage(headers(pages), "warc-headers")
+    total, key = heads.count(), ["digest", "n_bytes", "check"]
+    repeats = stage(heads.groupBy(*_PAGE).agg(F.count("*").alias("n"), F.max("url").alias("first_url")).filter("n > 1"), "warc-repeats")
+    large = heads.filter(F.col("n_bytes") >= MIN_BYTES)
+    # of rows that repeat the largest page_id one with the largest url is the response
+    groups = large.groupBy(*key).agg(F.max(F.struct("page_key", "url")).alias("best"), F.count("*").alias("n")).filter("n > 1")
     groups = groups.select(*key, "n", F.col("best.page_key").alias("winner"), F.col("best.url").alias("winner_url"))
-    revisits = join_weighted(heads.drop("url"), stage(groups, "warc-groups"), key, "n", heads.count()).filter("page_key <> winner")
-    revisits = revisits.groupBy("page_key", "digest").agg(F.max(F.struct("winner", "winner_url")).alias("w")).select("page_key", "digest", "w.*")
-    digest = F.sha1(F.encode("html", "UTF-8"))
-    # equal pages meet in one task; by page_id, so that equal payloads of many pages do not
-    dealt = pages.withColumn("digest", digest).repartition(n_parts(pages.sparkSession), "page_key", "digest")
-    rows = dealt.join(revisits.hint("merge"), ["page_key", "digest"], "left").sortWithinPartitions("page_key", "digest", F.desc("url"))
-    return stage(rows.select("page_key", "is_null", "url", "html", "digest", "winner", "winner_url").mapInPandas(_writer(folder, date), _MANIFEST), "warc-manifest")
+    revisits = join_weighted(large.drop("url"), stage(groups, "warc-groups"), key, "n", total).filter("page_key <> winner")
+    revisits = revisits.groupBy(*_PAGE).agg(F.max(F.struct("winner", "winner_url")).alias("w")).select(*_PAGE, "w.*")
+    parts, once = n_parts(spark), pages
+    if not repeats.isEmpty():
+        once = pages.join(F.broadcast(repeats.filter(F.col("n") > max(total // 1000, 1000))), _PAGE, "left_anti").join(repeats, _PAGE, "left_anti")
+    # by page_id, so that equal payloads of many pages do not meet in one task
+    dealt = once.withColumn("label", F.lit("")).repartition(parts, *_PAGE)
+    rows = dealt.join(revisits.hint("merge"), _PAGE, "left").select(*_WRITTEN)
+    if not repeats.isEmpty():
+        again = _repeated(pages, repeats, stage(revisits, "warc-revisits"), total)
+        rows = rows.unionByName(again.repartition(parts, *_PAGE, "label").select(*_WRITTEN))
+    return stage(rows.mapInPandas(_writer(folder, date), _MANIFEST), "warc-manifest")
 
 
 def _reader(with_payload: bool):

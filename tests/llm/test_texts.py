@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -139,6 +140,19 @@ def test_warc_revisits(spark, tmp_path):
     assert warc_revisits.read_archives(warc_revisits.write_archives(pages.limit(0), f"file://{tmp_path}/e")).count() == 0
 
 
+def test_repeated_pages_are_one_response(spark, tmp_path):
+    """Rows that repeat page and payload, with equal and with other URLs, are counted, not gathered, and all come back."""
+    small = [(5, u, "tiny") for u in ("a", "a", None)]
+    rows = [(1, "x", PAGE)] * 40 + [(1, "y", PAGE)] * 3 + [(1, None, PAGE)] * 2 + [(2, "w", PAGE)] * 5 + [(3, "z", PAGE + "3")] + [(4, None, PAGE + "4")] * 4 + small
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc_revisits.read_archives(warc_revisits.write_archives(pages, f"file://{tmp_path}/w"), with_payload=True).collect()
+    assert Counter((r.page_id, r.url, bytes(r.payload).decode()) for r in got) == Counter(rows)
+    kinds = Counter((r.page_id, r.record_type, r.refers_to) for r in got)
+    assert kinds == {(1, "revisit", 2): 45, (2, "response", None): 1, (2, "revisit", 2): 4, (3, "response", None): 1, (4, "response", None): 1, (4, "revisit", 4): 3, (5, "response", None): 3}
+    raw = b"".join(gzip.open(p).read() for p in (tmp_path / "w").glob("*.warc.gz"))
+    assert raw.count(PAGE[:-7].encode()) == 3 and len(set(re.findall(rb"WARC-Record-ID: (\S+)", raw))) == len(rows)
+
+
 def test_warc_damage_is_found():
     import io
 

@@ -41,6 +41,11 @@ MAX_KEY_BYTES, MAX_NAME_BYTES = 1024, 255
 
 
 def is_storable(key: Column) -> Column:
-    """Whether a store can hold the key: confined, at most 1024 bytes, no segment over 255 bytes."""
-    names = F.transform(F.split(key, "/"), lambda s: F.octet_length(s))
-    return is_confined(key) & (F.octet_length(key) <= MAX_KEY_BYTES) & (F.array_max(names) <= MAX_NAME_BYTES)
+    """Whether a store can hold the key: confined, at most 1024 bytes, no segment over 255 bytes. The key is worked out
+    once, however much went into it."""
+
+    def fits(k: Column) -> Column:
+        longest = F.array_max(F.transform(F.split(k, "/"), lambda s: F.octet_length(s)))
+        return is_confined(k) & (F.octet_length(k) <= MAX_KEY_BYTES) & (longest <= MAX_NAME_BYTES)
+
+    return F.transform(F.array(key), fits)[0]

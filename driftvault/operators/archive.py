@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import uuid
 from typing import NamedTuple
 
 import numpy as np

@@ -15,11 +15,24 @@ TOO_DEEP = f"payload nesting exceeds the maximum parse depth of {MAX_DEPTH}"
 REFUSED, FILTERED = "storage_write_failed: ", "inbound filter"
 
 
-def _settled(reason: Column, size: Column, dlq: bool, max_dlq_bytes: int) -> dict[str, Column]:
-    """status and final reason for a reason to reject (null: none)."""
-    too_large = F.lit(dlq) & reason.isNotNull() & (size > max_dlq_bytes)
-    status = F.when(reason.isNull(), "delivered").when(F.lit(not dlq) | too_large, "dropped").otherwise("rejected")
-    return {"status": status, "reason": F.when(too_large, "dlq_too_large").otherwise(reason)}
+def _settled(reason: Column, size: Column, dlq: bool, max_dlq_bytes: int, text: Column | None = None) -> Column:
+    """struct(status, reason, reason_text) for a reason to reject (null: none; `dropped`: an inbound filter drops it).
+    The reason is worked out once, however often a plan names what comes of it."""
+
+    def settle(x: Column) -> Column:
+        why = x["reason"]
+        kept = why.isNull() | (why == "dropped")
+        too_large = ~kept & (x["size"] > max_dlq_bytes) if dlq else F.lit(False)
+        status = F.when(why.isNull(), "delivered").when(why == "dropped", "filtered").when(F.lit(not dlq) | too_large, "dropped").otherwise("rejected")
+        said = F.when(why == "filtered", FILTERED).when(why == "too_deep", TOO_DEEP).when(why == "refused", x["text"])
+        return F.struct(status.alias("status"), F.when(too_large, "dlq_too_large").when(~kept, why).alias("reason"), said.alias("reason_text"))
+
+    given = F.struct(reason.alias("reason"), size.alias("size"), F.coalesce(text if text is not None else F.lit(REFUSED + "invalid path")).alias("text"))
+    return F.transform(F.array(given), settle)[0]
+
+
+def _with_settled(df: DataFrame, settled: Column) -> DataFrame:
+    return df.withColumn("_settled", settled).withColumns({c: F.col("_settled")[c] for c in ("status", "reason", "reason_text")}).drop("_settled")
 
 
 def outcomes(routed: DataFrame, dlq: bool = True, max_dlq_bytes: int = 1_000_000) -> DataFrame:
@@ -31,14 +44,8 @@ def outcomes(routed: DataFrame, dlq: bool = True, max_dlq_bytes: int = 1_000_000
     cannot hold the payload.
     """
     inbound = F.col("inbound") if "inbound" in routed.columns else F.lit(None).cast("string")
-    refused = ~F.coalesce(is_storable(F.col("key")), F.lit(True))
-    reason = F.when(inbound == "reject", "filtered").when(F.col("too_deep"), "too_deep").when(refused, "refused")
-    text = F.when(inbound == "reject", FILTERED).when(F.col("too_deep"), TOO_DEEP).when(refused, REFUSED + "invalid path")
-    settled = _settled(reason, F.octet_length("value"), dlq, max_dlq_bytes)
-    dropped = F.coalesce(inbound == "drop", F.lit(False))
-    return routed.withColumns({
-        "status": F.when(dropped, "filtered").otherwise(settled["status"]), "reason": F.when(~dropped, settled["reason"]), "reason_text": F.when(~dropped, text),
-    })
+    reason = F.when(inbound == "drop", "dropped").when(inbound == "reject", "filtered").when(F.col("too_deep"), "too_deep").when(~F.coalesce(is_storable(F.col("key")), F.lit(True)), "refused")
+    return _with_settled(routed, _settled(reason, F.octet_length("value"), dlq, max_dlq_bytes))
 
 
 def with_refusals(ledger: DataFrame, manifest: DataFrame, dlq: bool = True, max_dlq_bytes: int = 1_000_000) -> DataFrame:
@@ -51,8 +58,8 @@ def with_refusals(ledger: DataFrame, manifest: DataFrame, dlq: bool = True, max_
         return ledger
     inside = ["destination", "part", "window"]
     bad = ledger.filter("status = 'delivered'").join(refusals, inside).filter("off BETWEEN first_off AND last_off").drop("first_off", "last_off")
-    settled = _settled(F.lit("refused"), F.octet_length("value"), dlq, max_dlq_bytes)
-    bad = bad.withColumns(settled).withColumn("reason_text", F.concat(F.lit(REFUSED), "refusal")).drop("refusal")
+    settled = _settled(F.lit("refused"), F.octet_length("value"), dlq, max_dlq_bytes, F.concat(F.lit(REFUSED), "refusal"))
+    bad = _with_settled(bad, settled).select(*ledger.columns)
     rest = ledger.join(bad.select("topic", "part", "off"), ["topic", "part", "off"], "left_anti")
     return rest.unionByName(bad)
 

@@ -310,7 +310,3 @@ def env_values(text: str) -> dict[str, str]:
     """The variables of a .env file: KEY=VALUE lines, with or without `export` and quotes; # begins a comment line."""
     lines = [x.strip().removeprefix("export ").partition("=") for x in text.splitlines() if "=" in x and not x.lstrip().startswith("#")]
     return {k.strip(): v.strip().strip("\"'") for k, _, v in lines}
-
-
-def as_json(config: Config) -> str:
-    return json.dumps(dataclasses.asdict(config), sort_keys=True)

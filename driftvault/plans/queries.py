@@ -70,7 +70,8 @@ def segment_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def outcomes(spark: SparkSession, sf_dir: str, max_dlq_bytes: int = 120) -> DataFrame:
     """A ledger in which some keys are too long for the store and some payloads for the dead letters."""
     df = routed(spark, sf_dir)
-    key = F.when(F.col("event_id") % 97 == 0, F.concat("destination", F.lit("/" + "k" * 1100))).when(F.col("event_id") % 89 == 0, F.concat("destination", F.lit("/../x"))).otherwise(F.concat("destination", F.lit("/f")))
+    end = F.when(F.col("event_id") % 97 == 0, "/" + "k" * 1100).when(F.col("event_id") % 89 == 0, "/../x").otherwise("/f")
+    key = F.concat("destination", end)
     return delivery.outcomes(df.withColumn("key", key), max_dlq_bytes=max_dlq_bytes)
 
 

@@ -5,7 +5,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
-from pyspark.sql import functions as F
 
 from driftvault.llm import exact_dedup, line_dedup, sharding, simhash_dedup
 

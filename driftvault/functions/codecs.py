@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import gzip
 import io
 
@@ -24,8 +25,10 @@ def _crc32c_table() -> np.ndarray:
 
 
 _TABLE = _crc32c_table()
+_ENTRIES = _TABLE.tolist()
 
 
+@functools.lru_cache(maxsize=8)
 def _zeros_operator(n: int) -> np.ndarray:
     """For each byte of a state, each of its values: the state after n zero bytes."""
     state = np.arange(256, dtype=np.uint32)[None, :] << (8 * np.arange(4, dtype=np.uint32))[:, None]
@@ -48,9 +51,8 @@ def crc32c(data: bytes) -> int:
         for nxt in of[1:].tolist():
             state = int(shift[0, state & 255] ^ shift[1, state >> 8 & 255] ^ shift[2, state >> 16 & 255] ^ shift[3, state >> 24]) ^ nxt
         data = data[whole:]
-    table = _TABLE.tolist()
     for byte in data:
-        state = state >> 8 ^ table[(state ^ byte) & 255]
+        state = state >> 8 ^ _ENTRIES[(state ^ byte) & 255]
     return state ^ 0xFFFFFFFF
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftvault.llm import exact_dedup, language_id, line_dedup, packing, prefix_bpe, quality_rules, sharding, simhash_dedup, toxicity, warc_revisits
+from driftvault.llm import exact_dedup, filter_audit, language_id, line_dedup, packing, prefix_bpe, quality_rules, sharding, simhash_dedup, toxicity, warc_revisits
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
@@ -135,4 +140,36 @@ s AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND {_RULES} AS kept
 FROM s""",
+    "op11_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(doc_id, -9223372036854775808) AS doc, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1),
+f AS (
+  SELECT part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+         100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 10 * length(body) AS c, regexp_matches(body, '[#$%&*|]') AS d,
+         doc > min(doc) OVER (PARTITION BY body) AS e, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM d LEFT JOIN l USING (doc_id)),
+cells AS (
+  SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+                      CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS failed,
+         count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f GROUP BY 1, 2),
+x AS (SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS t(k)),
+orders AS (
+  SELECT concat(x1.k, x2.k, x3.k, x4.k, x5.k) AS filter_order FROM x x1, x x2, x x3, x x4, x x5
+  WHERE x1.k NOT IN (x2.k, x3.k, x4.k, x5.k) AND x2.k NOT IN (x3.k, x4.k, x5.k) AND x3.k NOT IN (x4.k, x5.k) AND x4.k <> x5.k),
+steps AS (
+  SELECT filter_order, step::INT AS step, substr(filter_order, step::INT, 1) AS k, substr(filter_order, 1, (step - 1)::INT) AS before
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders)),
+s AS (
+  SELECT *, contains(failed, k) AS fails, translate(failed, before, '') <> failed AS earlier FROM cells, steps),
+r AS (
+  SELECT part, filter_order, step, k, coalesce(sum(n) FILTER (NOT fails AND NOT earlier), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (fails AND NOT earlier), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (fails AND earlier), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (failed = k), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (fails AND NOT earlier), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (fails AND NOT earlier), 0)::BIGINT AS toxic_lost
+  FROM s GROUP BY 1, 2, 3, 4)
+SELECT * EXCLUDE (k), (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley FROM r""",
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftvault.llm import exact_dedup, filter_audit, language_id, line_dedup, packing, prefix_bpe, quality_rules, sharding, simhash_dedup, toxicity, warc_revisits
+from driftvault.llm import exact_dedup, filter_audit, language_id, line_dedup, packing, piece_bpe, prefix_bpe, quality_rules, sharding, simhash_dedup, toxicity, warc_revisits, whitening
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,16 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = piece_bpe.SharedPieces(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    digests = documents(spark, sf_dir).select("doc_id", piece_bpe.digest_column(F.col("text"), pieces).alias("d"))
+    return digests.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -74,6 +84,8 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
+    "op12_piece_bpe": op12_piece_bpe,
+    "op13_whitening": op13_whitening,
 }
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))

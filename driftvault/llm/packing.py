@@ -17,7 +17,7 @@ from bisect import bisect_left, insort
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame, Window
@@ -75,25 +75,29 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def _tokenise(path: str, capacity: int):
-    def task(frames):
+    """Identifiers stay as Arrow has them: beside nulls pandas would make doubles of them."""
+
+    def task(batches):
         if path not in _TOKENIZERS:
             _TOKENIZERS[path] = FileTokenizer(path)
         tokenizer = _TOKENIZERS[path]
-        for frame in frames:
-            for at in range(0, len(frame), 256):
-                part, rows = frame.iloc[at : at + 256], []
-                for doc_id, text in zip(part["doc_id"], part["text"]):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part, of, rows = batch.slice(at, 256), [], []
+                for k, text in enumerate(part.column(1).to_pylist()):
                     ids = np.array([*tokenizer.encode(text or ""), 0], "<u4")
-                    rows += [(doc_id, k, s, n, zlib.crc32(ids[s : s + n].tobytes())) for k, (s, n) in enumerate(cut(len(ids), capacity))]
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+                    cuts = cut(len(ids), capacity)
+                    of += [k] * len(cuts)
+                    rows += [(j, s, n, zlib.crc32(ids[s : s + n].tobytes())) for j, (s, n) in enumerate(cuts)]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(of)), *columns], names=[c.split()[0] for c in _PIECES.split(", ")])
 
     return task
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """A row for each piece of each row of docs, with a row number `item`."""
-    rows = docs.select("doc_id", "text").mapInPandas(_tokenise(tokenizer, capacity), _PIECES)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_tokenise(tokenizer, capacity), _PIECES)
     return stage(rows.withColumn("item", F.monotonically_increasing_id()), "pieces")
 
 

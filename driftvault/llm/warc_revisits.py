@@ -73,7 +73,7 @@ def target_uri(url: str | None, page_key: int) -> str:
 
 
 def _page_records(row, date: str) -> bytes:
-    """The record of a page; row: page_key, is_null, url, html, n_bytes, digest, label, winner (null: a response), winner_url."""
+    """The record of a page; row: page_key, is_null, url, html, n_bytes, digest, label, revisit, winner (of a revisit), winner_url."""
     fields = {
         "WARC-Type": "response", "WARC-Record-ID": record_id(row.page_key, row.digest, row.label), "WARC-Date": date, "WARC-Target-URI": target_uri(row.url, row.page_key),
         "WARC-Payload-Digest": _sha1_field(row.digest), "X-Page-Key": str(row.page_key), "X-Page-Null": str(int(row.is_null)),
@@ -82,9 +82,9 @@ def _page_records(row, date: str) -> bytes:
     if row.url is not None:
         fields["X-Url"] = json.dumps(row.url)  # as it is; the target URI is what a reader of archives can take
     head = _RESPONSE % row.n_bytes
-    if pd.isna(row.winner):
+    if not row.revisit:
         return write_record(fields, head + row.html.encode("utf-8"))
-    of = int(row.winner)
+    of = row.winner
     fields |= {
         "WARC-Type": "revisit", "WARC-Profile": _PROFILE, "WARC-Refers-To": record_id(of, row.digest), "WARC-Refers-To-Target-URI": target_uri(row.winner_url, of),
         "WARC-Refers-To-Date": date,
@@ -120,6 +120,11 @@ _PAGE = ["page_key", "digest"]
 _WRITTEN = ["page_key", "is_null", "url", "html", "n_bytes", "digest", "label", "winner", "winner_url"]
 
 
+def _for_writer(rows: DataFrame) -> DataFrame:
+    """No number is null in what the writer gets: beside nulls pandas would make doubles of identifiers."""
+    return rows.withColumns({"revisit": F.col("winner").isNotNull(), "winner": F.coalesce("winner", F.lit(0).cast("long"))})
+
+
 def _repeated(pages: DataFrame, repeats: DataFrame, revisits: DataFrame, total: int) -> DataFrame:
     """The rows to write of pages that repeat page and payload (repeats: n, first_url). Rows that agree in all are
     counted before the shuffle and told apart again after it, with the payload only where it is written."""
@@ -172,7 +177,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, date: str = "202
     if not repeats.isEmpty():
         again = _repeated(pages, repeats, stage(revisits, "warc-revisits"), total)
         rows = rows.unionByName(again.repartition(parts, *_PAGE, "label").select(*_WRITTEN))
-    return stage(rows.mapInPandas(_writer(folder, date), _MANIFEST), "warc-manifest")
+    return stage(_for_writer(rows).mapInPandas(_writer(folder, date), _MANIFEST), "warc-manifest")
 
 
 def _reader(with_payload: bool):
@@ -204,15 +209,15 @@ def _parsed(fields: dict[str, str], block: bytes, with_payload: bool) -> tuple:
     url = json.loads(fields["x-url"]) if "x-url" in fields else None
     return (
         int(fields["x-page-key"]), fields["x-page-null"] == "1", url, fields["warc-record-id"], fields["warc-type"], fields.get("warc-refers-to"),
-        stated, None if revisit else len(payload), payload if with_payload and not revisit else None,
+        stated, len(payload), payload if with_payload and not revisit else None,
     )
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     """The records of the manifest's archives, revisits resolved: page_id, url, record_type, refers_to,
     payload_digest, payload_bytes and, on demand, payload. Every response's payload is held against its digest; a
-    revisit's payload and length come from the response that it names. A response that a third of all records
-    revisit is joined without an exchange."""
+    revisit's payload and length come from the response that it names; one that names none of the archives' responses
+    is an error. A response that a third of all records revisit is joined without an exchange."""
     files = manifest.select("archive").repartition(n_parts(manifest.sparkSession))
     records = stage(files.mapInPandas(_reader(with_payload), _RECORDS), "warc-records")
     page_id = F.when(~F.col("is_null"), F.col("page_key"))
@@ -224,4 +229,6 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     asked = revisits.groupBy("refers_to_id").agg(F.count("*").alias("n"))
     named = responses.select(F.col("record_id").alias("refers_to_id"), page_id.alias("refers_to"), "payload_bytes", "payload")
     found = join_weighted(revisits, stage(named.join(asked, "refers_to_id"), "warc-revisited"), ["refers_to_id"], "n", revisits.count(), "left")
+    lost = F.raise_error(F.concat(F.lit("a revisit names a response that is in no archive: "), "refers_to_id"))
+    found = found.withColumns({c: F.when(F.col("n").isNotNull(), F.col(c)).otherwise(lost) for c in ("refers_to", "payload_bytes")})
     return own.unionByName(found.drop("refers_to_id", "n")).select(*([c for c in own.columns if c != "payload"] + ["payload"] * with_payload))

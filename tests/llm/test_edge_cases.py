@@ -19,11 +19,13 @@ GOOD = "The city of the north was built in an age of iron, and it is still the p
 ROWS = [
     (1, GOOD, "en"), (2, GOOD, "en"), (2, GOOD, "en"), (None, GOOD, None), (None, None, None), (3, None, "en"), (4, "", "de"), (5, " \n\t ", None),
     (6, " ".join(f"{GOOD} Item {i} of the list." for i in range(1500)), "en"), (7, GOOD + " More of it is at the end of the road.", "xx"), (8, "x\n" * 30, "en"), (2**63 - 1, "das ist ein Satz", "de"),
+    (2**53 + 1, "one of the ids that doubles cannot tell", "en"), (2**53 + 3, "another of the ids that doubles cannot tell", None), (-(2**53) - 1, "and one below zero", "fr"),
 ]
 
 
 def table(spark, rows):
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    """All rows in one partition, so that nulls stand beside identifiers that doubles cannot tell."""
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
     return df.withColumns({c: F.lit(f"own {c}") for c in CLASHING})
 
 
@@ -52,15 +54,38 @@ def test_operators_give_a_row_for_each_row(spark, name):
 
 
 def test_archives_with_clashing_names(spark):
-    pages = spark.createDataFrame([(i, f"http://x/{i}", t) for i, t, _ in ROWS], "page_id long, url string, html string").withColumns({c: F.lit(1) for c in CLASHING})
+    pages = spark.createDataFrame([(i, f"http://x/{i}", t) for i, t, _ in ROWS], "page_id long, url string, html string").coalesce(1).withColumns({c: F.lit(1) for c in CLASHING})
     got = warc_revisits.read_archives(warc_revisits.write_archives(pages)).collect()
     assert Counter((r.page_id, r.url) for r in got) == Counter((i, f"http://x/{i}") for i, _, _ in ROWS)
 
 
+def test_revisits_of_large_identifiers_beside_a_null(spark):
+    ids, body = [2**53 + 1, 2**53 + 3, 2**53 + 5, 2**53 + 7, None, 2**63 - 1, 2**63 - 3], "x" * 1200
+    rows = [(i, f"http://x/{k}", body if k in (0, 2, 3) else "y" * 1500 if k > 3 else f"alone {i}") for k, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes) for r in warc_revisits.read_archives(warc_revisits.write_archives(pages)).collect()}
+    assert got == {
+        2**53 + 1: ("revisit", 2**53 + 7, 1200), 2**53 + 3: ("response", None, len(f"alone {2**53 + 3}")), 2**53 + 5: ("revisit", 2**53 + 7, 1200), 2**53 + 7: ("response", None, 1200),
+        None: ("revisit", 2**63 - 1, 1500), 2**63 - 1: ("response", None, 1500), 2**63 - 3: ("revisit", 2**63 - 1, 1500),
+    }
+
+
+def test_a_revisit_without_its_response_is_an_error(spark):
+    """Of archives read one at a time only the one that holds the response can be."""
+    pages = spark.createDataFrame([(i, None, "z" * 2000) for i in range(1, 41)], "page_id long, url string, html string")
+    archives, read = warc_revisits.write_archives(pages).collect(), []
+    for row in archives:
+        try:
+            read.append({r.page_id for r in warc_revisits.read_archives(spark.createDataFrame([row])).collect()})
+        except Exception as e:  # noqa: BLE001 - Spark's own class
+            assert "in no archive" in str(e)
+    assert len(archives) > 1 and len(read) == 1 and 40 in read[0]
+
+
 KEPT = {  # doc_ids that each filtering stage keeps of ROWS
     "quality rules": [1, 2, 2, None, 7],
     "toxicity": None,
-    "exact dedup": [1, 3, 5, 6, 7, 8, 2**63 - 1],
+    "exact dedup": [1, 3, 5, 6, 7, 8, 2**63 - 1, 2**53 + 1, 2**53 + 3, -(2**53) - 1],
     "near dedup": None,
 }
 

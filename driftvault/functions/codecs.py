@@ -14,7 +14,10 @@ import zstandard
 EXTENSION_OF = {"zstd": "zst", "lz4": "lz4", "snappy": "sz", "gzip": "gz", "none": ""}
 #: Fixed values of the Snappy framing format: the stream's first chunk, the most bytes of a chunk, the checksum's mask.
 _SNAPPY_START, _SNAPPY_CHUNK, _CRC_MASK = b"\xff\x06\x00\x00sNaPpY", 65536, 0xA282EAD8
-_LANES = 256
+#: A checksum is worked out in lanes of so many bytes, side by side.
+_LANE_BYTES = 256
+#: Chunks whose checksums are worked out together.
+_TOGETHER = 16
 
 
 def _crc32c_table() -> np.ndarray:
@@ -25,52 +28,83 @@ def _crc32c_table() -> np.ndarray:
 
 
 _TABLE = _crc32c_table()
-_ENTRIES = _TABLE.tolist()
+#: The state after two bytes at once.
+_WIDE = _TABLE[(_TABLE[np.arange(65536) & 255] ^ (np.arange(65536, dtype=np.uint32) >> 8)) & 255] ^ (_TABLE[np.arange(65536) & 255] >> 8)
 
 
-@functools.lru_cache(maxsize=8)
+@functools.cache
 def _zeros_operator(n: int) -> np.ndarray:
-    """For each byte of a state, each of its values: the state after n zero bytes."""
-    state = np.arange(256, dtype=np.uint32)[None, :] << (8 * np.arange(4, dtype=np.uint32))[:, None]
-    for _ in range(n):
-        state = (state >> 8) ^ _TABLE[state & 0xFF]
-    return state
+    """For each byte of a state, each of its values: the state after n zero bytes, n a power of two."""
+    if n == 1:
+        state = np.arange(256, dtype=np.uint32)[None, :] << (8 * np.arange(4, dtype=np.uint32))[:, None]
+        return (state >> 8) ^ _TABLE[state & 0xFF]
+    return _after(_zeros_operator(n // 2), n // 2)
+
+
+def _after(state: np.ndarray, n: int) -> np.ndarray:
+    """States after n zero bytes, n a power of two."""
+    of = _zeros_operator(n)
+    return of[0, state & 255] ^ of[1, state >> 8 & 255] ^ of[2, state >> 16 & 255] ^ of[3, state >> 24]
+
+
+@functools.lru_cache(maxsize=1024)
+def _begun(n: int) -> int:
+    """What the checksum's first state becomes over n bytes."""
+    state = np.array([0xFFFFFFFF], np.uint32)
+    for bit in range(n.bit_length()):
+        if n >> bit & 1:
+            state = _after(state, 1 << bit)
+    return int(state[0])
+
+
+def crc32c_all(parts: list[bytes]) -> list[int]:
+    """CRC-32C of each part. Zeros before a part don't change a checksum that begins with zero, so all parts are filled
+    up to one length and worked on together; lanes are put together in pairs."""
+    lanes = 1 << (max(-(-max(map(len, parts), default=0) // _LANE_BYTES), 1) - 1).bit_length()
+    whole = np.zeros((len(parts), lanes * _LANE_BYTES), np.uint8)
+    for row, part in zip(whole, parts):
+        if part:
+            row[-len(part) :] = np.frombuffer(part, np.uint8)
+    words = np.ascontiguousarray(whole.view("<u2").reshape(len(parts) * lanes, _LANE_BYTES // 2).T)
+    state = np.zeros(len(parts) * lanes, np.uint32)
+    for column in words:
+        state = (state >> 16) ^ _WIDE[(state ^ column) & 0xFFFF]
+    state, size = state.reshape(len(parts), lanes), _LANE_BYTES
+    while state.shape[1] > 1:
+        state, size = _after(state[:, ::2], size) ^ state[:, 1::2], 2 * size
+    return [int(s) ^ _begun(len(p)) ^ 0xFFFFFFFF for s, p in zip(state[:, 0], parts)]
 
 
 def crc32c(data: bytes) -> int:
-    """CRC-32C. Long data is cut into equal lanes that are worked on side by side and then put together."""
-    state, whole = 0xFFFFFFFF, len(data) // _LANES * _LANES
-    if len(data) >= 4 * _LANES:
-        lanes = np.frombuffer(data[:whole], np.uint8).reshape(_LANES, -1)
-        of = np.zeros(_LANES, np.uint32)
-        of[0] = state
-        for column in lanes.T:
-            of = (of >> 8) ^ _TABLE[(of ^ column) & 0xFF]
-        shift = _zeros_operator(lanes.shape[1])
-        state = int(of[0])
-        for nxt in of[1:].tolist():
-            state = int(shift[0, state & 255] ^ shift[1, state >> 8 & 255] ^ shift[2, state >> 16 & 255] ^ shift[3, state >> 24]) ^ nxt
-        data = data[whole:]
-    for byte in data:
-        state = state >> 8 ^ _ENTRIES[(state ^ byte) & 255]
-    return state ^ 0xFFFFFFFF
+    """CRC-32C of data."""
+    return crc32c_all([data])[0]
+
+
+def _masked(crc: int) -> int:
+    return ((crc >> 15 | crc << 17) + _CRC_MASK) & 0xFFFFFFFF
 
 
 def _snappy_frame(data: bytes) -> bytes:
     codec, out = pa.Codec("snappy"), [_SNAPPY_START]
-    for at in range(0, len(data), _SNAPPY_CHUNK):
-        part = data[at : at + _SNAPPY_CHUNK]
-        crc = crc32c(part)
-        masked = ((crc >> 15 | crc << 17) + _CRC_MASK) & 0xFFFFFFFF
-        packed = codec.compress(part, asbytes=True)
-        kind, body = (b"\x00", packed) if len(packed) < len(part) else (b"\x01", part)
-        out.append(kind + (len(body) + 4).to_bytes(3, "little") + masked.to_bytes(4, "little") + body)
+    parts = [data[at : at + _SNAPPY_CHUNK] for at in range(0, len(data), _SNAPPY_CHUNK)]
+    for at in range(0, len(parts), _TOGETHER):
+        some = parts[at : at + _TOGETHER]
+        for part, crc in zip(some, crc32c_all(some)):
+            packed = codec.compress(part, asbytes=True)
+            kind, body = (b"\x00", packed) if len(packed) < len(part) else (b"\x01", part)
+            out.append(kind + (len(body) + 4).to_bytes(3, "little") + _masked(crc).to_bytes(4, "little") + body)
     return b"".join(out)
 
 
 def _snappy_chunks(raw):
-    """The data of a framed stream, chunk by chunk; every checksum is checked."""
-    codec = pa.Codec("snappy")
+    """The data of a framed stream, some chunks at a time; every checksum is checked."""
+    codec, stated, parts = pa.Codec("snappy"), [], []
+
+    def checked():
+        if [_masked(c) for c in crc32c_all(parts)] != stated:
+            raise ValueError("a chunk's checksum is wrong")
+        return b"".join(parts)
+
     while head := raw.read(4):
         if len(head) < 4:
             raise ValueError("a chunk header is cut short")
@@ -79,7 +113,7 @@ def _snappy_chunks(raw):
         if len(body) != size:
             raise ValueError("a chunk is cut short")
         if kind in (0, 1):
-            stated, part = int.from_bytes(body[:4], "little"), body[4:]
+            part = body[4:]
             if kind == 0:
                 n = shift = 0  # the length comes first, seven bits a byte
                 for byte in part:
@@ -88,15 +122,18 @@ def _snappy_chunks(raw):
                     if byte < 128:
                         break
                 part = codec.decompress(part, decompressed_size=n, asbytes=True)
-            crc = crc32c(part)
-            if ((crc >> 15 | crc << 17) + _CRC_MASK) & 0xFFFFFFFF != stated:
-                raise ValueError("a chunk's checksum is wrong")
-            yield part
+            stated.append(int.from_bytes(body[:4], "little"))
+            parts.append(part)
+            if len(parts) == _TOGETHER:
+                yield checked()
+                stated, parts = [], []
         elif kind == 0xFF:
             if body != _SNAPPY_START[4:]:
                 raise ValueError("this is no framed stream")
         elif kind < 0x80:
             raise ValueError(f"chunk type {kind} is unknown")
+    if parts:
+        yield checked()
 
 
 def _snappy_frames_read(data: bytes) -> bytes:

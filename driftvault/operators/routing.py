@@ -30,7 +30,8 @@ def route_by_fields(records: DataFrame, fields: tuple[str, ...] = ("_org_id",),
     destination is the topic's segment, where there is a topic, and one for each field; a field that is missing,
     blank, null or no scalar is the default segment, and its index is in fallback_fields. A payload that is not JSON
     is an error and goes by its topic; one that nests too deeply is not parsed and has no destination. Null payloads
-    are not JSON. Each payload is parsed twice, whatever the number of fields: within an array and within an object.
+    are not JSON. Each payload is parsed twice, whatever the number of fields and whatever is filtered afterwards: within
+    an array and within an object.
     """
     text = F.coalesce(F.col("value").cast("string"), F.lit(""))
     df = records.withColumn("too_deep", is_too_deep(text))
@@ -42,13 +43,20 @@ def route_by_fields(records: DataFrame, fields: tuple[str, ...] = ("_org_id",),
     path = F.array_join(F.when(topic == "", parts).otherwise(F.concat(F.array(path_segment(topic)), parts)), "/")
     missing = F.filter(F.transform(F.col("_found"), lambda v, i: F.when(v.isNull(), i)), lambda i: i.isNotNull())
     parsed = F.col("_json").isNotNull()
-    return df.withColumns({
+    return _bound(df, {
         "destination": F.when(F.col("too_deep"), F.lit(None).cast("string")).when(parsed, path).otherwise(topic_destination(topic, default_segment)),
         "fallback_fields": F.when(parsed, missing).otherwise(F.array().cast("array<int>")),
-        "routing_error": ~F.col("too_deep") & ~parsed,
+        "routing_error": ~F.col("too_deep") & ~parsed, "too_deep": F.col("too_deep"),
     }).drop("_json", "_found")
 
 
+def _bound(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with columns that are worked out once a row. As fields of a generator's only element no filter on them can be
+    pushed below it, where the optimizer would put the whole expression in the place of each mention of a column."""
+    one = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.withColumn("_bound", one).withColumns({n: F.col("_bound")[n] for n in columns}).drop("_bound")
+
+
 def route(records: DataFrame, mode: str = "expression", fields: tuple[str, ...] | None = None, default_segment: str = "default", transport: str = "kafka") -> DataFrame:
     """Routing as a configuration asks for it; a mode that is not `expression` is by topic."""
     if mode != "expression":

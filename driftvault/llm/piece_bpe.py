@@ -39,7 +39,8 @@ class Pieces:
         #: Merges by falling score; pieces of one score are merged from left to right.
         levels = {s: k for k, s in enumerate(sorted({scores[i] for i, t in texts.items() if len(t) > 1}, reverse=True), 1)}
         self.rank = {i: levels[scores[i]] if len(t) > 1 else 0 for i, t in texts.items()}
-        self._stand: dict[tuple[int, int], bool] = {}
+        self._stand: dict[int, bool] = {}
+        self._sizes = {i: len(t) for i, t in texts.items()}
         self.parts = parts if parts is not None else self._merged_parts()
         found = ahocorasick.Automaton()
         for i, t in texts.items():
@@ -47,12 +48,14 @@ class Pieces:
                 found.add_word(t, (len(t), i))
         if len(found):
             found.make_automaton()
-        self._found = found
-        self._shorter = {i: next((found.get(t[:n])[1] for n in range(len(t) - 1, 0, -1) if found.exists(t[:n])), None) for _, i in found.values() for t in (texts[i],)}
+        self._found, self._whole = found, {t: i for t, i in self.ids.items() if len(t) == 1 or i in self.parts}
+        self._shorter = {i: next((self._whole[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self._whole), None) for t, i in self._whole.items()}
         self._byte_of = {i: b for b, i in byte_ids.items()}
-        #: Where no piece goes on after a marked space, a text can be cut before each run of them.
+        #: Where no piece goes on after a marked space, a text can be cut before each run of them; and around line ends,
+        #: where no piece has any.
         cut = not any(re.search(f"[^{SPACE}]{SPACE}", t) for t in texts.values())
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if cut else r"(?s:.+)").findall
+        line = "" if any("\n" in t for t in texts.values()) else "\n"
+        self.cut = re.compile(f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + (f"|{line}+" if line else "") if cut else r"(?s:.+)").findall
 
     @staticmethod
     def load(path: str) -> Pieces:
@@ -101,26 +104,22 @@ class Pieces:
                 return True
 
     def stand(self, left: int, right: int) -> bool:
-        known = self._stand.get((left, right))
-        if known is None:
-            if len(self._stand) > 1_000_000:
-                self._stand.clear()
-            known = self._stand[left, right] = self._stands(left, right, len(self.rank) + 1)
+        if len(self._stand) > 1_000_000:
+            self._stand.clear()
+        known = self._stand[left << 32 | right] = self._stands(left, right, len(self.rank) + 1)
         return known
 
-    def _longest(self, text: str) -> list[int | None]:
-        """The longest piece that starts at each place."""
-        longest: list[int | None] = [None] * len(text)
-        sizes = [0] * len(text)
-        for end, (n, i) in self._found.iter(text):
-            start = end + 1 - n
-            if n > sizes[start]:
-                sizes[start], longest[start] = n, i
-        return longest
-
     def encode_part(self, text: str) -> list[int]:
         """The ids of normalised text. A character without a piece is its bytes, and nothing is merged across it."""
-        longest, out, at = self._longest(text), [], 0
+        whole = self._whole.get(text)
+        if whole is not None:
+            return [whole]
+        longest: list[int | None] = [None] * len(text)
+        for end, (n, i) in self._found.iter(text):  # of the pieces that start at a place the longest ends last
+            longest[end + 1 - n] = i
+        if None not in longest:
+            return self._known(longest, 0, len(text))
+        out, at = [], 0
         while at < len(text):
             if longest[at] is None:
                 out += [self.byte_ids[b] for b in text[at].encode("utf-8")]
@@ -132,23 +131,27 @@ class Pieces:
         return out
 
     def _known(self, longest: list[int | None], start: int, stop: int) -> list[int]:
-        """The pieces of text[start:stop], whose characters all have pieces."""
-        texts, shorter, failed, out = self.texts, self._shorter, bytearray((stop - start >> 3) + 1), []
-        at, piece = start, longest[start]
+        """The pieces of the places from start to stop, whose characters all have pieces."""
+        sizes, shorter, stand, out, failed = self._sizes, self._shorter, self._stand, [], None
+        at, piece, last = start, longest[start], -1
         while at < stop:
-            end = at + len(texts[piece])
-            place = end - start
-            if end <= stop and not failed[place >> 3] >> (place & 7) & 1 and (not out or self.stand(out[-1], piece)):
-                out.append(piece)
-                at = end
-                piece = longest[at] if at < stop else None
-            elif shorter[piece] is not None:
-                piece = shorter[piece]
-            else:
-                place = at - start
-                failed[place >> 3] |= 1 << (place & 7)
+            end = at + sizes[piece]
+            if end <= stop and (failed is None or not failed[end - start >> 3] >> (end - start & 7) & 1):
+                stands = last < 0 or stand.get(last << 32 | piece)
+                if stands or stands is None and self.stand(last, piece):
+                    out.append(piece)
+                    at, last = end, piece
+                    if end < stop:
+                        piece = longest[end]
+                    continue
+            piece = shorter[piece]
+            if piece is None:  # nothing that begins here stands beside the last piece, which is given up
+                if failed is None:
+                    failed = bytearray((stop - start >> 3) + 1)
+                failed[at - start >> 3] |= 1 << (at - start & 7)
                 piece = out.pop()
-                at -= len(texts[piece])
+                at -= sizes[piece]
+                last = out[-1] if out else -1
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -156,7 +159,10 @@ class Pieces:
 
     def decode_part(self, ids: list[int]) -> str:
         """The text that ids spell, spaces before it included; byte pieces that spell no character become U+FFFD."""
-        out, octets = [], bytearray()
+        try:
+            return "".join(map(self.texts.__getitem__, ids)).replace(SPACE, " ")
+        except KeyError:
+            out, octets = [], bytearray()
         for i in [*ids, None]:
             if i in self._byte_of:
                 octets.append(self._byte_of[i])
@@ -188,32 +194,43 @@ def _characters(octets: bytes) -> str:
     return "".join(out)
 
 
+class _Parts(dict):
+    """Of parts of texts their ids in decimal digits and the text that those decode to. Those that come again are
+    remembered, as many as `cached` at a time."""
+
+    def __init__(self, pieces: Pieces, cached: int):
+        self.pieces, self.cached = pieces, cached
+
+    def __missing__(self, part: str) -> tuple[str, str]:
+        ids = self.pieces.encode_part(part)
+        found = " ".join(map(str, ids)), self.pieces.decode_part(ids)
+        if len(part) < 64:
+            if len(self) >= self.cached:
+                self.clear()
+            self[part] = found
+        return found
+
+
 class TextCodec:
-    """Encodes whole texts. Parts that come again are remembered, with their decimal ids and the bytes that those decode to."""
+    """Encodes whole texts."""
 
     def __init__(self, pieces: Pieces, cached: int = CACHED_PARTS):
-        self.pieces, self.cached, self._parts = pieces, cached, {}
-
-    def _part(self, part: str) -> tuple[int, str, bytes, list[int]]:
-        found = self._parts.get(part)
-        if found is None:
-            ids = self.pieces.encode_part(part)
-            found = len(ids), " ".join(map(str, ids)), self.pieces.decode_part(ids).encode("utf-8"), ids
-            if len(part) < 64:
-                if len(self._parts) > self.cached:
-                    self._parts.clear()
-                self._parts[part] = found
-        return found
+        self.pieces, self._parts = pieces, _Parts(pieces, cached)
+
+    def _found(self, text: str) -> list[tuple[str, str]]:
+        return list(map(self._parts.__getitem__, self.pieces.cut(normalised(text))))
+
+    def _digits(self, found: list[tuple[str, str]]) -> str:
+        return " ".join([f[0] for f in found] + [str(self.pieces.end_id)])
 
     def encode(self, text: str) -> list[int]:
-        return [i for part in self.pieces.cut(normalised(text)) for i in self._part(part)[3]] + [self.pieces.end_id]
+        return list(map(int, self._digits(self._found(text)).split()))
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of ids with the end, SHA-256 of the decimal ids, SHA-256 of what they decode to)"""
-        found = [self._part(part) for part in self.pieces.cut(normalised(text))]
-        ids = " ".join([f[1] for f in found] + [str(self.pieces.end_id)])
-        decoded = b"".join([f[2] for f in found]).removeprefix(b" ")
-        return sum(f[0] for f in found) + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        found = self._found(text)
+        ids, decoded = self._digits(found), "".join([f[1] for f in found]).removeprefix(" ")
+        return ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()
 
 
 _CODECS: dict[str, TextCodec] = {}

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from driftvault.functions.json_fields import MAX_DEPTH
 from driftvault.functions.segments import is_storable
+from driftvault.operators import archive
+from driftvault.operators.batching import LANE_OFFSETS
 
 #: Why records are dropped.
 DROP_REASONS = ("refused", "dlq_too_large", "too_deep", "unreplayable")
@@ -48,20 +50,23 @@ def outcomes(routed: DataFrame, dlq: bool = True, max_dlq_bytes: int = 1_000_000
     return _with_settled(routed, _settled(reason, F.octet_length("value"), dlq, max_dlq_bytes))
 
 
-def with_refusals(ledger: DataFrame, manifest: DataFrame, dlq: bool = True, max_dlq_bytes: int = 1_000_000) -> DataFrame:
-    """An outcomes ledger after its archive was written: the records of flushes that the store refused for good
-    (manifest rows with `refusal`) are rejected or dropped in place of delivered."""
-    refusals = manifest.filter("refusal IS NOT NULL").select(
-        "destination", F.col("part").alias("part"), F.col("window").alias("window"), "first_off", "last_off", "refusal"
-    )
-    if refusals.isEmpty():
+def with_refusals(ledger: DataFrame, manifest: DataFrame, dlq: bool = True, max_dlq_bytes: int = 1_000_000, lane_offsets: int = LANE_OFFSETS) -> DataFrame:
+    """An outcomes ledger after its archive was written: the records that the store refused for good (manifest rows with
+    `refusal`) are rejected or dropped in place of delivered. Records are known by their places in their lanes, so ties
+    and null offsets are told apart; only lanes with a refusal are put in order again."""
+    refused = archive.refused_records(manifest)
+    if refused.isEmpty():
         return ledger
-    inside = ["destination", "part", "window"]
-    bad = ledger.filter("status = 'delivered'").join(refusals, inside).filter("off BETWEEN first_off AND last_off").drop("first_off", "last_off")
-    settled = _settled(F.lit("refused"), F.octet_length("value"), dlq, max_dlq_bytes, F.concat(F.lit(REFUSED), "refusal"))
+    delivered = ledger.filter("status = 'delivered'").withColumn("_whole", F.struct(*ledger.columns))
+    rows, lanes = archive.lane_rows(delivered, lane_offsets), refused.select(*archive.LANE, "split").distinct()
+    touched = archive.in_lane(archive.in_lanes(rows, lanes, "left_semi"))
+    told = archive.in_lanes(touched, refused.withColumnRenamed("refusal", "_refusal"), "left", F.col("_pos") == F.col("at"))
+    told = told.select("_whole.*", "_refusal")
+    bad = told.filter("_refusal IS NOT NULL")
+    settled = _settled(F.lit("refused"), F.octet_length("value"), dlq, max_dlq_bytes, F.concat(F.lit(REFUSED), "_refusal"))
     bad = _with_settled(bad, settled).select(*ledger.columns)
-    rest = ledger.join(bad.select("topic", "part", "off"), ["topic", "part", "off"], "left_anti")
-    return rest.unionByName(bad)
+    others = archive.in_lanes(rows, lanes, "left_anti").select("_whole.*")
+    return ledger.filter("status <> 'delivered'").unionByName(others).unionByName(told.filter("_refusal IS NULL").drop("_refusal")).unionByName(bad)
 
 
 def dead_letters(ledger: DataFrame, service: str = "driftvault") -> DataFrame:

@@ -32,9 +32,7 @@ def archived(spark: SparkSession, sf_dir: str, template: str = "{year}/{month}/{
     df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), DAY)).withColumn("off", F.col("event_id"))
     root = shared_folder(spark, "archive")
     layout = archive.Layout(template, codec="none")
-    manifest = archive.write_archive(df, f"{root}/data", "plain", layout, batching.Limits(**(UNLIMITED | limits)))
-    manifest.write.parquet(f"{root}/manifest")
-    return spark.read.parquet(f"{root}/manifest")
+    return archive.write_archive(df, f"{root}/data", "plain", layout, batching.Limits(**(UNLIMITED | limits)), manifest=f"{root}/manifest")
 
 
 def _flush_query(**limits):
@@ -112,8 +110,8 @@ def _roundtrip(codec: str):
         df = df.withColumn("window", batching.roll_window(F.col("ts"), 10 * DAY)).withColumn("off", F.col("event_id"))
         root = shared_folder(spark, f"archive-{codec}")
         limits = batching.Limits(flush_bytes=20_000, roll_bytes=100_000, flush_secs=DAY, roll_secs=10 * DAY)
-        archive.write_archive(df, f"{root}/data", "roundtrip", archive.Layout("{year}/{month}/{day}", codec=codec), limits).write.parquet(f"{root}/manifest")
-        back = archive.restore(spark.read.parquet(f"{root}/manifest"), f"{root}/data", codec)
+        layout = archive.Layout("{year}/{month}/{day}", codec=codec)
+        back = archive.restore(archive.write_archive(df, f"{root}/data", "roundtrip", layout, limits, manifest=f"{root}/manifest"), f"{root}/data", codec)
         return back.groupBy("destination").agg(
             F.count("*").alias("n_records"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.min("value").alias("first_value"), F.max("value").alias("last_value")
         )
@@ -130,8 +128,7 @@ def restore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("off"), F.timestamp_seconds(F.lit(0)).alias("ts"), F.col("text").alias("value"),
     )
     root = shared_folder(spark, "archive-documents")
-    archive.write_archive(df, f"{root}/data", "documents", lane_offsets=20_000).write.parquet(f"{root}/manifest")
-    back = archive.restore(spark.read.parquet(f"{root}/manifest"), f"{root}/data")
+    back = archive.restore(archive.write_archive(df, f"{root}/data", "documents", lane_offsets=20_000, manifest=f"{root}/manifest"), f"{root}/data")
     return back.select(F.sha2(F.encode("value", "UTF-8"), 256).alias("value_sha256"), "destination")
 
 
@@ -162,8 +159,8 @@ def recovery_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An archive's files held against its manifest, and how many are in which state."""
     root = shared_folder(spark, "archive")
     df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), DAY)).withColumn("off", F.col("event_id"))
-    archive.write_archive(df, f"{root}/data", "audit", limits=batching.Limits(**UNLIMITED)).write.parquet(f"{root}/manifest")
-    found = archive.compare_with_files(spark.read.parquet(f"{root}/manifest"), Store(f"{root}/data").list(spark))
+    written = archive.write_archive(df, f"{root}/data", "audit", limits=batching.Limits(**UNLIMITED), manifest=f"{root}/manifest")
+    found = archive.compare_with_files(written, Store(f"{root}/data").list(spark))
     return found.groupBy("state").agg(F.count("*").alias("n_files"))
 
 
@@ -176,8 +173,8 @@ def read_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of the second flush of each lane, read by its place in its file alone."""
     root = shared_folder(spark, "archive")
     df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), 10 * DAY)).withColumn("off", F.col("event_id"))
-    archive.write_archive(df, f"{root}/data", "blocks", limits=batching.Limits(**(UNLIMITED | {"flush_records": 5}))).write.parquet(f"{root}/manifest")
-    one = spark.read.parquet(f"{root}/manifest").filter("flush_no = 1")
+    written = archive.write_archive(df, f"{root}/data", "blocks", limits=batching.Limits(**(UNLIMITED | {"flush_records": 5})), manifest=f"{root}/manifest")
+    one = written.filter("flush_no = 1")
     return archive.restore(one, f"{root}/data").select("destination", "part", "pos", "value")
 
 

@@ -57,9 +57,10 @@ def archive_batch(records: DataFrame, config: Config, run: str, batch: int, drop
     at = f"batch={batch}"
     ledger = delivery.outcomes(prepare(chosen(records, config), config, drop, reject), config.dead_letters_kept(), config.dlq.max_bytes).persist()
     try:
-        written = archive.write_archive(ledger.filter("status = 'delivered'"), config.store().below("data"), f"{run}/{batch}", config.layout(), config.limits(), config.buffer.writer_tasks)
-        written.write.mode("overwrite").options(**options).parquet(config.tables(f"_meta/manifest/{at}"))
-        done = spark.read.options(**options).parquet(config.tables(f"_meta/manifest/{at}"))
+        done = archive.write_archive(
+            ledger.filter("status = 'delivered'"), config.store().below("data"), f"{run}/{batch}", config.layout(), config.limits(), config.buffer.writer_tasks,
+            manifest=config.store().below(f"_meta/manifest/{at}"), read_from=config.tables(f"_meta/manifest/{at}"), options=options,
+        )
         ledger = delivery.with_refusals(ledger, done, config.dead_letters_kept(), config.dlq.max_bytes)
         if config.dead_letters_kept():
             dead_letters.write(delivery.dead_letters(ledger), config, batch)
@@ -115,7 +116,7 @@ def reload(query: StreamingQuery, records: DataFrame, old: Config, new: Config,
 
 
 def manifest(spark: SparkSession, config: Config) -> DataFrame:
-    return spark.read.options(**config.hadoop_options()).parquet(config.tables("_meta/manifest"))
+    return archive.read_manifest(spark, config.tables("_meta/manifest"), config.hadoop_options())
 
 
 def restored(spark: SparkSession, config: Config) -> DataFrame:

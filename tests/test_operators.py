@@ -75,8 +75,7 @@ def lane(spark, sizes, gaps=None, name="d"):
 def written(spark, tmp_path, df, **limits):
     none = {"flush_bytes": 1 << 60, "flush_records": 1 << 30, "flush_secs": 1 << 31, "roll_bytes": 1 << 60, "roll_secs": 1 << 31}
     root = f"file://{tmp_path}/{uuid.uuid4().hex}"
-    archive.write_archive(df, f"{root}/data", "r", NONE, batching.Limits(**(none | limits))).write.parquet(f"{root}/manifest")
-    return spark.read.parquet(f"{root}/manifest").orderBy("flush_no"), f"{root}/data"
+    return archive.write_archive(df, f"{root}/data", "r", NONE, batching.Limits(**(none | limits)), manifest=f"{root}/manifest").orderBy("flush_no"), f"{root}/data"
 
 
 def plain_flushes(sizes, times, limits):

@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from driftvault.functions.codecs import EXTENSION_OF, codec_name, compress, decompress, decompressed
+from driftvault.functions.codecs import EXTENSION_OF, codec_name, compress, decompress
 from driftvault.functions.templates import expanded
 from driftvault.operators.batching import LANE, LANE_OFFSETS, MICROSECONDS, Limits, flush_end
-from driftvault.operators.errors import is_refused, is_unreadable, retried
+from driftvault.operators.errors import is_refused, retried
 from driftvault.sources.shared import shared_folder
 from driftvault.sources.stores import Store
 
@@ -448,46 +448,13 @@ def restore(manifest: DataFrame, store: Store | str, codec: str = "zstd", as_tex
 
     block = F.struct("block", "start", "length", "raw_bytes", "lengths")
     reads = manifest.groupBy("path", "destination", "part", F.floor(F.col("block") / READ_BLOCKS).alias("_read")).agg(F.sort_array(F.collect_list(block)).alias("blocks"))
+    # by their number, not by the size of what the manifest says of them, which is small for any amount of data
+    n, most = manifest.select("path", F.floor(F.col("block") / READ_BLOCKS)).distinct().count(), 2 * manifest.sparkSession.sparkContext.defaultParallelism
+    reads = reads.repartition(max(1, min(n, max(most, n // 8))), "path", "_read")
     out = reads.drop("_read").mapInArrow(task, "path string, destination string, part int, block int, pos int, value binary")
     return out.withColumn("value", F.col("value").cast("string")) if as_text else out
 
 
-_LINES = pa.schema([("uri", pa.string()), ("line", pa.int64()), ("value", pa.binary()), ("problem", pa.string())])
-
-
-def restore_files(uris: DataFrame, codec: str, settings: dict | None = None) -> DataFrame:
-    """Lines of archive files without a manifest (uri), as bytes: uri, line, value, problem. Files are decompressed as
-    streams and cut at line ends, so a task holds some megabytes of a file of any size. Paths of any name are read,
-    also those that begin with `_` or `.`, which Spark's own file sources pass over. A file that can never be read, or
-    only as far as some line, ends with a row that has nothing but the problem; any other failure is raised."""
-    codec = codec_name(codec)
-
-    def lines_of(uri: str):
-        at, rest = 0, b""
-        with Store(uri, settings or {}).open().read("") as raw:
-            for data in decompressed(codec, raw):
-                *lines, rest = (rest + data).split(b"\n")
-                if lines:
-                    numbers = pa.array(np.arange(at, at + len(lines)))
-                    yield pa.RecordBatch.from_arrays([pa.repeat(uri, len(lines)), numbers, pa.array(lines, pa.binary()), pa.nulls(len(lines), pa.string())], schema=_LINES)
-                    at += len(lines)
-        if rest:
-            raise EOFError("the file ends within a line")
-
-    def task(batches):
-        for batch in batches:
-            for uri in batch.column(0).to_pylist():
-                try:
-                    yield from lines_of(uri)
-                except Exception as e:
-                    if not is_unreadable(e):
-                        raise
-                    problem = pa.array([f"{type(e).__name__}: {e}"])
-                    yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), problem], schema=_LINES)
-
-    return uris.select("uri").repartition("uri").mapInArrow(task, "uri string, line long, value binary, problem string")
-
-
 def compare_with_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """What a manifest says against what is there: path, state, n_bytes, stated_bytes. files: (path, n_bytes), as
     Store.list gives them. state: `whole`, `short`, `long`, `missing`, or `unknown` for files that no manifest names."""

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftvault.functions import templates
-from driftvault.operators import archive, batching, delivery, errors, metrics, recovery, routing, topics
+from driftvault.operators import archive, batching, delivery, errors, metrics, recovery, restore, routing, topics
 from driftvault.sources.stores import Store
 from tests.test_functions import plain_segment
 
@@ -206,7 +206,7 @@ def test_archive_gives_back_every_byte(spark, tmp_path, codec):
     assert got == {d: [v or "" for v in values * 3] for d in ("a", "_hidden", ".dot")}
     assert not list(tmp_path.rglob("*.part"))
     uris = manifest.select(F.concat(F.lit(f"{root}/data/"), "path").alias("uri")).distinct()
-    lines = archive.restore_files(uris, codec).collect()
+    lines = restore.restore_files(uris, codec).collect()
     want = Counter(x for v in values * 3 for x in ((v or "") + "\n").encode().split(b"\n")[:-1])
     assert Counter(bytes(r.value) for r in lines) == Counter({k: 3 * n for k, n in want.items()})
 
@@ -218,11 +218,11 @@ def test_unreadable_files_are_named(spark, tmp_path):
     (tmp_path / "cut").write_bytes(gzip.compress(b"a\n" * 500)[:-9])
     (tmp_path / "part").write_bytes(gzip.compress(b"a\nb"))
     uris = spark.createDataFrame([(f"file://{tmp_path}/{n}",) for n in ("good", "cut", "part", "absent")], "uri string")
-    problems = {r.uri.rsplit("/", 1)[1]: r.problem for r in archive.restore_files(uris, "gzip").filter("problem IS NOT NULL").collect()}
+    problems = {r.uri.rsplit("/", 1)[1]: r.problem for r in restore.restore_files(uris, "gzip").filter("problem IS NOT NULL").collect()}
     assert set(problems) == {"cut", "part", "absent"} and problems["part"] == "EOFError: the file ends within a line"
     (tmp_path / "other").write_bytes(b"this is no gzip")
     with pytest.raises(Exception, match="gzip"):
-        archive.restore_files(uris.limit(0).union(spark.createDataFrame([(f"file://{tmp_path}/other",)], "uri string")), "gzip").collect()
+        restore.restore_files(uris.limit(0).union(spark.createDataFrame([(f"file://{tmp_path}/other",)], "uri string")), "gzip").collect()
 
 
 def test_bytes_that_are_no_text_come_back(spark, tmp_path):

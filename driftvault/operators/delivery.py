@@ -69,22 +69,37 @@ def with_refusals(ledger: DataFrame, manifest: DataFrame, dlq: bool = True, max_
     return ledger.filter("status <> 'delivered'").unionByName(others).unionByName(told.filter("_refusal IS NULL").drop("_refusal")).unionByName(bad)
 
 
-def dead_letters(ledger: DataFrame, service: str = "driftvault") -> DataFrame:
-    """The dead-letter entries of an outcomes ledger, one for each rejected record."""
+#: An entry's payload has at most so many bytes, unless a configuration says otherwise.
+MAX_PAYLOAD_BYTES = 524_288
+
+
+def _cut(payload: Column, most: int) -> Column:
+    """The longest beginning of a binary payload of at most so many bytes; of text, whole characters only."""
+    begins = [F.substring(payload, 1, max(most - k, 0)) for k in range(4)]
+    is_text = F.is_valid_utf8(payload.cast("string"))
+    whole = F.coalesce(*[F.when(F.is_valid_utf8(b.cast("string")), b) for b in begins], begins[0])
+    return F.when(F.octet_length(payload) <= most, payload).when(is_text, whole).otherwise(begins[0])
+
+
+def dead_letters(ledger: DataFrame, service: str = "driftvault", max_payload_bytes: int | None = MAX_PAYLOAD_BYTES) -> DataFrame:
+    """The dead-letter entries of an outcomes ledger, one for each rejected record.
+
+    payload: the record's bytes as they are, as text where they are UTF-8 and in base64 where not (`encoding`). One of
+    more than max_payload_bytes is cut, between characters of text, and marked `truncated`; payload_bytes is its whole
+    length. A null payload stays null, and has no length.
+    """
     time = ["ts"] if "ts" in ledger.columns else []
-    return ledger.filter("status = 'rejected'").select(
-        F.lit(service).alias("service"), "reason", "reason_text", F.col("value").alias("payload"),
+    rejected = ledger.filter("status = 'rejected'").withColumn("_bytes", F.col("value").cast("binary"))
+    kept = _cut(F.col("_bytes"), max_payload_bytes) if max_payload_bytes is not None else F.col("_bytes")
+    rejected = rejected.withColumns({"_kept": kept, "_is_text": F.coalesce(F.is_valid_utf8(F.col("_bytes").cast("string")), F.lit(True))})
+    return rejected.select(
+        F.lit(service).alias("service"), "reason", "reason_text", F.when(F.col("_is_text"), F.col("_kept").cast("string")).otherwise(F.base64("_kept")).alias("payload"),
+        F.when(F.col("_is_text"), "utf8").otherwise("base64").alias("encoding"), F.coalesce(F.octet_length("_kept") < F.octet_length("_bytes"), F.lit(False)).alias("truncated"),
+        F.octet_length("_bytes").cast("long").alias("payload_bytes"),
         F.coalesce("destination", "topic").alias("destination"), F.col("topic").alias("src_topic"), F.col("part").alias("src_partition"), F.col("off").alias("src_offset"), *time,
     )
 
 
-def commit_floor(ledger: DataFrame) -> DataFrame:
-    """How far each source partition may be committed: the lowest offset that is still withheld (`errored`), or one
-    past the highest."""
-    held = F.min(F.when(F.col("status") == "errored", F.col("off")))
-    return ledger.groupBy("topic", "part").agg(F.coalesce(held, F.max("off") + 1).alias("commit_to"), F.count_if(F.col("status") == "errored").alias("n_withheld"))
-
-
 def retry_delay(attempt, first: float, most: float):
     """The upper end of the wait before a retry, in seconds: doubled each time, up to `most`. The actual wait is a
     random share of a half to the whole of it."""

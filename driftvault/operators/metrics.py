@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,6 +48,60 @@ def size_histogram(files: DataFrame, width: int) -> DataFrame:
     return files.groupBy((F.floor(F.col("bytes") / width) * width).cast("long").alias("from_bytes")).agg(F.count("*").alias("n_files"))
 
 
+#: Each power of two has so many buckets: a value differs from its bucket's middle by less than a hundredth.
+STEPS = 64
+
+
+def bucket(value: Column) -> Column:
+    """The bucket of a whole number in a log-linear histogram: -1 for nought and less, then STEPS for each power of two."""
+
+    def of(v: Column) -> Column:
+        power = F.length(F.bin(v)) - 1
+        down, up = F.call_function("shiftright", v, power - 6), F.call_function("shiftleft", v, 6 - power)
+        return F.when(v <= 0, -1).otherwise(power * STEPS + F.when(power >= 6, down).otherwise(up).cast("int") - STEPS)
+
+    return F.transform(F.array(value.cast("long")), of)[0]
+
+
+def bucket_start(number: Column) -> Column:
+    """The least number of a bucket."""
+    power = F.floor(number / STEPS).cast("int")
+    inside = (number % STEPS + STEPS).cast("long")
+    return F.when(number < 0, F.lit(0).cast("long")).when(power >= 6, F.call_function("shiftleft", inside, power - 6)).otherwise(F.ceil(inside / F.pow(F.lit(2.0), 6 - power)).cast("long"))
+
+
+def histogram(rows: DataFrame, value: Column, *by: str) -> DataFrame:
+    """(by, bucket, n) of whole numbers; nulls count nowhere. Histograms are merged by adding up n."""
+    return rows.filter(value.isNotNull()).groupBy(*by, bucket(value).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def merged(*histograms: DataFrame) -> DataFrame:
+    both = reduce(DataFrame.unionByName, histograms)
+    return both.groupBy(*[c for c in both.columns if c != "n"]).agg(F.sum("n").alias("n"))
+
+
+def quantiles(histogram: DataFrame, shares: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
+    """(by, share, value, n): of each group the least value that so many of its n have or stay below, as the start of its
+    bucket. A group has a few thousand buckets at most."""
+    by = [c for c in histogram.columns if c not in ("bucket", "n")]
+    order = Window.partitionBy(*by).orderBy("bucket")
+    rows = histogram.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy(*by))})
+    each = rows.withColumn("share", F.explode(F.array(*map(F.lit, shares)))).filter(F.col("upto") >= F.ceil(F.col("share") * F.col("total")))
+    return each.groupBy(*by, "share").agg(F.min("bucket").alias("bucket"), F.first("total").alias("n")).select(*by, "share", bucket_start(F.col("bucket")).alias("value"), "n")
+
+
+def archive_histograms(manifest: DataFrame) -> DataFrame:
+    """(metric, bucket, n) of what a writer did: bytes of each batch before compression, microseconds to compress it and
+    to get it into its file, bytes of each file and microseconds to close it."""
+    written = manifest.filter("path IS NOT NULL")
+    per_file = written.groupBy("path").agg(F.sum("length").alias("length"), F.max("close_micros").alias("close_micros"))
+    named = lambda rows, **of: [histogram(rows.withColumn("metric", F.lit(n)), c, "metric") for n, c in of.items()]
+    return merged(
+        *named(written, batch_size_bytes=F.col("raw_bytes"), compression_duration_micros=F.col("compress_micros"), flush_duration_micros=F.col("compress_micros") + F.col("write_micros")),
+        *named(per_file, archive_file_size_bytes=F.col("length"), file_close_micros=F.col("close_micros")),
+    )
+
+
 def counts_by_trigger(rows: DataFrame, trigger: str) -> DataFrame:
     """Flushes or files by what ended them."""
     return rows.groupBy(F.coalesce(trigger, F.lit("end")).alias("ended_by")).agg(F.count("*").alias("n"), F.sum("n_records").alias("n_records"))

@@ -19,8 +19,8 @@ from driftvault.operators.errors import is_unreadable
 from driftvault.sources.shared import shared_folder
 from driftvault.sources.stores import STAGING, Store
 
-#: Bytes of a file, as it lies in its store, that one task reads about.
-RANGE_BYTES = 64 << 20
+#: Bytes of a file, as it lies in its store, that one task reads about; opening a file counts as so many.
+RANGE_BYTES, OPENING_BYTES = 64 << 20, 1 << 20
 _LINES = pa.schema([("uri", pa.string()), ("line", pa.int64()), ("value", pa.binary()), ("problem", pa.string())])
 _LINES_DDL = "uri string, line long, value binary, problem string"
 
@@ -245,7 +245,7 @@ def opened_hour(found: re.Match) -> dt.datetime | None:
 
 
 @dataclass
-class _FileRange(InputPartition):
+class _FileRange:
     path: str
     destination: str
     hour: dt.datetime | None
@@ -254,6 +254,13 @@ class _FileRange(InputPartition):
     size: int
 
 
+@dataclass
+class _Ranges(InputPartition):
+    """What one task reads: small files together."""
+
+    ranges: list[_FileRange]
+
+
 _SOURCE = pa.schema([("path", pa.string()), ("destination", pa.string()), ("hour", pa.timestamp("us")), ("value", pa.binary())])
 
 
@@ -263,7 +270,7 @@ class ArchiveReader(DataSourceReader):
 
     def __init__(self, spec: dict):
         self.store, self.template, self.extension, self.codec = Store(*spec["store"]), spec["template"], spec["extension"], spec["codec"]
-        self.range_bytes = spec["range_bytes"]
+        self.range_bytes, self.cores = spec["range_bytes"], spec["cores"]
         self.destinations: set[str] | None = None
         self.since: dt.datetime | None = None
         self.until: dt.datetime | None = None
@@ -333,12 +340,28 @@ class ArchiveReader(DataSourceReader):
                 found = pattern.match(path)
                 if found and self._wanted(found):
                     out += [_FileRange(path, found["destination"], opened_hour(found), at, min(at + self.range_bytes, info.size), info.size) for at in range(0, info.size, self.range_bytes)]
+        return self._together(out)
+
+    def _together(self, ranges: list[_FileRange]) -> list[_Ranges]:
+        """Small files share tasks, as far as all cores have some."""
+        cost = [r.stop - r.start + min(OPENING_BYTES, self.range_bytes) for r in ranges]
+        most, out, held = max(1, min(self.range_bytes, sum(cost) // self.cores)), [], 0
+        for r, c in zip(ranges, cost):
+            if not out or held + c > most:
+                out.append(_Ranges([]))
+                held = 0
+            out[-1].ranges.append(r)
+            held += c
         return out
 
-    def read(self, part: _FileRange | None):
-        if part is None:  # Spark's only partition of a source that has none
-            return
-        with self.store.open().read(part.path) as raw:
+    def read(self, partition: _Ranges | None):
+        # Spark's only partition of a source that has none is null
+        files = self.store.open() if partition is not None else None
+        for part in partition.ranges if partition is not None else ():
+            yield from self._read(files, part)
+
+    def _read(self, files, part: _FileRange):
+        with files.read(part.path) as raw:
             start = first_frame(raw, self.codec, part.start, part.stop, part.size)
             if start is None:
                 return
@@ -392,5 +415,5 @@ def read_archive(spark: SparkSession, store: Store | str, template: str = "{year
     store = Store.of(store)
     spark.dataSource.register(ArchiveSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spec = {"store": [store.uri, store.settings], "template": template, "extension": extension, "codec": codec_name(codec), "range_bytes": range_bytes}
+    spec = {"store": [store.uri, store.settings], "template": template, "extension": extension, "codec": codec_name(codec), "range_bytes": range_bytes, "cores": spark.sparkContext.defaultParallelism}
     return spark.read.format("driftvault_archive").option("spec_secret", json.dumps(spec)).load()

@@ -16,7 +16,8 @@ def select_topics(df: DataFrame, include: tuple[str, ...] = (), exclude: tuple[s
     return df.filter(~F.col(topic).rlike("|".join(f"(?:{p})" for p in exclude))) if exclude else df
 
 
-def prefer_landing(topics: DataFrame, topic: str = "topic") -> DataFrame:
-    """topics without each `<name>_load` whose `<name>_land` is there too."""
-    landed = topics.filter(F.col(topic).endswith("_land")).select(F.regexp_replace(topic, "_land$", "_load").alias(topic)).distinct()
-    return topics.join(landed, topic, "left_anti")
+def prefer_landing(df: DataFrame, topic: str = "topic", known: DataFrame | None = None) -> DataFrame:
+    """df without each `<name>_load` whose `<name>_land` is there too, or is among topics known from before."""
+    seen = df.select(topic) if known is None else df.select(topic).unionByName(known.select(F.col("topic").alias(topic)))
+    landed = seen.filter(F.col(topic).endswith("_land")).select(F.regexp_replace(topic, "_land$", "_load").alias(topic)).distinct()
+    return df.join(landed, topic, "left_anti")

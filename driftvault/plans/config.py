@@ -33,6 +33,7 @@ class Kafka:
     sasl_mechanism: str | None = None
     sasl_username: str | None = None
     sasl_password: str | None = None
+    ssl_ca_location: str | None = None
     batch_size: int = 10_000
     acknowledgements: bool = True
 
@@ -107,6 +108,7 @@ class Dlq:
     enabled: bool = True
     mode: str = "cascade"
     max_bytes: int = 1_000_000
+    max_payload_bytes: int | None = 524_288
     file: DlqFile = field(default_factory=DlqFile)
     kafka: DlqKafka = field(default_factory=DlqKafka)
 
@@ -171,7 +173,7 @@ class Config:
         return seconds if self.holds_offsets() and seconds > 900 else None
 
     def restart_required(self, new: Config) -> list[str]:
-        """The sections in which `new` differs by more than kafka.batch_size, which alone is taken over as a run goes on."""
+        """The sections in which `new` differs by more than kafka.batch_size, which is taken over between two batches."""
         mine, theirs = dataclasses.asdict(self), dataclasses.asdict(new)
         mine["kafka"]["batch_size"] = theirs["kafka"]["batch_size"]
         return [k for k in mine if mine[k] != theirs[k]]
@@ -205,7 +207,8 @@ class Config:
         a = self.archive
         scheme, _, prefix = parse_destination(a.destination)
         uri = a.destination if scheme == "file" else f"{scheme}://{self.bucket()}/{prefix}"
-        settings = {"key": a.access_key, "secret": a.secret_key, "region": a.region, "endpoint": a.endpoint, "allow_http": a.allow_http or None, "account": a.account}
+        settings = {"key": a.access_key, "secret": a.secret_key, "region": a.region, "endpoint": a.endpoint, "allow_http": a.allow_http or None, "account": a.account, "service_account_key": a.service_account_key if scheme == "gs" else None,
+                    "chunk": a.multipart_chunk_size or None if scheme != "file" else None}
         return Store(uri.rstrip("/"), {k: v for k, v in settings.items() if v is not None})
 
     def tables(self, folder: str) -> str:
@@ -239,6 +242,11 @@ class Config:
         """Whether there is a dead-letter output: a direct transport has no broker to send them to, so there it is off."""
         return self.dlq.enabled and not self.is_direct()
 
+    def dead_letter_limit(self) -> int:
+        """The largest payload that the dead-letter outputs take: any, where larger ones are cut to what they take."""
+        cut = self.dlq.max_payload_bytes
+        return self.dlq.max_bytes if cut is None or cut > self.dlq.max_bytes else 1 << 62
+
     def limits(self) -> Limits:
         b = self.buffer
         return Limits(b.flush_bytes, b.flush_records, b.flush_age_secs, self.archive.roll_size_bytes, self.roll_interval_secs())

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftvault.functions import json_fields, segments, templates
 from driftvault.sources.shared import shared_folder
-from driftvault.operators import archive, batching, delivery, metrics, recovery, routing, topics
+from driftvault.operators import archive, batching, coverage, delivery, metrics, recovery, restore, routing, topics
 from driftvault.sources.records import EVENT_RECORDS, event_records
 from driftvault.sources.stores import Store
 
@@ -16,6 +16,10 @@ FLUSH = {"flush_bytes": 1500, "flush_records": 12, "flush_secs": 21_600}
 ROLL = {"roll_bytes": 3000, "roll_secs": 43_200}
 UNLIMITED = {"flush_bytes": 1 << 60, "flush_records": 1 << 30, "flush_secs": 1 << 31, "roll_bytes": 1 << 60, "roll_secs": 1 << 31}
 DAY = 86_400
+#: What a dead letter's payload may have in bytes.
+CUT_BYTES = 41
+#: Hours whose records are asked for.
+MORNING = ("2024-01-02 06:00:00", "2024-01-02 12:00:00")
 
 
 def routed(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = ("_org_id",)) -> DataFrame:
@@ -57,7 +61,7 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Strings that make bad path segments.
-ADVERSARIAL = ["", ".", "..", *(f"x{c}y" for c in " !#%&()*+,/:;<=>?@[]^{|}~"), "..".join("/" * 3), "=3D", "naïve", "ключ", "🙂", "UPPER-lower_09.txt", "-" * 40]
+ADVERSARIAL = ["", ".", "..", *(f"x{c}y" for c in " !#%&()*+,/:;<=>?@[]^{|}~"), "/../../", "=3D", "naïve", "ключ", "🙂", "UPPER-lower_09.txt", "-" * 40]
 
 
 def segment_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,11 +77,44 @@ def outcomes(spark: SparkSession, sf_dir: str, max_dlq_bytes: int = 120) -> Data
     return delivery.outcomes(df.withColumn("key", key), max_dlq_bytes=max_dlq_bytes)
 
 
+#: The destination whose files are deleted where a query needs losses, and the one whose files are cut short.
+LOST, CUT = "events/org-3", "events/org-4"
+
+
+def _delivered_and_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record's end after a real archive has lost the files of a destination of one partition. The source's
+    partitions are the parts: topics share their offsets."""
+    df = routed(spark, sf_dir).withColumns({"window": batching.roll_window(F.col("ts"), DAY), "topic": F.lit(""), "key": F.lit("f")})
+    df = df.withColumn("inbound", F.when(F.col("event_id") % 101 == 0, "drop").when(F.col("event_id") % 103 == 0, "reject"))
+    ledger, root = delivery.outcomes(df, max_dlq_bytes=120), shared_folder(spark, "archive")
+    manifest = archive.write_archive(ledger.filter("status = 'delivered'"), f"{root}/data", "ends", limits=batching.Limits(**(UNLIMITED | ROLL)), manifest=f"{root}/manifest")
+    store = Store(f"{root}/data")
+    store.delete_all(manifest.filter((F.col("destination") == LOST) & (F.col("part") == 1)))
+    return coverage.record_ends(ledger, manifest, store.list(spark))
+
+
+def offset_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of offsets by what became of them; two of the events are taken out, so that offsets are missing."""
+    ends = _delivered_and_lost(spark, sf_dir).filter(~((F.col("part") == 2) & F.col("off").between(100, 103)))
+    return coverage.offset_ranges(ends, ("part",), span=64)
+
+
 def commit_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = outcomes(spark, sf_dir)
-    # as after a store's outage: everything of part 3 from offset 100 on is withheld
-    status = F.when((F.col("part") == 3) & (F.col("off") >= 100), "errored").otherwise(F.col("status"))
-    return delivery.commit_floor(ledger.withColumn("status", status))
+    return coverage.commit_floor(coverage.offset_ranges(_delivered_and_lost(spark, sf_dir), ("part",)), ("part",))
+
+
+def dead_letters_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected payloads cut to a budget of bytes, between characters; some are bytes that are no text."""
+    text = F.concat(F.lit("ü🙂"), "value").cast("binary")
+    value = F.when(F.col("event_id") % 2 == 0, F.concat(F.unhex(F.lit("FFFE0041")), text)).otherwise(text)
+    ledger = outcomes(spark, sf_dir, 1 << 40).withColumn("value", value)
+    return delivery.dead_letters(ledger, max_payload_bytes=CUT_BYTES).select("src_topic", "src_partition", "src_offset", "payload", "encoding", "truncated", "payload_bytes")
+
+
+def size_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of batch and file sizes from log-linear histograms of an archive's manifest."""
+    found = metrics.archive_histograms(archived(spark, sf_dir, **FLUSH, **ROLL))
+    return metrics.quantiles(found.filter(F.col("metric").endswith("_bytes")))
 
 
 def lag_per_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,20 +169,23 @@ def restore_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.sha2(F.encode("value", "UTF-8"), 256).alias("value_sha256"), "destination")
 
 
-def retry_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    attempts = spark.range(20).select(F.col("id").cast("int").alias("attempt"))
-    return attempts.select("attempt", delivery.retry_delay(F.col("attempt"), 0.5, 60).alias("upload_secs"), delivery.retry_delay(F.col("attempt"), 0.1, 5).alias("local_secs"))
-
-
 def scaling_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = event_records(spark, sf_dir).select("event_id", (F.col("event_id") * 37 % 200_000).alias("lag"), (F.col("event_id") % 20_000).alias("buffer_depth"), (F.col("event_id") % 100 / 100).alias("memory"), (F.col("event_id") % 13 == 0).alias("circuit_open"))
-    return metrics.scaling_pressure(s).select("event_id", "pressure")
+    """The figure at each flush of an archive: the lane's records that are still to come are its lag, those flushed the
+    buffer's depth, their share of the size limit its memory."""
+    flushes = archived(spark, sf_dir, **FLUSH)
+    later = Window.partitionBy(*batching.LANE).orderBy(F.desc("flush_no")).rowsBetween(Window.unboundedPreceding, -1)
+    samples = flushes.select(
+        *batching.LANE, "flush_no", F.coalesce(F.sum("n_records").over(later), F.lit(0)).alias("lag"), F.col("n_records").alias("buffer_depth"),
+        (F.col("raw_bytes") / FLUSH["flush_bytes"]).alias("memory"), F.col("refusal").isNotNull().alias("circuit_open"),
+    )
+    return metrics.scaling_pressure(samples).select(*batching.LANE, "flush_no", F.round("pressure", 9).alias("pressure"))
 
 
 def unknown_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    literals = ["{year}/{month}", "{topic}/{year}", "{a}{b}{a}", "{seq}-{x{hour}}", "none", "{", "{open/{day}"]
-    df = spark.createDataFrame([(t,) for t in literals], "template string")
-    return df.select("template", F.array_join(templates.unknown_placeholders_column(F.col("template")), ",").alias("unknown"))
+    """Payloads as templates: what stands in braces in them and is no placeholder."""
+    template = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("{year}/{seq}-"), "value", F.lit("{}"))).otherwise(F.col("value"))
+    df = event_records(spark, sf_dir).select("event_id", template.alias("template"))
+    return df.select("event_id", F.array_join(F.array_sort(templates.unknown_placeholders_column(F.col("template"))), ",").alias("unknown"))
 
 
 def key_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,18 +195,84 @@ def key_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("event_id", key.alias("key")).select("event_id", *[c.alias(n) for n, c in recovery.parse_key(F.col("key"), 2).items()])
 
 
+def _cut_short(store: Store):
+    """A task that takes the last byte of each file that it is given."""
+
+    def task(batches):
+        files = store.open()
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with files.read(path) as f:
+                    data = f.read()
+                with files.store.open_output_stream(files.at(path), compression=None) as out:
+                    out.write(data[:-1])
+            yield batch
+
+    return task
+
+
 def recovery_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An archive's files held against its manifest, and how many are in which state."""
+    """An archive's files held against its manifest, after files of one destination are deleted and those of another are
+    cut short, and how many are in which state."""
     root = shared_folder(spark, "archive")
     df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), DAY)).withColumn("off", F.col("event_id"))
-    written = archive.write_archive(df, f"{root}/data", "audit", limits=batching.Limits(**UNLIMITED), manifest=f"{root}/manifest")
-    found = archive.compare_with_files(written, Store(f"{root}/data").list(spark))
+    limits = batching.Limits(**(UNLIMITED | FLUSH | ROLL))
+    written = archive.write_archive(df, f"{root}/data", "audit", archive.Layout(codec="none"), limits, manifest=f"{root}/manifest")
+    store = Store(f"{root}/data")
+    store.delete_all(written.filter(F.col("destination") == LOST))
+    written.filter(F.col("destination") == CUT).select("path").distinct().mapInArrow(_cut_short(store), "path string").write.format("noop").mode("overwrite").save()
+    found = archive.compare_with_files(written, store.list(spark))
     return found.groupBy("state").agg(F.count("*").alias("n_files"))
 
 
+#: More than this much of alike records must shrink to less than this share.
+SHRINKS = (20_000, 0.7)
+
+
 def compression_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks' bytes before and after compression by destination; without compression the two are equal."""
-    return metrics.compression_ratio(archived(spark, sf_dir, flush_bytes=20_000))
+    """Blocks' bytes before and after two real codecs by destination: the ratio is within what a codec may need."""
+    df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), 10 * DAY)).withColumn("off", F.col("event_id"))
+    out = []
+    for codec in ("zstd", "lz4"):
+        root = shared_folder(spark, f"archive-{codec}")
+        manifest = archive.write_archive(df, f"{root}/data", "ratio", archive.Layout(codec=codec), batching.Limits(**(UNLIMITED | {"flush_bytes": 50_000})), manifest=f"{root}/manifest")
+        sums = metrics.compression_ratio(manifest).join(manifest.groupBy("destination").agg(F.count("*").alias("n_blocks")), "destination")
+        most = F.when(F.col("bytes_written") > SHRINKS[0], F.col("bytes_written") * SHRINKS[1]).otherwise(F.col("bytes_written") * 1.01 + 100 * F.col("n_blocks"))
+        within = (F.col("ratio") > 0) & (F.col("ratio") * F.col("bytes_written") <= most)
+        out.append(sums.select(F.lit(codec).alias("codec"), "destination", "bytes_written", within.alias("within_bounds")))
+    return out[0].unionByName(out[1])
+
+
+def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All routed records, archived by the hour and read back as a source."""
+    df = routed(spark, sf_dir).withColumn("window", batching.roll_window(F.col("ts"), 3600)).withColumn("off", F.col("event_id"))
+    root = shared_folder(spark, "archive-hourly")
+    limits = batching.Limits(**(UNLIMITED | {"flush_secs": 1}))  # a block is opened in the hour of its records
+    archive.write_archive(df, f"{root}/data", "hourly", limits=limits, manifest=f"{root}/manifest")
+    return restore.read_archive(spark, f"{root}/data")
+
+
+def restore_by_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of two destinations, of whose files alone any is opened."""
+    return _hourly(spark, sf_dir).filter(F.col("destination").isin(LOST, CUT)).select("destination", F.col("value").cast("string").alias("value"))
+
+
+def restore_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by destination of the hours of a morning, by the files' paths."""
+    hour = F.col("hour")
+    some = _hourly(spark, sf_dir).filter((hour >= F.lit(MORNING[0]).cast("timestamp_ntz")) & (hour < F.lit(MORNING[1]).cast("timestamp_ntz")))
+    return some.groupBy("destination").agg(F.count("*").alias("n_records"), F.min("value").cast("string").alias("first_value"), F.max("value").cast("string").alias("last_value"))
+
+
+def restore_large_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All routed records in few files of many frames, each cut between tasks, lines numbered through."""
+    df = routed(spark, sf_dir).withColumns({"destination": F.when(F.col("destination").isNotNull(), "all"), "part": F.lit(0), "window": F.timestamp_seconds(F.lit(0)), "off": F.col("event_id")})
+    root = shared_folder(spark, "archive-large")
+    limits = batching.Limits(**(UNLIMITED | {"flush_bytes": 4000}))
+    written = archive.write_archive(df, f"{root}/data", "large", limits=limits, manifest=f"{root}/manifest")
+    uris = written.select(F.concat(F.lit(f"{root}/data/"), "path").alias("uri")).distinct()
+    lines = restore.restore_files(uris, "zstd", range_bytes=20_000)
+    return lines.select("line", F.col("value").cast("string").alias("value"), "problem")
 
 
 def read_block(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +320,12 @@ QUERIES = {
     "records_per_second": lambda s, d: metrics.records_per_second(event_records(s, d)),
     "file_size_histogram": lambda s, d: metrics.size_histogram(files(s, d), 500),
     "scaling_pressure": scaling_pressure,
-    "retry_envelope": retry_envelope,
+    "offset_coverage": offset_coverage,
+    "dead_letters_cut": dead_letters_cut,
+    "size_quantiles": size_quantiles,
+    "restore_by_destination": restore_by_destination,
+    "restore_by_hour": restore_by_hour,
+    "restore_large_file": restore_large_file,
     **{f"archive_roundtrip_{c}": _roundtrip(c) for c in ("none", "gzip", "zstd", "lz4", "snappy")},
     "restore_documents": restore_documents,
 }
@@ -316,10 +427,19 @@ _OUTCOMES = f"""{_routed()},
       SELECT *, CASE status WHEN 'dropped' THEN 'dlq_too_large' WHEN 'rejected' THEN CASE WHEN too_deep THEN 'too_deep' ELSE 'refused' END ELSE '' END AS reason FROM ledger),
     dead_letters AS (
       SELECT 'driftvault' AS service, reason, CASE reason WHEN 'too_deep' THEN 'payload nesting exceeds the maximum parse depth of 64' ELSE 'storage_write_failed: invalid path' END AS reason_text,
-             value AS payload, coalesce(destination, topic) AS destination,
+             value AS payload, 'utf8' AS encoding, false AS truncated, strlen(value) AS payload_bytes, coalesce(destination, topic) AS destination,
              topic AS src_topic, part AS src_partition, off AS src_offset
       FROM outcomes WHERE status = 'rejected')"""
 
+_ENDS = f"""{_routed()},
+    every AS (
+      SELECT part, off, CASE WHEN event_id % 101 = 0 THEN 'filtered'
+                             WHEN event_id % 103 = 0 OR too_deep THEN CASE WHEN strlen(value) > 120 THEN 'dropped' ELSE 'dead letters' END
+                             WHEN destination = '{LOST}' AND part = 1 THEN 'lost' ELSE 'archive' END AS "end"
+      FROM routed)"""
+
+_PLACEHOLDERS = ", ".join(f"'{p}'" for p in templates.PLACEHOLDERS)
+
 _STEM = "strftime(opened_at, '%Y/%m/%d/%H%M-') || CAST(CAST(floor(epoch(opened_at)) AS BIGINT) AS VARCHAR)"
 _VALUES = ", ".join(f"('{x}')" for x in ADVERSARIAL)
 _TWO = _routed(("_org_id", "event_type"))
@@ -334,11 +454,39 @@ ORACLE_SQL = {
     "key_parse": f"""{_TWO}
 SELECT event_id, topic, coalesce(f0, 'default') AS field_0, coalesce(f1, 'default') AS field_1, part AS seq, '0123456789abcdef' AS token
 FROM routed WHERE j IS NOT NULL AND topic <> ''""",
-    "recovery_classify": f"""{_routed()}
-SELECT 'whole' AS state, count(*) AS n_files FROM (SELECT DISTINCT destination, part, date_trunc('day', ts) FROM routed WHERE destination IS NOT NULL)""",
+    "recovery_classify": f"""{_FILES}
+SELECT CASE destination WHEN '{LOST}' THEN 'missing' WHEN '{CUT}' THEN 'short' ELSE 'whole' END AS state, count(*) AS n_files FROM files GROUP BY 1""",
     "compression_ratio": f"""{_routed()}
-SELECT destination, sum(strlen(value) + 1)::BIGINT AS bytes_compressed, sum(strlen(value) + 1)::BIGINT AS bytes_written, 1.0::DOUBLE AS ratio
-FROM routed WHERE destination IS NOT NULL GROUP BY 1""",
+SELECT codec, destination, sum(strlen(value) + 1)::BIGINT AS bytes_written, true AS within_bounds
+FROM routed, (VALUES ('zstd'), ('lz4')) AS c(codec) WHERE destination IS NOT NULL GROUP BY 1, 2""",
+    "offset_coverage": f"""{_ENDS},
+ends AS (SELECT * FROM every WHERE NOT (part = 2 AND off BETWEEN 100 AND 103)),
+numbered AS (
+  SELECT *, off - row_number() OVER (PARTITION BY part, "end" ORDER BY off) AS island FROM ends),
+islands AS (SELECT part, min(off) AS first_off, max(off) AS last_off, "end", count(*) AS n_records FROM numbered GROUP BY part, "end", island),
+gaps AS (SELECT part, lag(off) OVER (PARTITION BY part ORDER BY off) + 1 AS first_off, off - 1 AS last_off FROM ends)
+SELECT * FROM islands UNION ALL SELECT part, first_off, last_off, 'missing', 0 FROM gaps WHERE first_off <= last_off""",
+    "dead_letters_cut": f"""{_OUTCOMES},
+rejected AS (SELECT *, concat('ü🙂', value) AS v FROM keyed WHERE too_deep OR refused),
+cut AS (SELECT *, list_max(list_filter(range(0, 42), lambda k: strlen(left(v, k::INT)) <= {CUT_BYTES})) AS k FROM rejected)
+SELECT topic AS src_topic, part AS src_partition, off AS src_offset,
+       CASE WHEN event_id % 2 = 1 THEN left(v, k::INT) ELSE to_base64(from_hex(left(concat('FFFE0041', hex(encode(v))), {2 * CUT_BYTES}))) END AS payload,
+       CASE WHEN event_id % 2 = 1 THEN 'utf8' ELSE 'base64' END AS encoding,
+       strlen(v) + CASE WHEN event_id % 2 = 0 THEN 4 ELSE 0 END > {CUT_BYTES} AS truncated, strlen(v) + CASE WHEN event_id % 2 = 0 THEN 4 ELSE 0 END AS payload_bytes
+FROM cut""",
+    "size_quantiles": f"""{_FILES},
+sizes AS (SELECT 'batch_size_bytes' AS metric, bytes AS v FROM flushes UNION ALL SELECT 'archive_file_size_bytes', bytes FROM files),
+powers AS (SELECT *, length(ltrim(bin(v), '0')) - 1 AS p FROM sizes),
+starts AS (SELECT metric, CASE WHEN p >= 6 THEN (v >> (p - 6)) << (p - 6) ELSE v END AS value FROM powers),
+ranked AS (SELECT metric, value, row_number() OVER (PARTITION BY metric ORDER BY value) AS rn, count(*) OVER (PARTITION BY metric) AS n FROM starts)
+SELECT metric, share, min(value) AS value, any_value(n) AS n FROM ranked, (VALUES (0.5::DOUBLE), (0.9::DOUBLE), (0.99::DOUBLE)) AS q(share)
+WHERE rn >= ceil(share * n) GROUP BY 1, 2""",
+    "restore_by_destination": f"{_routed()} SELECT destination, value FROM routed WHERE destination IN ('{LOST}', '{CUT}')",
+    "restore_by_hour": f"""{_routed()}
+SELECT destination, count(*) AS n_records, min(value) AS first_value, max(value) AS last_value FROM routed
+WHERE destination IS NOT NULL AND ts >= TIMESTAMP '{MORNING[0]}' AND ts < TIMESTAMP '{MORNING[1]}' GROUP BY 1""",
+    "restore_large_file": f"""{_routed()}
+SELECT row_number() OVER (ORDER BY event_id) - 1 AS line, value, NULL::VARCHAR AS problem FROM routed WHERE destination IS NOT NULL""",
     "archive_totals": f"""{_FILES},
 b AS (
   SELECT count(*) AS flushes, count(*) FILTER (flush_trigger = 'size') AS flushs_by_size, count(*) FILTER (flush_trigger = 'records') AS flushs_by_records,
@@ -387,8 +535,10 @@ numbered AS (SELECT *, {_STEM} AS stem FROM files),
 seqs AS (SELECT *, row_number() OVER (PARTITION BY destination, part, stem ORDER BY "window", file_no) - 1 AS seq FROM numbered)
 SELECT destination, part, file_no, CAST(seq AS INT) AS seq,
        destination || '/' || stem || '-' || lpad(CAST(seq AS VARCHAR), 4, '0') || '-0123456789abcdef.jsonl' AS file_key FROM seqs""",
-    "unknown_placeholders": """SELECT * FROM (VALUES ('{year}/{month}', ''), ('{topic}/{year}', '{topic}'), ('{a}{b}{a}', '{a},{b}'),
-  ('{seq}-{x{hour}}', ''), ('none', ''), ('{', ''), ('{open/{day}', '')) AS t(template, unknown)""",
+    "unknown_placeholders": rf"""WITH records AS ({_RECORDS}),
+t AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN concat('{{year}}/{{seq}}-', value, '{{}}') ELSE value END AS template FROM records)
+SELECT event_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(template, '\{{[^{{}}]*\}}'),
+       lambda x: x NOT IN ({_PLACEHOLDERS})))), ',') AS unknown FROM t""",
     "flush_by_size": f"{_flushes(flush_bytes=FLUSH['flush_bytes'])} SELECT * FROM flushes",
     "flush_by_records": f"{_flushes(flush_records=FLUSH['flush_records'])} SELECT * FROM flushes",
     "flush_by_age": f"{_flushes(flush_secs=FLUSH['flush_secs'])} SELECT * FROM flushes",
@@ -396,9 +546,8 @@ SELECT destination, part, file_no, CAST(seq AS INT) AS seq,
     "file_ledger": f"{_FILES} SELECT * FROM files",
     "outcomes": f"{_OUTCOMES} SELECT status, reason, count(*) AS n_records FROM outcomes GROUP BY ALL",
     "dead_letters": f"{_OUTCOMES} SELECT * FROM dead_letters",
-    "commit_floor": f"""{_OUTCOMES},
-held AS (SELECT *, part = 3 AND off >= 100 AS errored FROM outcomes)
-SELECT topic, part, coalesce(min(off) FILTER (errored), max(off) + 1) AS commit_to, count(*) FILTER (errored) AS n_withheld FROM held GROUP BY ALL""",
+    "commit_floor": f"""{_ENDS}
+SELECT part, coalesce(min(off) FILTER ("end" = 'lost'), max(off) + 1) AS commit_to, count(*) FILTER ("end" = 'lost') AS n_withheld FROM every GROUP BY 1""",
     "bytes_by_destination": f"""{_routed()}
 SELECT destination, count(*) AS n_records, sum(strlen(value) + 1)::BIGINT AS bytes FROM routed WHERE destination IS NOT NULL GROUP BY 1""",
     "lag_per_topic": f"""WITH records AS ({_RECORDS}),
@@ -408,10 +557,13 @@ SELECT topic, sum(greatest(latest - pos, 0))::BIGINT AS lag FROM p GROUP BY 1"""
     "records_per_second": f"""WITH records AS ({_RECORDS})
 SELECT date_trunc('hour', ts) AS window_start, count(*) AS n_records, count(*) / 3600 AS per_second FROM records GROUP BY 1""",
     "file_size_histogram": f"{_FILES} SELECT CAST(floor(bytes / 500) * 500 AS BIGINT) AS from_bytes, count(*) AS n_files FROM files GROUP BY 1",
-    "scaling_pressure": """SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 0.0::DOUBLE ELSE
-  0.4::DOUBLE * least((event_id * 37 % 200000) / 100000, 1) + 0.3::DOUBLE * least((event_id % 20000) / 10000, 1) + 0.3::DOUBLE * least(event_id % 100 / 100, 1) END AS pressure FROM events""",
-    "retry_envelope": """SELECT a::INT AS attempt, least(0.5::DOUBLE * pow(2, least(a, 16)), 60) AS upload_secs, least(0.1::DOUBLE * pow(2, least(a, 16)), 5) AS local_secs
-FROM range(20) t(a)""",
+    "scaling_pressure": f"""{_flushes(**FLUSH)},
+samples AS (
+  SELECT destination, part, "window", flush_no, n_records, bytes,
+         coalesce(sum(n_records) OVER (PARTITION BY destination, part, "window" ORDER BY flush_no ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS lag
+  FROM flushes)
+SELECT destination, part, "window", flush_no, round(0.4::DOUBLE * least(lag / 100000::DOUBLE, 1) + 0.3::DOUBLE * least(n_records / 10000::DOUBLE, 1)
+       + 0.3::DOUBLE * least(bytes / {FLUSH['flush_bytes']}::DOUBLE, 1), 9) AS pressure FROM samples""",
     **{f"archive_roundtrip_{c}": _ROUNDTRIP for c in ("none", "gzip", "zstd", "lz4", "snappy")},
     "restore_documents": f"SELECT sha256(coalesce(text, '')) AS value_sha256, coalesce({_encoded('source')}, 'default') AS destination FROM documents",
 }

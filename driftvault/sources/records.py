@@ -48,6 +48,8 @@ def kafka_options(config: Config) -> dict[str, str]:
         "kafka.security.protocol": k.security_protocol, "kafka.metadata.max.age.ms": str(1000 * k.topic_refresh_secs),
     }
     options |= {"subscribe": ",".join(k.topics)} if k.topics else {"subscribePattern": ".*"}
+    if k.ssl_ca_location:
+        options |= {"kafka.ssl.truststore.type": "PEM", "kafka.ssl.truststore.location": k.ssl_ca_location}
     if k.sasl_mechanism:
         module = "scram.ScramLoginModule" if k.sasl_mechanism.startswith("SCRAM") else "plain.PlainLoginModule"
         options["kafka.sasl.mechanism"] = k.sasl_mechanism

@@ -22,10 +22,10 @@ def folder(config: Config) -> str:
 
 
 def write_files(entries: DataFrame, config: Config, batch: int) -> None:
-    """One line of JSON for each entry, below period=.../batch=...; a period is the hour or day of the records' own
+    """One line of JSON for each entry (payloads as delivery.dead_letters encodes them), below period=.../batch=...; a period is the hour or day of the records' own
     time, so a batch that is run again replaces exactly what it wrote before."""
     rows = entries.withColumns({
-        "period": F.date_format(F.coalesce("ts", F.lit(dt.datetime(1970, 1, 1))), PERIODS[config.dlq.file.rotation]), "batch": F.lit(batch), "payload": F.col("payload").cast("string"),
+        "period": F.date_format(F.coalesce("ts", F.lit(dt.datetime(1970, 1, 1))), PERIODS[config.dlq.file.rotation]), "batch": F.lit(batch),
     })
     out = rows.drop("ts").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period", "batch").options(**config.hadoop_options())
     out.option("compression", "gzip" if config.dlq.file.compress_rotated else "none").json(folder(config))

@@ -7,7 +7,9 @@ nothing is lost and nothing is found twice.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +25,9 @@ from driftvault.streaming import dead_letters
 log = logging.getLogger(__name__)
 
 
-def chosen(records: DataFrame, config: Config) -> DataFrame:
-    """The records whose topic is wanted; of `<name>_land` and `<name>_load` only the first, where both come up."""
+def chosen(records: DataFrame, config: Config, known: DataFrame | None = None) -> DataFrame:
+    """The records whose topic is wanted; of `<name>_land` and `<name>_load` only the first, where both come up or are
+    among the topics known from earlier batches."""
     kafka = config.kafka
     exclude = topics.INTERNAL_TOPICS if kafka.topic_exclude is None else tuple(kafka.topic_exclude)
     if kafka.topics:
@@ -32,19 +35,50 @@ def chosen(records: DataFrame, config: Config) -> DataFrame:
     if config.is_direct():
         return records
     wanted = topics.select_topics(records, tuple(kafka.topic_include), exclude)
-    return topics.prefer_landing(wanted)
+    return topics.prefer_landing(wanted, known=known)
+
+
+def catalogue(records: DataFrame, config: Config, batch: int) -> DataFrame | None:
+    """The landing topics of this batch and of those before it. A batch adds what is new in it, as a whole, so a batch
+    that is run again finds what it found before; later batches do not count."""
+    if config.kafka.topics or config.is_direct():
+        return None
+    spark, options, folder = records.sparkSession, config.hadoop_options(), config.tables("_meta/topics")
+    wanted = topics.select_topics(records, tuple(config.kafka.topic_include), topics.INTERNAL_TOPICS if config.kafka.topic_exclude is None else tuple(config.kafka.topic_exclude))
+    landing = wanted.select("topic").filter(F.col("topic").endswith("_land")).distinct()
+    read = lambda: spark.read.options(**options).schema("topic string, batch long").parquet(folder).filter(F.col("batch") <= batch)
+    if config.store().open().exists("_meta/topics"):
+        landing = landing.join(read().filter(F.col("batch") < batch), "topic", "left_anti")
+    landing.coalesce(1).write.mode("overwrite").options(**options).parquet(f"{folder}/batch={batch}")
+    return read()
+
+
+def batch_time(config: Config, run: str, batch: int) -> dt.datetime:
+    """When a batch was run first: records without a time have this one, so that they keep their window and file when
+    the batch is run again."""
+    files, path = config.store().open(), f"_meta/times/{run}/{batch}"
+    if not files.exists(path):
+        out = files.create(path)
+        out.write(dt.datetime.now(dt.UTC).isoformat().encode())
+        try:
+            out.close()
+        except FileExistsError:
+            log.info("another attempt at batch %s has kept its time", batch)
+    with files.read(path) as kept:
+        return dt.datetime.fromisoformat(kept.read().decode())
 
 
-def prepare(records: DataFrame, config: Config, drop: Column | None = None, reject: Column | None = None) -> DataFrame:
+def prepare(records: DataFrame, config: Config, drop: Column | None = None, reject: Column | None = None, now: dt.datetime | None = None) -> DataFrame:
     """records routed, with their roll window and their file's key as far as the store's limits go. drop, reject:
-    conditions of an inbound filter; what they hold for is not archived (`inbound`: `drop` or `reject`)."""
+    conditions of an inbound filter; what they hold for is not archived (`inbound`: `drop` or `reject`). now: the time of
+    records that have none."""
     inbound = F.lit(None).cast("string")
     if reject is not None:
         inbound = F.when(F.coalesce(reject, F.lit(False)), "reject").otherwise(inbound)
     if drop is not None:
         inbound = F.when(F.coalesce(drop, F.lit(False)), "drop").otherwise(inbound)
     routed = route(records.withColumn("inbound", inbound), config.routing.mode, config.effective_fields(), config.routing.default_segment, config.transport)
-    at = F.coalesce("ts", F.current_timestamp())
+    at = F.coalesce("ts", F.lit(now) if now is not None else F.current_timestamp())
     routed = routed.withColumns({"ts": at, "window": roll_window(at, config.roll_interval_secs())})
     folder = expand_template(config.archive.path_template.replace("{seq}", "0000"), F.col("window"))
     # number, token and extensions take less than 48 bytes more
@@ -55,15 +89,16 @@ def archive_batch(records: DataFrame, config: Config, run: str, batch: int, drop
     """Archives one batch: files and their manifest, then dead letters and outcomes, each replaced as a whole."""
     spark, options = records.sparkSession, config.hadoop_options()
     at = f"batch={batch}"
-    ledger = delivery.outcomes(prepare(chosen(records, config), config, drop, reject), config.dead_letters_kept(), config.dlq.max_bytes).persist()
+    prepared = prepare(chosen(records, config, catalogue(records, config, batch)), config, drop, reject, batch_time(config, run, batch))
+    ledger = delivery.outcomes(prepared, config.dead_letters_kept(), config.dead_letter_limit()).persist()
     try:
         done = archive.write_archive(
             ledger.filter("status = 'delivered'"), config.store().below("data"), f"{run}/{batch}", config.layout(), config.limits(), config.buffer.writer_tasks,
             manifest=config.store().below(f"_meta/manifest/{at}"), read_from=config.tables(f"_meta/manifest/{at}"), options=options,
         )
-        ledger = delivery.with_refusals(ledger, done, config.dead_letters_kept(), config.dlq.max_bytes)
+        ledger = delivery.with_refusals(ledger, done, config.dead_letters_kept(), config.dead_letter_limit())
         if config.dead_letters_kept():
-            dead_letters.write(delivery.dead_letters(ledger), config, batch)
+            dead_letters.write(delivery.dead_letters(ledger, max_payload_bytes=config.dlq.max_payload_bytes), config, batch)
         ledger.select("topic", "part", "off", "destination", "fallback_fields", "routing_error", "status", "reason").write.mode("overwrite").options(**options).parquet(
             config.tables(f"_meta/outcomes/{at}")
         )
@@ -105,16 +140,25 @@ def start(
 
 
 def reload(query: StreamingQuery, records: DataFrame, old: Config, new: Config, checkpoint: str, **options) -> StreamingQuery:
-    """The query under a new configuration: it goes on as it is where no section changed that needs a restart, else
-    it is stopped and begun again from its checkpoint."""
+    """The query under a new configuration: it goes on as it is where nothing changed, else it is stopped and begun again
+    from its checkpoint, for a new kafka.batch_size after the batch at hand. records: the stream as `new` reads it."""
     sections = old.restart_required(new)
-    if not sections:
+    if not sections and old.kafka.batch_size == new.kafka.batch_size:
         return query
-    log.info("restarting for changes of %s", ", ".join(sections))
+    log.info("restarting for changes of %s", ", ".join(sections) or "kafka.batch_size")
+    if not sections and query.isActive:
+        _await_batch(query)
     query.stop()
     return start(records, new, checkpoint, **options)
 
 
+def _await_batch(query: StreamingQuery, seconds: float = 600.0) -> None:
+    """Returns when no batch is being worked on."""
+    until = time.monotonic() + seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.05)
+
+
 def manifest(spark: SparkSession, config: Config) -> DataFrame:
     return archive.read_manifest(spark, config.tables("_meta/manifest"), config.hadoop_options())
 

@@ -72,7 +72,7 @@ def test_direct_transport_has_no_dead_letters(spark, tmp_path):
 def test_dead_letter_modes(spark, tmp_path, mode, took):
     """There is no connector here, so the topic always fails: files take over where the mode has them."""
     config = Config.load({"archive": {"destination": f"{tmp_path}/out"}, "dlq": {"mode": mode, "file": {"rotation": "daily", "path": f"file://{tmp_path}/dead"}}}, {})
-    entries = spark.createDataFrame([("s", "refused", bytearray(b"x"), AT)], "service string, reason string, payload binary, ts timestamp")
+    entries = spark.createDataFrame([("s", "refused", "x", AT)], "service string, reason string, payload string, ts timestamp")
     if took is None:
         with pytest.raises(Exception):  # noqa: B017
             dead_letters.write(entries, config, 3)
@@ -101,7 +101,7 @@ def test_reload_restarts_only_where_needed(spark, tmp_path):
     records, checkpoint = landing_stream(spark, f"file://{tmp_path}/in"), f"file://{tmp_path}/checkpoint"
     query = pipeline.start(records, old, checkpoint)
     query.processAllAvailable()
-    same = pipeline.reload(query, records, old, Config.load({"archive": archive, "kafka": {"batch_size": 7}}, {}), checkpoint)
+    same = pipeline.reload(query, records, old, old, checkpoint)
     other = pipeline.reload(query, records, old, Config.load({"archive": archive, "buffer": {"flush_records": 2}}, {}), checkpoint)
     assert same is query and other.isActive and not query.isActive
     other.stop()
@@ -139,7 +139,7 @@ def test_config_files(tmp_path):
     config = Config.from_files(f"{tmp_path}/c.json", f"{tmp_path}/.env", {"DRIFTVAULT_ARCHIVE_REGION": "two", "DRIFTVAULT_DLQ_FILE_ROTATION": ""})
     assert (config.buffer.flush_records, config.buffer.flush_bytes, config.archive.region) == (9, 1 << 20, "two")
     assert (config.dlq.file.rotation, config.dlq.file.max_age_days, config.dlq.kafka.common_topic) == ("daily", 5, "driftvault_dlq")
-    assert config.bucket() == "own" and config.store().uri == "s3://own/p" and config.store().settings == {"region": "two", "endpoint": "http://m:9000"}
+    assert config.bucket() == "own" and config.store().uri == "s3://own/p" and config.store().settings == {"region": "two", "endpoint": "http://m:9000", "chunk": 8 << 20}
     assert config.tables("_meta/x") == "s3a://own/p/_meta/x" and config.hadoop_options()["fs.s3a.path.style.access"] == "true" and config.backend() == "s3"
     azure = Config.load({"archive": {"destination": "azure://c/p", "account": "acc", "secret_key": "k"}}, {})
     assert azure.tables("t") == "abfss://c@acc.dfs.core.windows.net/p/t" and list(azure.hadoop_options().values()) == ["k"] and azure.backend() == "azure"

@@ -103,12 +103,12 @@ def test_filters_keep_files_closed(spark, tmp_path):
     from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThan
 
     archived(spark, tmp_path)
-    spec = {"store": [f"file://{tmp_path}/x", {}], "template": "{year}/{month}/{day}/{hour}", "extension": "jsonl", "codec": "zstd", "range_bytes": 1 << 20}
+    spec = {"store": [f"file://{tmp_path}/x", {}], "template": "{year}/{month}/{day}/{hour}", "extension": "jsonl", "codec": "zstd", "range_bytes": 1 << 20, "cores": 4}
     every = restore.ArchiveReader(spec)
-    n, folders = len({p.path for p in every.partitions()}), every.listed
+    n, folders = len({r.path for p in every.partitions() for r in p.ranges}), every.listed
     one = restore.ArchiveReader(spec)
     left = list(one.pushFilters([EqualTo(("destination",), "events/a"), GreaterThanOrEqual(("hour",), START), LessThan(("hour",), START + dt.timedelta(hours=1))]))
-    paths = {p.path for p in one.partitions()}
+    paths = {r.path for p in one.partitions() for r in p.ranges}
     assert len(left) == 2 and paths and all(p.startswith("events/a/2024/01/01/0") and p.split("/")[5][:2] in ("00", "01") for p in paths)
     assert len(paths) < n / 4 and one.listed <= 4 < folders
     opened = {r.path for r in restore.read_archive(spark, f"file://{tmp_path}/x").filter("destination = 'events/a'").select("path").distinct().collect()}

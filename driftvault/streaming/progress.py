@@ -15,11 +15,11 @@ from driftvault.sources.stores import Store
 _POSITIONS = "query string, batch long, at string, source int, topic string, part string, position long, latest long, n_rows long"
 
 
-def offsets_of(offset: str | None) -> dict[tuple[str, str], int]:
+def offsets_of(offset) -> dict[tuple[str, str], int]:
     """A source's offset as (topic, partition) to position: brokers name both; of other sources each whole number in
     their offset is a position of its own."""
-    try:
-        found = json.loads(offset or "null")
+    try:  # a report in JSON has JSON offsets as they are, others as text
+        found = json.loads(offset) if isinstance(offset, str) else offset
     except ValueError:
         found = None
     if isinstance(found, int):

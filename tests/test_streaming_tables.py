@@ -31,7 +31,7 @@ def test_landing_topics_are_known_in_later_batches(spark, tmp_path):
         pipeline.archive_batch(make(names), config, "r", k)
     want = {(0, "b_load"), (0, "c"), (1, "a_land"), (2, "b_load"), (3, "b_land"), (4, "d")}
     assert read() == want
-    for k in (0, 2, 4):
+    for k in (2, 4):
         pipeline.archive_batch(make(batches[k]), config, "r", k)
     assert read() == want and {r.state for r in pipeline.audit(spark, config).collect()} == {"whole"}
 
@@ -55,11 +55,12 @@ def test_a_batch_keeps_its_time(spark, tmp_path):
 def test_a_new_batch_size_is_taken_over(spark, tmp_path):
     folder = f"file://{tmp_path}/in"
     spark.createDataFrame([("t", 0, i, AT, "{}") for i in range(4)], RECORDS).coalesce(1).write.mode("append").parquet(folder)
-    old, checkpoint = config_at(tmp_path), f"file://{tmp_path}/checkpoint"
+    archive = {"destination": f"{tmp_path}/out", "roll_interval_secs": 1}
+    old, checkpoint = config_at(tmp_path, archive=archive), f"file://{tmp_path}/checkpoint"
     query = pipeline.start(landing_stream(spark, folder), old, checkpoint)
     query.processAllAvailable()
-    new = config_at(tmp_path, kafka={"batch_size": 7})
-    assert pipeline.reload(query, landing_stream(spark, folder), old, config_at(tmp_path), checkpoint) is query
+    new = config_at(tmp_path, archive=archive, kafka={"batch_size": 7})
+    assert pipeline.reload(query, landing_stream(spark, folder), old, config_at(tmp_path, archive=archive), checkpoint) is query
     other = pipeline.reload(query, landing_stream(spark, folder, 7), old, new, checkpoint)
     assert other is not query and other.isActive and not query.isActive
     spark.createDataFrame([("t", 0, 9, AT, "{}")], RECORDS).coalesce(1).write.mode("append").parquet(folder)

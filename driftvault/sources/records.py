@@ -7,6 +7,9 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftvault.sources.push import push_stream
+from driftvault.sources.stores import Store
+
 if TYPE_CHECKING:
     from driftvault.plans.config import Config
 
@@ -57,12 +60,14 @@ def kafka_options(config: Config) -> dict[str, str]:
     return options
 
 
-def stream_of(spark: SparkSession, config: Config, folder: str | None = None) -> DataFrame:
+def stream_of(spark: SparkSession, config: Config, folder: str | None = None, log: Store | str | None = None) -> DataFrame:
     """The stream of records that a configuration names: brokers' topics, which needs Spark's Kafka connector on the
-    class path, or, for the direct transport, what producers put in a landing folder."""
+    class path, or, for the direct transport, what producers append to a log or put in a landing folder."""
     if config.is_direct():
+        if log is not None:
+            return push_stream(spark, log)
         if folder is None:
-            raise ValueError("the direct transport reads a landing folder")
+            raise ValueError("the direct transport reads a log or a landing folder")
         return landing_stream(spark, folder)
     return as_records(spark.readStream.format("kafka").options(**kafka_options(config)).load())
 

@@ -244,7 +244,12 @@ def decode_column(ids: Column, vocabulary: SharedVocabulary) -> Column:
 
 
 def digest_column(text: Column, vocabulary: SharedVocabulary, pattern: str) -> Column:
-    """Column of struct(n_tokens, ids_sha256, decoded_sha256): each text is encoded, its ids decoded again."""
+    """Column of struct(n_tokens, ids_sha256, decoded_sha256): each text is encoded, its ids decoded again.
+
+    A null text is empty: no ids, and nothing to decode. A text is encoded whole, however long, match by match. Rows do
+    not depend on each other, so repeated rows and ids need no rule, an empty table gives an empty result, and other
+    columns are not looked at.
+    """
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(texts: pd.Series) -> pd.DataFrame:

@@ -185,6 +185,10 @@ def _cover_again(radius: int):
     return task
 
 
+#: Rows of bucket and fingerprint that a task sorts on average.
+TASK_ROWS = 2_000_000
+
+
 def links(fps: DataFrame, radius: int = RADIUS, heavy: int = HEAVY) -> DataFrame:
     """(a, b) pairs of different fingerprints that connect exactly what links of `radius` bits or fewer connect.
     fps: column fp, each value once.
@@ -197,8 +201,9 @@ def links(fps: DataFrame, radius: int = RADIUS, heavy: int = HEAVY) -> DataFrame
     masks = np.array(covering_masks(radius), np.uint64).view(np.int64).tolist()
     tables = F.explode(F.array(*[F.struct(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))).alias("bucket"), F.lit(m).alias("fixed")) for i, m in enumerate(masks)]))
     level, pairs = fps.select("fp", tables.alias("t")).select("t.bucket", "fp", "t.fixed"), None
+    parts = max(n_parts(spark), fps.count() * len(masks) // TASK_ROWS)
     while True:
-        dealt = level.repartition(n_parts(spark), "bucket").sortWithinPartitions("bucket", "fp").select("bucket", "fp", "fixed")
+        dealt = level.repartition(parts, "bucket").sortWithinPartitions("bucket", "fp").select("bucket", "fp", "fixed")
         found = stage(dealt.mapInPandas(_bucket_task(radius, heavy), "a long, b long, bucket long, fixed long").distinct(), "simhash-links")
         linked = found.filter("b IS NOT NULL").select("a", "b")
         pairs = linked if pairs is None else pairs.unionByName(linked)

@@ -238,6 +238,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that score below the threshold, with docs' own columns."""
+    """The rows of docs that score below the threshold, with docs' own columns.
+
+    The classifier learns from the labels of docs' rows outside the fold that is held out; a null doc_id has no label.
+    Null and empty texts have the score of no n-gram, very long ones whole. Repeated rows have one score, so all stay or
+    all go; where nothing can be learnt, as of an empty table, all stay.
+    """
     model = train(docs, labels, usable_for_training(F.col("doc_id")))
     return docs.filter(score_column(F.col("text"), model, docs.sparkSession) < THRESHOLD)

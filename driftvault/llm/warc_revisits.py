@@ -160,7 +160,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, date: str = "202
         F.coalesce("page_id", F.lit(_FIRST)).cast("long").alias("page_key"), F.col("page_id").isNull().alias("is_null"), "url", F.coalesce("html", F.lit("")).alias("html")
     ).withColumns({"n_bytes": F.length(body).cast("long"), "digest": F.sha1(body)})
     heads = stage(headers(pages), "warc-headers")
-    total, key = heads.count(), ["digest", "n_bytes", "check"]
+    total, size = heads.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    key = ["digest", "n_bytes", "check"]
     repeats = stage(heads.groupBy(*_PAGE).agg(F.count("*").alias("n"), F.max("url").alias("first_url")).filter("n > 1"), "warc-repeats")
     large = heads.filter(F.col("n_bytes") >= MIN_BYTES)
     # of rows that repeat the largest page_id one with the largest url is the response
@@ -168,7 +169,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, date: str = "202
     groups = groups.select(*key, "n", F.col("best.page_key").alias("winner"), F.col("best.url").alias("winner_url"))
     revisits = join_weighted(large.drop("url"), stage(groups, "warc-groups"), key, "n", total).filter("page_key <> winner")
     revisits = revisits.groupBy(*_PAGE).agg(F.max(F.struct("winner", "winner_url")).alias("w")).select(*_PAGE, "w.*")
-    parts, once = n_parts(spark), pages
+    parts, once = max(n_parts(spark), size // FILE_BYTES), pages
     if not repeats.isEmpty():
         once = pages.join(F.broadcast(repeats.filter(F.col("n") > max(total // 1000, 1000))), _PAGE, "left_anti").join(repeats, _PAGE, "left_anti")
     # by page_id, so that equal payloads of many pages do not meet in one task
@@ -218,7 +219,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     payload_digest, payload_bytes and, on demand, payload. Every response's payload is held against its digest; a
     revisit's payload and length come from the response that it names; one that names none of the archives' responses
     is an error. A response that a third of all records revisit is joined without an exchange."""
-    files = manifest.select("archive").repartition(n_parts(manifest.sparkSession))
+    files = manifest.select("archive").repartition(max(n_parts(manifest.sparkSession), manifest.count()))
     records = stage(files.mapInPandas(_reader(with_payload), _RECORDS), "warc-records")
     page_id = F.when(~F.col("is_null"), F.col("page_key"))
     responses = records.filter("record_type = 'response'")

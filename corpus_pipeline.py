@@ -2,17 +2,23 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes it as Parquet in the shared folder and
 gives what was written to the next. All but the last return the columns of documents.
+
+In all stages null and empty texts are rows like others, repeated rows are judged each for itself, a null doc_id stays
+null and is compared as its operator says, very long texts are read whole, an empty table stays
+empty, and further columns, whatever their names, are kept as they are. What a stage does with such texts is said at its
+operator: quality rules reject empty ones, and of equal or near texts one row stays.
 """
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from driftvault.llm import exact_dedup, packing, quality_rules, simhash_dedup, toxicity
 from driftvault.llm.common import stage
 from driftvault.sources import shared
 
+import public_tokenizers  # after driftvault.llm: where that is missing, nothing else is asked for
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""

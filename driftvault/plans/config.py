@@ -70,6 +70,8 @@ class Buffer:
     flush_records: int = 100_000
     writer_parallelism: int = 2
     writer_tasks: int | None = None
+    hold: bool = False
+    hold_bytes: int = 64 << 20
 
 
 @dataclass
@@ -266,7 +268,7 @@ class Config:
             (self.is_direct() or bool(k.group_id), "kafka.group_id must not be empty"),
             (self.is_direct() or not k.sasl_mechanism or bool(k.sasl_username and k.sasl_password), "kafka.sasl_mechanism needs kafka.sasl_username and kafka.sasl_password"),
             *[(n > 0, f"{key} must be greater than 0") for n, key in (
-                (k.batch_size, "kafka.batch_size"), (b.flush_bytes, "buffer.flush_bytes"), (b.flush_records, "buffer.flush_records"), (b.writer_parallelism, "buffer.writer_parallelism"))],
+                (k.batch_size, "kafka.batch_size"), (b.flush_bytes, "buffer.flush_bytes"), (b.flush_records, "buffer.flush_records"), (b.writer_parallelism, "buffer.writer_parallelism"), (b.hold_bytes, "buffer.hold_bytes"))],
             (not unknown_placeholders(a.path_template), f"archive.path_template: {', '.join(unknown_placeholders(a.path_template))} unknown; known are {', '.join(PLACEHOLDERS)}"),
             (a.multipart_chunk_size == 0 or a.multipart_chunk_size >= 5 << 20, "archive.multipart_chunk_size must be 0 or at least 5 MiB"),
             (self.compression.codec in ("none", "zstd", "lz4", "snappy", "gzip"), f"compression.codec {self.compression.codec!r} is unknown"),

@@ -20,7 +20,7 @@ from driftvault.operators import archive, delivery, topics
 from driftvault.operators.batching import roll_window
 from driftvault.operators.routing import route
 from driftvault.plans.config import Config
-from driftvault.streaming import dead_letters
+from driftvault.streaming import dead_letters, hold
 
 log = logging.getLogger(__name__)
 
@@ -115,7 +115,9 @@ def start(
     records: DataFrame, config: Config, checkpoint: str, run: str = "archive", available_now: bool = False, drop: Column | None = None, reject: Column | None = None
 ) -> StreamingQuery:
     """Archives a stream of records (topic, part, off, ts, value) until it is stopped. Without acknowledgements a
-    batch counts as read when it is received: a sink that fails costs its records, and the stream goes on."""
+    batch counts as read when it is received: a sink that fails costs its records, and the stream goes on. With
+    buffer.hold a batch comes every flush_age_secs, and records are held over batches until their file's time has come;
+    what is held when the stream stops is archived when it goes on."""
     config.validate()
     if reason := config.idle_reason():
         raise ValueError(reason)
@@ -134,8 +136,10 @@ def start(
                 raise
             log.exception("batch %s is lost: acknowledgements are off", batch)
 
-    writer = records.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if available_now else {"processingTime": f"{config.roll_interval_secs()} seconds"}
+    held = hold.hold(records, config) if config.buffer.hold else records
+    writer = held.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+    seconds = min(config.buffer.flush_age_secs, config.roll_interval_secs()) if config.buffer.hold else config.roll_interval_secs()
+    trigger = {"availableNow": True} if available_now else {"processingTime": f"{seconds} seconds"}
     return writer.trigger(**trigger).start()
 
 

@@ -121,6 +121,8 @@ def start(
     config.validate()
     if reason := config.idle_reason():
         raise ValueError(reason)
+    if config.buffer.hold and available_now:
+        raise ValueError("buffer.hold keeps records for a time to come, so a run that ends cannot archive all of them")
     if problem := config.store().probe():
         log.warning("the destination cannot be listed: %s", problem)
     if seconds := config.long_held_roll_interval():

@@ -130,12 +130,15 @@ def test_records_wait_for_the_interval_since_the_first(monkeypatch):
 
 
 def test_many_bytes_are_not_held(rocks, tmp_path):
-    given = {"archive": {"destination": f"{tmp_path}/out", "roll_interval_secs": 3600}, "buffer": {"hold": True, "hold_bytes": 50}, "routing": {"mode": "topic"}}
+    given = {"archive": {"destination": f"{tmp_path}/out", "roll_interval_secs": 3600}, "buffer": {"hold": True, "hold_bytes": 50, "flush_age_secs": 1}, "routing": {"mode": "topic"}}
     config = Config.load(given, {})
     push(rocks, tmp_path, 0, 200)
-    query = pipeline.start(landing_stream(rocks, f"file://{tmp_path}/in"), config, f"file://{tmp_path}/checkpoint", available_now=True)
-    query.awaitTermination()
-    assert 150 < archived(rocks, config) < 200  # the last ones of each key wait for more, or for their time
+    with pytest.raises(ValueError, match="time to come"):
+        pipeline.start(landing_stream(rocks, f"file://{tmp_path}/in"), config, f"file://{tmp_path}/checkpoint", available_now=True)
+    query = pipeline.start(landing_stream(rocks, f"file://{tmp_path}/in"), config, f"file://{tmp_path}/checkpoint")
+    wait_for(lambda: archived(rocks, config) > 150)
+    query.stop()
+    assert archived(rocks, config) < 200  # the last ones of each key wait for more, or for their time
 
 
 def test_the_state_store_is_asked_for(spark, tmp_path):

@@ -52,6 +52,14 @@ def test_route_by_topic_and_too_deep(spark):
     assert "parse_json" not in routing.route_by_topic(df)._jdf.queryExecution().toString().lower()
 
 
+@pytest.mark.parametrize("condition", [None, "destination IS NOT NULL", "destination LIKE 'o%' AND NOT routing_error AND size(fallback_fields) = 0"])
+@pytest.mark.parametrize("fields", [("a",), ("a", "b.c", "d")])
+def test_payloads_are_parsed_twice_whatever_is_filtered(spark, fields, condition):
+    df = routing.route_by_fields(spark.createDataFrame([("t", "{}")], "topic string, value string"), fields)
+    plan = (df.filter(condition) if condition else df)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parse") == 2
+
+
 def test_topics(spark):
     df = spark.createDataFrame([(t,) for t in ("a_land", "a_load", "b_load", "__x", "y_dlq", "z")], "topic string")
     assert {r.topic for r in topics.prefer_landing(topics.select_topics(df)).collect()} == {"a_land", "b_load", "z"}

@@ -7,7 +7,8 @@ models are kept as sorted arrays of hashes with their values beside them, one pa
 each segment of the hash space. The n-grams that the corpus asks for are looked up there by binary search, segment
 by segment, and interpolated from the shortest to the longest. Texts then add up the scores of their windows, each
 a character with those before it; these are whole numbers, so the order of the sums does not matter. The language
-with the lowest cross-entropy per character is chosen.
+with the lowest cross-entropy per character is chosen. Above what a text is rejected is learnt from a part of the
+known texts: models of the others give them cross-entropies like those of texts never seen.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from driftvault.llm.common import n_parts, stage
 ORDER = 5
 #: The scores of so many windows at most, the most frequent, are sent to the workers; those of all others are joined.
 HOT_WINDOWS = 200_000
+#: So many scores at most, one for each window and language, whatever the number of languages.
+HOT_SCORES = 4_000_000
 CACHED_WORDS = 200_000
 #: Log-probabilities are kept as whole numbers of this part of a nat.
 SCALE = 1 << 24
@@ -34,8 +37,13 @@ SCALE = 1 << 24
 CHUNK = 64
 START, END = "\x02", "\x03"
 UNKNOWN = "und"
-#: A text is rejected where its cross-entropy is above this share of the texts that the corpus has in its language.
-REJECT_ABOVE = 0.995
+#: Of texts in a known language, the share that may be rejected.
+REJECTED_SHARE = 0.005
+#: One in so many of the texts learnt from is left out of a second set of models, which the rejection's bounds come from.
+LEFT_OUT = 5
+#: A text's score rests on the evidence of so many characters at most: those of a longer text are not independent, and
+#: would put every score at 0 or 1.
+EVIDENCE_CHARS = 50
 #: Entries of the models, and n-grams asked for, that a segment of the hash space holds on average.
 SEGMENT_ROWS = 50_000
 
@@ -44,27 +52,27 @@ def split_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{1,{CHUNK}}}"), F.lit(0))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(lang, word, n) of texts (text, lang), lower-cased; counted before the shuffle."""
-    return texts.select("lang", F.explode(split_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+def word_counts(texts: DataFrame, keys: tuple[str, ...] = ("lang",)) -> DataFrame:
+    """(*keys, word, n) of texts (text, *keys), lower-cased; counted before the shuffle."""
+    return texts.select(*keys, F.explode(split_words(F.col("text"))).alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
 
 
-def window_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, window, n): each character of the words between their start and end, with those before it, `order` at most."""
+def window_counts(words: DataFrame, order: int = ORDER, keys: tuple[str, ...] = ("lang",)) -> DataFrame:
+    """(*keys, window, n): each character of the words between their start and end, with those before it, `order` at most."""
     word = F.col("padded")
 
     def window(i: Column) -> Column:
         return F.substring(word, F.greatest(i - order + 2, F.lit(1)), F.least(F.lit(order), i + 1))
 
     windows = F.transform(F.sequence(F.lit(0), F.length(word) - 1), window)
-    padded = words.select("lang", "n", F.concat(F.lit(START), "word", F.lit(END)).alias("padded"))
-    return padded.select("lang", "n", F.explode(windows).alias("window")).groupBy("lang", "window").agg(F.sum("n").alias("n"))
+    padded = words.select(*keys, "n", F.concat(F.lit(START), "word", F.lit(END)).alias("padded"))
+    return padded.select(*keys, "n", F.explode(windows).alias("window")).groupBy(*keys, "window").agg(F.sum("n").alias("n"))
 
 
-def _suffix_counts(windows: DataFrame) -> DataFrame:
-    """(lang, gram, n) of all n-grams from window_counts: each place where one ends is a window that ends in it."""
+def _suffix_counts(windows: DataFrame, keys: tuple[str, ...] = ("lang",)) -> DataFrame:
+    """(*keys, gram, n) of all n-grams from window_counts: each place where one ends is a window that ends in it."""
     suffixes = F.transform(F.sequence(F.lit(1), F.length("window")), lambda k: F.substring("window", F.length("window") - k + 1, k))
-    return windows.select("lang", "n", F.explode(suffixes).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return windows.select(*keys, "n", F.explode(suffixes).alias("gram")).groupBy(*keys, "gram").agg(F.sum("n").alias("n"))
 
 
 def gram_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
@@ -246,53 +254,92 @@ def _measure_column(text: Column, hot: dict[str, int], table: np.ndarray, order:
 
 
 def _score(rows: DataFrame, scores: DataFrame, n_langs: int, order: int, hot_windows: int) -> DataFrame:
-    """rows (doc_id, held_out, lang, text) with `total`, the log-probability in each language, and `chars`, for text."""
-    hot = _bounded(scores, hot_windows).select("window", *[F.col("scores")[j].alias(f"s{j}") for j in range(n_langs)]).toArrow()
+    """rows (doc_id, held_out, left_out, lang, text) with `total`, the log-probability in each language, and `chars`, for text."""
+    hot = _bounded(scores, min(hot_windows, HOT_SCORES // n_langs)).select("window", *[F.col("scores")[j].alias(f"s{j}") for j in range(n_langs)]).toArrow()
     at = {w: i for i, w in enumerate(hot["window"].to_pylist())}
     table = np.stack([hot[f"s{j}"].to_numpy() for j in range(n_langs)], axis=1).astype(np.int64)
-    measured = rows.select("doc_id", "held_out", "lang", _measure_column(F.col("text"), at, table, order, rows.sparkSession).alias("m"))
-    measured = stage(measured.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "lang", "m.*"), "measured")
+    measured = rows.select("doc_id", "held_out", "left_out", "lang", _measure_column(F.col("text"), at, table, order, rows.sparkSession).alias("m"))
+    measured = stage(measured.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "left_out", "lang", "m.*"), "measured")
     others = measured.select("row", F.explode(F.arrays_zip("others", "times")).alias("o")).select("row", F.col("o.others").alias("window"), "o.times")
     sums = others.join(scores, "window").groupBy("row").agg(F.array(*[F.sum(F.col("times") * F.col("scores")[j]) for j in range(n_langs)]).alias("rest"))
     total = F.when(F.col("rest").isNull(), F.col("known")).otherwise(F.zip_with("known", "rest", lambda a, b: a + b))
-    return measured.join(sums, "row", "left").select("doc_id", "held_out", "lang", "chars", total.alias("total"))
+    return measured.join(sums, "row", "left").select("doc_id", "held_out", "left_out", "lang", "chars", total.alias("total"))
 
 
 def _decided(scored: DataFrame, langs: list[str]) -> DataFrame:
-    """doc_id, held_out, lang, lang_pred, score and cross_entropy (in bits a character) of _score's rows."""
+    """doc_id, held_out, left_out, lang, lang_pred, score and cross_entropy (in bits a character) of _score's rows."""
     df = scored.withColumn("entropy", F.transform("total", lambda t: -t / (F.lit(float(SCALE)) * F.greatest("chars", F.lit(1)))))
     df = df.withColumn("low", F.array_min("entropy"))
-    odds = F.aggregate("entropy", F.lit(0.0), lambda acc, e: acc + F.exp((F.col("low") - e) * F.least("chars", F.lit(50))))
+    odds = F.aggregate("entropy", F.lit(0.0), lambda acc, e: acc + F.exp((F.col("low") - e) * F.least("chars", F.lit(EVIDENCE_CHARS))))
     known, best = F.col("chars") > 0, F.array_position("entropy", F.col("low")).cast("int")
     return df.select(
-        "doc_id", "held_out", "lang", F.when(known, F.element_at(F.array(*map(F.lit, langs)), best)).otherwise(UNKNOWN).alias("lang_pred"),
+        "doc_id", "held_out", "left_out", "lang", F.when(known, F.element_at(F.array(*map(F.lit, langs)), best)).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(known, 1 / odds).otherwise(0.0).alias("score"), F.when(known, F.col("low") / math.log(2)).alias("cross_entropy"),
     )
 
 
-def identify(docs: DataFrame, held_out: Column, order: int = ORDER, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+def left_out_of_models(doc_id: Column) -> Column:
+    """Which documents the bounds of rejection are learnt from: one in LEFT_OUT by hash, independent of the hash modulo 5."""
+    return F.floor(F.crc32(doc_id.cast("string")) / 5) % LEFT_OUT == 0
+
+
+def rejection_bounds(scored: DataFrame) -> dict[str, float]:
+    """By language, the cross-entropy above which a text is rejected, from _decided's rows of known and rightly told texts,
+    those that are left out scored by models that have not learnt from them.
+
+    Of n texts left out of the models and one more like them, each is as likely as any other to have a given rank, so
+    the bound is the text of rank (n + 1) * (1 - REJECTED_SHARE), found as a quantile with one infinite value among
+    them. A language with too few such texts to have that rank (199 are enough) has the bound of all languages' texts
+    together, each measured against the mean of what its language has learnt from; where all together are too few, it
+    is the highest of them, and where there are none, nothing is rejected.
+    """
+    right, share = scored.filter(~F.col("held_out") & (F.col("lang") == F.col("lang_pred"))), F.lit(1 - REJECTED_SHARE)
+    # one row for each language
+    means = right.filter(~F.col("left_out")).groupBy("lang_pred").agg(F.avg("cross_entropy").alias("mean"))
+    known = right.filter("left_out").join(F.broadcast(means), "lang_pred").select("lang_pred", "cross_entropy", F.try_divide("cross_entropy", "mean").alias("ratio"))
+    endless = F.lit(math.inf)
+    own = known.select("lang_pred", "cross_entropy").unionByName(means.select("lang_pred", endless.alias("cross_entropy")))
+    own = dict(own.groupBy("lang_pred").agg(F.percentile_approx("cross_entropy", share, 10_000)).collect())
+    ratios = known.select("ratio").unionByName(scored.sparkSession.range(1).select(endless.alias("ratio")))
+    common, highest = ratios.agg(F.percentile_approx("ratio", share, 10_000), F.max(F.when(F.col("ratio") < endless, F.col("ratio")))).first()
+    common = common if math.isfinite(common) or highest is None else highest
+    return {lang: own[lang] if math.isfinite(own[lang]) else common * mean for lang, mean in means.collect()}
+
+
+def identify(docs: DataFrame, held_out: Column, order: int = ORDER, hot_windows: int = HOT_WINDOWS, left_out: Column | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text, lang): doc_id, held_out, lang_pred, score, cross_entropy, rejected.
 
-    Models are learnt from the rows that are not held out and have text and lang. A text that is null or has no
-    letter is `und` with score 0, and so is every text where nothing can be learnt. Rows with a null doc_id count
-    as not held out unless `held_out` says so; repeated rows are scored each for itself and counted each time. An
-    empty table gives an empty result; other columns are not looked at. `rejected` marks texts whose cross-entropy
-    is above what all but a few of the corpus's texts have in the predicted language. hot_windows has no influence on
-    the result: it bounds what the workers keep in memory.
+    Models are learnt from the rows that are not held out and have text and lang; those for the rejection's bounds from
+    those of them that are not left out either (by default left_out_of_models). A text that is null or has no letter is `und` with score 0, and so is every text where nothing can
+    be learnt. Rows with a null doc_id count as neither held nor left out unless the conditions say so; repeated rows
+    are scored each for itself and counted each time; very long texts count whole. An empty table gives an empty result;
+    other columns are not looked at. `rejected` marks `und` and texts whose cross-entropy is above the predicted
+    language's bound (rejection_bounds), so that about REJECTED_SHARE of unseen texts in a known language are rejected.
+    hot_windows has no influence on the result: it bounds what the workers keep in memory.
     """
-    rows = docs.select("doc_id", "text", "lang", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    left_out = left_out_of_models(F.col("doc_id")) if left_out is None else left_out
+    folds = [F.coalesce(fold, F.lit(False)).alias(name) for fold, name in ((held_out, "held_out"), (left_out, "left_out"))]
+    rows = docs.select("doc_id", "text", "lang", *folds)
     # words of texts that are not learnt from are counted under no language
-    words = word_counts(rows.select("text", F.when(~F.col("held_out"), F.col("lang")).alias("lang")))
-    windows = stage(window_counts(words, order), "windows")
-    models = train(stage(_suffix_counts(windows.filter("lang IS NOT NULL")), "gram-counts"), order, windows.count())
-    langs = [*models.weight_of_empty]
-    if not langs:
+    known, keys = F.when(~F.col("held_out"), F.col("lang")), ("lang", "left_out")
+    words = word_counts(rows.select("text", known.alias("lang"), (known.isNotNull() & F.col("left_out")).alias("left_out")), keys)
+    windows = stage(window_counts(words, order, keys), "windows")
+    grams = stage(_suffix_counts(windows.filter("lang IS NOT NULL"), keys), "gram-counts")
+
+    def score(texts: DataFrame, windows: DataFrame, counts: DataFrame, label: str) -> DataFrame | None:
+        """texts as _decided gives them, by the models of these counts."""
+        models = train(stage(counts, f"{label}-counts"), order, windows.count())
+        langs = [*models.weight_of_empty]
+        if not langs:
+            return None
+        every = windows.filter(F.col("window") != START).groupBy("window").agg(F.sum("n").alias("n"))
+        scores = stage(window_scores(every, models), f"{label}-scores")
+        return stage(_decided(_score(texts, scores, len(langs), order, hot_windows), langs), f"{label}-languages")
+
+    scored = score(rows, windows, grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "all")
+    if scored is None:
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
-    every = windows.filter(F.col("window") != START).groupBy("window").agg(F.sum("n").alias("n"))
-    scores = stage(window_scores(every, models), "window-scores")
-    scored = stage(_decided(_score(rows, scores, len(langs), order, hot_windows), langs), "languages")
-    # one row for each language, from all texts that are known to be in it
-    bound = scored.filter(~F.col("held_out") & (F.col("lang") == F.col("lang_pred"))).groupBy("lang_pred").agg(F.percentile_approx("cross_entropy", F.lit(REJECT_ABOVE), 10_000).alias("bound"))
-    return scored.join(F.broadcast(bound), "lang_pred", "left").select(
-        "doc_id", "held_out", "lang_pred", "score", "cross_entropy", F.coalesce(F.col("cross_entropy") > F.col("bound"), F.lit(True)).alias("rejected")
-    )
+    unseen = score(rows.filter("left_out AND NOT held_out AND lang IS NOT NULL"), windows.filter("left_out"), grams.filter("NOT left_out").drop("left_out"), "learnt")
+    bounds = rejection_bounds(scored.filter("NOT left_out") if unseen is None else scored.filter("NOT left_out").unionByName(unseen))
+    bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])[F.col("lang_pred")] if bounds else F.lit(None)
+    return scored.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", F.coalesce(F.col("cross_entropy") > bound, F.lit(True)).alias("rejected"))

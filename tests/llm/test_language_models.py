@@ -106,6 +106,36 @@ def test_identification_against_brute_force(spark):
         assert got[i].lang_pred == best and abs(got[i].score - share) < 1e-5 and abs(got[i].cross_entropy - entropy[best] / math.log(2)) < 1e-6
 
 
+def test_rejection_bounds_against_ranks(spark):
+    """A language with many texts left out has the bound of its own ranks, others that of all texts' ratios."""
+    rng = random.Random(11)
+    rows = [(False, k % 3 == 0, lang, lang, rng.gauss(mean, 0.2)) for lang, n, mean in (("x", 3000, 2.0), ("y", 90, 3.0)) for k in range(n)]
+    rows += [(True, True, "x", "x", 90.0), (False, True, "x", "y", 90.0), (False, True, None, "x", 90.0), (False, True, "z", "z", 90.0), (False, True, "x", "und", None)]
+    frame = lambda rows: spark.createDataFrame(rows, "held_out boolean, left_out boolean, lang string, lang_pred string, cross_entropy double")
+    learnt = {lang: [e for _, out, of, _, e in rows[:3090] if of == lang and not out] for lang in "xy"}
+    mean = {lang: sum(v) / len(v) for lang, v in learnt.items()}
+    left = [(of, e) for _, out, of, _, e in rows[:3090] if out]
+    own, ratios = sorted(e for of, e in left if of == "x"), sorted(e / mean[of] for of, e in left)
+    rank = lambda n: math.ceil((n + 1) * 0.995) - 1
+    got = language_id.rejection_bounds(frame(rows))
+    assert got.keys() == {"x", "y"} and abs(got["x"] - own[rank(len(own))]) < 1e-9 and abs(got["y"] - mean["y"] * ratios[rank(len(ratios))]) < 1e-9
+    few = [r for r in rows[3000:3090]]
+    assert abs(language_id.rejection_bounds(frame(few))["y"] - max(e for _, out, _, _, e in few if out)) < 1e-9
+    assert language_id.rejection_bounds(frame([r for r in few if not r[1]])) == {"y": math.inf} and language_id.rejection_bounds(frame([])) == {}
+
+
+def test_rejected_share_of_unseen_texts(spark):
+    """Of unseen texts about as many are rejected as aimed at; of texts in no known language, all."""
+    rng = random.Random(12)
+    vocabulary = {lang: ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 8))) for _ in range(3000)] for lang, letters in (("x", "abcdefgh"), ("y", "fghijklm"), ("other", "nopqrstu"))}
+    text = lambda lang: " ".join(rng.choice(vocabulary[lang]) for _ in range(rng.randrange(20, 60)))
+    rows = [(i, text(lang), lang) for i in range(6000) for lang in [rng.choice("xxy")]] + [(i, text("other"), None) for i in range(6000, 6050)]
+    got = language_id.identify(spark.createDataFrame(rows, SCHEMA), F.col("doc_id") % 2 == 0).collect()
+    unseen = [r for r in got if r.held_out and r.doc_id < 6000]
+    assert len(unseen) == 3000 and sum(r.rejected for r in unseen) / 3000 < 0.015
+    assert all(r.rejected for r in got if r.doc_id >= 6000)
+
+
 def test_rare_languages_are_found(spark):
     """Of 400 texts, ten are in a third language with words of its own: all of it is learnt and told."""
     rng = random.Random(9)

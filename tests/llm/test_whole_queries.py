@@ -4,7 +4,6 @@ import base64
 import hashlib
 import json
 import math
-import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -51,35 +50,45 @@ def crc(i, n):
     return zlib.crc32(str(i).encode()) % n
 
 
+def left_out(i):
+    return zlib.crc32(str(i).encode()) // 5 % 5 == 0
+
+
 def test_language(spark, documents):
-    """Fold, choice and score from plain Kneser-Ney models of the other folds' texts."""
+    """Fold, choice, score and rejection of every text, from plain Kneser-Ney models of the texts that are learnt from."""
     import regex
 
     words = {i: regex.findall(r"\p{L}{1,64}", (t or "").lower()) for i, (t, _) in documents.items()}
     learnt = {i for i, (t, lang) in documents.items() if t is not None and lang is not None and crc(i, 5)}
-    langs = sorted({documents[i][1] for i in learnt if words[i]})
-    alphabet = len({c for i in learnt for w in words[i] for c in w}) + 2
-    models = {lang: PlainModel([w for i in learnt if documents[i][1] == lang for w in words[i]], alphabet, 5) for lang in langs}
     got = {r.doc_id: r for r in queries.op1_language_id(spark, DIR).collect()}
-    assert got.keys() == documents.keys()
-    known = {lang: {} for lang in langs}
-    for i in random.Random(1).sample(sorted(documents), 60):
-        chars, entropy = sum(len(w) + 1 for w in words[i]), {}
-        for lang, model in models.items():
-            total = 0.0
-            for w in words[i]:
-                if w not in known[lang]:
-                    p = f"\x02{w}\x03"
-                    known[lang][w] = sum(math.log(model.probability(p[max(0, j - 4) : j + 1])) for j in range(1, len(p)))
-                total += known[lang][w]
-            entropy[lang] = -total / max(chars, 1)
-        r = got[i]
-        assert r.held_out == (crc(i, 5) == 0)
-        if not words[i]:
-            assert r.lang_pred == "und" and r.score == 0
-            continue
-        best = min(entropy, key=entropy.get)
+    assert got.keys() == documents.keys() and all(got[i].held_out == (crc(i, 5) == 0) for i in documents)
+
+    def entropies(of, learnt):
+        """{doc_id: its cross-entropy by language} of texts with words, by models of the texts that are learnt from."""
+        langs, out = sorted({documents[i][1] for i in learnt if words[i]}), {}
+        alphabet = len({c for i in learnt for w in words[i] for c in w}) + 2
+        for lang in langs:
+            model, known = PlainModel([w for i in learnt if documents[i][1] == lang for w in words[i]], alphabet, 5), {}
+            for i in of:
+                for w in words[i]:
+                    if w not in known:
+                        p = f"\x02{w}\x03"
+                        known[w] = sum(math.log(model.probability(p[max(0, j - 4) : j + 1])) for j in range(1, len(p)))
+                if words[i]:
+                    out.setdefault(i, {})[lang] = -sum(known[w] for w in words[i]) / sum(len(w) + 1 for w in words[i])
+        return out
+
+    told = {}
+    for i, entropy in entropies(documents, learnt).items():
+        r, best, chars = got[i], min(entropy, key=entropy.get), sum(len(w) + 1 for w in words[i])
+        told[i] = (best, entropy[best])
         assert r.lang_pred == best and abs(r.score - 1 / sum(math.exp((entropy[best] - e) * min(chars, 50)) for e in entropy.values())) < 1e-5
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 and got[i].rejected for i in documents if not words[i])
+    # fewer than 199 texts are left out: the highest of their ratios to their languages' means is the bound
+    seen, left = [i for i in learnt if not left_out(i)], [i for i in learnt if left_out(i)]
+    mean = {lang: np.mean([told[i][1] for i in seen if i in told and told[i][0] == lang == documents[i][1]]) for lang in {documents[i][1] for i in seen}}
+    worst = max(min(e.values()) / mean[documents[i][1]] for i, e in entropies(left, seen).items() if min(e, key=e.get) == documents[i][1])
+    assert all(got[i].rejected == (e > worst * mean[of]) or abs(e / mean[of] - worst) < 1e-6 for i, (of, e) in told.items())
 
 
 def test_shards(spark, documents):

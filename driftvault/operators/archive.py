@@ -322,14 +322,14 @@ class _ArchiveSink(DataSource):
 _ROWS = [*LANE, "_split", "_base", "ts", "value", "off"]
 
 
-def lane_rows(routed: DataFrame, lane_offsets: int = LANE_OFFSETS) -> DataFrame:
-    """Routed records as the writer takes them, with `_split`, the range of offsets. A null ts is the window's start, or
+def lane_rows(routed: DataFrame, lane_offsets: int | None = LANE_OFFSETS) -> DataFrame:
+    """Routed records as the writer takes them, with `_split`, the range of offsets (0 where none cuts a lane). A null ts is the window's start, or
     1970 where that is null too; a null value is an empty payload; a null offset comes before all others."""
     start = F.coalesce("ts", "window", F.timestamp_seconds(F.lit(0)))
     return routed.filter("destination IS NOT NULL").withColumns({
         "part": F.col("part").cast("int"), "window": F.col("window").cast("timestamp"), "off": F.coalesce(F.col("off").cast("long"), F.lit(NO_OFFSET)),
         "ts": start.cast("timestamp"), "value": F.coalesce(F.col("value").cast("binary"), F.lit(b"")),
-    }).withColumn("_split", F.floor(F.col("off") / lane_offsets).cast("long"))
+    }).withColumn("_split", (F.lit(0) if lane_offsets is None else F.floor(F.col("off") / lane_offsets)).cast("long"))
 
 
 def in_lane(rows: DataFrame) -> DataFrame:
@@ -357,7 +357,7 @@ def _write(rows: DataFrame, store: Store, manifest: Store, run: str, layout: Lay
 
 
 def write_archive(
-    routed: DataFrame, store: Store | str, run: str, layout: Layout = Layout(), limits: Limits = Limits(), parts: int | None = None, lane_offsets: int = LANE_OFFSETS,
+    routed: DataFrame, store: Store | str, run: str, layout: Layout = Layout(), limits: Limits = Limits(), parts: int | None = None, lane_offsets: int | None = LANE_OFFSETS,
     manifest: Store | str | None = None, read_from: str | None = None, options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Archives routed (destination, part, window, off, ts, value) and returns the manifest, which is kept in a folder of
@@ -366,7 +366,8 @@ def write_archive(
     Records without a destination are not written. Nulls of part and window are lanes of their own, those of the other
     columns are as lane_rows has them. A lane is written by one task as a stream, in a total order, so that a repeated
     task or run writes the same bytes; more than `lane_offsets` offsets of one partition are lanes of their own, so a
-    hot destination is many tasks. A file that is there already with other contents is an error, never replaced.
+    hot destination is many tasks; with None, a lane is one whatever its offsets, and its flushes follow each other from
+    its first record to its last. A file that is there already with other contents is an error, never replaced.
 
     Where a store refuses a whole file for good, its records are written again in two halves, round by round, until
     those that are refused stand alone; their rows have `refusal` and no path. Where it refuses the name, none is tried

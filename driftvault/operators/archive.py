@@ -49,6 +49,8 @@ _ARROW = pa.schema([(n, _ARROW_TYPES[t]) for n, t in (c.split() for c in MANIFES
 NO_OFFSET = -(2**63)
 #: Rows of a manifest that a task holds before it writes them.
 MANIFEST_ROWS = 1000
+#: Payload bytes that are made lines at once; so many records of a lane or fewer are gone through as plain lists.
+PIECE_BYTES, SHORT_RUN = 8 << 20, 256
 #: Neighbouring blocks of a file that one read brings back.
 READ_BLOCKS = 64
 
@@ -75,22 +77,24 @@ class _Lane:
         self.flush_no, self.file_no, self.seq_of, self.out, self.blocks = 0, -1, {}, None, []
         self.pos = key[4]
 
-    def add(self, values: pa.Array, times: np.ndarray, offs: np.ndarray):
-        lengths = np.diff(np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1])
-        ends, at = np.cumsum(lengths.astype(np.int64) + 1), 0
+    def add(self, lines: memoryview, ends: np.ndarray, lengths: np.ndarray, times: np.ndarray, offs: np.ndarray):
+        """lines: the records' payloads, a line end after each; ends: where each one's ends in them."""
+        n_all, at = len(ends), 0
+        if n_all <= SHORT_RUN:
+            ends, times, offs = ends.tolist(), times.tolist(), offs.tolist()
         self.since = int(times[0]) if self.since is None else self.since
-        while at < len(values):
+        while at < n_all:
             last, trigger = flush_end(ends, times, at, self.held, self.n_held, self.since, self.limits)
-            n = last + 1 - at
-            self.parts.append(values.slice(at, n))
+            n, begin, end, some = last + 1 - at, int(ends[at - 1]) if at else 0, int(ends[last]), times[at : last + 1]
+            self.parts.append(lines[begin:end])
             self.lengths.append(lengths[at : last + 1])
-            self.held += int(ends[last] - (ends[at - 1] if at else 0))
+            self.held += end - begin
             self.n_held += n
             if offs[last] != NO_OFFSET:
                 self.last_off = int(offs[last])
                 if self.first_off is None:
-                    self.first_off = int(offs[at + int(np.argmax(offs[at : last + 1] != NO_OFFSET))])
-            latest = int(times[at : last + 1].max())
+                    self.first_off = next(int(o) for o in offs[at : last + 1] if o != NO_OFFSET)
+            latest = max(some) if n_all <= SHORT_RUN else int(some.max())
             self.latest = latest if self.latest is None else max(self.latest, latest)
             if trigger:
                 yield from self.flush(trigger)
@@ -116,9 +120,7 @@ class _Lane:
                 self._emptied()
                 return
         began = time.perf_counter()
-        values = pa.chunked_array(self.parts).combine_chunks() if len(self.parts) > 1 else self.parts[0]
-        values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
-        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values), b"\n")[0].as_py() + b"\n"
+        lines = b"".join(self.parts)
         frame = compress(self.layout.codec, lines, self.layout.level)
         packed = time.perf_counter()
         try:
@@ -139,7 +141,7 @@ class _Lane:
         return {
             "path": self.name if is_open else None, "destination": destination, "part": part, "window": window, "file_no": self.file_no if is_open else None,
             "seq": self.seq if is_open else None, "block": len(self.blocks) if is_open else None, "flush_no": self.flush_no, "start": self.written if is_open else None,
-            "length": length, "raw_bytes": raw_bytes, "n_records": self.n_held, "lengths": np.concatenate(self.lengths) if is_open else None, "flushed_at": at, "flush_trigger": trigger,
+            "length": length, "raw_bytes": raw_bytes, "n_records": self.n_held, "lengths": (self.lengths[0] if len(self.lengths) == 1 else np.concatenate(self.lengths)) if is_open else None, "flushed_at": at, "flush_trigger": trigger,
             "opened_at": self.opened_at if is_open else None, "first_off": self.first_off, "last_off": self.last_off, "split": split, "first_pos": self.pos,
             "compress_micros": round(packing * 1e6), "write_micros": round(writing * 1e6),
         }
@@ -202,27 +204,38 @@ def _differs(column: pa.Array) -> np.ndarray:
     return np.where(null[1:] & null[:-1], False, unequal)
 
 
+def _pieces(batches):
+    """The batches' rows in order, with some megabytes of payloads at a time, and these as lines, with their lengths."""
+    for batch in batches:
+        values, at = batch.column(6), 0
+        starts = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1] if len(values) else ()
+        while at < len(values):
+            stop = max(at + 1, int(np.searchsorted(starts, int(starts[at]) + PIECE_BYTES, "right")) - 1)
+            some = pa.ListArray.from_arrays(pa.array([0, stop - at], pa.int32()), values.slice(at, stop - at))
+            yield batch.slice(at, stop - at), memoryview(pc.binary_join(some, b"\n")[0].as_py() + b"\n"), np.diff(starts[at : stop + 1])
+            at = stop
+
+
 def _written_rows(files, layout: Layout, limits: Limits, run: str, batches):
     """Writes rows that come sorted by lane and place, one open file at a time; gives manifest rows."""
     key, lane = None, None
     try:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch, lines, lengths in _pieces(batches):
             of = [batch.column(c) for c in range(5)]
             new = np.ones(batch.num_rows, bool)
             if batch.num_rows > 1:
                 new[1:] = np.logical_or.reduce([_differs(c) for c in of])
             times = batch.column(5).cast(pa.int64()).to_numpy(zero_copy_only=False)
             offs = batch.column(7).to_numpy(zero_copy_only=False)
-            starts, window = np.flatnonzero(new).tolist(), of[2].cast(pa.int64())
+            starts, window, ends = np.flatnonzero(new).tolist(), of[2].cast(pa.int64()), np.cumsum(lengths.astype(np.int64) + 1)
             for a, b in zip(starts, [*starts[1:], batch.num_rows]):
                 now = (of[0][a].as_py(), of[1][a].as_py(), window[a].as_py(), of[3][a].as_py(), of[4][a].as_py())
                 if now != key:
                     if lane:
                         yield from lane.close()
                     key, lane = now, _Lane(files, now, layout, limits, run)
-                yield from lane.add(batch.column(6).slice(a, b - a), times[a:b], offs[a:b])
+                begin = int(ends[a - 1]) if a else 0
+                yield from lane.add(lines[begin : int(ends[b - 1])], ends[a:b] - begin, lengths[a:b], times[a:b], offs[a:b])
         if lane:
             yield from lane.close()
     except BaseException:
@@ -273,7 +286,7 @@ class _Sink(DataSourceArrowWriter):
             if out is None:
                 out = beside.create(name)
                 parquet = pq.ParquetWriter(_Through(out), _ARROW, compression="zstd")
-            parquet.write_batch(pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in held], f.type) for f in _ARROW], schema=_ARROW))
+            parquet.write_batch(pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in held], t) for n, t in zip(_ARROW.names, _ARROW.types)], schema=_ARROW))
             held.clear()
 
         for row in _written_rows(files, self.layout, self.limits, self.run, iterator):

@@ -12,6 +12,7 @@ import base64
 import hashlib
 import re
 import uuid
+from itertools import chain
 
 import pandas as pd
 import regex
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Texts are cut before white space that follows something else; every match of the pattern lies within one part.
 _PART = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+#: Parts of ASCII letters, after a space or none.
+_LETTERS = re.compile(" ?[A-Za-z]+")
 CACHED_PARTS = 300_000
 #: What was stored for prefixes of these lengths serves every piece that begins alike, longest first.
 SHARED_PREFIXES = (13, 10, 7, 4)
@@ -171,20 +174,32 @@ class TextEncoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, cached: int = CACHED_PARTS):
         self.vocabulary, self.cached, self._parts, self._pieces = vocabulary, cached, {}, {}
+        self.decimals = [str(i) for i in range(len(vocabulary.tokens))]
         self._matches = regex.compile(pattern).findall
+        # all that comes before the run of letters begins with a quote, so it matches such a part whole
+        before, found, _ = pattern.partition(r" ?\p{L}+|")
+        self._letters = _LETTERS.fullmatch if found and all(x[0] == "'" for x in before.split("|")[:-1] if x) and before[-1:] in ("", "|") else None
 
     def encode(self, text: str) -> list[int]:
-        known, ids = self._parts, []
-        for part in _PART.findall(text):
-            found = known.get(part)
-            if found is None:
-                if len(known) > self.cached:
-                    known.clear()
+        parts = _PART.findall(text)
+        found = list(map(self._parts.get, parts))
+        if None in found:
+            found = [ids if ids is not None else self._part(part) for part, ids in zip(parts, found)]
+        return list(chain.from_iterable(found))
+
+    def _part(self, part: str) -> list[int]:
+        known = self._parts
+        found = known.get(part)
+        if found is None:
+            if len(known) > self.cached:
+                known.clear()
+            if self._letters is not None and self._letters(part):  # all one match
+                found = self.vocabulary.encode(part.encode("utf-8"))
+            else:
                 found = [i for piece in self._matches(part) for i in self._piece(piece)]
-                if len(part) < 64:
-                    known[part] = found
-            ids += found
-        return ids
+            if len(part) < 64:
+                known[part] = found
+        return found
 
     def _piece(self, piece: str) -> list[int]:
         found = self._pieces.get(piece)
@@ -254,9 +269,10 @@ def digest_column(text: Column, vocabulary: SharedVocabulary, pattern: str) -> C
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(texts: pd.Series) -> pd.DataFrame:
         encoder, sha, out = text_encoder(vocabulary, pattern), hashlib.sha256, []
+        decimal = encoder.decimals.__getitem__
         for text in texts:
             ids = encoder.encode(text or "")
-            out.append((len(ids), sha(" ".join(map(str, ids)).encode()).hexdigest(), sha(encoder.vocabulary.decode(ids)).hexdigest()))
+            out.append((len(ids), sha(" ".join(map(decimal, ids)).encode()).hexdigest(), sha(encoder.vocabulary.decode(ids)).hexdigest()))
         return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return digests(text)
